@@ -6,14 +6,16 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotide.llm import bpe, mixing, quality_rules
+from geotide.llm import bpe, mixing, quality_rules, secret_scan, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": mixing.op1,
+        "op2_secret_scan": secret_scan.op2,
         "op6_quality_rules": quality_rules.op6,
         "op9_bpe": bpe.op9,
+        "op10_substring_dedup": substring_dedup.op10,
     }
 
 
