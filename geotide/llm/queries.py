@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotide.llm import bpe, mixing, quality_rules, secret_scan, substring_dedup
+from geotide.llm import bpe, exact_topk, mixing, quality_rules, secret_scan, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": mixing.op1,
         "op2_secret_scan": secret_scan.op2,
+        "op5_exact_topk": exact_topk.op5,
         "op6_quality_rules": quality_rules.op6,
         "op9_bpe": bpe.op9,
         "op10_substring_dedup": substring_dedup.op10,
@@ -20,4 +21,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op5_exact_topk": exact_topk.ORACLE}
