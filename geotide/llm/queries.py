@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotide.llm import bpe, exact_topk, mixing, quality_rules, secret_scan, substring_dedup
+from geotide.llm import bag_minhash, bpe, exact_topk, mixing, quality_rules, secret_scan, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -15,6 +15,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op2_secret_scan": secret_scan.op2,
         "op5_exact_topk": exact_topk.op5,
         "op6_quality_rules": quality_rules.op6,
+        "op8_bag_minhash": bag_minhash.op8,
         "op9_bpe": bpe.op9,
         "op10_substring_dedup": substring_dedup.op10,
     }
