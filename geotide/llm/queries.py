@@ -6,13 +6,14 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotide.llm import bag_minhash, bpe, exact_topk, mixing, quality_rules, secret_scan, substring_dedup
+from geotide.llm import bag_minhash, bpe, exact_topk, line_dedup, mixing, quality_rules, secret_scan, substring_dedup
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {
         "op1_mix_sources": mixing.op1,
         "op2_secret_scan": secret_scan.op2,
+        "op3_line_dedup": line_dedup.op3,
         "op5_exact_topk": exact_topk.op5,
         "op6_quality_rules": quality_rules.op6,
         "op8_bag_minhash": bag_minhash.op8,
