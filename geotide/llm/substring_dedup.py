@@ -40,7 +40,7 @@ WINDOW = 50
 GRAM = 24
 REACH = WINDOW - GRAM + 1
 #: Text bytes of a block, and the fewest blocks.
-BLOCK_BYTES, LEAST_BLOCKS, MOST_BLOCKS = 16 << 20, 48, 1 << 17
+BLOCK_BYTES, LEAST_BLOCKS, MOST_BLOCKS = 6 << 20, 48, 1 << 17
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 
@@ -291,33 +291,28 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         status = _statuses(replies.filter(pa.array(tag == 1)))
         x.windows(status)
         w_status = _statuses(replies.filter(pa.array(tag == 2)))
-        depth = np.zeros(len(x.buf) + 1, np.int32)
         whole = x.covered | (status[x.group] == 1) if len(x.group) else x.covered
-        # equal anchors in the same document as the block's first share that one's fate
-        np.add.at(depth, x.a[whole], 1)
-        np.subtract.at(depth, x.b[whole] + WINDOW, 1)
         gone_w = x.w_covered | (w_status[x.w_group] == 1) if len(x.w_group) else x.w_covered
-        np.add.at(depth, x.start[gone_w], 1)
-        np.subtract.at(depth, x.start[gone_w] + WINDOW, 1)
-        gone = np.cumsum(depth[:-1]) > 0
-        total_gone = np.zeros(len(gone) + 1, np.int64)
-        np.cumsum(gone, out=total_gone[1:])
-        rises = np.zeros(len(gone), bool)
-        if len(gone):
-            rises[0], rises[1:] = gone[0], gone[1:] & ~gone[:-1]
-            starts = x.offs[:-1][np.diff(x.offs) > 0]
-            rises[starts] = gone[starts]
-        n_rises = np.zeros(len(gone) + 1, np.int64)
-        np.cumsum(rises, out=n_rises[1:])
-        lo, hi = x.offs[:-1], x.offs[1:]
-        removed = total_gone[hi] - total_gone[lo]
-        kept = []
-        for i, j, r in zip(lo.tolist(), hi.tolist(), removed.tolist(), strict=True):
-            body = x.buf[i:j]
-            kept.append((body[~gone[i:j]] if r else body).tobytes())
+        up = np.sort(np.concatenate([x.a[whole], x.start[gone_w]]))
+        down = np.sort(np.concatenate([x.b[whole], x.start[gone_w]]) + WINDOW)
+        removed, spans, kept = [], [], []
+        for i, j in chunks(x.offs):
+            lo, hi = x.offs[i], x.offs[j]
+            depth = np.zeros(hi - lo + 1, np.int32)
+            np.add.at(depth, up[slice(*np.searchsorted(up, (lo, hi)))] - lo, 1)
+            np.subtract.at(depth, down[slice(*np.searchsorted(down, (lo + 1, hi + 1)))] - lo, 1)
+            gone = np.cumsum(depth[:-1], dtype=np.int32) > 0
+            rises = gone.copy()
+            rises[1:] &= ~gone[:-1]
+            for s, e in zip((x.offs[i:j] - lo).tolist(), (x.offs[i + 1 : j + 1] - lo).tolist(), strict=True):
+                body, out = x.buf[lo + s : lo + e], gone[s:e]
+                n = int(np.count_nonzero(out))
+                removed.append(n)
+                spans.append(int(np.count_nonzero(rises[s:e])) + int(n > 0 and s > 0 and out[0] and gone[s - 1]))
+                kept.append((body[~out] if n else body).tobytes() if with_text else hashlib.sha256(body[~out] if n else body).hexdigest())
         cols = {
-            "doc_id": x.raw_ids, "n_bytes": pa.array(hi - lo), "n_removed": pa.array(removed),
-            "n_spans": pa.array(n_rises[hi] - n_rises[lo]), "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept]),
+            "doc_id": x.raw_ids, "n_bytes": pa.array(np.diff(x.offs)), "n_removed": pa.array(removed, pa.int64()), "n_spans": pa.array(spans, pa.int64()),
+            "kept_sha256": pa.array([hashlib.sha256(k).hexdigest() for k in kept] if with_text else kept, pa.string()),
         }
         if with_text:
             cols["kept"] = pa.array(kept, pa.binary())
