@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotide.llm import bag_minhash, bpe, exact_topk, line_dedup, mixing, quality_rules, secret_scan, substring_dedup
+from geotide.llm import bag_minhash, bpe, exact_topk, importance, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -14,8 +14,10 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op1_mix_sources": mixing.op1,
         "op2_secret_scan": secret_scan.op2,
         "op3_line_dedup": line_dedup.op3,
+        "op4_importance_resampling": importance.op4,
         "op5_exact_topk": exact_topk.op5,
         "op6_quality_rules": quality_rules.op6,
+        "op7_toxicity": toxicity.op7,
         "op8_bag_minhash": bag_minhash.op8,
         "op9_bpe": bpe.op9,
         "op10_substring_dedup": substring_dedup.op10,
