@@ -1,8 +1,60 @@
-"""The corpus pipeline (stages follow)."""
+"""The corpus pipeline: raw documents to token counts and digests, in five stages.
 
-STAGES = []
+Each stage is (name, function); a function takes (spark, docs, sf_dir), works
+on all that its predecessor kept, and all but the last return the columns of
+``documents``: doc_id, text, lang, source, n_chars.
+"""
+
+from __future__ import annotations
+
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+
+from geotide.llm import bag_minhash, bpe, line_dedup, mixing, quality_rules
+from geotide.llm._frames import durable
+
+COLUMNS = ["doc_id", "text", "lang", "source", "n_chars"]
+
+
+def quality(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents that the quality rules reject go."""
+    return quality_rules.keep(docs.select(*COLUMNS))
+
+
+def lines(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Lines similar to an earlier line go; documents stay, with what is left of them."""
+    return line_dedup.remove_lines(docs.select(*COLUMNS)).withColumn("n_chars", F.length("text").cast("long"))
+
+
+def near_duplicates(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates stays."""
+    return bag_minhash.one_of_each(docs.select(*COLUMNS))
+
+
+def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents as often as the mix of their sources takes them."""
+    return mixing.mixed(docs.select(*COLUMNS))
+
+
+def encode(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """(doc_id, n_tokens, ids_sha256, decoded_sha256) of every row of the mix."""
+    return bpe.encode(docs, bpe.default_vocabulary())
+
+
+STAGES = [
+    ("quality_rules", quality),
+    ("line_dedup", lines),
+    ("near_dedup", near_duplicates),
+    ("mix_sources", mix),
+    ("bpe_encode", encode),
+]
+
+#: Hash-based sampling, BPE and set-similarity joins aren't SQL; tests compare the stages with brute force.
 ORACLE_SQL = None
 
 
-def run(spark, sf_dir):
-    raise NotImplementedError
+def run(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
+    for _, stage in STAGES[:-1]:
+        docs = durable(stage(spark, docs, sf_dir))
+    return STAGES[-1][1](spark, docs, sf_dir)

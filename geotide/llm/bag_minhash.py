@@ -258,5 +258,15 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.col("n").alias("n_shingles"))
 
 
+def one_of_each(docs: DataFrame) -> DataFrame:
+    """``docs`` (doc_id, text and any other columns), of each class the document with the smallest id; of repeated rows one."""
+    found = near_duplicates(docs)
+    first = found.filter("class_id = doc_id").select("doc_id").distinct()
+    out = docs.join(first, "doc_id", "left_semi")
+    if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
+        out = out.dropDuplicates(["doc_id"])
+    return out.unionByName(docs.filter("doc_id is null"))
+
+
 def op8(spark, sf_dir: str) -> DataFrame:
     return near_duplicates(spark.read.parquet(f"{sf_dir}/documents.parquet"))

@@ -151,5 +151,22 @@ def _onto_left(docs: DataFrame, small: DataFrame, n: int) -> DataFrame:
     return salted.join(wide, salted["source"].eqNullSafe(wide["source"]) & (salted["_salt"] == wide["_salt"]), "left").drop(wide["source"], wide["_salt"]).drop("_salt")
 
 
+def mixed(docs: DataFrame, **settings) -> DataFrame:
+    """``docs`` (doc_id, text, source and any other columns) as the mix has them: each row as often as it is taken."""
+    plan = durable(mix(docs, **settings).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "copies"))
+    tie = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
+    # rows that agree in id and text are interchangeable: their copies are shared out by number
+    number = lambda by: F.row_number().over(Window.partitionBy(*by).orderBy(by[0]))
+    if plan.groupBy("_id", "_tie").count().filter("count > 1").limit(1).count():
+        left = docs.withColumn("_t", tie).withColumn("_n", number(["doc_id", "_t"]))
+        right = plan.withColumn("_m", number(["_id", "_tie"]))
+        cond = left["doc_id"].eqNullSafe(right["_id"]) & (left["_t"] == right["_tie"]) & (left["_n"] == right["_m"])
+    else:
+        left, right = docs.withColumn("_t", tie), plan
+        cond = left["doc_id"].eqNullSafe(right["_id"]) & (left["_t"] == right["_tie"])
+    joined = left.join(right.filter("copies > 0"), cond)
+    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+
+
 def op1(spark, sf_dir: str) -> DataFrame:
     return mix(spark.read.parquet(f"{sf_dir}/documents.parquet")).select("doc_id", "size", "source_size", "target", "taken")

@@ -15,6 +15,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geotide.llm._frames import documents
 from geotide.llm._text import IS_WORD, Chunk, grams, repeated, text_chunks
@@ -107,5 +108,23 @@ def verdicts(measured: DataFrame) -> DataFrame:
     return measured.withColumn("base_failed", base).withColumn("kept", ~base & ~bad)
 
 
+def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, without the rows that the rules reject; the verdict is found in the same scan."""
+    plain = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
+    text = f"_{docs.columns.index(text_col)}"
+    fields = [x.split() for x in SCHEMA.split(", ")[1:]]
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for i, j, c in text_chunks(b[text]):
+                m = _measure(c)
+                own = b.slice(i, j - i)
+                yield pa.RecordBatch.from_arrays([*own.columns, *[pa.array(m[k], pa.int64()) for k, _ in fields]], [*own.schema.names, *[k for k, _ in fields]])
+
+    schema = T.StructType([*plain.schema.fields, *[T.StructField(k, T.LongType()) for k, _ in fields]])
+    kept = verdicts(plain.mapInArrow(run, schema)).filter("kept")
+    return kept.select(*plain.columns).toDF(*docs.columns)
+
+
 def op6(spark, sf_dir: str) -> DataFrame:
     return verdicts(measure(spark.read.parquet(f"{sf_dir}/documents.parquet")))
