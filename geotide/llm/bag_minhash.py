@@ -20,10 +20,10 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-import pyarrow.compute
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
+from geotide.llm import _idfilter
 from geotide.llm._frames import documents, durable
 from geotide.llm._graph import components
 from geotide.llm._text import Chunk, grams, mix, text_chunks
@@ -142,15 +142,19 @@ def _base(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), ids, pa.array(np.diff(at), pa.int32()), bands], ["doc_id", "bag", "n", "bands"])
 
 
-def _elements(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """(root, size, bag, body) of texts whose bag is the one asked for."""
-    for b in it:
-        for i, j, c in text_chunks(b["text"]):
-            _, _, _, elements, at = _bags(c)
-            bodies = [elements[at[k] : at[k + 1]] for k in range(c.n)]
-            ids = pa.array([_bag_id(x) for x in bodies], pa.int64())
-            part = pa.RecordBatch.from_arrays([b[k].slice(i, j - i) for k in ("root", "size", "bag")] + [pa.array([x.tobytes() for x in bodies], pa.binary())], ["root", "size", "bag", "body"])
-            yield part.filter(pa.compute.equal(ids, part["bag"]))
+def _elements(wanted):
+    """(doc_id, bag, body) of the texts whose id the filter lets through."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            b = b.filter(pa.array(wanted.value.may_hold(b["doc_id"])))
+            for i, j, c in text_chunks(b["text"]):
+                _, _, _, elements, at = _bags(c)
+                bodies = [elements[at[k] : at[k + 1]] for k in range(c.n)]
+                ids = pa.array([_bag_id(x) for x in bodies], pa.int64())
+                yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), ids, pa.array([x.tobytes() for x in bodies], pa.binary())], ["doc_id", "bag", "body"])
+
+    return run
 
 
 def _forest(ids: np.ndarray, bodies: list[np.ndarray], side: np.ndarray | None) -> list[tuple[int, int]]:
@@ -242,7 +246,8 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     cand = comp.join(sizes, "root").select(F.col("id").alias("bag"), "root", "size")
     cand = durable(cand.join(classes, "bag").select("bag", "root", "size", F.col("first").alias("doc_id")))
     n = cand.count()
-    members = d.join(cand, "doc_id").mapInArrow(_elements, "root long, size long, bag long, body binary")
+    wanted = docs.sparkSession.sparkContext.broadcast(_idfilter.build(cand.select("doc_id"), n))
+    members = d.mapInArrow(_elements(wanted), "doc_id long, bag long, body binary").join(cand, ["doc_id", "bag"])
     small = F.col("size") <= BLOCK
     blocks = F.when(small, 1).otherwise(F.ceil(F.col("size") / BLOCK))
     members = members.withColumn("part", F.pmod(F.xxhash64("bag"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
