@@ -31,7 +31,7 @@ from geotide.llm._frames import documents, durable, text_bytes
 from geotide.llm._graph import components
 from geotide.llm._text import Chunk, mix, text_chunks
 
-#: Entries of the hashed word-count table: 2**22 saturating bytes, whatever the corpus.
+#: Entries of the hashed word-count table: 2**22 counts (16 MB), whatever the corpus.
 COUNT_BITS = 22
 #: Text that a task turns into postings before it sends them, and text for each bucket of words.
 SEND_BYTES, BUCKET_BYTES = 24 << 20, 8 << 20
@@ -69,13 +69,12 @@ def _lines(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Saturating counts by word hash, in 64 slices so that summing them is spread."""
-    table = np.zeros(1 << COUNT_BITS, np.uint8)
+    """Counts by word hash, in 64 slices so that summing them is spread."""
+    table = np.zeros(1 << COUNT_BITS, np.uint32)
     for b in it:
         for _, _, c in text_chunks(b["text"]):
             slot, n = np.unique(_sets(c)["h"] >> np.uint64(64 - COUNT_BITS), return_counts=True)
-            slot = slot.astype(np.int64)
-            table[slot] = np.minimum(table[slot].astype(np.int64) + n, 255)
+            table[slot.astype(np.int64)] += n.astype(np.uint32)
     if table.any():
         part = len(table) // 64
         bodies = [table[k * part : (k + 1) * part].tobytes() for k in range(64)]
@@ -83,10 +82,10 @@ def _counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
 
 
 def _sum_counts(t: pa.Table) -> pa.Table:
-    total = np.zeros(len(t["body"][0].as_py()), np.int64)
+    total = np.zeros(len(t["body"][0].as_py()) // 4, np.int64)
     for x in t["body"]:
-        total += np.frombuffer(x.as_py(), np.uint8)
-    return pa.table([pa.array([t["slice"][0].as_py()], pa.int32()), pa.array([np.minimum(total, 255).astype(np.uint8).tobytes()], pa.binary())], ["slice", "body"])
+        total += np.frombuffer(x.as_py(), np.uint32)
+    return pa.table([pa.array([t["slice"][0].as_py()], pa.int32()), pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())], ["slice", "body"])
 
 
 def _prefixes(c: Chunk, counts: np.ndarray) -> np.ndarray:
@@ -97,16 +96,16 @@ def _prefixes(c: Chunk, counts: np.ndarray) -> np.ndarray:
     h, rare, owner = s["h"][by], rare[by], s["owner"][by]
     place = np.arange(len(h)) - s["at"][owner]
     n = s["size"]
-    bits = np.zeros((len(n), 128), np.uint8)
-    np.add.at(bits, (owner, (h & np.uint64(127)).astype(np.int64)), 1)
-    bitmap = np.packbits(bits & 1, axis=1).view("<u8") if len(n) else np.zeros((0, 2), np.uint64)
+    bit = np.uint64(1) << (h & np.uint64(63))
+    upper = (h & np.uint64(64)) != 0
+    bitmap = [np.bitwise_xor.reduceat(np.where(on, bit, np.uint64(0)), s["at"]) if len(n) else np.zeros(0, np.uint64) for on in (upper, ~upper)]
     _, first = np.unique(s["key"], return_index=True)
     once = np.zeros(len(n), bool)
     once[first] = True
     use = once[owner] & (n[owner] >= 4) & (place < (n - (4 * n + 4) // 5 + 1)[owner]) & (rare > 1)  # a word met once is in no other line
     out = np.zeros(int(use.sum()), _POSTING)
     o = owner[use]
-    out["t"], out["k"], out["n"], out["i"], out["b0"], out["b1"] = h[use], s["key"][o], n[o], place[use], bitmap[o, 0], bitmap[o, 1]
+    out["t"], out["k"], out["n"], out["i"], out["b0"], out["b1"] = h[use], s["key"][o], n[o], place[use], bitmap[0][o], bitmap[1][o]
     return out
 
 
@@ -164,7 +163,8 @@ def _candidates(t: pa.Table) -> pa.Table:
     p = p[~same]
     word, n, i = p["t"], p["n"].astype(np.int64), p["i"].astype(np.int64)
     ends = np.searchsorted(word, word, "right")
-    a, step = np.arange(len(p)), 0
+    # the shorter of two similar sets shares a word within its first ninth: only such postings look for longer sets
+    a, step = np.flatnonzero(i <= n - (8 * n + 8) // 9), 0
     found_a, found_b = [], []
     while len(a):
         step += 1
@@ -173,10 +173,11 @@ def _candidates(t: pa.Table) -> pa.Table:
         b = a + step
         need = (4 * (n[a] + n[b]) + 8) // 9  # overlap that similarity 0.8 takes
         ok = 1 + np.minimum(n[a] - 1 - i[a], n[b] - 1 - i[b]) >= need
-        differ = np.bitwise_count(p["b0"][a] ^ p["b0"][b]).astype(np.int64) + np.bitwise_count(p["b1"][a] ^ p["b1"][b])
-        ok &= differ <= n[a] + n[b] - 2 * need
-        found_a.append(a[ok])
-        found_b.append(b[ok])
+        x, y, most = a[ok], b[ok], (n[a] + n[b] - 2 * need)[ok]
+        differ = np.bitwise_count(p["b0"][x] ^ p["b0"][y]).astype(np.int64) + np.bitwise_count(p["b1"][x] ^ p["b1"][y])
+        ok = differ <= most
+        found_a.append(x[ok])
+        found_b.append(y[ok])
     fa, fb = np.concatenate([np.zeros(0, np.int64), *found_a]), np.concatenate([np.zeros(0, np.int64), *found_b])
     keys, at = np.unique(np.concatenate([p["k"][fa], p["k"][fb]]), return_inverse=True)
     x, y = at[: len(fa)], at[len(fa) :]
@@ -271,10 +272,10 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     sc = docs.sparkSession.sparkContext
     lines = durable(d.mapInArrow(_lines, "doc_id long, line_no int, key long, n int"))
     slices = d.mapInArrow(_counts, "slice int, body binary").groupBy("slice").applyInArrow(_sum_counts, "slice int, body binary")
-    counts = np.zeros(1 << COUNT_BITS, np.uint8)
+    counts = np.zeros(1 << COUNT_BITS, np.uint32)
     for r in slices.collect():  # the table of fixed size
         part = len(counts) // 64
-        counts[r["slice"] * part : (r["slice"] + 1) * part] = np.frombuffer(r["body"], np.uint8)
+        counts[r["slice"] * part : (r["slice"] + 1) * part] = np.frombuffer(r["body"], np.uint32)
     shared = sc.broadcast(counts)
     buckets = max(64, text_bytes(d) // BUCKET_BYTES)
     stars = d.mapInArrow(_postings(shared, buckets), "bucket int, body binary").groupBy("bucket").applyInArrow(_candidates, "a long, b long")
