@@ -23,6 +23,8 @@ from geotide.llm._text import Chunk, grams, text_chunks
 
 #: Hash buckets of each n-gram length (fixed model size), and the pseudo-count of each bucket.
 BUCKET_BITS, SMOOTHING = 16, 1.0
+#: Labelled target texts that the target model is fitted on, at most; the raw model counts all texts.
+TARGET_ROWS = 500_000
 #: Share of the documents that the sample takes.
 SHARE = 0.85
 _BIN_ROWS = 5_000
@@ -38,28 +40,46 @@ def _features(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
     return bucket, np.concatenate([of, of[first]])
 
 
-def _count(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    total = np.zeros(2 << BUCKET_BITS, np.int64)
-    for b in it:
-        for _, _, c in text_chunks(b["text"]):
-            total += np.bincount(_features(c)[0], minlength=len(total))
-    at = np.flatnonzero(total)
-    yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(total[at])], ["bucket", "n"])
+def _count(wanted):
+    """Bucket counts of all texts (``raw``), and of those whose id is among the wanted ones (``target``)."""
 
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        ids = wanted.value
+        raw, target = np.zeros(2 << BUCKET_BITS, np.int64), np.zeros(2 << BUCKET_BITS, np.int64)
+        for b in it:
+            x = b["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
+            good = np.asarray(b["doc_id"].is_valid()) & np.isin(x, ids)
+            for i, j, c in text_chunks(b["text"]):
+                bucket, of = _features(c)
+                raw += np.bincount(bucket, minlength=len(raw))
+                target += np.bincount(bucket[good[i:j][of]], minlength=len(raw))
+        at = np.flatnonzero(raw)
+        yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), pa.array(raw[at]), pa.array(target[at])], ["bucket", "raw", "target"])
 
-def _model(texts: DataFrame) -> np.ndarray:
-    """Log probabilities of the buckets (fixed size, so it may come to the driver)."""
-    counts = np.full(2 << BUCKET_BITS, SMOOTHING)
-    for r in texts.mapInArrow(_count, "bucket int, n long").groupBy("bucket").agg(F.sum("n").alias("n")).collect():
-        counts[r["bucket"]] += r["n"]
+    return run
+
+
+def _log_ratio(docs: DataFrame, good: DataFrame) -> np.ndarray:
+    """Log of target over raw probability by bucket: a table of fixed size, so it may come to the driver.
+
+    ``good``: ids of target texts; of more than TARGET_ROWS those first in
+    hash order are taken.  Only the ids travel to the texts.
+    """
+    ids = good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_ROWS).toArrow()["doc_id"].to_numpy()
+    wanted = docs.sparkSession.sparkContext.broadcast(np.sort(ids.astype(np.int64)))
+    counts = np.full((2, 2 << BUCKET_BITS), SMOOTHING)
+    for r in docs.mapInArrow(_count(wanted), "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
+        counts[0, r["bucket"]] += r["raw"]
+        counts[1, r["bucket"]] += r["target"]
     half = 1 << BUCKET_BITS
-    return np.concatenate([np.log(counts[:half] / counts[:half].sum()), np.log(counts[half:] / counts[half:].sum())])
+    raw, target = (np.concatenate([np.log(c[:half] / c[:half].sum()), np.log(c[half:] / c[half:].sum())]) for c in counts)
+    return target - raw
 
 
-def weights(docs: DataFrame, target: DataFrame, seed: int = 29, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def weights(docs: DataFrame, good: DataFrame, seed: int = 29, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """(doc_id, log_weight, key): the log importance weight, and with seeded Gumbel noise.  Empty texts weigh 0 (log)."""
     d = documents(docs, id_col, text_col)
-    ratio = docs.sparkSession.sparkContext.broadcast(_model(documents(target, id_col, text_col)) - _model(d))
+    ratio = docs.sparkSession.sparkContext.broadcast(_log_ratio(d, good))
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in it:
@@ -108,9 +128,8 @@ def resample(docs: DataFrame, labels: DataFrame, share: float = SHARE, seed: int
     are ignored, of several labels of an id the smaller counts; without any
     good label all weights are equal to the smoothing's.  Reruns agree.
     """
-    good = project(labels, {"doc_id": "doc_id", "quality": "quality"}).groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select("doc_id")
-    d = documents(docs)
-    keyed = durable(weights(d, d.join(good, "doc_id", "left_semi"), seed))
+    good = project(labels, {"doc_id": "doc_id", "quality": "quality"}).groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
+    keyed = durable(weights(docs, good, seed))
     n = keyed.count()
     return top_share(keyed, math.ceil(share * n)).withColumn("kept", F.lit(True))
 
