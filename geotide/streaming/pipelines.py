@@ -103,7 +103,8 @@ def classify(ops: DataFrame, ttl: str = "1 day") -> DataFrame:
     State is the last origin of a known prefix and expires after ``ttl``
     without an operation, which bounds it as pruning the oldest does.  Rows of
     a micro-batch are taken in order of ``seq``; later batches count as later
-    arrivals.
+    arrivals.  Time-outs keep such a query running batches: stop it, don't run
+    it with ``availableNow``.
     """
     hours = pd.Timedelta(ttl)
 
