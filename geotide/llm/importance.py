@@ -67,13 +67,15 @@ def _log_ratio(docs: DataFrame, good: DataFrame) -> np.ndarray:
     """
     ids = good.select("doc_id").distinct().orderBy(F.xxhash64("doc_id"), "doc_id").limit(TARGET_ROWS).toArrow()["doc_id"].to_numpy()
     wanted = docs.sparkSession.sparkContext.broadcast(np.sort(ids.astype(np.int64)))
-    counts = np.full((2, 2 << BUCKET_BITS), SMOOTHING)
+    counts = np.zeros((2, 2 << BUCKET_BITS))
     for r in docs.mapInArrow(_count(wanted), "bucket int, raw long, target long").groupBy("bucket").agg(F.sum("raw").alias("raw"), F.sum("target").alias("target")).collect():
-        counts[0, r["bucket"]] += r["raw"]
-        counts[1, r["bucket"]] += r["target"]
-    half = 1 << BUCKET_BITS
-    raw, target = (np.concatenate([np.log(c[:half] / c[:half].sum()), np.log(c[half:] / c[half:].sum())]) for c in counts)
-    return target - raw
+        counts[:, r["bucket"]] = r["raw"], r["target"]
+    out = []
+    for raw, target in zip(counts[0].reshape(2, -1), counts[1].reshape(2, -1), strict=True):
+        # target counts as many as raw ones, so that the pseudo-counts weigh alike in both models
+        scaled = target * (raw.sum() / target.sum()) if target.sum() else raw
+        out.append(np.log((scaled + SMOOTHING) / (raw + SMOOTHING)))
+    return np.concatenate(out)
 
 
 def weights(docs: DataFrame, good: DataFrame, seed: int = 29, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
