@@ -34,7 +34,7 @@ from geotide.llm._text import Chunk, mix, text_chunks
 #: Entries of the hashed word-count table: 2**22 counts (16 MB), whatever the corpus.
 COUNT_BITS = 22
 #: Text that a task turns into postings before it sends them, and text for each bucket of words.
-SEND_BYTES, BUCKET_BYTES = 24 << 20, 8 << 20
+SEND_BYTES, BUCKET_BYTES = 12 << 20, 6 << 20
 BLOCK = 1024
 _POSTING = np.dtype([("t", "<u8"), ("k", "<u8"), ("n", "<u4"), ("i", "<u4"), ("b0", "<u8"), ("b1", "<u8")])
 
@@ -137,21 +137,35 @@ def _postings(counts, buckets: int):
     return run
 
 
-def _union(pairs: Iterator[tuple[int, int]], n: int) -> list[tuple[int, int]]:
-    parent = list(range(n))
-
-    def find(i: int) -> int:
-        while parent[i] != i:
-            parent[i] = parent[parent[i]]
-            i = parent[i]
-        return i
-
-    out = []
-    for i, j in pairs:
-        if (x := find(i)) != (y := find(j)):
-            parent[max(x, y)] = min(x, y)
-            out.append((i, j))
-    return out
+class _Forest:
+    """Union-find over integers 0..n-1 that keeps one link for each merge; pairs come as arrays."""
+
+    def __init__(self, n: int):
+        self.root, self.links = np.arange(n), []
+
+    def add(self, x: np.ndarray, y: np.ndarray) -> None:
+        a, b = self.root[x], self.root[y]
+        new = a != b
+        if not new.any():
+            return
+        n = len(self.root)
+        pair = np.unique(np.minimum(a[new], b[new]) * n + np.maximum(a[new], b[new]))
+        root = self.root
+        for i, j in zip((pair // n).tolist(), (pair % n).tolist(), strict=True):
+            u, v = i, j
+            while root[u] != u:
+                u = int(root[u])
+            while root[v] != v:
+                v = int(root[v])
+            if u != v:
+                root[max(u, v)] = min(u, v)
+                self.links.append((i, j))
+        while True:
+            up = root[root]
+            if (up == root).all():
+                break
+            root = up
+        self.root = root
 
 
 def _candidates(t: pa.Table) -> pa.Table:
@@ -165,7 +179,8 @@ def _candidates(t: pa.Table) -> pa.Table:
     ends = np.searchsorted(word, word, "right")
     # the shorter of two similar sets shares a word within its first ninth: only such postings look for longer sets
     a, step = np.flatnonzero(i <= n - (8 * n + 8) // 9), 0
-    found_a, found_b = [], []
+    keys, key_of = np.unique(p["k"], return_inverse=True)
+    forest = _Forest(len(keys))
     while len(a):
         step += 1
         a = a[a + step < ends[a]]
@@ -176,15 +191,9 @@ def _candidates(t: pa.Table) -> pa.Table:
         x, y, most = a[ok], b[ok], (n[a] + n[b] - 2 * need)[ok]
         differ = np.bitwise_count(p["b0"][x] ^ p["b0"][y]).astype(np.int64) + np.bitwise_count(p["b1"][x] ^ p["b1"][y])
         ok = differ <= most
-        found_a.append(x[ok])
-        found_b.append(y[ok])
-    fa, fb = np.concatenate([np.zeros(0, np.int64), *found_a]), np.concatenate([np.zeros(0, np.int64), *found_b])
-    keys, at = np.unique(np.concatenate([p["k"][fa], p["k"][fb]]), return_inverse=True)
-    x, y = at[: len(fa)], at[len(fa) :]
-    pair = np.unique(np.minimum(x, y) * len(keys) + np.maximum(x, y)) if len(keys) else np.zeros(0, np.int64)
-    links = _union(zip((pair // max(len(keys), 1)).tolist(), (pair % max(len(keys), 1)).tolist(), strict=True), len(keys))
+        forest.add(key_of[x[ok]], key_of[y[ok]])
     signed = keys.view(np.int64)
-    return pa.table([pa.array([int(signed[u]) for u, _ in links], pa.int64()), pa.array([int(signed[v]) for _, v in links], pa.int64())], ["a", "b"])
+    return pa.table([pa.array([int(signed[u]) for u, _ in forest.links], pa.int64()), pa.array([int(signed[v]) for _, v in forest.links], pa.int64())], ["a", "b"])
 
 
 def _fetch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
