@@ -13,6 +13,9 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 
+# what a batch frees goes back to the machine: a Python worker lives as long as its executor
+pa.set_memory_pool(pa.system_memory_pool())
+
 #: Bytes of text worked on at once; keeps the arrays within the processor's caches.
 CHUNK_BYTES = 1 << 20
 

@@ -32,9 +32,9 @@ from geotide.llm._text import buffers, chunks
 
 SCHEMA = "doc_id long, n_tokens long, ids_sha256 string, decoded_sha256 string"
 #: Words, and pairs of tokens, that a worker remembers; beyond, it forgets all and computes them again.
-WORDS_KEPT, PAIRS_KEPT = 800_000, 800_000
+WORDS_KEPT, PAIRS_KEPT = 400_000, 400_000
 #: Bytes of text between two visits of the trie.
-STEP_BYTES = 1 << 21
+STEP_BYTES = 1 << 20
 _ASTRAL = re.compile("[\U00010000-\U0010ffff]")
 
 
