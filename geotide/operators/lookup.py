@@ -109,8 +109,9 @@ def hijack_divergence(events: DataFrame) -> DataFrame:
     return events.filter((F.col("category") == "hijack") & (F.col("prefix_as") != 0) & (F.col("prefix_as") != F.col("origin_as")))
 
 
-def seed_positions(spark) -> DataFrame:
+def seed_positions(spark, seeds: dict[int, str] | None = None, centroids: dict[str, tuple[float, float]] | None = None) -> DataFrame:
     """(asn, cc, asn_lat, asn_lon): seeds with a known centroid; the others drop out of the inner join."""
-    seeds = spark.createDataFrame(list(codes.SEED_ASNS.items()), "asn long, cc string")
-    centroids = spark.createDataFrame([(k, *v) for k, v in codes.CENTROIDS.items()], "cc string, asn_lat double, asn_lon double")
-    return seeds.join(F.broadcast(centroids), "cc").select("asn", "cc", "asn_lat", "asn_lon")
+    seeds, centroids = seeds or codes.SEED_ASNS, centroids or codes.CENTROIDS
+    known = spark.createDataFrame(list(seeds.items()), "asn long, cc string")
+    places = spark.createDataFrame([(k, *v) for k, v in centroids.items()], "cc string, asn_lat double, asn_lon double")
+    return known.join(F.broadcast(places), "cc").select("asn", "cc", "asn_lat", "asn_lon")

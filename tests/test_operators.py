@@ -154,3 +154,8 @@ def test_viewport_and_recency(spark):
     seen = df.filter("id = 1").select(cells.parent(F.col("h3_cell"), 2).alias("cell"))
     inside = {r["id"] for r in reads.in_viewport(df, seen, 2).collect()}
     assert 1 in inside and 0 < len(inside) < 1000
+
+
+def test_seed_positions_take_other_tables(spark):
+    got = lookup.seed_positions(spark, {1: "AA", 2: "BB"}, {"AA": (1.0, 2.0)}).collect()
+    assert [tuple(r) for r in got] == [(1, "AA", 1.0, 2.0)]
