@@ -39,6 +39,11 @@ PERCENT = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
 PERCENT_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"[^\s\\]*(?:\\u[0-9A-Fa-f]{4}[^\s\\]*|\\x[0-9A-Fa-f]{2}[^\s\\]*|\\U[0-9A-Fa-f]{8}[^\s\\]*)+")
 ESCAPE = re.compile(r"((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
+#: Bytes as source code writes them: the hexadecimal, octal and short escapes.
+BYTE_ESCAPE = re.compile(r"""\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([0-3][0-7]{2}|[0-7]{1,2})|([abefnrtv\\'"/]))""")
+SHORT = dict(zip("abefnrtv\\'\"/", [b"\a", b"\b", b"\x1b", b"\f", b"\n", b"\r", b"\t", b"\v", b"\\", b"'", b'"', b"/"], strict=True))
+#: What gzip and zlib streams start with.
+HEADER = re.compile(b"\x1f\x8b\x08|" + b"|".join(re.escape(bytes([c, f])) for c in range(8, 128, 16) for f in range(256) if (c * 256 + f) % 31 == 0 and not f & 32))
 #: Bytes that one compressed piece may unpack to; a bomb's first so many bytes are scanned.
 UNPACKED_BYTES = 1 << 26
 
@@ -55,40 +60,88 @@ def find(text: str) -> list[tuple[str, int, int]]:
     return out
 
 
-Layer = tuple[str, "list[int] | None", "list[int] | None"]  # text, and each code point's span in the original (None: itself)
+Where = "np.ndarray | int | None"  # for each code point or byte its bound in the original; an int: the same for all; None: itself
+Layer = tuple[str, Where, Where]  # text, and where each code point starts and ends
 
 
 def _at(layer: Layer, start: int, end: int) -> tuple[int, int]:
-    text, starts, ends = layer
-    return (start, end) if starts is None else (starts[start], ends[end - 1])
+    _, starts, ends = layer
+    if starts is None:
+        return start, end
+    return (starts, ends) if isinstance(starts, int) else (int(starts[start]), int(ends[end - 1]))
 
 
-def _from_bytes(raw: bytes, where: list[tuple[int, int]] | tuple[int, int]) -> Layer | None:
-    """A layer of decoded bytes if they are text; ``where``: span of each byte, or of all of them."""
+def _places(layer: Layer, first: np.ndarray, last: np.ndarray) -> tuple[Where, Where]:
+    """Where the pieces from code point ``first`` to ``last`` of a layer start and end in the original."""
+    _, starts, ends = layer
+    if starts is None:
+        return first, last + 1
+    return (starts, ends) if isinstance(starts, int) else (starts[first], ends[last])
+
+
+def _sizes(text: str) -> np.ndarray:
+    """Bytes of each code point."""
+    c = np.frombuffer(text.encode("utf-32-le", "surrogatepass"), "<u4")
+    return np.where((c >= 0xDC80) & (c < 0xDD00), 1, 1 + (c >= 0x80) + (c >= 0x800) + (c >= 0x10000)).astype(np.int64)
+
+
+def _encoded(text: str, start: int, end: int) -> tuple[bytes, np.ndarray]:
+    """The bytes of ``text[start:end]`` and each one's code point."""
+    part = text[start:end]
+    if part.isascii():
+        return part.encode(), np.arange(start, end)
+    return part.encode("utf-8", "surrogateescape"), np.repeat(np.arange(start, end), _sizes(part))
+
+
+def _text(raw: bytes, starts: Where, ends: Where) -> Layer | None:
+    """Decoded bytes as a layer, if they are text."""
     if not raw or len(raw.translate(None, _NOT_PRINTABLE)) < len(raw):
         return None
     try:
         text = raw.decode()
     except UnicodeDecodeError:
         return None
-    if isinstance(where, tuple):
-        return text, [where[0]] * len(text), [where[1]] * len(text)
-    starts, ends, k = [], [], 0
-    for ch in text:
-        n = len(ch.encode())
-        starts.append(where[k][0])
-        ends.append(where[k + n - 1][1])
-        k += n
-    return text, starts, ends
-
-
-def _unpack(raw: bytes) -> bytes | None:
-    if raw[:2] == b"\x1f\x8b" or raw[:1] == b"\x78":
-        try:
-            return zlib.decompressobj(47).decompress(raw, UNPACKED_BYTES)
-        except zlib.error:
-            return None
-    return None
+    if isinstance(starts, int):
+        return text, starts, ends
+    size = _sizes(text)
+    end = np.cumsum(size)
+    return text, starts[end - size], ends[end - 1]
+
+
+def _inflate(raw: bytes) -> tuple[bytes, int]:
+    """What a compressed stream at the start of ``raw`` unpacks to, and the stream's length."""
+    z = zlib.decompressobj(47)
+    try:
+        out = z.decompress(raw, UNPACKED_BYTES)
+    except zlib.error:
+        return b"", 0
+    return out, len(raw) - len(z.unused_data)
+
+
+def _streams(raw: bytes) -> Iterator[tuple[int, int, bytes]]:
+    """(start, end, unpacked bytes) of the compressed streams in ``raw``."""
+    k = 0
+    while m := HEADER.search(raw, k):
+        out, n = _inflate(raw[m.start() :])
+        k = m.start() + max(n, 1)
+        if out:
+            yield m.start(), k, out
+
+
+def _layers(raw: bytes, starts: Where, ends: Where, span: tuple[int, int], own: bool = True) -> Iterator[Layer]:
+    """The texts that decoded bytes hold: their own (``own``), and those of compressed streams in them at any depth.
+
+    ``span``: where the whole piece lies in the original.
+    """
+    work = [(raw, starts, ends, span, own)]
+    while work:
+        raw, starts, ends, span, own = work.pop()
+        found = _text(raw, starts, ends) if own else None
+        if found:
+            yield found
+        for p, q, out in _streams(raw):
+            s, e = span if isinstance(starts, int) else (span[0] if p == 0 else int(starts[p]), span[1] if q == len(raw) else int(ends[q - 1]))
+            work.append((out, s, e, (s, e), True))
 
 
 def _base64(layer: Layer) -> Iterator[Layer]:
@@ -99,37 +152,38 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             raw = base64.b64decode(run + "=" * (-len(run) % 4))
         except (binascii.Error, ValueError):
             continue
-        packed = _unpack(raw)
-        if packed is not None:
-            found = _from_bytes(packed, _at(layer, *m.span()))
-        elif len(raw.translate(None, _NOT_PRINTABLE)) < len(raw):
-            continue
-        else:
-            s, e = m.span()
-            places = [_at(layer, s + i * 4 // 3, min(e, s + (i * 8 + 8 + 5) // 6)) for i in range(len(raw))]
-            found = _from_bytes(raw, places)
-        if found:
-            yield found
+        i = np.arange(len(raw))
+        yield from _layers(raw, *_places(layer, m.start() + i * 4 // 3, m.start() + (i * 8 + 7) // 6), _at(layer, *m.span()))
 
 
 def _percent(layer: Layer) -> Iterator[Layer]:
     for m in PERCENT.finditer(layer[0]):
-        raw, where, k = bytearray(), [], m.start()
-        while k < m.end():
-            c = layer[0][k]
-            if PERCENT_ESCAPE.match(layer[0], k):
-                raw.append(int(layer[0][k + 1 : k + 3], 16))
-                where.append(_at(layer, k, k + 3))
-                k += 3
-            else:
-                b = c.encode()
-                raw += b
-                where += [_at(layer, k, k + 1)] * len(b)
-                k += 1
-        packed = _unpack(bytes(raw))
-        found = _from_bytes(packed, _at(layer, *m.span())) if packed is not None else _from_bytes(bytes(raw), where)
-        if found:
-            yield found
+        raw, first, last = _unescaped(layer[0], m.start(), m.end(), PERCENT_ESCAPE, lambda e: (bytes.fromhex(e.group().replace("%", "")), 3))
+        yield from _layers(raw, *_places(layer, first, last), _at(layer, *m.span()))
+
+
+def _unescaped(text: str, start: int, end: int, escape: re.Pattern, value) -> tuple[bytes, np.ndarray, np.ndarray]:
+    """The bytes of ``text[start:end]`` with escapes replaced, and each one's first and last code point.
+
+    ``value(match)``: the bytes of an escape, and how many code points stand for each.
+    """
+    raw, first, last, k = [], [np.zeros(0, np.int64)], [np.zeros(0, np.int64)], start
+    for e in escape.finditer(text, start, end):
+        plain, at = _encoded(text, k, e.start())
+        body, width = value(e)
+        where = e.start() + width * np.arange(len(body))
+        raw += [plain, body]
+        first += [at, where]
+        last += [at, where + width - 1]
+        k = e.end()
+    plain, at = _encoded(text, k, end)
+    return b"".join([*raw, plain]), np.concatenate([*first, at]), np.concatenate([*last, at])
+
+
+def _byte_escape(e: re.Match) -> tuple[bytes, int]:
+    code, short = e.group(1) or e.group(2), e.group(4)
+    body = bytes([int(code, 16)]) if code else bytes([int(e.group(3), 8)]) if e.group(3) else SHORT[short]
+    return body, len(e.group())
 
 
 def _escapes(layer: Layer) -> Iterator[Layer]:
@@ -156,7 +210,10 @@ def _escapes(layer: Layer) -> Iterator[Layer]:
             text.append(piece)
             starts += [p[0] for p in places]
             ends += [p[1] for p in places]
-        yield "".join(text), starts, ends
+        yield "".join(text), np.array(starts), np.array(ends)
+    # bytes written as escapes, of which only the compressed streams count here
+    raw, first, last = _unescaped(layer[0], 0, len(layer[0]), BYTE_ESCAPE, _byte_escape)
+    yield from _layers(raw, *_places(layer, first, last), _at(layer, 0, len(layer[0])), own=False)
 
 
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
@@ -174,7 +231,7 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
         for new in pieces:
             if not new[0]:
                 continue
-            key = (hashlib.blake2b(new[0].encode(), digest_size=16).digest(), new[1][0], new[2][-1])
+            key = (hashlib.blake2b(new[0].encode("utf-8", "surrogateescape"), digest_size=16).digest(), *_at(new, 0, len(new[0])))
             if key in seen:
                 continue
             seen.add(key)

@@ -1,6 +1,7 @@
 """Each corpus operator against brute force on small tables, with nulls, empties, ties, repeats and clashing columns."""
 
 import base64
+import gzip
 import hashlib
 import random
 import re
@@ -115,6 +116,20 @@ def test_secrets(docs, rows):
     assert secret_scan.secrets(docs).count() == len(rows)
 
 
+def _kinds(text):
+    return {k for k, _, _ in secret_scan.scan(text)[1]}
+
+
+def test_secrets_in_nested_compression():
+    secret = b'password = "hunter2hunter2x"'
+    for body in (gzip.compress(gzip.compress(secret)), gzip.compress(zlib.compress(secret)), zlib.compress(gzip.compress(zlib.compress(secret)))):
+        assert _kinds("x " + base64.b64encode(body).decode()) == {"assign"}
+        assert _kinds("x " + "".join(f"%{b:02X}" for b in body) + " y") == {"assign"}
+        assert _kinds("x q=" + urllib.parse.quote(body) + " y") == {"assign"}
+        assert _kinds("x " + "".join(f"\\x{b:02x}" for b in body) + " y") == {"assign"}
+        assert _kinds(f"x = {body!r}") == {"assign"}
+
+
 def test_line_dedup(docs, rows):
     lines = [(d, n, frozenset(WORD.findall(x))) for d, t, *_ in {(r[0], r[1]) for r in rows} if d is not None for n, x in enumerate((t or "").split("\n")) if WORD.search(x)]
     gone = {(d, n) for d, n, w in lines if any((e, m) < (d, n) and 9 * len(v & w) >= 4 * (len(v) + len(w)) for e, m, v in lines)}
