@@ -44,6 +44,9 @@ BYTE_ESCAPE = re.compile(r"""\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([0-3][0
 SHORT = dict(zip("abefnrtv\\'\"/", [b"\a", b"\b", b"\x1b", b"\f", b"\n", b"\r", b"\t", b"\v", b"\\", b"'", b'"', b"/"], strict=True))
 #: What gzip and zlib streams start with.
 HEADER = re.compile(b"\x1f\x8b\x08|" + b"|".join(re.escape(bytes([c, f])) for c in range(8, 128, 16) for f in range(256) if (c * 256 + f) % 31 == 0 and not f & 32))
+#: Text among other bytes, in ASCII and its wider forms: secrets and runs of base64 take at least 16 characters, compressed streams in escapes 10.
+TEXT_RUN = re.compile(rb"[\t\n\r -~]{10}")
+WIDE_RUN = re.compile(rb"(?:[\t\n\r -~]\x00{3}){9,}[\t\n\r -~]()|(?:[\t\n\r -~]\x00){9,}[\t\n\r -~]?")
 #: Bytes that one compressed piece may unpack to; a bomb's first so many bytes are scanned.
 UNPACKED_BYTES = 1 << 26
 
@@ -93,19 +96,31 @@ def _encoded(text: str, start: int, end: int) -> tuple[bytes, np.ndarray]:
     return part.encode("utf-8", "surrogateescape"), np.repeat(np.arange(start, end), _sizes(part))
 
 
-def _text(raw: bytes, starts: Where, ends: Where) -> Layer | None:
-    """Decoded bytes as a layer, if they are text."""
+def _clean(raw: bytes) -> bool:
+    """Whether all of the bytes are text."""
     if not raw or len(raw.translate(None, _NOT_PRINTABLE)) < len(raw):
-        return None
+        return False
     try:
-        text = raw.decode()
+        raw.decode()
     except UnicodeDecodeError:
-        return None
-    if isinstance(starts, int):
-        return text, starts, ends
-    size = _sizes(text)
-    end = np.cumsum(size)
-    return text, starts[end - size], ends[end - 1]
+        return False
+    return True
+
+
+def _texts(raw: bytes, starts: Where, ends: Where) -> Iterator[Layer]:
+    """Decoded bytes as layers, if there is text in them: read as UTF-8 where each byte that isn't stands for itself, and as UTF-16 or UTF-32."""
+    one = isinstance(starts, int)
+    if _clean(raw) or TEXT_RUN.search(raw):
+        text = raw.decode("utf-8", "surrogateescape")
+        if one:
+            yield text, starts, ends
+        else:
+            size = _sizes(text)
+            end = np.cumsum(size)
+            yield text, starts[end - size], ends[end - 1]
+    for m in WIDE_RUN.finditer(raw):
+        at = np.arange(*m.span(), m.lastindex and 4 or 2)
+        yield m.group().replace(b"\0", b"").decode("ascii"), *((starts, ends) if one else (starts[at], ends[at]))
 
 
 def _inflate(raw: bytes) -> tuple[bytes, int]:
@@ -136,9 +151,8 @@ def _layers(raw: bytes, starts: Where, ends: Where, span: tuple[int, int], own:
     work = [(raw, starts, ends, span, own)]
     while work:
         raw, starts, ends, span, own = work.pop()
-        found = _text(raw, starts, ends) if own else None
-        if found:
-            yield found
+        if own:
+            yield from _texts(raw, starts, ends)
         for p, q, out in _streams(raw):
             s, e = span if isinstance(starts, int) else (span[0] if p == 0 else int(starts[p]), span[1] if q == len(raw) else int(ends[q - 1]))
             work.append((out, s, e, (s, e), True))

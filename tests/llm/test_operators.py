@@ -130,6 +130,18 @@ def test_secrets_in_nested_compression():
         assert _kinds(f"x = {body!r}") == {"assign"}
 
 
+def test_secrets_among_undecodable_bytes():
+    text = "x /q?n=%E9&password%3Dhunter2hunter2 y"
+    assert secret_scan.scan(text)[1] == [("assign", 11, 36)]
+    secret = 'Schlüssel: password = "hunter2hunter2x"'
+    bodies = [secret.encode(c) for c in ("utf-16-le", "utf-16-be", "utf-16", "utf-32-le", "utf-32-be", "latin-1")]
+    bodies += [b"\0" + secret.encode(), secret.encode() + b"\xff\x00\x01", b"\x80\x81\xfe" * 20 + secret.encode()]
+    for body in bodies:
+        for packed in (body, zlib.compress(body), zlib.compress(base64.b64encode(body))):
+            assert _kinds("x " + base64.b64encode(packed).decode() + " y") == {"assign"}
+            assert _kinds("x " + "".join(f"%{b:02x}" for b in packed) + " y") == {"assign"}
+
+
 def test_line_dedup(docs, rows):
     lines = [(d, n, frozenset(WORD.findall(x))) for d, t, *_ in {(r[0], r[1]) for r in rows} if d is not None for n, x in enumerate((t or "").split("\n")) if WORD.search(x)]
     gone = {(d, n) for d, n, w in lines if any((e, m) < (d, n) and 9 * len(v & w) >= 4 * (len(v) + len(w)) for e, m, v in lines)}
