@@ -15,7 +15,6 @@ expression.
 from __future__ import annotations
 
 import base64
-import binascii
 import hashlib
 import re
 import zlib
@@ -35,6 +34,9 @@ ACCESS = re.compile(r"AKIA[A-Z0-9]+")
 HEX = re.compile(r"[0-9a-f]{16,}")  # the runs of [0-9a-f]+ that are long enough
 KEYWORDS = (b"password", b"passwd", b"secret", b"token", b"apikey", b"api_key")
 BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
+#: The lines of base64 after a run, and the parts of a run between the punctuation of its alphabets.
+NEXT_LINES = re.compile(r"(?:[ \t]*(?:\r\n?|\n)[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
+BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 PERCENT = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
 PERCENT_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"[^\s\\]*(?:\\u[0-9A-Fa-f]{4}[^\s\\]*|\\x[0-9A-Fa-f]{2}[^\s\\]*|\\U[0-9A-Fa-f]{8}[^\s\\]*)+")
@@ -52,6 +54,8 @@ UNPACKED_BYTES = 1 << 26
 
 _RUN = np.zeros(256, bool)
 _RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
+_ALPHABET = frozenset(map(chr, np.flatnonzero(_RUN).tolist()))
+_STANDARD = bytes.maketrans(b"-_", b"+/")
 _NOT_PRINTABLE = bytes(b for b in range(32) if b not in (9, 10, 13)) + b"\x7f"
 
 
@@ -130,6 +134,8 @@ def _inflate(raw: bytes) -> tuple[bytes, int]:
         out = z.decompress(raw, UNPACKED_BYTES)
     except zlib.error:
         return b"", 0
+    if not z.eof and not (TEXT_RUN.search(out) or WIDE_RUN.search(out) or HEADER.search(out)):
+        return b"", 0  # what begins like a stream by chance
     return out, len(raw) - len(z.unused_data)
 
 
@@ -158,16 +164,71 @@ def _layers(raw: bytes, starts: Where, ends: Where, span: tuple[int, int], own:
             work.append((out, s, e, (s, e), True))
 
 
+def _first_line(text: str, k: int, least: int) -> int:
+    """Where the lines of base64 begin whose last one begins at ``k``; not before ``least``."""
+    while True:
+        j = k
+        while j > least and text[j - 1] in " \t":
+            j -= 1
+        if j == least or text[j - 1] not in "\r\n":
+            return k
+        j -= 2 if text[max(j - 2, least) : j] == "\r\n" else 1
+        while j > least and text[j - 1] in " \t":
+            j -= 1
+        end = j
+        while j > least and text[j - 1] in _ALPHABET:
+            j -= 1
+        if j == end:
+            return k
+        k = j
+
+
 def _base64(layer: Layer) -> Iterator[Layer]:
-    for m in BASE64.finditer(layer[0]):
-        run = m.group().rstrip("=").replace("-", "+").replace("_", "/")
-        run = run[: len(run) - (len(run) % 4 == 1)]
-        try:
-            raw = base64.b64decode(run + "=" * (-len(run) % 4))
-        except (binascii.Error, ValueError):
+    """Lines of base64 that follow one another are one run; those that aren't clean together are also read alone."""
+    text, done = layer[0], 0
+    for m in BASE64.finditer(text):
+        if m.start() < done:
             continue
-        i = np.arange(len(raw))
-        yield from _layers(raw, *_places(layer, m.start() + i * 4 // 3, m.start() + (i * 8 + 7) // 6), _at(layer, *m.span()))
+        start, more = _first_line(text, m.start(), done), None if m.group()[-1] == "=" else NEXT_LINES.match(text, m.end())
+        done = more.end() if more else m.end()
+        found, clean = _run(layer, start, done)
+        yield from found
+        if not clean and (start, done) != m.span():
+            for r in BASE64.finditer(text, start, done):
+                yield from _run(layer, *r.span())[0]
+
+
+def _run(layer: Layer, start: int, end: int) -> tuple[list[Layer], bool]:
+    """The layers of one run, and whether it is clean: text or a compressed stream from its first character on.
+
+    A run that isn't may have taken in neighbours, so its parts between the
+    alphabet's punctuation and its four alignments are decoded as well.
+    """
+    found, clean = _decoded(layer, start, end, 0)
+    if clean:
+        return found, True
+    for p in BASE64_PART.finditer(layer[0], start, end):
+        if p.span() != (start, end):
+            inner, clean = _decoded(layer, *p.span(), 0)
+            found += inner if clean else []
+    for skip in (1, 2, 3):
+        found += _decoded(layer, start, end, skip)[0]
+    return found, False
+
+
+def _decoded(layer: Layer, start: int, end: int, skip: int) -> tuple[list[Layer], bool]:
+    """The layers of a run without its first ``skip`` characters, and whether it is clean."""
+    codes = layer[0][start:end].encode().translate(_STANDARD, b"= \t\r\n")[skip:]
+    codes = codes[: len(codes) - (len(codes) % 4 == 1)]
+    raw = base64.b64decode(codes + b"=" * (-len(codes) % 4))
+    clean = _clean(raw)
+    if not (clean and not skip or TEXT_RUN.search(raw) or WIDE_RUN.search(raw) or HEADER.search(raw)):
+        return [], False
+    at = start + np.flatnonzero(_RUN[np.frombuffer(layer[0][start:end].encode(), np.uint8)])[skip:]
+    i = np.arange(len(raw))
+    span = _at(layer, int(at[0]), end)
+    found = list(_layers(raw, *_places(layer, at[i * 4 // 3], at[(i * 8 + 7) // 6]), span))
+    return found, clean or bool(HEADER.match(raw)) and next((p for p, _, _ in _streams(raw)), 1) == 0
 
 
 def _percent(layer: Layer) -> Iterator[Layer]:

@@ -140,6 +140,22 @@ def test_secrets_among_undecodable_bytes():
         for packed in (body, zlib.compress(body), zlib.compress(base64.b64encode(body))):
             assert _kinds("x " + base64.b64encode(packed).decode() + " y") == {"assign"}
             assert _kinds("x " + "".join(f"%{b:02x}" for b in packed) + " y") == {"assign"}
+def test_secrets_in_wrapped_and_misaligned_base64():
+    rng = random.Random(5)
+    noise = "".join(rng.choice("qwertzuiopasdfghjklyxcvbnm ,.") for _ in range(600))
+    secret = 'password = "hunter2hunter2x"'
+    for body in ((noise + secret + noise).encode(), zlib.compress((noise + secret).encode()), (noise[:50] + secret).encode()):
+        for wrapped in (base64.encodebytes(body).decode(), base64.encodebytes(body).decode().replace("\n", "\r\n  ")):
+            assert _kinds("Key: x\n\n" + wrapped + "end") == {"assign"}
+            assert _kinds("-----BEGIN X-----\n" + wrapped + "-----END X-----") == {"assign"}
+    for body in (secret.encode(), zlib.compress(secret.encode())):
+        e = base64.b64encode(body).decode().rstrip("=")
+        for before in ("https://host.example/path/", "name_", "name-", "a/", "ab_", "abc-", "x", "xy", "xyz"):
+            for after in ("", "/more", "_x", " end"):
+                text = before + e + after
+                base, every, _ = secret_scan.scan(text)
+                assert not base and "assign" in {k for k, _, _ in every}
+                assert all(len(before) - 1 <= s and t <= len(before + e + after) for _, s, t in every)
 
 
 def test_line_dedup(docs, rows):
