@@ -37,8 +37,8 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 #: The lines of base64 after a run, and the parts of a run between the punctuation of its alphabets.
 NEXT_LINES = re.compile(r"(?:[ \t]*(?:\r\n?|\n)[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
 BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
-PERCENT = re.compile(r"[^\s%]*(?:%[0-9A-Fa-f]{2}[^\s%]*)+")
 PERCENT_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
+ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
 ESCAPED = re.compile(r"[^\s\\]*(?:\\u[0-9A-Fa-f]{4}[^\s\\]*|\\x[0-9A-Fa-f]{2}[^\s\\]*|\\U[0-9A-Fa-f]{8}[^\s\\]*)+")
 ESCAPE = re.compile(r"((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
 #: Bytes as source code writes them: the hexadecimal, octal and short escapes.
@@ -232,9 +232,10 @@ def _decoded(layer: Layer, start: int, end: int, skip: int) -> tuple[list[Layer]
 
 
 def _percent(layer: Layer) -> Iterator[Layer]:
-    for m in PERCENT.finditer(layer[0]):
-        raw, first, last = _unescaped(layer[0], m.start(), m.end(), PERCENT_ESCAPE, lambda e: (bytes.fromhex(e.group().replace("%", "")), 3))
-        yield from _layers(raw, *_places(layer, first, last), _at(layer, *m.span()))
+    """The whole text with its percent escapes replaced in place."""
+    n = len(layer[0])
+    raw, first, last = _unescaped(layer[0], 0, n, PERCENT_ESCAPE, lambda e: (bytes.fromhex(e.group().replace("%", "")), 3))
+    yield from _layers(raw, *_places(layer, first, last), _at(layer, 0, n))
 
 
 def _unescaped(text: str, start: int, end: int, escape: re.Pattern, value) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -262,33 +263,30 @@ def _byte_escape(e: re.Match) -> tuple[bytes, int]:
 
 
 def _escapes(layer: Layer) -> Iterator[Layer]:
-    for m in ESCAPED.finditer(layer[0]):
-        text, starts, ends, k = [], [], [], m.start()
-        while k < m.end():
-            e = ESCAPE.match(layer[0], k, m.end())
-            if e is None:
-                piece, places = layer[0][k], [_at(layer, k, k + 1)]
-                k += 1
-            else:
-                if e.group(1):
-                    units = [e.group(1)[i + 2 : i + 6] for i in range(0, len(e.group(1)), 6)]
-                    piece = b"".join(int(u, 16).to_bytes(2, "little") for u in units).decode("utf-16-le", "replace")
-                    places, u = [], k
-                    for ch in piece:
-                        n = 12 if ord(ch) > 0xFFFF else 6
-                        places.append(_at(layer, u, min(u + n, e.end())))
-                        u = min(u + n, e.end() - 6)
-                else:
-                    code = int(e.group(2) or e.group(3), 16)
-                    piece, places = (chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "�"), [_at(layer, k, e.end())]
-                k = e.end()
-            text.append(piece)
-            starts += [p[0] for p in places]
-            ends += [p[1] for p in places]
-        yield "".join(text), np.array(starts), np.array(ends)
-    # bytes written as escapes, of which only the compressed streams count here
-    raw, first, last = _unescaped(layer[0], 0, len(layer[0]), BYTE_ESCAPE, _byte_escape)
-    yield from _layers(raw, *_places(layer, first, last), _at(layer, 0, len(layer[0])), own=False)
+    """The whole text with its Unicode escapes replaced in place, and the streams in bytes that are written as escapes."""
+    old, n = layer[0], len(layer[0])
+    text, first, last, k = [], [], [], 0
+    for e in ESCAPE.finditer(old):
+        if e.group(1):
+            units = bytes.fromhex(e.group(1).replace("\\u", ""))
+            piece = units.decode("utf-16-be", "replace")
+            wide = np.fromiter((12 if c > "\uffff" else 6 for c in piece), np.int64, len(piece))
+            end = e.start() + np.cumsum(wide)
+            start = end - wide
+        else:
+            code = int(e.group(2) or e.group(3), 16)
+            piece = chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"
+            start, end = np.array([e.start()]), np.array([e.end()])
+        same = np.arange(k, e.start())
+        text += [old[k : e.start()], piece]
+        first += [same, start]
+        last += [same, end - 1]
+        k = e.end()
+    if text:
+        same = np.arange(k, n)
+        yield "".join([*text, old[k:]]), *_places(layer, np.concatenate([*first, same]), np.concatenate([*last, same]))
+    raw, first, last = _unescaped(old, 0, n, BYTE_ESCAPE, _byte_escape)
+    yield from _layers(raw, *_places(layer, first, last), _at(layer, 0, n), own=False)
 
 
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
@@ -299,7 +297,7 @@ def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, in
     while work:
         layer = work.pop()
         pieces = list(_base64(layer))
-        if "%" in layer[0]:
+        if PERCENT_ESCAPE.search(layer[0]):
             pieces += _percent(layer)
         if "\\" in layer[0]:
             pieces += _escapes(layer)

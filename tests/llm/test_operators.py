@@ -158,6 +158,13 @@ def test_secrets_in_wrapped_and_misaligned_base64():
                 assert all(len(before) - 1 <= s and t <= len(before + e + after) for _, s, t in every)
 
 
+def test_secrets_partly_escaped():
+    for text in ("é password%3A hunter2hunter2 z", "é password\\u003a hunter2hunter2 z", "é password \\x3a hunter2hunter2 z", "é pass\\u0077ord%20 %3d hunter2hunter2 z"):
+        s, e = text.index("password" if "password" in text else "pass"), text.index(" z")
+        assert secret_scan.scan(text)[1] == [("assign", s, e)], text
+    assert secret_scan.scan("\\ud83d\\ude00 \\ud800\\u0041 token\\U0000003d abcdefghijkl \\u00e9")[1] == [("assign", 26, 54)]
+
+
 def test_line_dedup(docs, rows):
     lines = [(d, n, frozenset(WORD.findall(x))) for d, t, *_ in {(r[0], r[1]) for r in rows} if d is not None for n, x in enumerate((t or "").split("\n")) if WORD.search(x)]
     gone = {(d, n) for d, n, w in lines if any((e, m) < (d, n) and 9 * len(v & w) >= 4 * (len(v) + len(w)) for e, m, v in lines)}
