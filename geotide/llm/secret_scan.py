@@ -18,7 +18,7 @@ import base64
 import hashlib
 import re
 import zlib
-from collections.abc import Iterator
+from collections.abc import Generator, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -45,12 +45,17 @@ ESCAPE = re.compile(r"((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-
 BYTE_ESCAPE = re.compile(r"""\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([0-3][0-7]{2}|[0-7]{1,2})|([abefnrtv\\'"/]))""")
 SHORT = dict(zip("abefnrtv\\'\"/", [b"\a", b"\b", b"\x1b", b"\f", b"\n", b"\r", b"\t", b"\v", b"\\", b"'", b'"', b"/"], strict=True))
 #: What gzip and zlib streams start with.
-HEADER = re.compile(b"\x1f\x8b\x08|" + b"|".join(re.escape(bytes([c, f])) for c in range(8, 128, 16) for f in range(256) if (c * 256 + f) % 31 == 0 and not f & 32))
+_FLAGS = lambda c: b"".join(re.escape(bytes([f])) for f in range(256) if (c * 256 + f) % 31 == 0 and not f & 32)
+HEADER = re.compile(rb"\x1f\x8b\x08|" + b"|".join(re.escape(bytes([c])) + b"[" + _FLAGS(c) + b"]" for c in range(8, 128, 16)))
 #: Text among other bytes, in ASCII and its wider forms: secrets and runs of base64 take at least 16 characters, compressed streams in escapes 10.
 TEXT_RUN = re.compile(rb"[\t\n\r -~]{10}")
 WIDE_RUN = re.compile(rb"(?:[\t\n\r -~]\x00{3}){9,}[\t\n\r -~]()|(?:[\t\n\r -~]\x00){9,}[\t\n\r -~]?")
-#: Bytes that one compressed piece may unpack to; a bomb's first so many bytes are scanned.
-UNPACKED_BYTES = 1 << 26
+#: Bytes of compressed input read at once, and about how many unpacked ones are looked at together.
+READ_BYTES, WINDOW_BYTES = 1 << 16, 1 << 22
+#: A place that no secret and no encoded piece goes across: after a byte that is part of none, or between words neither of which ends in an escape.
+BREAK = re.compile(rb"""[^0-9A-Za-z+/_.=:"'\s%\\~\x00-]|\s[^\s%\\]*[0-9A-Za-z]\x00{0,3}\x20(?=\x00{0,3}[0-9A-Za-z])""")
+#: Compressed streams in escapes may hold any byte, so nothing is cut behind the start of one.
+ESCAPED_HEADER = re.compile(rb"(?:%|\\x|\\u00)1f(?:%|\\x|\\u00)8b|\\0?37\\213|(?:[8HXhx(\x08\x18]|(?:%|\\x|\\u00)[0-7]8|\\b)(?:%|\\x|\\u00|\\[0-3])[0-9a-f]{2}", re.I)
 
 _RUN = np.zeros(256, bool)
 _RUN[list(b"ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789+/_-")] = True
@@ -122,46 +127,136 @@ def _texts(raw: bytes, starts: Where, ends: Where) -> Iterator[Layer]:
             size = _sizes(text)
             end = np.cumsum(size)
             yield text, starts[end - size], ends[end - 1]
-    for m in WIDE_RUN.finditer(raw):
+    for m in WIDE_RUN.finditer(raw) if b"\0" in raw else ():
         at = np.arange(*m.span(), m.lastindex and 4 or 2)
         yield m.group().replace(b"\0", b"").decode("ascii"), *((starts, ends) if one else (starts[at], ends[at]))
 
 
-def _inflate(raw: bytes) -> tuple[bytes, int]:
-    """What a compressed stream at the start of ``raw`` unpacks to, and the stream's length."""
-    z = zlib.decompressobj(47)
-    try:
-        out = z.decompress(raw, UNPACKED_BYTES)
-    except zlib.error:
-        return b"", 0
-    if not z.eof and not (TEXT_RUN.search(out) or WIDE_RUN.search(out) or HEADER.search(out)):
-        return b"", 0  # what begins like a stream by chance
-    return out, len(raw) - len(z.unused_data)
-
+def _unpacked(raw: bytes, start: int) -> Iterator[tuple[bytes, int, bool]]:
+    """The compressed streams that follow one another from ``start`` on, in pieces: (unpacked bytes, end of what has been read, whether a stream ends there).
 
-def _streams(raw: bytes) -> Iterator[tuple[int, int, bytes]]:
-    """(start, end, unpacked bytes) of the compressed streams in ``raw``."""
+    Of a damaged stream, what comes before the damage.
+    """
+    end, ended = start, True
+    while ended and HEADER.match(raw, end):
+        z, at, rest, ended = zlib.decompressobj(47), end, b"", False
+        while not z.eof:
+            if not rest:
+                rest = raw[at : at + READ_BYTES]
+                at += len(rest)
+            last, before = not rest, z.copy()
+            try:
+                out = z.decompress(rest, READ_BYTES << 4)
+            except zlib.error:
+                for k in range(len(rest)):
+                    try:
+                        out = before.decompress(rest[k : k + 1])
+                    except zlib.error:
+                        return
+                    yield out, at - len(rest) + k + 1, False
+                return
+            rest = z.unconsumed_tail
+            end = at - len(rest) - len(z.unused_data)
+            if last and not out:
+                break
+            yield out, end, z.eof
+        ended = z.eof
+
+
+def _extent(raw: bytes, start: int) -> tuple[int, bool, bool]:
+    """End of the streams from ``start`` on, whether the last whole one ends there, and whether one is cut off by the end of the bytes."""
+    end, last, ended = start, start, False
+    for _, last, ended in _unpacked(raw, start):
+        end = last if ended else end
+    return (end, True, False) if ended else (max(end, last), end > start, last == len(raw))
+
+
+def _last_break(raw: bytes, end: int) -> int:
+    """The last place up to ``end`` that no secret and no encoded piece goes across; 0: none."""
+    for size in (1 << 12, 1 << 16, end):
+        low, cut = max(0, end - size), 0
+        for m in BREAK.finditer(raw, low, end):
+            cut = m.end()
+        if cut or not low:
+            return cut
+    return 0
+
+
+def _cut(raw: bytes) -> int:
+    """Where unpacked bytes that go on may be cut; 0: nowhere yet."""
+    cut = _last_break(raw, len(raw))
+    if (b"%" in raw or b"\\" in raw) and (m := ESCAPED_HEADER.search(raw, 0, cut)):
+        cut = _last_break(raw, m.start())
     k = 0
+    while (m := HEADER.search(raw, k)) and m.start() < cut:
+        end, whole, cut_off = _extent(raw, m.start())
+        k = max(end, m.end()) if whole else m.start() + 1
+        if cut_off or whole and end > cut:
+            return _last_break(raw, m.start())
+    return cut
+
+
+def _windows(pieces: Iterator[bytes]) -> Iterator[bytes]:
+    """Unpacked bytes in parts of about WINDOW_BYTES, cut only between secrets and encoded pieces; longer where there is no such place."""
+    held, least = bytearray(), WINDOW_BYTES
+    for piece in pieces:
+        held += piece
+        if len(held) >= least:
+            raw = bytes(held)
+            if cut := _cut(raw):
+                yield raw[:cut]
+                del held[:cut]
+            least = max(WINDOW_BYTES, 2 * len(held))
+    if held:
+        yield bytes(held)
+
+
+def _found(raw: bytes) -> list[tuple[int, int, bool]]:
+    """(start, end, whether it is whole) of the compressed streams in ``raw``."""
+    out, k = [], 0
     while m := HEADER.search(raw, k):
-        out, n = _inflate(raw[m.start() :])
-        k = m.start() + max(n, 1)
-        if out:
-            yield m.start(), k, out
+        q, whole, _ = _extent(raw, m.start())
+        if q > m.start():
+            out.append((m.start(), q, whole))
+        k = q if whole else m.start() + 1
+    return out
+
+
+def _inner(raw: bytes, streams: list[tuple[int, int, bool]], starts: Where, ends: Where, span: tuple[int, int], seen: set) -> Iterator[tuple]:
+    """The bytes that compressed streams in ``raw`` unpack to, window by window."""
+    for p, q, whole in streams:
+        s, e = span if isinstance(starts, int) else (span[0] if p == 0 else int(starts[p]), span[1] if q == len(raw) else int(ends[q - 1]))
+        key = (hashlib.blake2b(raw[p:q], digest_size=16).digest(), s, e)
+        if key not in seen:
+            seen.add(key)
+            for w in _windows(x for x, _, _ in _unpacked(raw, p)):
+                yield w, s, e, (s, e), whole
 
 
 def _layers(raw: bytes, starts: Where, ends: Where, span: tuple[int, int], own: bool = True) -> Iterator[Layer]:
     """The texts that decoded bytes hold: their own (``own``), and those of compressed streams in them at any depth.
 
-    ``span``: where the whole piece lies in the original.
+    ``span``: where the whole piece lies in the original.  One window of each
+    depth is held at a time; a stream met again in the same place is skipped.
     """
-    work = [(raw, starts, ends, span, own)]
-    while work:
-        raw, starts, ends, span, own = work.pop()
-        if own:
-            yield from _texts(raw, starts, ends)
-        for p, q, out in _streams(raw):
-            s, e = span if isinstance(starts, int) else (span[0] if p == 0 else int(starts[p]), span[1] if q == len(raw) else int(ends[q - 1]))
-            work.append((out, s, e, (s, e), True))
+    seen, stack = set(), [iter([(raw, starts, ends, span, own)])]
+    while stack:
+        piece = next(stack[-1], None)
+        if piece is None:
+            stack.pop()
+            continue
+        raw, starts, ends, span, whole = piece
+        streams, plain = _found(raw), raw
+        if any(ended for *_, ended in streams):  # compressed bytes are no text
+            plain = bytearray(raw)
+            for p, q, ended in streams:
+                if ended:
+                    plain[p:q] = b"\xff" * (q - p)
+            plain = bytes(plain)
+        # what only begins like a stream by chance gives no short texts
+        if whole or len(stack) > 1 and (TEXT_RUN.search(plain) or WIDE_RUN.search(plain)):
+            yield from _texts(plain, starts, ends)
+        stack.append(_inner(raw, streams, starts, ends, span, seen))
 
 
 def _first_line(text: str, k: int, least: int) -> int:
@@ -191,44 +286,42 @@ def _base64(layer: Layer) -> Iterator[Layer]:
             continue
         start, more = _first_line(text, m.start(), done), None if m.group()[-1] == "=" else NEXT_LINES.match(text, m.end())
         done = more.end() if more else m.end()
-        found, clean = _run(layer, start, done)
-        yield from found
+        clean = yield from _run(layer, start, done)
         if not clean and (start, done) != m.span():
             for r in BASE64.finditer(text, start, done):
-                yield from _run(layer, *r.span())[0]
+                yield from _run(layer, *r.span())
 
 
-def _run(layer: Layer, start: int, end: int) -> tuple[list[Layer], bool]:
-    """The layers of one run, and whether it is clean: text or a compressed stream from its first character on.
+def _run(layer: Layer, start: int, end: int) -> Generator[Layer, None, bool]:
+    """The layers of one run; returns whether it is clean: text or a compressed stream from its first character on.
 
     A run that isn't may have taken in neighbours, so its parts between the
     alphabet's punctuation and its four alignments are decoded as well.
     """
-    found, clean = _decoded(layer, start, end, 0)
-    if clean:
-        return found, True
+    if (yield from _decoded(layer, start, end, 0)):
+        return True
     for p in BASE64_PART.finditer(layer[0], start, end):
         if p.span() != (start, end):
-            inner, clean = _decoded(layer, *p.span(), 0)
-            found += inner if clean else []
+            yield from _decoded(layer, *p.span(), 0, only_clean=True)
     for skip in (1, 2, 3):
-        found += _decoded(layer, start, end, skip)[0]
-    return found, False
+        yield from _decoded(layer, start, end, skip)
+    return False
 
 
-def _decoded(layer: Layer, start: int, end: int, skip: int) -> tuple[list[Layer], bool]:
-    """The layers of a run without its first ``skip`` characters, and whether it is clean."""
+def _decoded(layer: Layer, start: int, end: int, skip: int, only_clean: bool = False) -> Generator[Layer, None, bool]:
+    """The layers of a run without its first ``skip`` characters; returns whether it is clean."""
     codes = layer[0][start:end].encode().translate(_STANDARD, b"= \t\r\n")[skip:]
     codes = codes[: len(codes) - (len(codes) % 4 == 1)]
     raw = base64.b64decode(codes + b"=" * (-len(codes) % 4))
-    clean = _clean(raw)
-    if not (clean and not skip or TEXT_RUN.search(raw) or WIDE_RUN.search(raw) or HEADER.search(raw)):
-        return [], False
-    at = start + np.flatnonzero(_RUN[np.frombuffer(layer[0][start:end].encode(), np.uint8)])[skip:]
-    i = np.arange(len(raw))
-    span = _at(layer, int(at[0]), end)
-    found = list(_layers(raw, *_places(layer, at[i * 4 // 3], at[(i * 8 + 7) // 6]), span))
-    return found, clean or bool(HEADER.match(raw)) and next((p for p, _, _ in _streams(raw)), 1) == 0
+    text = _clean(raw)
+    if not (text and not skip or TEXT_RUN.search(raw) or WIDE_RUN.search(raw) or HEADER.search(raw)):
+        return False
+    clean = text or _extent(raw, 0)[1]
+    if clean or not only_clean:
+        at = start + np.flatnonzero(_RUN[np.frombuffer(layer[0][start:end].encode(), np.uint8)])[skip:]
+        i = np.arange(len(raw))
+        yield from _layers(raw, *_places(layer, at[i * 4 // 3], at[(i * 8 + 7) // 6]), _at(layer, int(at[0]), end))
+    return clean
 
 
 def _percent(layer: Layer) -> Iterator[Layer]:
@@ -289,28 +382,33 @@ def _escapes(layer: Layer) -> Iterator[Layer]:
     yield from _layers(raw, *_places(layer, first, last), _at(layer, 0, n), own=False)
 
 
+def _pieces(layer: Layer) -> Iterator[Layer]:
+    yield from _base64(layer)
+    if PERCENT_ESCAPE.search(layer[0]):
+        yield from _percent(layer)
+    if "\\" in layer[0]:
+        yield from _escapes(layer)
+
+
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
-    """(base spans, all spans, number of decoded layers), sorted by start and kind."""
+    """(base spans, all spans, number of decoded layers), sorted by start and kind; each window of a long stream is a layer."""
     order = lambda x: (x[1], KINDS.index(x[0]), x[2])
     base = find(text)
-    every, seen, work, layers = set(base), set(), [(text, None, None)], 0
+    every, seen, work, layers = set(base), set(), [_pieces((text, None, None))], 0
     while work:
-        layer = work.pop()
-        pieces = list(_base64(layer))
-        if PERCENT_ESCAPE.search(layer[0]):
-            pieces += _percent(layer)
-        if "\\" in layer[0]:
-            pieces += _escapes(layer)
-        for new in pieces:
-            if not new[0]:
-                continue
-            key = (hashlib.blake2b(new[0].encode("utf-8", "surrogateescape"), digest_size=16).digest(), *_at(new, 0, len(new[0])))
-            if key in seen:
-                continue
-            seen.add(key)
-            layers += 1
-            every.update((kind, *_at(new, s, e)) for kind, s, e in find(new[0]))
-            work.append(new)
+        new = next(work[-1], None)
+        if new is None:
+            work.pop()
+            continue
+        if not new[0]:
+            continue
+        key = (hashlib.blake2b(new[0].encode("utf-8", "surrogateescape"), digest_size=16).digest(), *_at(new, 0, len(new[0])))
+        if key in seen:
+            continue
+        seen.add(key)
+        layers += 1
+        every.update((kind, *_at(new, s, e)) for kind, s, e in find(new[0]))
+        work.append(_pieces(new))
     return sorted(base, key=order), sorted(every, key=order), layers
 
 

@@ -165,6 +165,30 @@ def test_secrets_partly_escaped():
     assert secret_scan.scan("\\ud83d\\ude00 \\ud800\\u0041 token\\U0000003d abcdefghijkl \\u00e9")[1] == [("assign", 26, 54)]
 
 
+def test_secrets_in_long_and_joined_streams(monkeypatch):
+    secret, e = b'password = "hunter2hunter2x"', lambda body: base64.b64encode(body).decode()
+    long = b"\xff" * (65 << 20)
+    assert secret_scan.scan("x " + e(zlib.compress(long + secret)))[1][0][:2] == ("assign", 2)
+    assert _kinds(e(gzip.compress(b"first") + gzip.compress(b"second pass") + gzip.compress(secret))) == {"assign"}
+    assert _kinds(e(gzip.compress(b"first passw") + gzip.compress(secret[5:] + b" AKIA" + b"A" * 16))) == {"assign", "access"}
+    damaged = zlib.compress(secret * 3)[:-4] + b"\0\0\0\0"
+    assert _kinds(e(damaged)) == {"assign"}
+    body = gzip.compress(secret)
+    for _ in range(1100):
+        body = zlib.compress(body)
+    assert _kinds(e(body)) == {"assign"}
+    # windows that are much shorter than what has to stay together
+    monkeypatch.setattr(secret_scan, "WINDOW_BYTES", 64)
+    monkeypatch.setattr(secret_scan, "READ_BYTES", 4)
+    rng = random.Random(8)
+    words = b" ".join(rng.choice([b"alpha", b"be,ta", b"gamma.", b"x\xff", b"12"]) for _ in range(200))
+    inner = [secret, base64.b64encode(zlib.compress(words + secret)), zlib.compress(words + secret), base64.encodebytes(gzip.compress(words + secret)), repr(gzip.compress(words + secret)).encode()]
+    inner += [urllib.parse.quote(zlib.compress(words + secret)).encode(), (words.decode("latin-1") + secret.decode()).encode("utf-16"), b"password%3A hunter2hunter2", b"password" + b" " * 300 + b"= hunter2hunter2"]
+    for x in inner:
+        for n in (0, 50, 101, 400):
+            assert "assign" in _kinds(e(zlib.compress(words[:n] + b"\n" + x + b"\n" + words))), (x, n)
+
+
 def test_line_dedup(docs, rows):
     lines = [(d, n, frozenset(WORD.findall(x))) for d, t, *_ in {(r[0], r[1]) for r in rows} if d is not None for n, x in enumerate((t or "").split("\n")) if WORD.search(x)]
     gone = {(d, n) for d, n, w in lines if any((e, m) < (d, n) and 9 * len(v & w) >= 4 * (len(v) + len(w)) for e, m, v in lines)}
