@@ -71,11 +71,12 @@ def _search(ids: np.ndarray, m: np.ndarray, q_no: np.ndarray, q_ids: np.ndarray,
         segment = ((terms >> b) & 1).astype(kind)
         so_far[active] += (w[active] @ segment.T) * kind(1 << b)
         unread = reach[active] * ((1 << b) - 1)
-        if n > k + 1:
+        if n > k:
             part = so_far[active]
-            # the k+1-th best, as the query's own row may be among them
-            kth = np.partition(part, n - k - 1, axis=1)[:, n - k - 1]
-            may = part + unread[:, None] + slack >= kth[:, None]
+            # rows of the query's own id take no place, however many they are
+            part[own[active]] = -np.inf
+            kth = np.partition(part, n - k, axis=1)[:, n - k]
+            may = (part + unread[:, None] + slack >= kth[:, None]) & ~own[active]
             few = (may.sum(1) <= 4 * k) | (b == 0)
             for i in np.flatnonzero(few).tolist():
                 finish(int(active[i]), np.flatnonzero(may[i]))

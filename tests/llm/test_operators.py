@@ -313,6 +313,21 @@ def test_exact_topk(spark):
     assert exact_topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
+def test_exact_topk_with_many_rows_of_the_own_id():
+    rng = np.random.default_rng(6)
+    m = np.floor(64 * rng.standard_normal((500, 16))).astype(np.int64)
+    q_ids = np.arange(20)
+    for copies in (1, 25, 490):
+        ids = np.arange(500)
+        for q in q_ids[:: 20 if copies > 25 else 1].tolist():
+            rows = np.arange(500 - copies, 500)
+            m2, ids2 = m.copy(), ids.copy()
+            m2[rows], ids2[rows] = m[q], q
+            _, _, row_ids, score = exact_topk._search(ids2, m2, np.zeros(1, np.int64), np.array([q]), m[q : q + 1], 20)
+            want = sorted((-int(m2[i] @ m[q]), int(ids2[i])) for i in range(500) if ids2[i] != q)[:20]
+            assert sorted(zip((-score).tolist(), row_ids.tolist(), strict=True)) == want
+
+
 def test_toxicity(spark, docs, rows):
     rng = random.Random(8)
     words = ["".join(rng.choice("lmnoprst") + rng.choice("aeiou") for _ in range(rng.randrange(1, 4))) for _ in range(200)]
