@@ -22,6 +22,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from geotide.llm import _idfilter
 from geotide.llm._frames import documents, durable
@@ -233,6 +234,11 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     bags are cut into blocks and compared block against block, and every
     comparison returns at most a spanning forest of its links.
     """
+    return _classes(docs, id_col, text_col).select("doc_id", "class_id", "n_shingles")
+
+
+def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``near_duplicates`` with each row's bag, and the root that tells classes apart even if they share ids."""
     d = documents(docs, id_col, text_col)
     base = durable(d.mapInArrow(_base, "doc_id long, bag long, n int, bands array<long>"))
     nodes = base.filter("n > 0 and doc_id is not null")
@@ -256,20 +262,36 @@ def near_duplicates(docs: DataFrame, id_col: str = "doc_id", text_col: str = "te
     links = members.withColumn("g", group).withColumn("small", small).groupBy("g", "small", "lo", "hi").applyInArrow(_verify, "a long, b long")
     roots = components(links)
     whole = roots.join(classes, roots["id"] == classes["bag"]).groupBy("root").agg(F.min("first").alias("class_id"))
-    linked = roots.join(whole, "root").select(F.col("id").alias("bag"), "class_id")
-    of_bag = classes.filter("copies > 1").select("bag", "first").join(linked, "bag", "full_outer").select("bag", F.coalesce("class_id", "first").alias("class_id"))
+    linked = roots.join(whole, "root").select(F.col("id").alias("bag"), "class_id", "root")
+    of_bag = classes.filter("copies > 1").select("bag", "first").join(linked, "bag", "full_outer").select("bag", F.coalesce("class_id", "first").alias("class_id"), "root")
     out = base.select("doc_id", F.when(F.col("n") > 0, F.col("bag")).alias("bag"), "n").join(of_bag, "bag", "left")
     alone = F.col("doc_id").isNull() | F.col("class_id").isNull()
-    return out.select("doc_id", F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id"), F.col("n").alias("n_shingles"))
+    class_id = F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
+    return out.select("doc_id", class_id, F.col("n").alias("n_shingles"), "bag", F.coalesce("root", "bag").alias("root"))
+
+
+def _with_bag(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    for b in it:
+        for i, j, c in text_chunks(b["text"]):
+            _, _, _, elements, at = _bags(c)
+            bag = [_bag_id(elements[at[k] : at[k + 1]]) if at[k + 1] > at[k] else None for k in range(c.n)]
+            yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, pa.array(bag, pa.int64())], [*b.schema.names, "bag"])
 
 
 def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text and any other columns), of each class the document with the smallest id; of repeated rows one."""
-    found = near_duplicates(docs)
-    first = found.filter("class_id = doc_id").select("doc_id").distinct()
-    out = docs.join(first, "doc_id", "left_semi")
+    """``docs`` (doc_id, text and any other columns), of each class the document with the smallest id; of repeated rows one.
+
+    Where ids occur more than once, a row is told by its id and bag, so of
+    different texts under one id each stays or goes with its own class.
+    """
+    found = _classes(docs)
     if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        out = out.dropDuplicates(["doc_id"])
+        heads = found.filter("doc_id is not null and bag is not null").groupBy("root").agg(F.min(F.struct("doc_id", "bag")).alias("x")).select("x.*")
+        marked = docs.filter("doc_id is not null").mapInArrow(_with_bag, T.StructType([*docs.schema.fields, T.StructField("bag", T.LongType())]))
+        out = marked.join(heads, ["doc_id", "bag"], "left_semi").unionByName(marked.filter("bag is null"))
+        out = out.dropDuplicates(["doc_id", "bag"]).select(*docs.columns)
+    else:
+        out = docs.join(found.filter("class_id = doc_id").select("doc_id"), "doc_id", "left_semi")
     return out.unionByName(docs.filter("doc_id is null"))
 
 

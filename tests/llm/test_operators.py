@@ -227,6 +227,15 @@ def test_near_duplicates(docs, rows):
     assert bag_minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_one_of_each_with_repeated_ids(spark):
+    a, b, c = (" ".join(f"{x}{i}" for i in range(40)) for x in "abc")
+    rows = [(1, c), (5, a), (5, b), (5, b), (5, c), (5, a + " more"), (6, a), (7, ""), (7, None), (None, a), (8, b)]
+    got = bag_minhash.one_of_each(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()
+    kept = sorted(((r["doc_id"], r["text"]) for r in got if r["doc_id"] not in (None, 7)), key=str)
+    assert kept in [sorted([(1, c), (5, x), (5, b)]) for x in (a, a + " more")]
+    assert sum(r["doc_id"] == 7 for r in got) == 1 and sum(r["doc_id"] is None for r in got) == 1
+
+
 def test_bag_minhash_is_unbiased():
     rng = np.random.default_rng(1)
     h = rng.integers(0, 2**63, 40).astype(np.uint64)
