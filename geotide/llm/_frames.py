@@ -17,15 +17,8 @@ def project(df: DataFrame, want: Mapping[str, str]) -> DataFrame:
     or appear twice, cannot make a reference ambiguous.  An exact name wins
     over one that differs in case; of repeated names the first is taken.
     """
-    at = {}
-    for new, old in want.items():
-        exact = [i for i, c in enumerate(df.columns) if c == old]
-        loose = [i for i, c in enumerate(df.columns) if c.lower() == old.lower()]
-        if not (exact or loose):
-            raise ValueError(f"no column {old!r} among {df.columns}")
-        at[new] = (exact or loose)[0]
-    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
-    return plain.select(*[F.col(f"_{i}").alias(new) for new, i in at.items()])
+    plain, at = by_position(df, *want.values())
+    return plain.select(*[F.col(c).alias(new) for new, c in zip(want, at, strict=True)])
 
 
 def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **more: str) -> DataFrame:
@@ -34,6 +27,19 @@ def documents(df: DataFrame, id_col: str = "doc_id", text_col: str = "text", **m
     return out.withColumn("doc_id", F.col("doc_id").cast("long")).withColumn("text", F.col("text").cast("string"))
 
 
+def by_position(df: DataFrame, *want: str) -> tuple[DataFrame, list[str]]:
+    """``df`` with columns named _0, _1, ... and which of them the wanted ones are; for operators that carry all columns."""
+    plain = df.toDF(*[f"_{i}" for i in range(len(df.columns))])
+    at = []
+    for old in want:
+        exact = [i for i, c in enumerate(df.columns) if c == old]
+        loose = [i for i, c in enumerate(df.columns) if c.lower() == old.lower()]
+        if not (exact or loose):
+            raise ValueError(f"no column {old!r} among {df.columns}")
+        at.append(f"_{(exact or loose)[0]}")
+    return plain, at
+
+
 def shared_folder(spark: SparkSession) -> str:
     """The folder that driver and executors share: spark.checkpoint.dir, else (single machine) a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)

@@ -94,9 +94,14 @@ class Chunk:
 
     def words(self, keep: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
         """(start, end, text index) of the maximal runs of bytes in ``keep``."""
+        start, end = self.runs(keep)
+        return start, end, self.text_of(start)
+
+    def runs(self, keep: np.ndarray = IS_WORD) -> tuple[np.ndarray, np.ndarray]:
+        """(start, end) of the maximal runs of bytes in ``keep``, in order; none goes across texts."""
         buf, offs = self.buf, self.offs
         if not len(buf):
-            return (np.zeros(0, np.int64),) * 3
+            return (np.zeros(0, np.int64),) * 2
         on = keep[buf]
         before = np.empty(len(on), bool)
         before[0], before[1:] = False, on[:-1]
@@ -105,8 +110,7 @@ class Chunk:
         after = np.empty(len(on), bool)
         after[-1], after[:-1] = False, on[1:]
         after[edge[1:] - 1] = False
-        start, end = np.flatnonzero(on & ~before), np.flatnonzero(on & ~after) + 1
-        return start, end, self.text_of(start)
+        return np.flatnonzero(on & ~before), np.flatnonzero(on & ~after) + 1
 
     def text_of(self, at: np.ndarray) -> np.ndarray:
         """Which text each byte position is in."""
@@ -143,6 +147,22 @@ def grams(h: np.ndarray, of: np.ndarray, n: int) -> tuple[np.ndarray, np.ndarray
     return mix(out[first]), first
 
 
+def order_within(group: np.ndarray, value: np.ndarray) -> np.ndarray:
+    """Indices that order by (group, value), of which equal pairs may come in any order.
+
+    One sort of 64-bit numbers holds the group and the value's upper bits; where
+    those leave a tie between different values, or groups don't fit, two sorts.
+    """
+    if len(group) and int(group.max()) >> 20 == 0:
+        packed = (group.astype(np.uint64) << np.uint64(44)) | (value >> np.uint64(20))
+        by = np.argsort(packed)
+        p, v = packed[by], value[by]
+        tied = np.flatnonzero(p[1:] == p[:-1])
+        if (v[tied] == v[tied + 1]).all():
+            return by
+    return np.lexsort((value, group))
+
+
 def repeated(keys: np.ndarray) -> np.ndarray:
     """Marks the keys that occur twice or more."""
     by = np.argsort(keys)

@@ -4,10 +4,11 @@ A line is the set of its words.  A line goes if an earlier one (smaller
 document id, then line number) has Jaccard similarity of at least 0.8 with it;
 all lines are judged on the input.  The join:
 
-* Equal sets collapse to one, with the place of its first line.
-* Words are put in one global order, rarest first (word counts over the whole
-  corpus in a hashed table of fixed size; any total order gives right results,
-  a rarer-first one few candidates).
+* Lines of the same words in the same order collapse to one, with the place of
+  the first.
+* Words are put in one global order, rarest first (classes of word counts over
+  the whole corpus, in a hashed table of fixed size, then the word's hash; any
+  total order gives right results, a rarer-first one few candidates).
 * Similar sets share a word among their first ``n - ceil(0.8 n) + 1`` words
   (prefix filter), with lengths within 0.8 (length filter), the first shared
   word early enough that the rest can make up the overlap (positional filter),
@@ -16,6 +17,11 @@ all lines are judged on the input.  The join:
 * What is left is verified on the whole sets.  Candidates leave a task as a
   spanning forest, never as all pairs; components over BLOCK sets are cut into
   blocks that are compared block against block.
+
+A line that very many documents share is found by its count; there are at most
+``1 / HOT_SHARE`` such lines, so their table is small.  Only the first of its
+places looks for similar lines, and its other places are settled where they
+are read, without meeting in one task.
 """
 
 from __future__ import annotations
@@ -27,97 +33,125 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from geotide.llm._frames import documents, durable, text_bytes
+from geotide.llm import _idfilter
+from geotide.llm._frames import by_position, documents, durable, text_bytes
 from geotide.llm._graph import components
-from geotide.llm._text import Chunk, mix, text_chunks
+from geotide.llm._text import Chunk, mix, order_within, text_chunks
 
 #: Entries of the hashed word-count table: 2**22 counts (16 MB), whatever the corpus.
 COUNT_BITS = 22
 #: Text that a task turns into postings before it sends them, and text for each bucket of words.
 SEND_BYTES, BUCKET_BYTES = 12 << 20, 6 << 20
 BLOCK = 1024
-_POSTING = np.dtype([("t", "<u8"), ("k", "<u8"), ("n", "<u4"), ("i", "<u4"), ("b0", "<u8"), ("b1", "<u8")])
+#: A line is hot if it makes up this share of all lines (and is on HOT_LEAST of them).
+HOT_SHARE, HOT_LEAST = 1e-4, 256
+#: One posting: word, line, size of the set and the word's place in it (up to LONG - 1), two parity bitmaps.
+_POSTING = np.dtype([("t", "<u4"), ("k", "<u8"), ("n", "<u2"), ("i", "<u2"), ("b0", "<u8"), ("b1", "<u8")])
+LONG = (1 << 16) - 1
+
+_SEEN = "doc_id long, line_no int, key long, slice int, body binary"
 
 
-def _sets(c: Chunk) -> dict[str, np.ndarray]:
-    """Lines that have words: text, number within the text, key and size of the word set; and the sets' words, flat."""
+def _lines(c: Chunk) -> dict[str, np.ndarray]:
+    """Lines that have words: text, number within the text, key (of the words in order); and the words' hashes and lines."""
     l_start, l_end, l_of = c.lines()
-    number = np.arange(len(l_of)) - np.searchsorted(l_of, l_of)
-    start, end, _ = c.words()
+    start, end = c.runs()
     h = c.span_hash(start, end) if len(start) else np.zeros(0, np.uint64)
-    by_start = np.argsort(l_start, kind="stable")
-    # an empty line may start where another does: words belong to the last line that starts at or before them
-    line = by_start[np.searchsorted(l_start[by_start], start, "right") - 1] if len(start) else np.zeros(0, np.int64)
-    by = np.lexsort((h, line))
-    line, h = line[by], h[by]
+    at = np.searchsorted(start, l_start)
+    n = np.searchsorted(start, l_end) - at
+    some = np.flatnonzero(n)
+    number = np.arange(len(l_of)) - np.searchsorted(l_of, l_of)
+    at, n = at[some], n[some]
+    place = np.arange(len(h)) - np.repeat(at, n)
+    key = np.add.reduceat(mix(h + place.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15)), at) if len(at) else np.zeros(0, np.uint64)
+    return {"of": l_of[some], "no": number[some], "key": mix(key + n.astype(np.uint64)), "at": at, "n": n, "h": h}
+
+
+def _sets(lines: dict[str, np.ndarray], pick: np.ndarray, rank: np.ndarray | None = None) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """(words, first, size) of the word sets of some lines, flat; ordered by word, or by rank class and word if ``rank`` is given."""
+    n, at = lines["n"][pick], lines["at"][pick]
+    total = int(n.sum())
+    owner = np.repeat(np.arange(len(pick)), n)
+    h = lines["h"] if total == len(lines["h"]) else lines["h"][np.arange(total) + np.repeat(at - (np.cumsum(n) - n), n)]
+    if rank is None:
+        by = order_within(owner, h)
+    else:
+        value = (rank[(h >> np.uint64(64 - COUNT_BITS)).astype(np.int64)].astype(np.uint64) << np.uint64(56)) | (h >> np.uint64(8))
+        by = order_within(owner, value)
+        x, y = by[1:], by[:-1]
+        if ((h[x] != h[y]) & (value[x] == value[y]) & (owner[x] == owner[y])).any():
+            by = np.lexsort((h, value, owner))
+    owner, h = owner[by], h[by]
     new = np.ones(len(h), bool)
-    new[1:] = (line[1:] != line[:-1]) | (h[1:] != h[:-1])
-    line, h = line[new], h[new]
-    at = np.flatnonzero(np.diff(line, prepend=-1))
-    some = line[at]
-    size = np.diff(np.append(at, len(h)))
-    key = mix(np.add.reduceat(mix(h), at) + size.astype(np.uint64)) if len(at) else np.zeros(0, np.uint64)
-    return {"of": l_of[some], "no": number[some], "key": key, "size": size, "at": at, "h": h, "owner": np.repeat(np.arange(len(at)), size)}
-
-
-def _lines(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in it:
-        for i, j, c in text_chunks(b["text"]):
-            s = _sets(c)
-            ids = b["doc_id"].slice(i, j - i).take(pa.array(s["of"]))
-            yield pa.RecordBatch.from_arrays([ids, pa.array(s["no"].astype(np.int32)), pa.array(s["key"].view(np.int64)), pa.array(s["size"].astype(np.int32))], ["doc_id", "line_no", "key", "n"])
+    new[1:] = (owner[1:] != owner[:-1]) | (h[1:] != h[:-1])
+    h, owner = h[new], owner[new]
+    size = np.bincount(owner, minlength=len(pick))
+    return h, np.cumsum(size) - size, size
 
 
-def _counts(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Counts by word hash, in 64 slices so that summing them is spread."""
+def _seen(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One scan: every line's place and key, and the counts of its words by hash, in 64 slices so that summing them is spread."""
     table = np.zeros(1 << COUNT_BITS, np.uint32)
+    names = [x.split()[0] for x in _SEEN.split(", ")]
     for b in it:
-        for _, _, c in text_chunks(b["text"]):
-            slot, n = np.unique(_sets(c)["h"] >> np.uint64(64 - COUNT_BITS), return_counts=True)
-            table[slot.astype(np.int64)] += n.astype(np.uint32)
+        for i, j, c in text_chunks(b["text"]):
+            s = _lines(c)
+            slot = np.sort((s["h"] >> np.uint64(64 - COUNT_BITS)).astype(np.uint32))
+            at = np.flatnonzero(np.diff(slot, prepend=np.uint32(1 << COUNT_BITS)))
+            table[slot[at]] += np.diff(np.append(at, len(slot))).astype(np.uint32)
+            ids, n = b["doc_id"].slice(i, j - i).take(pa.array(s["of"])), len(s["key"])
+            yield pa.RecordBatch.from_arrays([ids, pa.array(s["no"].astype(np.int32)), pa.array(s["key"].view(np.int64)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
     if table.any():
         part = len(table) // 64
         bodies = [table[k * part : (k + 1) * part].tobytes() for k in range(64)]
-        yield pa.RecordBatch.from_arrays([pa.array(range(64), pa.int32()), pa.array(bodies, pa.binary())], ["slice", "body"])
+        yield pa.RecordBatch.from_arrays([pa.nulls(64, pa.int64()), pa.nulls(64, pa.int32()), pa.nulls(64, pa.int64()), pa.array(range(64), pa.int32()), pa.array(bodies, pa.binary())], names)
 
 
 def _sum_counts(t: pa.Table) -> pa.Table:
     total = np.zeros(len(t["body"][0].as_py()) // 4, np.int64)
     for x in t["body"]:
         total += np.frombuffer(x.as_py(), np.uint32)
-    return pa.table([pa.array([t["slice"][0].as_py()], pa.int32()), pa.array([np.minimum(total, 2**32 - 1).astype(np.uint32).tobytes()], pa.binary())], ["slice", "body"])
-
-
-def _prefixes(c: Chunk, counts: np.ndarray) -> np.ndarray:
-    """Postings of the prefix words of each distinct set of at least four words (smaller ones match only their equals)."""
-    s = _sets(c)
-    rare = counts[(s["h"] >> np.uint64(64 - COUNT_BITS)).astype(np.int64)]
-    by = np.lexsort((s["h"], rare, s["owner"]))
-    h, rare, owner = s["h"][by], rare[by], s["owner"][by]
-    place = np.arange(len(h)) - s["at"][owner]
-    n = s["size"]
+    # classes of a quarter of an octave; 0: met once at most
+    rank = np.where(total > 1, 1 + np.floor(4 * np.log2(np.maximum(total, 1))), 0)
+    return pa.table([pa.array([t["slice"][0].as_py()], pa.int32()), pa.array([np.minimum(rank, 255).astype(np.uint8).tobytes()], pa.binary())], ["slice", "body"])
+
+
+def _prefixes(c: Chunk, rank: np.ndarray, ids: np.ndarray, hot: dict[str, np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Postings of the prefix words of each distinct line, of a hot line only where it comes first; and what deals them into buckets."""
+    s = _lines(c)
+    pick = np.sort(np.unique(s["key"], return_index=True)[1])
+    if len(hot["key"]):
+        k = np.searchsorted(hot["key"], s["key"])
+        k[k == len(hot["key"])] = 0
+        is_hot = hot["key"][k] == s["key"]
+        first = is_hot & (hot["doc_id"][k] == ids[s["of"]]) & (hot["line_no"][k] == s["no"])
+        # a repeated id may have other lines before: of a hot line's places in this chunk the first one counts wherever it is
+        pick = np.union1d(pick[~is_hot[pick]], np.flatnonzero(first))
+    h, at, n = _sets(s, pick, rank)
+    owner = np.repeat(np.arange(len(pick)), n)
+    place = np.arange(len(h)) - at[owner]
     bit = np.uint64(1) << (h & np.uint64(63))
     upper = (h & np.uint64(64)) != 0
-    bitmap = [np.bitwise_xor.reduceat(np.where(on, bit, np.uint64(0)), s["at"]) if len(n) else np.zeros(0, np.uint64) for on in (upper, ~upper)]
-    _, first = np.unique(s["key"], return_index=True)
-    once = np.zeros(len(n), bool)
-    once[first] = True
-    use = once[owner] & (n[owner] >= 4) & (place < (n - (4 * n + 4) // 5 + 1)[owner]) & (rare > 1)  # a word met once is in no other line
+    bitmap = [np.bitwise_xor.reduceat(np.where(on, bit, np.uint64(0)), at) if len(n) else np.zeros(0, np.uint64) for on in (upper, ~upper)]
+    use = place < (n - (4 * n + 4) // 5 + 1)[owner]
+    use[use] = rank[(h[use] >> np.uint64(64 - COUNT_BITS)).astype(np.int64)] > 0  # a word met once is in no other line
     out = np.zeros(int(use.sum()), _POSTING)
     o = owner[use]
-    out["t"], out["k"], out["n"], out["i"], out["b0"], out["b1"] = h[use], s["key"][o], n[o], place[use], bitmap[0][o], bitmap[1][o]
-    return out
+    out["t"] = mix(h[use]) & np.uint64(0xFFFFFFFF)
+    out["k"], out["n"], out["i"] = s["key"][pick][o], np.minimum(n, LONG)[o], np.minimum(place[use], LONG)
+    out["b0"], out["b1"] = bitmap[0][o], bitmap[1][o]
+    return out, (mix(h[use]) >> np.uint64(32))
 
 
-def _postings(counts, buckets: int):
+def _postings(shared, buckets: int):
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        table = counts.value
-        held: list[np.ndarray] = []
+        rank, hot = shared.value
+        held: list[tuple[np.ndarray, np.ndarray]] = []
         size = 0
 
         def send() -> pa.RecordBatch:
-            p = np.concatenate(held)
-            of = (mix(p["t"]) % np.uint64(buckets)).astype(np.int32)
+            p, of = np.concatenate([x for x, _ in held]), np.concatenate([x for _, x in held])
+            of = (of % np.uint64(buckets)).astype(np.int32)
             by = np.argsort(of, kind="stable")
             p, of = p[by], of[by]
             at = np.flatnonzero(np.diff(of, prepend=-1))
@@ -125,8 +159,9 @@ def _postings(counts, buckets: int):
             return pa.RecordBatch.from_arrays([pa.array(of[at], pa.int32()), pa.array(bodies, pa.binary())], ["bucket", "body"])
 
         for b in it:
-            for _, _, c in text_chunks(b["text"]):
-                held.append(_prefixes(c, table))
+            ids = b["doc_id"].to_numpy(zero_copy_only=False)
+            for i, j, c in text_chunks(b["text"]):
+                held.append(_prefixes(c, rank, ids[i:j], hot))
                 size += len(c.buf)
                 if size >= SEND_BYTES:
                     yield send()
@@ -169,16 +204,16 @@ class _Forest:
 
 
 def _candidates(t: pa.Table) -> pa.Table:
-    """All pairs of one bucket of words that pass the filters, as a spanning forest over set keys."""
+    """All pairs of one bucket of words that pass the filters, as a spanning forest over line keys."""
     p = np.frombuffer(b"".join(x.as_py() for x in t["body"]), _POSTING)
-    p = p[np.lexsort((p["k"], p["n"], p["t"]))]
+    p = p[np.lexsort((p["k"], (p["t"].astype(np.uint64) << np.uint64(16)) | p["n"]))]
     same = np.zeros(len(p), bool)
-    same[1:] = (p["t"][1:] == p["t"][:-1]) & (p["k"][1:] == p["k"][:-1])
+    same[1:] = (p["t"][1:] == p["t"][:-1]) & (p["k"][1:] == p["k"][:-1]) & (p["i"][1:] == p["i"][:-1])
     p = p[~same]
     word, n, i = p["t"], p["n"].astype(np.int64), p["i"].astype(np.int64)
     ends = np.searchsorted(word, word, "right")
     # the shorter of two similar sets shares a word within its first ninth: only such postings look for longer sets
-    a, step = np.flatnonzero(i <= n - (8 * n + 8) // 9), 0
+    a, step = np.flatnonzero((i <= n - (8 * n + 8) // 9) | (n == LONG)), 0
     keys, key_of = np.unique(p["k"], return_inverse=True)
     forest = _Forest(len(keys))
     while len(a):
@@ -187,8 +222,9 @@ def _candidates(t: pa.Table) -> pa.Table:
         a = a[4 * n[a + step] <= 5 * n[a]]  # within a word by length: beyond the first that is too long all are
         b = a + step
         need = (4 * (n[a] + n[b]) + 8) // 9  # overlap that similarity 0.8 takes
-        ok = 1 + np.minimum(n[a] - 1 - i[a], n[b] - 1 - i[b]) >= need
-        x, y, most = a[ok], b[ok], (n[a] + n[b] - 2 * need)[ok]
+        long = n[b] == LONG  # a size that isn't known: no filter by it
+        ok = long | (1 + np.minimum(n[a] - 1 - i[a], n[b] - 1 - i[b]) >= need)
+        x, y, most = a[ok], b[ok], np.where(long, LONG, n[a] + n[b] - 2 * need)[ok]
         differ = np.bitwise_count(p["b0"][x] ^ p["b0"][y]).astype(np.int64) + np.bitwise_count(p["b1"][x] ^ p["b1"][y])
         ok = differ <= most
         forest.add(key_of[x[ok]], key_of[y[ok]])
@@ -196,27 +232,23 @@ def _candidates(t: pa.Table) -> pa.Table:
     return pa.table([pa.array([int(signed[u]) for u, _ in forest.links], pa.int64()), pa.array([int(signed[v]) for _, v in forest.links], pa.int64())], ["a", "b"])
 
 
-def _fetch(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """The word sets asked for: rows of (text, doc_id, wanted: line_no, key, root, size)."""
-    names = ["doc_id", "line_no", "key", "root", "size", "body"]
-    for b in it:
-        rows: list[tuple] = []
-        wanted = b["wanted"].to_pylist()
-        ids = b["doc_id"].to_pylist()
-        for i, _, c in text_chunks(b["text"]):
-            s = _sets(c)
-            key = s["key"].view(np.int64)
-            at = np.searchsorted(s["of"], np.arange(c.n + 1))
-            for k in range(c.n):
-                lines = {(int(s["no"][x]), int(key[x])): x for x in range(at[k], at[k + 1])}
-                for w in wanted[i + k]:
-                    x = lines.get((w["line_no"], w["key"]))
-                    if x is not None:
-                        lo = s["at"][x]
-                        rows.append((ids[i + k], w["line_no"], w["key"], w["root"], w["size"], s["h"][lo : lo + s["size"][x]].tobytes()))
-        cols = list(zip(*rows, strict=True)) if rows else [[]] * 6
-        kinds = [pa.int64(), pa.int32(), pa.int64(), pa.int64(), pa.int64(), pa.binary()]
-        yield pa.RecordBatch.from_arrays([pa.array(x, k) for x, k in zip(cols, kinds, strict=True)], names)
+def _fetch(wanted):
+    """(doc_id, line_no, key, body) of the lines whose document and key the two filters let through; body is the word set."""
+
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        of_doc, of_key = wanted.value
+        for b in it:
+            b = b.filter(pa.array(of_doc.may_hold(b["doc_id"])))
+            for i, j, c in text_chunks(b["text"]):
+                s = _lines(c)
+                pick = np.flatnonzero(of_key.may_hold(pa.array(s["key"].view(np.int64))))
+                h, at, n = _sets(s, pick)
+                bodies = [h[x : x + k].tobytes() for x, k in zip(at.tolist(), n.tolist(), strict=True)]
+                ids = b["doc_id"].slice(i, j - i).take(pa.array(s["of"][pick]))
+                cols = [ids, pa.array(s["no"][pick].astype(np.int32)), pa.array(s["key"][pick].view(np.int64)), pa.array(bodies, pa.binary())]
+                yield pa.RecordBatch.from_arrays(cols, ["doc_id", "line_no", "key", "body"])
+
+    return run
 
 
 def _later(doc: np.ndarray, line: np.ndarray, bodies: list[np.ndarray], side: np.ndarray | None) -> np.ndarray:
@@ -270,7 +302,7 @@ def _verify(t: pa.Table) -> pa.Table:
 
 
 def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """(doc_id, line_no, key, kind) of the lines that go; kind 'equal' or 'similar' (to an earlier line).
+    """(doc_id, line_no, key, kind) of the lines that go; kind 'equal' (the words of an earlier line in its order) or 'similar'.
 
     Lines without words are never compared and stay.  Null and empty texts
     have none.  Rows with the same id are one document: their lines stand in
@@ -279,30 +311,45 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     """
     d = documents(docs, id_col, text_col).filter("doc_id is not null")
     sc = docs.sparkSession.sparkContext
-    lines = durable(d.mapInArrow(_lines, "doc_id long, line_no int, key long, n int"))
-    slices = d.mapInArrow(_counts, "slice int, body binary").groupBy("slice").applyInArrow(_sum_counts, "slice int, body binary")
-    counts = np.zeros(1 << COUNT_BITS, np.uint32)
+    seen = durable(d.mapInArrow(_seen, _SEEN))
+    lines = seen.filter("key is not null").select("doc_id", "line_no", "key")
+    slices = seen.filter("slice is not null").select("slice", "body").groupBy("slice").applyInArrow(_sum_counts, "slice int, body binary")
+    rank = np.zeros(1 << COUNT_BITS, np.uint8)
     for r in slices.collect():  # the table of fixed size
-        part = len(counts) // 64
-        counts[r["slice"] * part : (r["slice"] + 1) * part] = np.frombuffer(r["body"], np.uint32)
-    shared = sc.broadcast(counts)
+        part = len(rank) // 64
+        rank[r["slice"] * part : (r["slice"] + 1) * part] = np.frombuffer(r["body"], np.uint8)
+    firsts = durable(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("copies")))
+    total = firsts.agg(F.sum("copies").alias("n")).first()["n"] or 0
+    least = max(HOT_LEAST, int(total * HOT_SHARE))
+    hot_rows = firsts.filter(F.col("copies") >= least).select("key", "at.doc_id", "at.line_no").collect()  # 1 / HOT_SHARE rows at most
+    hot_rows.sort(key=lambda r: r["key"] % 2**64)
+    hot = {
+        "key": np.array([r["key"] for r in hot_rows], np.int64).view(np.uint64),
+        "doc_id": np.array([r["doc_id"] for r in hot_rows], np.int64),
+        "line_no": np.array([r["line_no"] for r in hot_rows], np.int64),
+    }
+    shared = sc.broadcast((rank, hot))
     buckets = max(64, text_bytes(d) // BUCKET_BYTES)
     stars = d.mapInArrow(_postings(shared, buckets), "bucket int, body binary").groupBy("bucket").applyInArrow(_candidates, "a long, b long")
-    comp = durable(components(stars))
-    firsts = durable(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("copies")))
+    comp = components(stars)
     sizes = comp.groupBy("root").agg(F.count("*").alias("size"))
     cand = comp.join(sizes, "root").withColumnRenamed("id", "key").join(firsts, "key")
-    wanted = cand.groupBy(F.col("at.doc_id").alias("doc_id")).agg(F.collect_list(F.struct(F.col("at.line_no").alias("line_no"), "key", "root", "size")).alias("wanted"))
-    members = d.join(wanted, "doc_id").mapInArrow(_fetch, "doc_id long, line_no int, key long, root long, size long, body binary")
+    cand = durable(cand.select("key", "root", "size", F.col("at.doc_id").alias("doc_id"), F.col("at.line_no").alias("line_no")))
+    n = cand.count()
+    wanted = sc.broadcast((_idfilter.build(cand.select("doc_id"), n), _idfilter.build(cand.select("key"), n)))
+    found = d.mapInArrow(_fetch(wanted), "doc_id long, line_no int, key long, body binary")
+    members = found.join(cand, ["key", "doc_id", "line_no"])
     small = F.col("size") <= BLOCK
     blocks = F.when(small, 1).otherwise(F.ceil(F.col("size") / BLOCK))
     members = members.withColumn("part", F.pmod(F.xxhash64("key"), blocks)).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1)))
     members = members.withColumn("lo", F.least("part", "other")).withColumn("hi", F.greatest("part", "other")).withColumn("small", small)
-    group = F.when(small, F.pmod(F.xxhash64("root"), F.lit(max(1, comp.count() // 2048 + 1)))).otherwise(F.col("root"))
+    group = F.when(small, F.pmod(F.xxhash64("root"), F.lit(max(1, n // 2048 + 1)))).otherwise(F.col("root"))
     similar = members.withColumn("g", group).groupBy("g", "small", "lo", "hi").applyInArrow(_verify, "key long").distinct()
-    why = firsts.join(similar.withColumn("similar", F.lit(True)), "key", "left").filter("copies > 1 or similar")
+    why = durable(firsts.join(similar.withColumn("similar", F.lit(True)), "key", "left").filter("copies > 1 or similar"))
+    few, rest = F.broadcast(why.filter(F.col("copies") >= least)), why.filter(F.col("copies") < least)
+    gone = lines.join(few, "key").unionByName(lines.join(few, "key", "left_anti").join(rest, "key"))
     first = (F.col("doc_id") == F.col("at.doc_id")) & (F.col("line_no") == F.col("at.line_no"))
-    gone = lines.join(why, "key").withColumn("kind", F.when(F.col("similar"), "similar").when(~first, "equal"))
+    gone = gone.withColumn("kind", F.when(F.col("similar"), "similar").when(~first, "equal"))
     return gone.filter("kind is not null").select("doc_id", "line_no", "key", "kind")
 
 
@@ -316,29 +363,35 @@ def summaries(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     )
 
 
-def _cut(it: Iterator[pa.RecordBatch], names: list[str]) -> Iterator[pa.RecordBatch]:
+def _cut(it: Iterator[pa.RecordBatch], names: list[str], text: str) -> Iterator[pa.RecordBatch]:
     for b in it:
-        texts = b["text"].to_pylist()
-        gone = b["_gone"].to_pylist()
-        for i, _, c in text_chunks(b["text"]):
+        texts = b[text].to_pylist()
+        gone = b["gone"].to_pylist()
+        for i, _, c in text_chunks(b[text]):
             if not any(gone[i : i + c.n]):
                 continue
-            s = _sets(c)
+            s = _lines(c)
             at, key = np.searchsorted(s["of"], np.arange(c.n + 1)), s["key"].view(np.int64)
             for k in range(c.n):
                 if gone[i + k]:
                     keys = dict(zip(s["no"][at[k] : at[k + 1]].tolist(), key[at[k] : at[k + 1]].tolist(), strict=True))
                     drop = {g["line_no"] for g in gone[i + k] if keys.get(g["line_no"]) == g["key"]}
                     texts[i + k] = "\n".join(x for n, x in enumerate(texts[i + k].split("\n")) if n not in drop)
-        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == "text" else b[n] for n in names], names)
+        yield pa.RecordBatch.from_arrays([pa.array(texts, pa.string()) if n == text else b[n] for n in names], names)
 
 
-def remove_lines(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text and any other columns) with the lines gone; what is left keeps its order."""
-    gone = summaries(docs).select(F.col("doc_id").alias("_id"), F.col("gone").alias("_gone"))
-    rich = docs.join(gone, F.col("doc_id") == F.col("_id"), "left").drop("_id")
-    names = docs.columns
-    return rich.mapInArrow(lambda it: _cut(it, names), docs.schema)
+def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, with the lines gone; what is left keeps its order.
+
+    Every input row gives one output row: null and empty texts, rows with a
+    null id and repeated rows stay (repeated rows lose the same lines).  Extra
+    columns may have any names, also ones that clash; an empty table gives no rows.
+    """
+    plain, at = by_position(docs, id_col, text_col)
+    names = plain.columns
+    gone = summaries(docs, id_col, text_col).select(F.col("doc_id").alias("gone_id"), "gone")
+    rich = plain.join(gone, F.col(at[0]).cast("long") == F.col("gone_id"), "left").drop("gone_id")
+    return rich.mapInArrow(lambda it: _cut(it, names, at[1]), plain.schema).toDF(*docs.columns)
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
