@@ -2,11 +2,29 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Observation
 from pyspark.sql import functions as F
 
 from geotide.llm._frames import durable
 
+#: A node is a hub if it has this share of all link ends (and HUB_LEAST of them); so there are at most 1 / HUB_SHARE hubs.
+HUB_SHARE, HUB_LEAST = 1e-4, 256
+
+
+def _written(edges: DataFrame) -> tuple[DataFrame, tuple[int, object]]:
+    """The edges as a table, with their number and a checksum, observed as they are written."""
+    seen = Observation()
+    out = durable(edges.observe(seen, F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")))
+    return out, (seen.get["n"], seen.get["h"])
+
+
+def _with_lowest(links: DataFrame, n: int) -> DataFrame:
+    """(u, v, m): links with the smallest v of their u.  Hubs' few rows go to the links, so a hub's links never meet in a task."""
+    low = links.groupBy("u").agg(F.min("v").alias("m"), F.count("*").alias("ends"))
+    least = max(HUB_LEAST, int(n * HUB_SHARE))
+    hubs, rest = F.broadcast(low.filter(F.col("ends") >= least)), low.filter(F.col("ends") < least)
+    return links.join(hubs, "u").unionByName(links.join(hubs, "u", "left_anti").join(rest, "u")).select("u", "v", "m")
+
 
 def components(links: DataFrame) -> DataFrame:
     """(id, root) for every id in (a, b) links; root is the smallest id of the component.
@@ -17,20 +35,15 @@ def components(links: DataFrame) -> DataFrame:
     Links never grow in number, and log(diameter) rounds end in stars, whose
     centres are the roots.  Only a count and a checksum reach the driver.
     """
-    edges = durable(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
+    edges, state = _written(links.filter("a <> b").select(F.greatest("a", "b").alias("u"), F.least("a", "b").alias("v")).distinct())
     before = None
-    while True:
-        state = edges.agg(F.count("*").alias("n"), F.sum(F.xxhash64("u", "v").cast("decimal(38,0)")).alias("h")).first()
-        if (state["n"], state["h"]) == before:
-            break
-        before = (state["n"], state["h"])
+    while state != before and state[0]:
+        before = state
         both = edges.unionByName(edges.select(F.col("v").alias("u"), F.col("u").alias("v")))
-        low = both.groupBy("u").agg(F.min("v").alias("m")).select("u", F.least("u", "m").alias("m"))
-        large = both.join(low, "u").filter("v > u").select(F.col("v").alias("u"), F.col("m").alias("v")).filter("u <> v").distinct()
-        low = large.groupBy("u").agg(F.min("v").alias("m"))
-        small = large.join(low, "u").select("v", "m", "u")
-        edges = durable(
-            small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v"))).filter("u <> v").distinct()
-        )
+        low = _with_lowest(both, 2 * state[0])
+        large = low.filter("v > u").select(F.col("v").alias("u"), F.least("u", "m").alias("v")).distinct()
+        small = _with_lowest(large, state[0])
+        new = small.select(F.col("v").alias("u"), F.col("m").alias("v")).unionByName(small.select("u", F.col("m").alias("v")))
+        edges, state = _written(new.filter("u <> v").distinct())
     roots = edges.select(F.col("u").alias("id"), F.col("v").alias("root"))
     return roots.unionByName(edges.select(F.col("v").alias("id"), F.col("v").alias("root"))).distinct()

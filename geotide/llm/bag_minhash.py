@@ -7,7 +7,8 @@ of doubling length; their points have an arrival time, a signature component
 and a place on the axis, and count if the place is below the shingle's weight.
 Each component keeps its smallest arrival.  Points come in order of time, so
 a process stops when it passes the time by which all components are full:
-each text costs about one number a shingle plus m log m.
+each text costs about one number a shingle plus m log m.  Bags of fewer than
+four shingles, which are similar only to their equals, need no signature.
 
 Equal bags collapse first.  Bands of the signature propose; whoever shares a
 band key is verified on the whole bags, never on the signature.
@@ -25,9 +26,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from geotide.llm import _idfilter
-from geotide.llm._frames import documents, durable
+from geotide.llm._frames import by_position, documents, durable
 from geotide.llm._graph import components
-from geotide.llm._text import Chunk, grams, mix, text_chunks
+from geotide.llm._text import Chunk, grams, mix, order_within, text_chunks
 
 SHINGLE = 5
 SIMILARITY = 0.8
@@ -53,10 +54,15 @@ def shingles(c: Chunk) -> tuple[np.ndarray, np.ndarray]:
         g, t = np.concatenate([g, whole]), np.concatenate([of[first], short])
     else:
         t = of[first]
-    by = np.lexsort((g, t))
+    by = order_within(t, g)
     return g[by], t[by]
 
 
+_STEP = np.uint64(0x9E3779B97F4A7C15)
+#: Bags of this total weight or more can be similar to one that isn't equal.
+LEAST = 4
+
+
 def _uniform(x: np.ndarray) -> np.ndarray:
     return ((x >> np.uint64(11)).astype(np.float64) + 0.5) * 2.0**-53
 
@@ -76,41 +82,56 @@ def signatures(h: np.ndarray, weight: np.ndarray, of: np.ndarray, n: int, m: int
     level = np.arange(len(item)) - np.repeat(np.cumsum(levels) - levels, levels)
     low = np.where(level > 0, 1 << np.maximum(level - 1, 0), 0).astype(np.float64)
     length = np.where(level > 1, low, 1.0)
-    seed = mix(h[item] + level.astype(np.uint64) * np.uint64(0x9E3779B97F4A7C15))
+    seed = mix(h[item] + level.astype(np.uint64) * _STEP)
     bag, top = of[item], weight[item].astype(np.float64)
+    partial = low + length > top  # some of the interval lies above the weight
     total = np.bincount(of, weight, n)
-    first_time = np.full(n * m, np.inf)
-    first_key = np.zeros(n * m, np.uint64)
     rate = m * length
-    # each process's generator state and the time of its next point
-    state = seed.copy()
-    time = -np.log(_uniform(state)) / rate
-    horizon = (np.log(m) + 4.0) / np.maximum(total, 1e-9)  # by then all components of a bag have a point, but for 1 bag in 50
-    while True:
-        due = np.flatnonzero(time <= horizon[bag])
-        cells, times, keys = [], [], []
-        while len(due):
-            s = mix(state[due] ^ np.uint64(0xE7037ED1A0B428DB))
-            ok = low[due] + length[due] * _uniform(s) <= top[due]  # the point lies below the weight
-            cells.append((bag[due] * m + (mix(s + np.uint64(1)) % np.uint64(m)).astype(np.int64))[ok])
-            times.append(time[due][ok])
-            keys.append(s[ok])
-            state[due] = mix(state[due] + np.uint64(0xA0761D6478BD642F))
-            time[due] -= np.log(_uniform(state[due])) / rate[due]
-            due = due[time[due] <= horizon[bag[due]]]
-        if cells:
-            cell, t, key = np.concatenate(cells), np.concatenate(times), np.concatenate(keys)
-            by = np.lexsort((t, cell))
-            cell, t, key = cell[by], t[by], key[by]
-            lead = np.ones(len(cell), bool)
-            lead[1:] = cell[1:] != cell[:-1]
-            cell, t, key = cell[lead], t[lead], key[lead]
-            better = t < first_time[cell]
-            first_time[cell[better]], first_key[cell[better]] = t[better], key[better]
-        short = (total > 0) & ~np.isfinite(first_time).reshape(n, m).all(1)
-        if not short.any():
-            return first_key.reshape(n, m)
-        horizon[short] *= 2
+    first_time, first_key = np.full(n * m, np.inf), np.zeros(n * m, np.uint64)
+    # where each process stands: points so far, and the time of the last
+    nth, now = np.zeros(len(item), np.uint64), np.zeros(len(item))
+
+    def advance(sel: np.ndarray, until: np.ndarray, k: int) -> np.ndarray:
+        """The next points of some processes, up to ``k`` each; returns those that may have more before ``until``."""
+        x = mix(seed[sel][:, None] + (nth[sel][:, None] + np.arange(k, dtype=np.uint64)) * _STEP)
+        t = -np.log(_uniform(x)) / rate[sel][:, None]
+        t[:, 0] += now[sel]
+        np.cumsum(t, axis=1, out=t)
+        ok = t <= until[:, None]
+        done = ok.sum(1)
+        some = np.flatnonzero(done)
+        now[sel[some]] = t[some, done[some] - 1]
+        nth[sel] += done.astype(np.uint64)
+        s, t = mix(x[ok] ^ np.uint64(0xE7037ED1A0B428DB)), t[ok]
+        who = sel if k == 1 and len(some) == len(sel) else np.repeat(sel, done)
+        cell = bag[who] * m + (((s >> np.uint64(32)) * np.uint64(m)) >> np.uint64(32)).astype(np.int64)
+        inside = ~partial[who]
+        if not inside.all():
+            y = np.flatnonzero(~inside)
+            inside[y] = low[who[y]] + length[who[y]] * _uniform(mix(s[y] + np.uint64(1))) <= top[who[y]]
+            cell, t, s = cell[inside], t[inside], s[inside]
+        np.minimum.at(first_time, cell, t)
+        won = first_time[cell] == t
+        first_key[cell[won]] = s[won]
+        return sel[done == k]
+
+    # by this time (over the bag's weight) all components of a bag have a point with a chance of exp(-exp(-0.5)), and so on
+    reach = np.log(m) + 0.5
+    todo = np.arange(len(item))
+    while len(todo):
+        left = todo
+        while len(left):
+            until = reach / total[bag[left]]
+            many = rate[left] * (until - now[left]) > 16
+            few = left[~many]
+            rest = [advance(few, until[~many], 1)]
+            left, until = left[many], until[many]
+            rest += [advance(left[i : i + 8192], until[i : i + 8192], 32) for i in range(0, len(left), 8192)]
+            left = np.concatenate(rest)
+        short = ~np.isfinite(first_time).reshape(n, m).all(1)
+        todo = todo[short[bag[todo]]]
+        reach += 1
+    return first_key.reshape(n, m)
 
 
 def _bags(c: Chunk) -> tuple[np.ndarray, ...]:
@@ -130,17 +151,25 @@ def _bag_id(elements: np.ndarray) -> int:
 
 
 def _base(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """(doc_id, bag, n, bands); of equal bags worked on together one has bands, and none that can only equal others."""
     for b in it:
         for i, j, c in text_chunks(b["text"]):
             h, w, of, elements, at = _bags(c)
-            sig = signatures(h, w, of, c.n)
-            keys = np.zeros((c.n, BANDS), np.uint64)
+            ids = np.array([_bag_id(elements[at[k] : at[k + 1]]) for k in range(c.n)], np.int64)
+            n = np.diff(at)
+            _, lead = np.unique(ids, return_index=True)
+            lead = np.sort(lead[n[lead] >= LEAST])
+            place = np.full(c.n, -1)
+            place[lead] = np.arange(len(lead))
+            use = place[of] >= 0
+            sig = signatures(h[use], w[use], place[of[use]], len(lead))
+            keys = np.zeros((len(lead), BANDS), np.uint64)
             for r in range(ROWS):
                 keys = mix(keys * np.uint64(0xD6E8FEB86659FD93) + sig[:, r * BANDS : (r + 1) * BANDS])
             keys = mix(keys + np.arange(BANDS, dtype=np.uint64)).view(np.int64)
-            ids = pa.array([_bag_id(elements[at[k] : at[k + 1]]) for k in range(c.n)], pa.int64())
-            bands = pa.ListArray.from_arrays(pa.array(np.arange(c.n + 1) * BANDS, pa.int32()), pa.array(keys.ravel()))
-            yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), ids, pa.array(np.diff(at), pa.int32()), bands], ["doc_id", "bag", "n", "bands"])
+            ends = np.append(0, np.cumsum(np.where(place >= 0, BANDS, 0)))
+            bands = pa.ListArray.from_arrays(pa.array(ends, pa.int32()), pa.array(keys.ravel()), mask=pa.array(place < 0))
+            yield pa.RecordBatch.from_arrays([b["doc_id"].slice(i, j - i), pa.array(ids), pa.array(n, pa.int32()), bands], ["doc_id", "bag", "n", "bands"])
 
 
 def _elements(wanted):
@@ -243,8 +272,8 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     base = durable(d.mapInArrow(_base, "doc_id long, bag long, n int, bands array<long>"))
     nodes = base.filter("n > 0 and doc_id is not null")
     classes = nodes.groupBy("bag").agg(F.min("doc_id").alias("first"), F.count("*").alias("copies"))
-    one = nodes.groupBy("bag").agg(F.min(F.struct("doc_id", "bands")).alias("x"))
-    keys = one.select("bag", F.explode("x.bands").alias("key"))
+    one = nodes.filter("bands is not null").dropDuplicates(["bag"])  # equal bags have equal bands
+    keys = one.select("bag", F.explode("bands").alias("key"))
     meets = keys.groupBy("key").agg(F.min("bag").alias("hub"), F.max("bag").alias("top")).filter("hub <> top").select("key", "hub")
     stars = keys.join(meets, "key").filter("bag <> hub").select(F.col("bag").alias("a"), F.col("hub").alias("b"))
     comp = durable(components(stars))
@@ -270,29 +299,37 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     return out.select("doc_id", class_id, F.col("n").alias("n_shingles"), "bag", F.coalesce("root", "bag").alias("root"))
 
 
-def _with_bag(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    for b in it:
-        for i, j, c in text_chunks(b["text"]):
-            _, _, _, elements, at = _bags(c)
-            bag = [_bag_id(elements[at[k] : at[k + 1]]) if at[k + 1] > at[k] else None for k in range(c.n)]
-            yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, pa.array(bag, pa.int64())], [*b.schema.names, "bag"])
+def _with_bag(text: str):
+    def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for b in it:
+            for i, j, c in text_chunks(b[text]):
+                _, _, _, elements, at = _bags(c)
+                bag = [_bag_id(elements[at[k] : at[k + 1]]) if at[k + 1] > at[k] else None for k in range(c.n)]
+                yield pa.RecordBatch.from_arrays([*b.slice(i, j - i).columns, pa.array(bag, pa.int64())], [*b.schema.names, "bag"])
+
+    return run
 
 
-def one_of_each(docs: DataFrame) -> DataFrame:
-    """``docs`` (doc_id, text and any other columns), of each class the document with the smallest id; of repeated rows one.
+def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+    """``docs``, all columns, of each class the document with the smallest id; of repeated rows one.
 
     Where ids occur more than once, a row is told by its id and bag, so of
-    different texts under one id each stays or goes with its own class.
+    different texts under one id each stays or goes with its own class.  Rows
+    with a null id stay, and null or empty texts, one for each id.  Extra
+    columns may have any names, also ones that clash; an empty table gives no rows.
     """
-    found = _classes(docs)
+    plain, (key, text) = by_position(docs, id_col, text_col)
+    of_id = F.col(key).cast("long")
+    found = _classes(docs, id_col, text_col)
     if found.filter("doc_id is not null").groupBy("doc_id").count().filter("count > 1").limit(1).count():
-        heads = found.filter("doc_id is not null and bag is not null").groupBy("root").agg(F.min(F.struct("doc_id", "bag")).alias("x")).select("x.*")
-        marked = docs.filter("doc_id is not null").mapInArrow(_with_bag, T.StructType([*docs.schema.fields, T.StructField("bag", T.LongType())]))
-        out = marked.join(heads, ["doc_id", "bag"], "left_semi").unionByName(marked.filter("bag is null"))
-        out = out.dropDuplicates(["doc_id", "bag"]).select(*docs.columns)
+        heads = found.filter("doc_id is not null and bag is not null").groupBy("root").agg(F.min(F.struct("doc_id", "bag")).alias("x")).select(F.col("x.doc_id").alias("id"), "x.bag")
+        marked = plain.filter(of_id.isNotNull()).mapInArrow(_with_bag(text), T.StructType([*plain.schema.fields, T.StructField("bag", T.LongType())])).withColumn("id", of_id)
+        out = marked.join(heads, ["id", "bag"], "left_semi").unionByName(marked.filter("bag is null"))
+        out = out.dropDuplicates(["id", "bag"]).select(*plain.columns)
     else:
-        out = docs.join(found.filter("class_id = doc_id").select("doc_id"), "doc_id", "left_semi")
-    return out.unionByName(docs.filter("doc_id is null"))
+        heads = found.filter("class_id = doc_id").select(F.col("doc_id").alias("id"))
+        out = plain.join(heads, of_id == F.col("id"), "left_semi")
+    return out.unionByName(plain.filter(of_id.isNull())).toDF(*docs.columns)
 
 
 def op8(spark, sf_dir: str) -> DataFrame:
