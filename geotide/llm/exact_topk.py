@@ -3,14 +3,17 @@
 Vectors are integers (``floor(scale * x)``).  In a block of candidates each
 dimension is two terms, how far a value lies above the block's smallest and
 below its largest, so all impacts are non-negative, and a query weighs one of
-the two by its magnitude.  A term's values are split into binary segments: bit
-``b`` of a value is a posting of impact ``2**b``.  Segments are processed by
-descending impact, for all queries of a block at once (a segment of all terms
-is one matrix product).  After each, a query's k-th score so far is a lower
-bound, and score so far plus what the unread segments can add is each row's
-upper bound; a query stops only when the rows that may still belong to its
-top k are few, and those are rescored exactly.  Nothing is dropped without
-that proof; a query that never gets there has its exact scores when the last
+the two by its magnitude.  A term's values are written in digits to the base
+of 4; a posting segment holds the rows that have a certain digit at a certain
+place, and its quantised impact is what that digit stands for.  The segments
+are built once a block.
+
+A query reads its segments by descending weight times impact and adds that to
+the scores of their rows.  What it hasn't read can add at most the largest
+unread impact of each term and place, so at any time each row has a lower and
+an upper bound; a query stops only when the rows that may still belong to its
+top k are few, and those are rescored exactly.  Nothing is dropped without that
+proof; a query that never gets there has its exact scores when the last
 segment is read.
 """
 
@@ -23,132 +26,161 @@ from pyspark.sql import functions as F
 
 from geotide.llm._frames import project
 
-#: Rows of a candidate block and of a query block: bound a task's matrices, whatever the table's size.
-BLOCK_ROWS, QUERY_ROWS = 4096, 512
+#: Rows of a candidate block and of a query block, and components of either: bound a task's arrays, whatever the table's size.
+BLOCK_ROWS, QUERY_ROWS, BLOCK_VALUES = 8192, 2048, 1 << 20
+DIGIT_BITS = 2
+_PACKED = "dim int, b long, ids binary, body binary, copies binary, q binary"
 _HITS = "q long, query_id long, vec_id long, score long"
 
 
 def quantised(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame:
-    """(vec_id, v array<long>) of the vectors that take part: not null, all components finite."""
+    """(vec_id, v array<long>, copies) of the vectors that take part: not null, all components finite; equal rows once."""
     d = project(df, {"vec_id": id_col, "v": vec_col}).withColumn("vec_id", F.col("vec_id").cast("long"))
     bad = F.exists("v", lambda x: x.isNull() | F.isnan(x) | (F.abs(x) == float("inf")))
-    return d.filter(F.col("v").isNotNull() & ~bad & F.col("vec_id").isNotNull()).withColumn("v", F.transform("v", lambda x: F.floor(x.cast("double") * scale)))
-
-
-def _search(ids: np.ndarray, m: np.ndarray, q_no: np.ndarray, q_ids: np.ndarray, q: np.ndarray, k: int) -> tuple[np.ndarray, ...]:
-    """The k best of one candidate block for each query of one query block: (query number, row, score)."""
-    n, dim = m.shape
-    low, high = m.min(0), m.max(0)
-    above, below = m - low, high - m
-    up, down = np.maximum(q, 0), np.maximum(-q, 0)
-    terms = np.concatenate([above, below], axis=1)
-    weights = np.concatenate([up, down], axis=1)
-    bits = int(terms.max()).bit_length() if terms.size else 0
-    exact = np.abs(weights).sum(1, dtype=np.float64).max(initial=0) * max(1.0, float(terms.max(initial=0))) < 2**24
-    kind = np.float32 if exact else np.float64
-    w, so_far = weights.astype(kind), np.zeros((len(q), n), kind)
-    reach = weights.sum(1).astype(kind)
-    slack = kind(0) if exact else kind(1e-9 * reach.max(initial=0) * (1 << bits))
-    own = q_ids[:, None] == ids[None, :]
-    out_q, out_row, out_score = [], [], []
-    active = np.arange(len(q))
-
-    def finish(query: int, rows: np.ndarray) -> None:
-        rows = rows[~own[query, rows]]
-        score = m[rows] @ q[query]
-        if len(rows) > k:
-            kth = np.partition(score, len(rows) - k)[len(rows) - k]
-            rows, score = rows[score >= kth], score[score >= kth]
-            best = np.lexsort((ids[rows], -score))[:k]
-            rows, score = rows[best], score[best]
-        out_q.append(np.full(len(rows), query))
-        out_row.append(rows)
-        out_score.append(score)
-
-    for b in range(bits - 1, -1, -1):
-        if not len(active):
-            break
-        segment = ((terms >> b) & 1).astype(kind)
-        so_far[active] += (w[active] @ segment.T) * kind(1 << b)
-        unread = reach[active] * ((1 << b) - 1)
-        if n > k:
-            part = so_far[active]
-            # rows of the query's own id take no place, however many they are
-            part[own[active]] = -np.inf
-            kth = np.partition(part, n - k, axis=1)[:, n - k]
-            may = (part + unread[:, None] + slack >= kth[:, None]) & ~own[active]
-            few = (may.sum(1) <= 4 * k) | (b == 0)
-            for i in np.flatnonzero(few).tolist():
-                finish(int(active[i]), np.flatnonzero(may[i]))
-            active = active[~few]
-    for i in active.tolist():
-        finish(i, np.arange(n))
-    if not out_q:
-        return (np.zeros(0, np.int64),) * 4
-    qi, rows, score = np.concatenate(out_q), np.concatenate(out_row), np.concatenate(out_score)
-    return q_no[qi], q_ids[qi], ids[rows], score
+    d = d.filter(F.col("v").isNotNull() & ~bad & F.col("vec_id").isNotNull()).withColumn("v", F.transform("v", lambda x: F.floor(x.cast("double") * scale)))
+    return d.groupBy("vec_id", "v").agg(F.count("*").alias("copies"))
+
+
+class Index:
+    """The posting segments of one block of candidates: of each the term, the place of its digit, its impact and its rows."""
+
+    def __init__(self, ids: np.ndarray, copies: np.ndarray, m: np.ndarray):
+        self.ids, self.copies, self.m = ids, copies, m
+        self.n, self.dim = m.shape
+        self.low, high = m.min(0), m.max(0)
+        terms = np.concatenate([(m - self.low).T, (high - m).T])
+        bits = int(terms.max(initial=0)).bit_length()
+        kind = np.uint16 if self.n <= 1 << 16 else np.uint32
+        found, self.rows = [], []
+        for place in range(0, bits, DIGIT_BITS):
+            digits = ((terms >> place) & ((1 << DIGIT_BITS) - 1)).astype(np.uint8)
+            for digit in range(1, 1 << DIGIT_BITS):
+                term, row = np.nonzero(digits == digit)
+                at = np.flatnonzero(np.diff(term, prepend=-1))
+                self.rows += np.split(row.astype(kind), at[1:]) if len(at) else []
+                found += [(t, place, digit << place) for t in term[at].tolist()]
+        cols = np.array(found, np.int64).reshape(-1, 3)
+        self.term, self.place, self.impact = cols.T
+        # how much less the unread rest of a term and place can add once a segment is read: down to the next smaller digit
+        by = np.lexsort((self.impact, self.place, self.term))
+        same = np.zeros(len(by), bool)
+        same[1:] = (self.term[by[1:]] == self.term[by[:-1]]) & (self.place[by[1:]] == self.place[by[:-1]])
+        self.step = self.impact.copy()
+        self.step[by[1:]] -= np.where(same[1:], self.impact[by[:-1]], 0)
+
+    def search(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
+        """(ids, scores) of the query's k best here, its own row left out; ties to the smaller id, a repeated row as often as it occurs."""
+        weight = np.concatenate([np.maximum(q, 0), np.maximum(-q, 0)])
+        own = np.flatnonzero(self.ids == query_id)
+        own = own[(self.m[own] == q).all(1)]
+        copies = self.copies
+        if len(own):  # one row: equal rows are one, with their number
+            copies = copies.copy()
+            copies[own] -= 1
+            own = own[copies[own] == 0]
+        use = np.flatnonzero(weight[self.term])
+        gain = weight[self.term[use]].astype(np.float64) * self.impact[use]
+        order = np.argsort(-gain, kind="stable")
+        use, gain = use[order], gain[order]
+        unread = np.cumsum((weight[self.term[use]].astype(np.float64) * self.step[use])[::-1])[::-1]  # what all from here on can add
+        slack = 1e-9 * (unread[0] if len(unread) else 0.0) if len(unread) and unread[0] >= 2**53 else 0.0
+        score, done = np.zeros(self.n), 0
+        rows = np.arange(self.n)
+        if self.n - len(own) > k:
+            for part in range(2, 60):
+                if done == len(use):
+                    break
+                # read on until the rest can add only 2**-part of the whole, then look whether that proves the top k
+                end = int(np.searchsorted(-unread, -unread[0] * 0.5**part))
+                if end == done:
+                    continue
+                for s, g in zip(use[done:end].tolist(), gain[done:end].tolist(), strict=True):
+                    score[self.rows[s]] += g
+                done = end
+                rest = (unread[done] if done < len(use) else 0.0) + slack
+                score[own] = -np.inf
+                kth = np.partition(score, self.n - k)[self.n - k]
+                rows = np.flatnonzero(score + rest >= kth)
+                if len(rows) <= 4 * k:
+                    break
+        rows = rows[copies[rows] > 0]
+        exact = self.m[rows] @ q
+        rows, exact = (np.repeat(x, np.minimum(copies[rows], k)) for x in (rows, exact))
+        best = np.lexsort((self.ids[rows], -exact))[:k]
+        return self.ids[rows[best]], exact[best]
+
+
+def _ints(body: bytes, dim: int) -> np.ndarray:
+    """Components as ``_pack`` wrote them: the first byte is their width."""
+    return np.frombuffer(body, f"<i{body[0]}", offset=1).astype(np.int64).reshape(-1, dim)
 
 
 def _pair(k: int):
     def run(t: pa.Table) -> pa.Table:
-        found = (np.zeros(0, np.int64),) * 4
+        out = [(np.zeros(0, np.int64),) * 4]
         for r in t.to_pylist():
-            dim = r["dim"]
-            ids, m = np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["body"], "<i8").reshape(-1, dim)
-            q_no, q_ids = np.frombuffer(r["q_no"], "<i8"), np.frombuffer(r["q_ids"], "<i8")
-            q = np.frombuffer(r["q_body"], "<i8").reshape(-1, dim)
-            found = _search(ids, m, q_no, q_ids, q, k)
-        return pa.table([pa.array(np.asarray(x, np.int64)) for x in found], ["q", "query_id", "vec_id", "score"])
+            m, q = _ints(r["body"], r["dim"]), _ints(r["q_body"], r["dim"])
+            index = Index(np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["copies"], "<i8"), m)
+            for query_id, tag, v in zip(np.frombuffer(r["q_ids"], "<i8").tolist(), np.frombuffer(r["q_tag"], "<i8").tolist(), q, strict=True):
+                ids, score = index.search(query_id, v, k)
+                out.append((np.full(len(ids), tag), np.full(len(ids), query_id), ids, score))
+        return pa.table([pa.array(np.concatenate([x[c] for x in out]), pa.int64()) for c in range(4)], ["q", "query_id", "vec_id", "score"])
 
     return run
 
 
 def _pack(t: pa.Table) -> pa.Table:
-    """One row for each vector length: ids, components and query numbers as packed integers."""
+    """One row for each vector length: ids, copies, tags and components as packed integers, these as narrow as they fit."""
     t = t.combine_chunks()
     dims = t["dim"].to_numpy(zero_copy_only=False)
     rows = []
     for dim in np.unique(dims).tolist():
         sub = t.filter(pa.array(dims == dim))
-        ids, no = (sub[c].to_numpy(zero_copy_only=False).astype("<i8").tobytes() for c in ("vec_id", "q"))
-        flat = sub["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False).astype("<i8").tobytes()
-        rows.append((dim, t["b"][0].as_py(), ids, flat, no))
+        ids, copies, q = (sub[c].to_numpy(zero_copy_only=False).astype("<i8").tobytes() for c in ("vec_id", "copies", "q"))
+        flat = sub["v"].combine_chunks().flatten().to_numpy(zero_copy_only=False)
+        most = max(abs(int(flat.max(initial=0))), abs(int(flat.min(initial=0))))
+        width = next(w for w in (1, 2, 4, 8) if w == 8 or most < 1 << (8 * w - 1))
+        rows.append((dim, t["b"][0].as_py(), ids, bytes([width]) + flat.astype(f"<i{width}").tobytes(), copies, q))
     cols = list(zip(*rows, strict=True))
-    return pa.table([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[2:])], ["dim", "b", "ids", "body", "q_no"])
+    return pa.table([pa.array(cols[0], pa.int32()), pa.array(cols[1], pa.int64()), *(pa.array(c, pa.binary()) for c in cols[2:])], [x.split()[0] for x in _PACKED.split(", ")])
 
 
-def _blocks(df: DataFrame, rows: int) -> tuple[DataFrame, int]:
-    """Vectors dealt into blocks of about ``rows``, and how many blocks."""
-    n = max(1, -(-df.count() // rows))
-    dealt = df.withColumn("b", F.pmod(F.xxhash64("vec_id", "q"), F.lit(n)).cast("long"))
-    return dealt.groupBy("b").applyInArrow(_pack, "dim int, b long, ids binary, body binary, q_no binary"), n
+def _blocks(df: DataFrame, n: int) -> DataFrame:
+    """Vectors dealt into ``n`` blocks."""
+    dealt = df.withColumn("dim", F.size("v")).filter("dim > 0").withColumn("q", F.xxhash64("v"))
+    return dealt.withColumn("b", F.pmod(F.xxhash64("vec_id", "q"), F.lit(n)).cast("long")).groupBy("b").applyInArrow(_pack, _PACKED)
 
 
 def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, scale: int = 64, id_col: str = "vec_id", vec_col: str = "embedding") -> DataFrame:
     """(query_id, rank, vec_id, score): each query row's k highest integer inner products, ties to the smaller vec_id.
 
-    Vectors (and queries) that are null or hold a null or non-finite component,
-    or have a null id, take no part.  A query isn't compared with rows of its
-    own id, nor with vectors of another length.  Repeated candidate rows each
-    take a place; a repeated query row gets its result again.  Fewer than k
-    candidates are all returned; empty tables give no rows.
+    Vectors (and queries) that are null, empty or hold a null or non-finite
+    component, or have a null id, take no part.  A query's own row, one of those with
+    its id and vector, isn't compared with it, nor are vectors of another
+    length.  Repeated candidate rows each take a place; a repeated query row
+    gets its result again.  Fewer than k candidates are all returned; extra
+    columns are ignored; empty tables give no rows.
 
     Every candidate block meets every query block, as equi-joined rows of
-    packed vectors; a task holds one pair.  The blocks' lists are merged with
-    a per-query rank limit that Spark applies before the shuffle as well.
+    packed vectors; a task holds one pair.  Blocks are as large as a task's
+    memory bears, since what is shuffled falls with their size.  Their lists
+    are merged with a per-query rank limit that Spark applies before the
+    shuffle as well.
     """
-    cand = quantised(vectors, id_col, vec_col, scale).withColumn("dim", F.size("v")).withColumn("q", F.lit(0).cast("long"))
-    asked = quantised(queries, id_col, vec_col, scale).withColumn("dim", F.size("v"))
-    same = Window.partitionBy("vec_id").orderBy(F.hash("v"))
-    asked = asked.withColumn("q", (F.row_number().over(same) - 1).cast("long"))  # tells repeated query rows apart
-    blocks, _ = _blocks(cand, BLOCK_ROWS)
-    q_blocks, n = _blocks(asked, QUERY_ROWS)
-    each = blocks.drop("q_no").withColumn("qb", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n - 1).cast("long"))))
-    q_blocks = q_blocks.select(F.col("dim").alias("q_dim"), F.col("b").alias("q_b"), F.col("ids").alias("q_ids"), F.col("body").alias("q_body"), "q_no")
-    pairs = each.join(q_blocks, (F.col("qb") == F.col("q_b")) & (F.col("dim") == F.col("q_dim"))).drop("q_b", "q_dim")
+    shape = project(vectors, {"v": vec_col}).agg(F.count("*").alias("n"), F.max(F.size("v")).alias("dim")).first()
+    widest = max(1, shape["dim"] or 1)
+    rows = lambda most: max(64, min(most, BLOCK_VALUES // widest))
+    n_blocks, n_queries = max(1, -(-shape["n"] // rows(BLOCK_ROWS))), max(1, -(-queries.count() // rows(QUERY_ROWS)))
+    blocks = _blocks(quantised(vectors, id_col, vec_col, scale), n_blocks).drop("q")
+    asked = quantised(queries, id_col, vec_col, scale)
+    q_blocks = _blocks(asked, n_queries).select(F.col("dim").alias("q_dim"), F.col("b").alias("qb"), F.col("ids").alias("q_ids"), F.col("body").alias("q_body"), F.col("q").alias("q_tag"))
+    each = blocks.withColumn("ask", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(n_queries - 1).cast("long"))))
+    pairs = each.join(q_blocks, (F.col("ask") == F.col("qb")) & (F.col("dim") == F.col("q_dim"))).drop("ask", "q_dim")
     hits = pairs.groupBy("b", "qb", "dim").applyInArrow(_pair(k), _HITS)
     best = Window.partitionBy("query_id", "q").orderBy(F.col("score").desc(), "vec_id")
     ranked = hits.withColumn("rank", F.row_number().over(best)).filter(F.col("rank") <= k)
+    again = asked.filter("copies > 1").select(F.col("vec_id").alias("query_id"), F.xxhash64("v").alias("q"), "copies")
+    ranked = ranked.join(again, ["query_id", "q"], "left").withColumn("_n", F.explode(F.sequence(F.lit(1).cast("long"), F.coalesce("copies", F.lit(1)))))
     return ranked.select("query_id", F.col("rank").cast("int").alias("rank"), "vec_id", "score")
 
 
@@ -159,10 +191,10 @@ def op5(spark, sf_dir: str) -> DataFrame:
 
 #: The same in SQL, for all rows.
 ORACLE = """
-WITH v AS (SELECT vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
-           WHERE embedding IS NOT NULL AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
-s AS (SELECT q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
-      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.vec_id <> c.vec_id AND len(q.e) = len(c.e))
+WITH v AS (SELECT row_number() OVER () AS row_no, vec_id, list_transform(embedding, lambda x: floor(64 * x::DOUBLE)::BIGINT) AS e FROM embeddings
+           WHERE embedding IS NOT NULL AND vec_id IS NOT NULL AND len(embedding) > 0 AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0),
+s AS (SELECT q.row_no, q.vec_id AS query_id, c.vec_id, list_inner_product(q.e::DOUBLE[], c.e::DOUBLE[])::BIGINT AS score
+      FROM v q JOIN v c ON q.vec_id % 20 = 0 AND q.row_no <> c.row_no AND len(q.e) = len(c.e))
 SELECT query_id, rank::INTEGER AS rank, vec_id, score
-FROM (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
+FROM (SELECT *, row_number() OVER (PARTITION BY row_no ORDER BY score DESC, vec_id) AS rank FROM s) WHERE rank <= 20
 """
