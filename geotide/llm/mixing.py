@@ -17,11 +17,11 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from geotide.llm._frames import durable, project
+from geotide.llm._frames import by_position, durable, project
 
 WORD = r"[^\x20\x09-\x0D]+"
-#: Hex digits of the seeded hash that name a bucket: 16**3 buckets a source.
-BUCKET_DIGITS = 3
+#: A bucket is named by as many hex digits of the seeded hash as leave about this many documents in each, LEAST_DIGITS at least.
+BUCKET_ROWS, LEAST_DIGITS = 1 << 15, 3
 #: Sources up to this many rows (one small row each) may be broadcast to the document scan.
 BROADCAST_SOURCES = 20_000
 #: Copies of each source's row when there are too many to broadcast: spreads a hot source's documents.
@@ -85,14 +85,21 @@ def mix(docs: DataFrame, seed: int = 17, max_epochs: int = 3, weights: Column |
     still missing, if that brings the sum closer.  So a source misses its
     target by at most half of its largest document, and far less where it has
     small ones.  Null or empty texts have size 0 and are taken 0 words; a
-    null source is one source; documents of size 0 are not taken; identical rows get the same place in the order
-    and are told apart only by that order; empty input gives no rows.
+    null source is one source; documents of size 0 are not taken; identical
+    rows get the same place in the order and are told apart only by that
+    order; null ids hash alike and are told apart by their texts.  Extra
+    columns, with any names, are ignored; empty input gives no rows.
     """
     d = project(docs, {"doc_id": id_col, "text": text_col, "source": source_col})
     u = F.md5(F.concat(F.lit(f"{seed}:"), F.coalesce(F.col("doc_id").cast("string"), F.lit(""))))
     tie = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
     d = d.select(F.col("doc_id").cast("long"), "source", word_count(F.col("text")).alias("size"), u.alias("u"), tie.alias("tie"))
-    d = durable(d.withColumn("b", F.substring("u", 1, BUCKET_DIGITS)))
+    d = durable(d)
+    digits = LEAST_DIGITS
+    n_docs = d.count()
+    while n_docs > BUCKET_ROWS * 16**digits:
+        digits += 1
+    d = d.withColumn("b", F.substring("u", 1, digits))
 
     buckets = durable(d.groupBy("source", "b").agg(F.sum("size").alias("b_size")))
     per_source = buckets.groupBy("source").agg(F.sum("b_size").alias("source_size"))
@@ -151,21 +158,26 @@ def _onto_left(docs: DataFrame, small: DataFrame, n: int) -> DataFrame:
     return salted.join(wide, salted["source"].eqNullSafe(wide["source"]) & (salted["_salt"] == wide["_salt"]), "left").drop(wide["source"], wide["_salt"]).drop("_salt")
 
 
-def mixed(docs: DataFrame, **settings) -> DataFrame:
-    """``docs`` (doc_id, text, source and any other columns) as the mix has them: each row as often as it is taken."""
-    plan = durable(mix(docs, **settings).select(F.col("doc_id").alias("_id"), F.col("tie").alias("_tie"), "copies"))
-    tie = F.md5(F.coalesce(F.col("text").cast("string"), F.lit("")))
-    # rows that agree in id and text are interchangeable: their copies are shared out by number
-    number = lambda by: F.row_number().over(Window.partitionBy(*by).orderBy(by[0]))
-    if plan.groupBy("_id", "_tie").count().filter("count > 1").limit(1).count():
-        left = docs.withColumn("_t", tie).withColumn("_n", number(["doc_id", "_t"]))
-        right = plan.withColumn("_m", number(["_id", "_tie"]))
-        cond = left["doc_id"].eqNullSafe(right["_id"]) & (left["_t"] == right["_tie"]) & (left["_n"] == right["_m"])
-    else:
-        left, right = docs.withColumn("_t", tie), plan
-        cond = left["doc_id"].eqNullSafe(right["_id"]) & (left["_t"] == right["_tie"])
-    joined = left.join(right.filter("copies > 0"), cond)
-    return joined.withColumn("_copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*docs.columns)
+def mixed(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", source_col: str = "source", **settings) -> DataFrame:
+    """``docs``, all columns, as the mix has them: each row as often as it is taken.
+
+    Null and empty texts have no words and are not taken; null ids and sources
+    count as values.  Rows that agree in id and text are interchangeable, and
+    their copies are shared out among them.  Extra columns may have any names,
+    also ones that clash; an empty table gives no rows.
+    """
+    plain, (key, text, _) = by_position(docs, id_col, text_col, source_col)
+    plan = mix(docs, id_col=id_col, text_col=text_col, source_col=source_col, **settings)
+    plan = durable(plan.select(F.col("doc_id").alias("id"), "tie", "copies"))
+    left = plain.withColumn("own_id", F.col(key).cast("long")).withColumn("own_tie", F.md5(F.coalesce(F.col(text).cast("string"), F.lit(""))))
+    cond = left["own_id"].eqNullSafe(plan["id"]) & (left["own_tie"] == plan["tie"])
+    number = lambda *by: F.row_number().over(Window.partitionBy(*by).orderBy(by[0]))
+    if plan.groupBy("id", "tie").count().filter("count > 1").limit(1).count():
+        left = left.withColumn("own_n", number("own_id", "own_tie"))
+        plan = plan.withColumn("n", number("id", "tie"))
+        cond = left["own_id"].eqNullSafe(plan["id"]) & (left["own_tie"] == plan["tie"]) & (left["own_n"] == plan["n"])
+    joined = left.join(plan.filter("copies > 0"), cond)
+    return joined.withColumn("copy", F.explode(F.sequence(F.lit(1), "copies"))).select(*plain.columns).toDF(*docs.columns)
 
 
 def op1(spark, sf_dir: str) -> DataFrame:
