@@ -195,8 +195,7 @@ def test_line_dedup(docs, rows):
     original = {d: t for d, t, *_ in rows}
     got = {(r["doc_id"], r["line_no"]) for r in line_dedup.decisions(docs).collect()}
     assert got == gone
-    plain = docs.toDF("doc_id", "text", "lang", "source", "n_chars", "t2", "s2").select("doc_id", "text", "source")
-    for r in line_dedup.remove_lines(plain).collect():
+    for r in line_dedup.remove_lines(docs).toDF("doc_id", "text", *"abcde").collect():
         left = [x for n, x in enumerate(original[r["doc_id"]].split("\n")) if (r["doc_id"], n) not in gone] if r["text"] is not None and r["doc_id"] is not None else None
         assert left is None or r["text"] == "\n".join(left)
     assert line_dedup.decisions(docs.limit(0)).count() == 0
@@ -306,35 +305,55 @@ def test_bpe(docs, rows):
         assert np.frombuffer(ids, "<u4").tolist() == lib.encode(text, add_special_tokens=False).ids
 
 
-def test_exact_topk(spark):
-    rng = np.random.default_rng(4)
-    m = rng.standard_normal((300, 8)).round(2)
-    rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(m)] + [(300, None), (320, [1.0, None]), (340, [float("nan")] * 8), (360, [float("inf")] * 8), (400, rows_v := [0.5] * 8), (401, rows_v), (380, [1.0] * 3), (381, [2.0] * 3)]
-    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
-    good = {i: np.floor(64 * np.array(v)).astype(int) for i, v in rows if v and None not in v and np.isfinite(v).all()}
-    want = set()
-    for q in good:
+def _topk_brute(rows, k=20):
+    """Over all rows, repeated ones too: of each query the best k rows but its own."""
+    good = [(i, np.floor(64 * np.array(v, float)).astype(int)) for i, v in rows if i is not None and v and None not in v and np.isfinite(v).all()]
+    out = []
+    for n, (q, x) in enumerate(good):
         if q % 20 == 0:
-            score = sorted((-int(good[q] @ v), i) for i, v in good.items() if i != q and len(v) == len(good[q]))[:20]
-            want |= {(q, r, i, -s) for r, (s, i) in enumerate(score, 1)}
-    got = exact_topk.top_k(df, df.filter("vec_id % 20 = 0"))
-    assert {tuple(r) for r in got.collect()} == want
+            score = sorted((-int(x @ v), i) for m, (i, v) in enumerate(good) if m != n and len(v) == len(x))[:k]
+            out += [(q, r, i, -s) for r, (s, i) in enumerate(score, 1)]
+    return sorted(out)
+
+
+def test_exact_topk(spark, monkeypatch):
+    rng = np.random.default_rng(4)
+    rows = [(int(i), [float(x) for x in v]) for i, v in enumerate(rng.standard_normal((300, 8)).round(2))]
+    rows += [(300, None), (320, [1.0, None]), (340, [float("nan")] * 8), (360, [float("inf")] * 8), (400, [0.5] * 8), (401, [0.5] * 8), (380, [1.0] * 3), (None, [0.1] * 8), (420, [])]
+    df = spark.createDataFrame([(i, v, "x", 1.0) for i, v in rows], "vec_id long, embedding array<double>, EMBEDDING string, q double")
+    for block in (8192, 64):
+        monkeypatch.setattr(exact_topk, "BLOCK_ROWS", block)
+        got = exact_topk.top_k(df, df.filter("vec_id % 20 = 0"))
+        assert sorted(tuple(r) for r in got.collect()) == _topk_brute(rows)
     assert exact_topk.top_k(df.limit(0), df.limit(0)).count() == 0
 
 
-def test_exact_topk_with_many_rows_of_the_own_id():
+def test_exact_topk_with_repeated_ids(spark):
     rng = np.random.default_rng(6)
-    m = np.floor(64 * rng.standard_normal((500, 16))).astype(np.int64)
-    q_ids = np.arange(20)
-    for copies in (1, 25, 490):
-        ids = np.arange(500)
-        for q in q_ids[:: 20 if copies > 25 else 1].tolist():
-            rows = np.arange(500 - copies, 500)
-            m2, ids2 = m.copy(), ids.copy()
-            m2[rows], ids2[rows] = m[q], q
-            _, _, row_ids, score = exact_topk._search(ids2, m2, np.zeros(1, np.int64), np.array([q]), m[q : q + 1], 20)
-            want = sorted((-int(m2[i] @ m[q]), int(ids2[i])) for i in range(500) if ids2[i] != q)[:20]
-            assert sorted(zip((-score).tolist(), row_ids.tolist(), strict=True)) == want
+    vec = lambda: [float(x) for x in rng.standard_normal(6).round(2)]
+    same = vec()
+    # the query's id on 30 rows of which 25 are equal, a query row twice, a candidate 30 times, ties
+    rows = [(i, vec()) for i in range(1, 120)] + [(0, same)] * 25 + [(0, vec()) for _ in range(5)] + [(40, vec())] * 2 + [(7, [3.0] * 6)] * 30 + [(i, [3.0] * 6) for i in (200, 201, 203)]
+    df = spark.createDataFrame(rows, "vec_id long, embedding array<double>").repartition(4)
+    got = exact_topk.top_k(df, df.filter("vec_id % 20 = 0"))
+    assert sorted(tuple(r) for r in got.collect()) == _topk_brute(rows)
+
+
+def test_exact_topk_stops_on_proof_only():
+    rng = np.random.default_rng(9)
+    m = rng.integers(-400, 400, (900, 12))
+    m[:300] += 5000  # an outlying group makes the first digits decide
+    ids = np.arange(900)
+    index = exact_topk.Index(ids, np.ones(900, np.int64), m)
+    for q in range(0, 900, 30):
+        got_ids, got = index.search(q, m[q], 20)
+        want = sorted((-int(m[i] @ m[q]), i) for i in range(900) if i != q)[:20]
+        assert list(zip((-got).tolist(), got_ids.tolist(), strict=True)) == want
+    # every component is the sum of its postings' impacts
+    back = np.zeros((24, 900), np.int64)
+    for t, i, r in zip(index.term, index.impact, index.rows, strict=True):
+        back[t, r] += i
+    assert (back[:12].T + m.min(0) == m).all() and (m.max(0) - back[12:].T == m).all()
 
 
 def test_toxicity(spark, docs, rows):
@@ -370,3 +389,18 @@ def test_importance(spark):
     keyed = spark.range(1000).select(F.col("id").alias("doc_id"), (F.col("id") % 10).cast("double").alias("key"))
     for k in (0, 1, 150, 999, 1000, 2000):
         assert importance.top_share(keyed, k).count() == min(k, 1000)
+
+
+STAGES = {"quality": quality_rules.keep, "lines": line_dedup.remove_lines, "near": bag_minhash.one_of_each, "mix": mixing.mixed}
+
+
+@pytest.mark.parametrize("name", list(STAGES))
+def test_stages_carry_all_columns(spark, docs, rows, name):
+    """Nulls, empties, ties and repeated rows with extra columns of clashing names: the same rows as without them."""
+    stage = STAGES[name]
+    odd = docs.withColumnsRenamed({"score": "_id"}).withColumn("id", F.lit(1)).withColumn("gone", F.lit("g")).withColumn("copies", F.lit(2)).withColumn("key", F.lit(0)).withColumn("bag", F.lit(0))
+    plain = spark.createDataFrame([(r[0], r[1], r[2], r[3], r[4]) for r in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    got, want = stage(odd), stage(plain)
+    assert got.columns == odd.columns and want.columns == plain.columns
+    assert Counter((r[0], r[1]) for r in got.collect()) == Counter((r[0], r[1]) for r in want.collect())
+    assert stage(plain.limit(0)).count() == 0
