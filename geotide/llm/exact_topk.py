@@ -1,20 +1,21 @@
 """Exact top-k inner products with an impact-ordered, score-at-a-time index.
 
-Vectors are integers (``floor(scale * x)``).  In a block of candidates each
-dimension is two terms, how far a value lies above the block's smallest and
-below its largest, so all impacts are non-negative, and a query weighs one of
-the two by its magnitude.  A term's values are written in digits to the base
-of 4; a posting segment holds the rows that have a certain digit at a certain
+Vectors are integers (``floor(scale * x)``).  In a block of candidates a
+dimension's term is how far a value lies above the block's smallest, so all
+impacts are non-negative.  A term's values are written in digits to the base
+of 8; a posting segment holds the rows that have a certain digit at a certain
 place, and its quantised impact is what that digit stands for.  The segments
 are built once a block.
 
-A query reads its segments by descending weight times impact and adds that to
-the scores of their rows.  What it hasn't read can add at most the largest
-unread impact of each term and place, so at any time each row has a lower and
-an upper bound; a query stops only when the rows that may still belong to its
-top k are few, and those are rescored exactly.  Nothing is dropped without that
-proof; a query that never gets there has its exact scores when the last
-segment is read.
+Queries come in batches.  A batch reads segments by descending weight (the
+largest of its queries') times impact.  The postings of a run of segments are
+scattered once into the impacts they bring, and each query adds its weights
+times those to its rows' scores.  What a query hasn't read can add or take
+away at most the largest unread impacts of each term and place, so at any
+time each row has a lower and an upper bound.  A
+query stops only when the bounds prove that few rows may still belong to its
+top k, and those are rescored exactly.  Nothing is dropped without that proof;
+a query that never gets there has read every segment.
 """
 
 from __future__ import annotations
@@ -28,7 +29,11 @@ from geotide.llm._frames import project
 
 #: Rows of a candidate block and of a query block, and components of either: bound a task's arrays, whatever the table's size.
 BLOCK_ROWS, QUERY_ROWS, BLOCK_VALUES = 8192, 2048, 1 << 20
-DIGIT_BITS = 2
+DIGIT_BITS = 3
+#: Queries that read segments together.
+BATCH = 256
+#: A query stops once no more than this share of a block's rows may belong to its top k: rescoring them costs less than reading on.
+FEW = 1 / 16
 _PACKED = "dim int, b long, ids binary, body binary, copies binary, q binary"
 _HITS = "q long, query_id long, vec_id long, score long"
 
@@ -42,70 +47,100 @@ def quantised(df: DataFrame, id_col: str, vec_col: str, scale: int) -> DataFrame
 
 
 class Index:
-    """The posting segments of one block of candidates: of each the term, the place of its digit, its impact and its rows."""
+    """The posting segments of one block of candidates: of each the term, its impact and its rows."""
 
     def __init__(self, ids: np.ndarray, copies: np.ndarray, m: np.ndarray):
         self.ids, self.copies, self.m = ids, copies, m
         self.n, self.dim = m.shape
-        self.low, high = m.min(0), m.max(0)
-        terms = np.concatenate([(m - self.low).T, (high - m).T])
-        bits = int(terms.max(initial=0)).bit_length()
-        kind = np.uint16 if self.n <= 1 << 16 else np.uint32
+        self.low = m.min(0)
+        terms = np.ascontiguousarray((m - self.low).T)
+        self.top = terms.max(1, initial=0)
         found, self.rows = [], []
-        for place in range(0, bits, DIGIT_BITS):
+        for place in range(0, int(self.top.max(initial=0)).bit_length(), DIGIT_BITS):
             digits = ((terms >> place) & ((1 << DIGIT_BITS) - 1)).astype(np.uint8)
             for digit in range(1, 1 << DIGIT_BITS):
                 term, row = np.nonzero(digits == digit)
                 at = np.flatnonzero(np.diff(term, prepend=-1))
-                self.rows += np.split(row.astype(kind), at[1:]) if len(at) else []
+                self.rows += np.split(row, at[1:]) if len(at) else []
                 found += [(t, place, digit << place) for t in term[at].tolist()]
         cols = np.array(found, np.int64).reshape(-1, 3)
-        self.term, self.place, self.impact = cols.T
-        # how much less the unread rest of a term and place can add once a segment is read: down to the next smaller digit
-        by = np.lexsort((self.impact, self.place, self.term))
+        self.term, place, self.impact = cols.T
+        # how much less the unread rest of a term and place can weigh once a segment is read: down to the next smaller digit
+        by = np.lexsort((self.impact, place, self.term))
         same = np.zeros(len(by), bool)
-        same[1:] = (self.term[by[1:]] == self.term[by[:-1]]) & (self.place[by[1:]] == self.place[by[:-1]])
+        same[1:] = (self.term[by[1:]] == self.term[by[:-1]]) & (place[by[1:]] == place[by[:-1]])
         self.step = self.impact.copy()
         self.step[by[1:]] -= np.where(same[1:], self.impact[by[:-1]], 0)
 
-    def search(self, query_id: int, q: np.ndarray, k: int) -> tuple[np.ndarray, np.ndarray]:
-        """(ids, scores) of the query's k best here, its own row left out; ties to the smaller id, a repeated row as often as it occurs."""
-        weight = np.concatenate([np.maximum(q, 0), np.maximum(-q, 0)])
-        own = np.flatnonzero(self.ids == query_id)
-        own = own[(self.m[own] == q).all(1)]
-        copies = self.copies
-        if len(own):  # one row: equal rows are one, with their number
-            copies = copies.copy()
-            copies[own] -= 1
-            own = own[copies[own] == 0]
+    def search(self, query_ids: np.ndarray, q: np.ndarray, k: int) -> list[tuple[np.ndarray, np.ndarray]]:
+        """For each query (ids, scores) of its k best here, its own row left out; ties to the smaller id, a repeated row as often as it occurs."""
+        own = [self._own(i, v) for i, v in zip(query_ids.tolist(), q, strict=True)]
+        out: list = [None] * len(q)
+        every = np.arange(self.n)
+
+        def finish(i: int, rows: np.ndarray) -> None:
+            out[i] = self._best(q[i], rows, own[i], k)
+
+        if self.n <= k + 1:
+            for i in range(len(q)):
+                finish(i, every)
+            return out
+        weight = np.abs(q).max(0)
         use = np.flatnonzero(weight[self.term])
-        gain = weight[self.term[use]].astype(np.float64) * self.impact[use]
-        order = np.argsort(-gain, kind="stable")
-        use, gain = use[order], gain[order]
-        unread = np.cumsum((weight[self.term[use]].astype(np.float64) * self.step[use])[::-1])[::-1]  # what all from here on can add
-        slack = 1e-9 * (unread[0] if len(unread) else 0.0) if len(unread) and unread[0] >= 2**53 else 0.0
-        score, done = np.zeros(self.n), 0
-        rows = np.arange(self.n)
-        if self.n - len(own) > k:
-            for part in range(2, 60):
-                if done == len(use):
-                    break
-                # read on until the rest can add only 2**-part of the whole, then look whether that proves the top k
-                end = int(np.searchsorted(-unread, -unread[0] * 0.5**part))
-                if end == done:
-                    continue
-                for s, g in zip(use[done:end].tolist(), gain[done:end].tolist(), strict=True):
-                    score[self.rows[s]] += g
-                done = end
-                rest = (unread[done] if done < len(use) else 0.0) + slack
-                score[own] = -np.inf
-                kth = np.partition(score, self.n - k)[self.n - k]
-                rows = np.flatnonzero(score + rest >= kth)
-                if len(rows) <= 4 * k:
-                    break
-        rows = rows[copies[rows] > 0]
+        use = use[np.argsort(-(weight[self.term[use]] * self.impact[use]), kind="stable")]
+        unread = np.cumsum((weight[self.term[use]].astype(np.float64) * self.step[use])[::-1])[::-1]  # what all from here on weigh
+        kind = np.float32 if float((np.abs(q) @ self.top.astype(np.float64)).max(initial=0)) < 2**24 else np.float64
+        active, done = np.arange(len(q)), 0
+        score, lead, part = np.zeros((len(q), self.n), kind), None, 1
+        while len(active) and done < len(use):
+            # read on until the rest weighs 2**-part of the whole, then look whom that proves
+            part += 1
+            end = max(done + 1, int(np.searchsorted(-unread, -unread[0] * 0.5**part)))
+            # the impacts that these segments' postings bring, once for all queries, then each query's weights
+            brought = np.zeros((self.dim, self.n), kind)
+            for t, x, s in zip(self.term[use[done:end]].tolist(), self.impact[use[done:end]].tolist(), use[done:end].tolist(), strict=True):
+                brought[t, self.rows[s]] += x
+            some = np.flatnonzero(np.bincount(self.term[use[done:end]], minlength=self.dim))
+            score += q[active][:, some].astype(kind) @ brought[some]
+            done = end
+            rest = np.bincount(self.term[use[done:]], self.step[use[done:]], self.dim)
+            adds, takes = np.maximum(q[active], 0) @ rest, np.maximum(-q[active], 0) @ rest
+            last = done == len(use)
+            if not last and ((adds + takes) > 2 * (score.max(1) - score.mean(1))).all():
+                continue  # far from any proof
+            for j, i in enumerate(active.tolist()):
+                if own[i][1]:
+                    score[j, own[i][0]] = -np.inf
+            if lead is None or last:  # rows that lead so far: the smallest of k bounds the k-th of all from below
+                lead = np.argpartition(score, self.n - k, axis=1)[:, self.n - k :]
+            kth = np.take_along_axis(score, lead, 1).min(1).astype(np.float64)
+            slack = 0.0 if kind is np.float32 else 1e-9 * (np.abs(q[active]) @ self.top.astype(np.float64))
+            may = score >= (kth - takes - adds - slack)[:, None]
+            few = (may.sum(1) <= max(4 * k, FEW * self.n)) | last
+            for j in np.flatnonzero(few).tolist():
+                finish(int(active[j]), np.flatnonzero(may[j]))
+            if few.any():
+                active, score, lead = active[~few], score[~few], lead[~few]
+        for i in active.tolist():  # queries of no weight at all
+            finish(i, every)
+        return out
+
+    def _own(self, query_id: int, q: np.ndarray) -> tuple[np.ndarray, bool]:
+        """The row that is the query's own (equal rows are one, with their number), and whether it is the only copy."""
+        at = np.flatnonzero(self.ids == query_id)
+        at = at[(self.m[at] == q).all(1)]
+        return at, bool(len(at)) and bool(self.copies[at[0]] == 1)
+
+    def _best(self, q: np.ndarray, rows: np.ndarray, own: tuple[np.ndarray, bool], k: int) -> tuple[np.ndarray, np.ndarray]:
         exact = self.m[rows] @ q
-        rows, exact = (np.repeat(x, np.minimum(copies[rows], k)) for x in (rows, exact))
+        copies = np.minimum(self.copies[rows] - np.isin(rows, own[0]), k)
+        if len(rows) > 4 * k:  # only what reaches the k-th score, each row counted once
+            some = copies > 0
+            if some.sum() > k:
+                kth = np.partition(exact[some], some.sum() - k)[some.sum() - k]
+                near = some & (exact >= kth)
+                rows, exact, copies = rows[near], exact[near], copies[near]
+        rows, exact = np.repeat(rows, copies), np.repeat(exact, copies)
         best = np.lexsort((self.ids[rows], -exact))[:k]
         return self.ids[rows[best]], exact[best]
 
@@ -121,9 +156,11 @@ def _pair(k: int):
         for r in t.to_pylist():
             m, q = _ints(r["body"], r["dim"]), _ints(r["q_body"], r["dim"])
             index = Index(np.frombuffer(r["ids"], "<i8"), np.frombuffer(r["copies"], "<i8"), m)
-            for query_id, tag, v in zip(np.frombuffer(r["q_ids"], "<i8").tolist(), np.frombuffer(r["q_tag"], "<i8").tolist(), q, strict=True):
-                ids, score = index.search(query_id, v, k)
-                out.append((np.full(len(ids), tag), np.full(len(ids), query_id), ids, score))
+            ids, tags = np.frombuffer(r["q_ids"], "<i8"), np.frombuffer(r["q_tag"], "<i8")
+            for lo in range(0, len(ids), BATCH):
+                found = index.search(ids[lo : lo + BATCH], q[lo : lo + BATCH], k)
+                for query_id, tag, (hit, score) in zip(ids[lo : lo + BATCH].tolist(), tags[lo : lo + BATCH].tolist(), found, strict=True):
+                    out.append((np.full(len(hit), tag), np.full(len(hit), query_id), hit, score))
         return pa.table([pa.array(np.concatenate([x[c] for x in out]), pa.int64()) for c in range(4)], ["q", "query_id", "vec_id", "score"])
 
     return run
