@@ -15,7 +15,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from geotide.llm._frames import documents, durable, project
@@ -48,7 +48,7 @@ def _count(wanted):
         raw, target = np.zeros(2 << BUCKET_BITS, np.int64), np.zeros(2 << BUCKET_BITS, np.int64)
         for b in it:
             x = b["doc_id"].fill_null(0).to_numpy(zero_copy_only=False)
-            good = np.asarray(b["doc_id"].is_valid()) & np.isin(x, ids)
+            good = np.asarray(b["doc_id"].is_valid()) & (ids[np.minimum(np.searchsorted(ids, x), len(ids) - 1)] == x if len(ids) else False)
             for i, j, c in text_chunks(b["text"]):
                 bucket, of = _features(c)
                 raw += np.bincount(bucket, minlength=len(raw))
@@ -96,30 +96,60 @@ def weights(docs: DataFrame, good: DataFrame, seed: int = 29, id_col: str = "doc
     return out.select("doc_id", "log_weight", (F.col("log_weight") + F.col("noise")).alias("key"))
 
 
+def _narrow(rows: DataFrame, value: Column, k: int) -> tuple[DataFrame, DataFrame, int]:
+    """(rows surely among the k of largest ``value``, rows at the border, how many of these to take).
+
+    The border's range is narrowed by histograms of 256 bins until it holds
+    _BIN_ROWS rows at most, or one value.  ``value`` is a double or a decimal.
+    """
+    rows = rows.withColumn("_v", value)
+    span = rows.agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("*").alias("n")).first()
+    lo, hi, n, above = span["lo"], span["hi"], span["n"], 0  # the border lies in [lo, hi]; so many rows are above hi
+    kind = rows.schema["_v"].dataType
+    at = lambda x: F.lit(x).cast(kind)
+    while n > _BIN_ROWS and lo < hi:
+        step = (hi - lo) / 256
+        if lo + step == lo:  # a double's last digits
+            break
+        inside = rows.filter((F.col("_v") >= at(lo)) & (F.col("_v") <= at(hi)))
+        bin_ = F.least(F.floor(((F.col("_v") - at(lo)) / F.lit(step)).cast("double")), F.lit(255)).alias("b")
+        found = sorted(inside.groupBy(bin_).agg(F.min("_v").alias("lo"), F.max("_v").alias("hi"), F.count("*").alias("n")).collect(), key=lambda r: r["lo"], reverse=True)
+        for r in found:
+            if above + r["n"] >= k:
+                lo, hi, n = r["lo"], r["hi"], r["n"]
+                break
+            above += r["n"]
+    sure = rows.filter(F.col("_v") > at(hi)).drop("_v")
+    return sure, rows.filter((F.col("_v") >= at(lo)) & (F.col("_v") <= at(hi))).drop("_v"), k - above
+
+
+def _any(rows: DataFrame, k: int) -> DataFrame:
+    """Any k rows of interchangeable ones: those of the first partitions, of which only numbers of rows are gathered."""
+    number = F.monotonically_increasing_id()
+    tagged = rows.withColumn("_n", number).withColumn("_p", F.shiftright("_n", 33)).withColumn("_n", F.col("_n").bitwiseAND(F.lit(2**33 - 1)))
+    whole = 0
+    for r in sorted(tagged.groupBy("_p").count().collect(), key=lambda r: r["_p"]):
+        if whole + r["count"] >= k:
+            return tagged.filter((F.col("_p") < r["_p"]) | ((F.col("_p") == r["_p"]) & (F.col("_n") < k - whole))).drop("_n", "_p")
+        whole += r["count"]
+    return rows
+
+
 def top_share(keyed: DataFrame, k: int) -> DataFrame:
-    """The k rows of largest ``key``; rows with equal keys at the border are taken by doc_id."""
+    """The k rows of largest ``key``; rows with equal keys at the border are taken by doc_id, equal ones of those in any order."""
     if k <= 0:
         return keyed.limit(0)
-    span = keyed.agg(F.min("key").alias("lo"), F.max("key").alias("hi"), F.count("*").alias("n")).first()
-    if k >= span["n"]:
+    if k >= keyed.count():
         return keyed
-    lo, hi, above = span["lo"], span["hi"], 0  # the border lies in [lo, hi]; so many rows are above hi
-    while True:
-        inside = keyed.filter((F.col("key") >= F.lit(lo)) & (F.col("key") <= F.lit(hi)))
-        edges = np.unique(np.linspace(lo, hi, 257))
-        if len(edges) < 3 or inside.count() <= _BIN_ROWS:
-            break
-        step = (hi - lo) / 256
-        bins = {r["b"]: (r["n"], r["lo"], r["hi"]) for r in inside.groupBy(F.least(F.floor((F.col("key") - lo) / step), F.lit(255)).alias("b")).agg(F.count("*").alias("n"), F.min("key").alias("lo"), F.max("key").alias("hi")).collect()}
-        for b in sorted(bins, reverse=True):
-            n, b_lo, b_hi = bins[b]
-            if above + n >= k:
-                lo, hi = b_lo, b_hi
-                break
-            above += n
+    sure, border, k = _narrow(keyed, F.col("key"), k)
+    if border.limit(_BIN_ROWS + 1).count() > _BIN_ROWS:  # one key: a text that is repeated very often
+        by_id = -F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(2**64).cast("decimal(38,0)"))
+        more, border, k = _narrow(border, by_id, k)
+        sure = sure.unionByName(more)
+        if border.limit(_BIN_ROWS + 1).count() > _BIN_ROWS:
+            return sure.unionByName(_any(border, k))
     place = F.row_number().over(Window.orderBy(F.col("key").desc(), F.col("doc_id").asc_nulls_last()))
-    border = inside.withColumn("_p", place).filter(F.col("_p") <= k - above).drop("_p")
-    return keyed.filter(F.col("key") > F.lit(hi)).unionByName(border)
+    return sure.unionByName(border.withColumn("_p", place).filter(F.col("_p") <= k).drop("_p"))
 
 
 def resample(docs: DataFrame, labels: DataFrame, share: float = SHARE, seed: int = 29) -> DataFrame:
@@ -128,7 +158,9 @@ def resample(docs: DataFrame, labels: DataFrame, share: float = SHARE, seed: int
     Takes ceil(share * rows) rows.  Null and empty texts have weight 1 and
     take part; a repeated row is a row; labels that are null or of unknown ids
     are ignored, of several labels of an id the smaller counts; without any
-    good label all weights are equal to the smoothing's.  Reruns agree.
+    good label all weights are equal to the smoothing's.  Long texts count
+    whole; extra columns, with any names, are ignored; an empty table gives no
+    rows.  Reruns agree.
     """
     good = project(labels, {"doc_id": "doc_id", "quality": "quality"}).groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1 and doc_id is not null").select(F.col("doc_id").cast("long").alias("doc_id"))
     keyed = durable(weights(docs, good, seed))
