@@ -86,7 +86,7 @@ def _anchors(c: Chunk) -> tuple[np.ndarray, ...]:
     ctx = mix((m - a).astype(np.uint64) * np.uint64(256) + (b - a).astype(np.uint64))
     for at in (*(a + k for k in range(0, WINDOW - 8, 8)), *(b + WINDOW - k for k in range(8, REACH + 15, 8))):
         ctx = mix(ctx * _ODD[0] + eight[at])
-    return h[m], ctx, a, b
+    return mix(h[m]), ctx, a, b  # smallest hashes crowd at the low end; buckets are ranges of even ones
 
 
 def _ordered(first: np.ndarray, second: np.ndarray) -> np.ndarray:
@@ -264,7 +264,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     def block_of(ids: pd.Series) -> pd.Series:
         return pd.Series(np.searchsorted(cuts, ids.fillna(0).astype("int64"), "left").astype("int32"))
 
-    d = d.withColumn("block", block_of("doc_id"))
+    anywhere = F.pmod(F.xxhash64("text"), F.lit(n_blocks)).cast("int")  # rows without an id take no part
+    d = d.withColumn("block", F.when(F.col("doc_id").isNull(), anywhere).otherwise(block_of("doc_id")))
     first_digit, last_digit = (5, 6), (5, 5)
 
     def digits(table: pa.Table) -> pa.Table:
