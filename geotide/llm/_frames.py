@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import functools
 import tempfile
 import uuid
 from collections.abc import Mapping
@@ -41,14 +42,20 @@ def by_position(df: DataFrame, *want: str) -> tuple[DataFrame, list[str]]:
 
 
 def shared_folder(spark: SparkSession) -> str:
-    """The folder that driver and executors share: spark.checkpoint.dir, else (single machine) a temporary one."""
+    """The folder that driver and executors share: spark.checkpoint.dir; where it is unset, and all run in one process, a temporary one."""
     folder = spark.conf.get("spark.checkpoint.dir", None)
     if not folder:
-        folder = "file://" + tempfile.mkdtemp(prefix="corpus-")
-        spark.conf.set("spark.checkpoint.dir", folder)
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        folder = _temporary()
     return folder.rstrip("/")
 
 
+@functools.cache
+def _temporary() -> str:
+    return "file://" + tempfile.mkdtemp(prefix="corpus-")
+
+
 def durable(df: DataFrame) -> DataFrame:
     """``df`` written as Parquet to the shared folder and read back: later plans start from files that outlive executors."""
     spark = df.sparkSession

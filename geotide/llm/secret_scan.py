@@ -38,8 +38,6 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 NEXT_LINES = re.compile(r"(?:[ \t]*(?:\r\n?|\n)[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
 BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 PERCENT_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPED = re.compile(r"[^\s\\]*(?:\\u[0-9A-Fa-f]{4}[^\s\\]*|\\x[0-9A-Fa-f]{2}[^\s\\]*|\\U[0-9A-Fa-f]{8}[^\s\\]*)+")
 ESCAPE = re.compile(r"((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
 #: Bytes as source code writes them: the hexadecimal, octal and short escapes.
 BYTE_ESCAPE = re.compile(r"""\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([0-3][0-7]{2}|[0-7]{1,2})|([abefnrtv\\'"/]))""")
@@ -460,8 +458,11 @@ def secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row for each input row: counts and digest of the secrets written out, and the spans of all that decoding shows.
 
     Offsets are code points, end exclusive.  A null text is empty and yields
-    no spans; repeated rows give repeated results; other columns are ignored.
-    Rows are independent, the plan has no exchange.
+    no spans; repeated rows give repeated results, ties (spans at one place)
+    come in the order of the kinds; other columns, with any names, are
+    ignored; an empty table gives no rows.  Long texts are scanned whole in
+    time that grows with their length, and compressed pieces in windows, so a
+    bomb takes time but not memory.  Rows are independent, the plan has no exchange.
     """
     return documents(docs, id_col, text_col).mapInArrow(_batches, SCHEMA)
 
