@@ -344,16 +344,21 @@ def test_exact_topk_stops_on_proof_only():
     m = rng.integers(-400, 400, (900, 12))
     m[:300] += 5000  # an outlying group makes the first digits decide
     ids = np.arange(900)
-    index = exact_topk.Index(ids, np.ones(900, np.int64), m)
-    for q in range(0, 900, 30):
-        got_ids, got = index.search(q, m[q], 20)
-        want = sorted((-int(m[i] @ m[q]), i) for i in range(900) if i != q)[:20]
+    copies = np.ones(900, np.int64)
+    copies[[3, 30]] = 2
+    index = exact_topk.Index(ids, copies, m)
+    asked = np.arange(0, 900, 30)
+    rows = [(i, r) for r, i in enumerate(ids.tolist()) for _ in range(copies[r])]
+    for got_ids, got, q in [(*x, q) for x, q in zip(index.search(asked, m[asked], 20), asked.tolist(), strict=True)]:
+        others = list(rows)
+        others.remove((q, q))
+        want = sorted((-int(m[r] @ m[q]), i) for i, r in others)[:20]
         assert list(zip((-got).tolist(), got_ids.tolist(), strict=True)) == want
     # every component is the sum of its postings' impacts
-    back = np.zeros((24, 900), np.int64)
+    back = np.zeros((12, 900), np.int64)
     for t, i, r in zip(index.term, index.impact, index.rows, strict=True):
         back[t, r] += i
-    assert (back[:12].T + m.min(0) == m).all() and (m.max(0) - back[12:].T == m).all()
+    assert (back.T + m.min(0) == m).all()
 
 
 def test_toxicity(spark, docs, rows):
@@ -386,9 +391,245 @@ def test_importance(spark):
     kept = {r["doc_id"] for r in got.collect()}
     assert len(kept) == 702 and sum(i % 5 == 0 for i in kept if i < 1000) < 20
     assert {r["doc_id"] for r in importance.resample(df, labels, 0.7).collect()} == kept
+
+
+def test_importance_brute_force(spark, docs, rows):
+    """The two models, the weights and the sample, from the features of single texts."""
+    import pyarrow as pa
+
+    from geotide.llm._text import text_chunks
+
+    labels = [(d, d % 2) for d in range(60)] + [(61, None), (999, 1), (4, 1)]
+    good = {d for d, q in labels if q == 1 and d != 4}  # of two labels the smaller counts
+    features = []
+    for _, t, *_ in rows:
+        [(_, _, c)] = text_chunks(pa.array([t], pa.string()))
+        features.append(Counter(importance._features(c)[0].tolist()))
+    half = 1 << importance.BUCKET_BITS
+    total = [[Counter(), Counter()], [Counter(), Counter()]]
+    for (d, *_), f in zip(rows, features, strict=True):
+        for bucket, n in f.items():
+            total[bucket >= half][0][bucket] += n
+            total[bucket >= half][1][bucket] += n * (d in good)
+    want = []
+    for (d, *_), f in zip(rows, features, strict=True):
+        w = 0.0
+        for bucket, n in f.items():
+            raw, target = total[bucket >= half]
+            w += n * np.log((target[bucket] * raw.total() / target.total() + 1) / (raw[bucket] + 1))
+        want.append((d, w))
+    known = spark.createDataFrame(labels, "doc_id long, quality int")
+    ids = known.groupBy("doc_id").agg(F.min("quality").alias("q")).filter("q = 1").select("doc_id")
+    weighed = importance.weights(docs, ids).collect()
+    got = sorted(((r["doc_id"], r["log_weight"]) for r in weighed), key=str)
+    assert [d for d, _ in got] == [d for d, _ in sorted(want, key=str)]
+    assert np.allclose(sorted(w for _, w in got), sorted(w for _, w in want))
+    kept = importance.resample(docs, known, 0.6).collect()
+    keys = sorted((r["key"] for r in weighed), reverse=True)
+    assert sorted((r["key"] for r in kept), reverse=True) == keys[: -(-6 * len(rows) // 10)]
+    assert importance.resample(docs.limit(0), known).count() == 0
+
+
+def test_top_share_with_ties(spark, monkeypatch):
     keyed = spark.range(1000).select(F.col("id").alias("doc_id"), (F.col("id") % 10).cast("double").alias("key"))
-    for k in (0, 1, 150, 999, 1000, 2000):
-        assert importance.top_share(keyed, k).count() == min(k, 1000)
+    order = sorted(range(1000), key=lambda i: (-(i % 10), i))
+    for most in (5000, 20):
+        monkeypatch.setattr(importance, "_BIN_ROWS", most)
+        for k in (0, 1, 150, 999, 1000, 2000):
+            assert sorted(r["doc_id"] for r in importance.top_share(keyed, k).collect()) == sorted(order[:k])
+    same = spark.range(300).select(F.when(F.col("id") < 200, 7).otherwise(F.col("id")).cast("long").alias("doc_id"), F.lit(1.5).alias("key")).repartition(5)
+    for k in (1, 57, 199, 200, 201, 260):
+        got = Counter(r["doc_id"] for r in importance.top_share(same, k).collect())
+        assert got[7] == min(k, 200) and got.total() == k and max(got, default=0) == (7 if k <= 200 else k - 1)
+
+
+def test_kneser_ney_brute_force():
+    """Every n-gram's and context's ratio by the textbook formulas over dictionaries."""
+    rng = random.Random(12)
+    words = ["".join(rng.choice("abcé") for _ in range(rng.randrange(1, 7))) for _ in range(60)]
+    counts = [Counter(), Counter()]
+    for c in (0, 1):
+        for w in rng.choices(words, k=150):
+            raw = b"\x01" * 4 + w.encode() + b"\x02"
+            for i in range(len(raw) - 4):
+                counts[c][raw[i : i + 5]] += 1
+    grams = sorted(set(counts[0]) | set(counts[1]))
+    suffixes = {k: {g[-k:] for g in grams} for k in range(1, 6)}
+
+    def lower(x):
+        if not x:
+            return 1 / 256
+        k = len(x)
+        n = Counter(y[-k:] for y in suffixes[k + 1])
+        beside = [y for y in suffixes[k] if y[:-1] == x[:-1]]
+        total = sum(n[y] for y in beside)
+        d = toxicity.DISCOUNT
+        return max(n[x] - d, 0) / total + d * len(beside) / total * lower(x[1:])
+
+    def ratio(g):
+        beside = [y for y in grams if y[:-1] == g[:-1]]
+        pooled = {y: counts[0][y] + counts[1][y] for y in beside}
+        d, total = toxicity.DISCOUNT, sum(pooled.values())
+        p = max(pooled[g] - d, 0) / total + d * len(beside) / total * lower(g[1:])
+        logs, backs = [], []
+        for c in counts:
+            own = sum(c[y] for y in beside)
+            back = (sum(min(c[y], toxicity.CLASS_DISCOUNT) for y in beside) + toxicity.CLASS_BACKOFF) / (own + toxicity.CLASS_BACKOFF)
+            logs.append(np.log(max(c[g] - toxicity.CLASS_DISCOUNT, 0) / (own + toxicity.CLASS_BACKOFF) + back * p))
+            backs.append(np.log(back))
+        return logs[1] - logs[0], backs[1] - backs[0]
+
+    number = lambda g: int.from_bytes(g, "big")
+    model = toxicity._kneser_ney(np.array([number(g) for g in grams]), np.array([counts[1][g] for g in grams]), np.array([counts[0][g] for g in grams]))
+    llr = dict(zip(model["keys"].tolist(), model["llr"].tolist(), strict=True))
+    back = dict(zip(model["contexts"].tolist(), model["back"].tolist(), strict=True))
+    for g in grams:
+        a, b = ratio(g)
+        assert abs(llr[number(g)] - a) < 1e-9 and abs(back[number(g[:-1])] - b) < 1e-9
+
+
+def test_toxic_evidence_brute_force(rows):
+    import pyarrow as pa
+
+    token = re.compile(rb"(?:[0-9A-Za-z]|[\x80-\xff])+")
+    texts = [r[1] for r in rows]
+    rng = np.random.default_rng(2)
+    seen = sorted({b"\x01" * 4 + w.lower() + b"\x02" for t in texts for w in token.findall((t or "").encode())})
+    grams = sorted({w[i : i + 5] for w in seen for i in range(len(w) - 4)})[::2]
+    keys = np.array([int.from_bytes(g, "big") for g in grams])
+    contexts = np.unique(keys >> 8)
+    model = {"keys": keys, "llr": rng.normal(size=len(keys)), "contexts": contexts, "back": rng.normal(size=len(contexts))}
+    llr, back = dict(zip(keys.tolist(), model["llr"], strict=True)), dict(zip(contexts.tolist(), model["back"], strict=True))
+
+    def word(w):
+        raw, out = b"\x01" * 4 + w.lower() + b"\x02", 0.0
+        for i in range(len(raw) - 4):
+            g = int.from_bytes(raw[i : i + 5], "big")
+            out += llr[g] if g in llr else back.get(g >> 8, 0.0)
+        return out
+
+    got = toxicity._evidence(model, pa.array(texts, pa.string()))
+    for t, x in zip(texts, got, strict=True):
+        r = [word(w) for w in token.findall((t or "").encode())]
+        if not r:
+            assert not x.any()
+            continue
+        k, top = toxicity.WINDOW_WORDS, int(np.ceil(toxicity.TOP_WORDS * len(r)))
+        windows = [sum(r[i : i + k]) / k for i in range(max(len(r) - k, 0) + 1)]
+        assert np.allclose(x, [np.mean(r), max(windows), np.mean(sorted(r, reverse=True)[:top]), np.log(len(r))], atol=1e-9)
+
+
+def test_repetition_coverage_brute_force(docs, rows):
+    """The method's own columns and the verdict."""
+    want = {}
+    for d, t, *_ in rows:
+        words, lines, seen, dup_line = WORD.findall(t or ""), (t or "").split("\n"), set(), 0
+        for line in lines:
+            if WORD.search(line):
+                dup_line += sum(map(len, WORD.findall(line))) if line in seen else 0
+                seen.add(line)
+        row, covered3 = {"dup_line_chars": dup_line}, set()
+        for n in (3, *quality_rules.GRAM_LIMITS):
+            grams = [tuple(words[i : i + n]) for i in range(len(words) - n + 1)]
+            count = Counter(grams)
+            inside = {j for i, g in enumerate(grams) if count[g] > 1 for j in range(i, i + n)}
+            if n == 3:
+                covered3 = inside
+            else:
+                row[f"dup_chars_{n}"] = sum(len(words[j]) for j in inside)
+        chars = sum(map(len, words))
+        base = len(words) < 50 or 100 * len(covered3) > 50 * len(words)
+        symbols = sum(c in "#*$%&|<>" for c in t or "")
+        bad = symbols > quality_rules.SYMBOL_LIMIT * len(words) or dup_line > quality_rules.LINE_LIMIT * chars
+        bad = bad or any(row[f"dup_chars_{n}"] > most * chars for n, most in quality_rules.GRAM_LIMITS.items())
+        want.setdefault(d, []).append({**row, "base_failed": base, "kept": not base and not bad})
+    for r in quality_rules.verdicts(quality_rules.measure(docs)).collect():
+        assert any(all(r[k] == v for k, v in w.items()) for w in want[r["doc_id"]]), r
+
+
+def test_base_secrets_brute_force(spark, docs, rows):
+    assign = re.compile(r"""(?P<k>password|passwd|secret|token|api_?key)["']?\x20*[:=]\x20*["']?(?P<v>[A-Za-z0-9+/_.=-]+)""", re.I | re.A)
+    texts = [(r[0], r[1]) for r in rows]
+    texts += [(i, t) for i, t in enumerate(["API_KEY='abcdefghijkl' apikey: abcdefghijkl0 token=short", "AKIA" + "B" * 14 + "AKIA" + "C" * 13, "0" * 15 + "g" + "a" * 16, "passwd  =  \"x1234567890ab\"", "ſecret=abcdefghijklm", "é" * 5 + "secret=abcdefghijklm"], 300)]
+    tables = "/root/testdata/sf0.001/documents.parquet"
+    import os
+
+    if os.path.exists(tables):
+        texts += [(r["doc_id"] + 1000, r["text"]) for r in spark.read.parquet(tables).collect()]
+    want = []
+    for d, t in texts:
+        found = [("assign", *m.span()) for m in assign.finditer(t or "") if len(m["v"]) >= 12]
+        found += [("access", *m.span()) for m in re.finditer("AKIA[A-Z0-9]+", t or "") if len(m[0]) >= 18]
+        found += [("hex", *m.span()) for m in re.finditer("[0-9a-f]+", t or "") if len(m[0]) >= 16]
+        n = Counter(k for k, *_ in found)
+        order = sorted(found, key=lambda x: (x[1], ("assign", "access", "hex").index(x[0])))
+        text = ",".join(f"{k}:{a}:{b}" for k, a, b in order)
+        want.append((d, n["assign"], n["access"], n["hex"], hashlib.sha256(text.encode()).hexdigest()))
+    got = secret_scan.secrets(spark.createDataFrame(texts, "doc_id long, text string"))
+    assert as_rows(got.select("doc_id", "n_assign", "n_access", "n_hex", "base_sha256")) == sorted(want, key=str)
+    for r in got.collect():  # the method adds spans, the base ones stay
+        assert len((r["spans"] or "").split(",")) >= r["n_assign"] + r["n_access"] + r["n_hex"]
+
+
+def test_secret_scan_is_linear():
+    import time
+
+    for text in ("x" * 1_000_000 + " %41", "x" * 1_000_000 + "\\u0041", "%41" * 200_000, "a\n" * 300_000, "\\" * 500_000, "token" * 100_000 + " " * 500_000 + "=", ("A" * 15 + "\n") * 40_000):
+        t = time.perf_counter()
+        secret_scan.scan(text)
+        assert time.perf_counter() - t < 20, text[:20]
+
+
+def test_registered_queries_on_the_smallest_tables(spark):
+    """op1 to op10 as registered: a row (or its place) for each document, and reruns that agree."""
+    import os
+
+    from geotide.llm import queries
+
+    tables = "/root/testdata/sf0.001"
+    if not os.path.isdir(tables):
+        pytest.skip("no driver tables here")
+    ids = sorted(r["doc_id"] for r in spark.read.parquet(f"{tables}/documents.parquet").select("doc_id").collect())
+    for name, run in queries.queries().items():
+        got = as_rows(run(spark, tables))
+        assert got == as_rows(run(spark, tables)), name
+        if name.startswith(("op1_", "op2", "op3", "op6", "op7", "op8", "op9", "op10")):
+            assert sorted(r["doc_id"] for r in run(spark, tables).select("doc_id").collect()) == ids, name
+
+
+def test_line_dedup_columns(spark):
+    base = [f"w{i}" for i in range(20)]
+    a, b = " ".join(base), " ".join([*base[:-1], "other"])
+    rows = [(1, f"{a}\n\nx y"), (2, f"{a}\n{b}\nnew words"), (3, " ".join(reversed(base))), (4, None), (5, "")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    found = {r["doc_id"]: r for r in line_dedup.summaries(docs).collect()}
+    assert (found[2]["n_equal"] + found[2]["n_similar"], [g["line_no"] for g in found[2]["gone"]]) == (2, [0, 1]) and [g["line_no"] for g in found[3]["gone"]] == [0] and set(found) == {2, 3}
+
+
+def test_hot_lines_are_settled_apart(spark, monkeypatch):
+    monkeypatch.setattr(line_dedup, "HOT_LEAST", 3)
+    monkeypatch.setattr(line_dedup, "HOT_SHARE", 0.0)
+    rng = random.Random(5)
+    words = [f"w{i}" for i in range(30)]
+    near = [" ".join(words[:20] + [x]) for x in ("p", "q")]
+    rows = []
+    for i in range(60):
+        own = [" ".join(rng.choices(words, k=8)), near[i % 2], "a b c d", "a b c d"]
+        rng.shuffle(own)
+        rows.append((i // 2 if i < 10 else i, "\n".join(own)))
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    lines = [(d, n, frozenset(x.split())) for d, t in rows for n, x in enumerate(t.split("\n"))]
+    gone = {(d, n, w) for d, n, w in lines if any((e, m) < (d, n) and 9 * len(v & w) >= 4 * (len(v) + len(w)) for e, m, v in lines)}
+    texts = {}
+    for d, t in rows:
+        texts.setdefault(d, []).append(t.split("\n"))
+    got = {(r["doc_id"], r["line_no"]) for r in line_dedup.decisions(docs).collect()}
+    assert got == {(d, n) for d, n, _ in gone}
+
+
+def test_remove_repeats_with_text(docs, rows):
+    for r in substring_dedup.remove_repeats(docs, with_text=True).collect():
+        assert hashlib.sha256(bytes(r["kept"])).hexdigest() == r["kept_sha256"] and len(r["kept"]) == r["n_bytes"] - r["n_removed"]
 
 
 STAGES = {"quality": quality_rules.keep, "lines": line_dedup.remove_lines, "near": bag_minhash.one_of_each, "mix": mixing.mixed}
