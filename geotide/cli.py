@@ -3,25 +3,60 @@
 from __future__ import annotations
 
 import argparse
+import signal
 import sys
+import threading
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-VERSION = "0.1.0"
-STREAMS = ("aircraft", "vessel", "satellite", "bgp")
+from geotide.operators import dims
+from geotide.sources import files, mmdb
+from geotide.sources.bus import BusSink
+from geotide.streaming import apps, pipelines, supervise
 
+VERSION = "0.2.0"
+IMAGES = ["image_url", "image_attribution"]
+KEYS = {"aircraft": "icao24", "satellite": "sat_key"}
 
-def refresh(spark: SparkSession, kind: str, path: str, out: str | None) -> dict[str, int]:
-    """Loads a dimension file; without ``out`` it only parses and counts (a dry run)."""
-    from pyspark.sql import functions as F
 
-    from geotide.sources import files
+def dimension(spark: SparkSession, kind: str, out: str) -> DataFrame:
+    """What readers of a refreshed dimension see: of each key the newest row."""
+    return dims.newest_version(spark.read.parquet(out), [KEYS[kind]], "updated_at")
+
+
+def refresh(spark: SparkSession, kind: str, path: str, out: str | None) -> dict[str, int]:
+    """Appends a dimension file to the table ``out`` and counts; without ``out`` it only parses and counts (a dry run).
 
+    Aircraft keep the images that earlier rows of the table have, since the
+    files know none.
+    """
+    lines = spark.read.text(path).filter(F.trim("value") != "").count() - 1
     rows = files.read_aircraft(spark, path) if kind == "aircraft" else files.read_satellites(spark, path)
-    rows = rows.withColumn("updated_at", F.current_timestamp())
+    if kind == "aircraft":
+        known = dimension(spark, kind, out) if out and pipelines.exists(spark, out) else None
+        rows = dims.carry_forward(rows, known, "icao24", IMAGES) if known is not None else rows.withColumns(dict.fromkeys(IMAGES, F.lit("")))
+    parsed = rows.count()
     if out:
-        rows.write.mode("append").parquet(out)
-    return {"rows": rows.count()}
+        rows.withColumn("updated_at", F.current_timestamp()).write.mode("append").parquet(out)
+    return {"parsed": parsed, "skipped": lines - parsed, "flushed": parsed if out else 0}
+
+
+def stream(spark: SparkSession, args: argparse.Namespace) -> int:
+    """Runs a service over a folder of JSON lines with ``body`` until it is stopped, restarting it when it fails."""
+    apps.known_kind(args.kind)
+    spark.dataSource.register(BusSink)
+    bodies = spark.readStream.schema("body string").option("maxFilesPerTrigger", 100).json(args.input)
+    common = (bodies, args.source or args.kind, args.store, args.checkpoints)
+    if args.kind == "bgp":
+        cities, holders = (mmdb.read(spark, p, c)[0].persist() for p, c in ((args.city_db, mmdb.CITY), (args.asn_db, mmdb.HOLDER)))
+        start = lambda: apps.start_routing(spark, *common, cities, holders, bus=args.bus, once=args.once)[0]
+    else:
+        start = lambda: apps.start_telemetry(spark, args.kind, *common, bus=args.bus, once=args.once)[0]
+    stop = threading.Event()
+    signal.signal(signal.SIGTERM, lambda *_: stop.set())
+    supervise.keep_running(lambda: apps.Together(start()), stop, on_error=lambda e, wait: print(f"{args.kind}: {e}; again in {wait:.0f} s", file=sys.stderr))
+    return 0
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -36,6 +71,14 @@ def main(argv: list[str] | None = None) -> int:
     ref.add_argument("kind", choices=["aircraft", "satellite"])
     ref.add_argument("path")
     ref.add_argument("--out")
+    srv = sub.add_parser("stream", help="run a service")
+    srv.add_argument("kind")
+    srv.add_argument("input")
+    srv.add_argument("--store", required=True)
+    srv.add_argument("--checkpoints", required=True)
+    for name in ("--source", "--bus", "--city-db", "--asn-db"):
+        srv.add_argument(name, default=None)
+    srv.add_argument("--once", action="store_true")
     args = parser.parse_args(argv)
     if args.command == "version":
         print(VERSION)
@@ -44,6 +87,8 @@ def main(argv: list[str] | None = None) -> int:
     if args.command == "refresh":
         print(refresh(spark, args.kind, args.path, args.out))
         return 0
+    if args.command == "stream":
+        return stream(spark, args)
     from geotide.plans import catalog
 
     if args.name not in catalog.QUERIES:

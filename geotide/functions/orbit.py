@@ -1,9 +1,8 @@
 """Orbit functions: element-derived parameters as expressions, and an SGP4 kernel.
 
-The kernel is the near-earth part of the simplified general perturbations
-model (Hoots and Roehrich, Spacetrack Report 3; Vallado and others, AIAA
-2006-6753) over numpy arrays.  Orbits of 225 minutes and more need the
-deep-space part, which isn't here: such rows get null positions.
+The kernel is the simplified general perturbations model (Hoots and Roehrich,
+Spacetrack Report 3; Vallado and others, AIAA 2006-6753) over numpy arrays.
+Orbits of 225 minutes and more take its deep-space part (``deep_space``).
 """
 
 from __future__ import annotations
@@ -14,6 +13,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from geotide import codes
+from geotide.functions.deep_space import DeepSpace
 from geotide.schemas import struct
 
 
@@ -72,8 +72,12 @@ _XKE = 60.0 / np.sqrt(_RE**3 / _MU)
 _J2, _J3, _J4 = 0.001082616, -0.00000253881, -0.00000165597
 
 
-def sgp4(n_rev: np.ndarray, e: np.ndarray, incl: np.ndarray, node: np.ndarray, argp: np.ndarray, mean: np.ndarray, bstar: np.ndarray, minutes: np.ndarray) -> np.ndarray:
-    """Inertial positions (3 x n, km) so many minutes after epoch; nan for deep-space or decayed orbits.  Angles in degrees, n in rev/day."""
+def sgp4(n_rev: np.ndarray, e: np.ndarray, incl: np.ndarray, node: np.ndarray, argp: np.ndarray, mean: np.ndarray, bstar: np.ndarray, minutes: np.ndarray, since_1950: np.ndarray | None = None) -> np.ndarray:
+    """Inertial positions (3 x n, km) so many minutes after epoch; nan for decayed orbits.  Angles in degrees, n in rev/day.
+
+    ``since_1950``: the epochs in days since 1949-12-31, which deep-space
+    orbits need for the places of Sun and Moon; without them they are nan.
+    """
     with np.errstate(all="ignore"):
         i0, om, w0, m0 = (np.radians(np.asarray(x, float)) for x in (incl, node, argp, mean))
         n0, e0, b = np.asarray(n_rev, float) * 2 * np.pi / 1440, np.asarray(e, float), np.asarray(bstar, float)
@@ -92,7 +96,7 @@ def sgp4(n_rev: np.ndarray, e: np.ndarray, incl: np.ndarray, node: np.ndarray, a
         perigee = (a * (1 - e0) - 1) * _RE
         s = np.where(perigee < 98, 20.0, np.where(perigee < 156, perigee - 78, 78.0)) / _RE + 1
         q4 = ((120 - (s - 1) * _RE) / _RE) ** 4
-        simple = perigee < 220
+        simple = (perigee < 220) | deep
         xi = 1 / (a - s)
         eta = a * e0 * xi
         eta_sq, psi = eta**2, np.abs(1 - eta**2)
@@ -142,13 +146,26 @@ def sgp4(n_rev: np.ndarray, e: np.ndarray, incl: np.ndarray, node: np.ndarray, a
         temp_a = np.where(full, temp_a - d2 * t**2 - d3 * t**3 - d4 * t**4, temp_a)
         temp_e = np.where(full, temp_e + b * c5 * (np.sin(m) - sin_m0), temp_e)
         temp_l = np.where(full, temp_l + t3 * t**3 + t**4 * (t4 + t * t5), temp_l)
-        am = (_XKE / n) ** (2 / 3) * temp_a**2
-        nm = _XKE / am**1.5
-        em = np.maximum(e0 - temp_e, 1e-6)
+        n_t, e_t, i_t = n.copy(), e0.copy(), i0.copy()
+        far, at = None, np.flatnonzero(deep & np.isfinite(n) & (e0 < 1)) if since_1950 is not None else np.zeros(0, int)
+        if len(at):
+            far = DeepSpace(n[at], e0[at], i0[at], om[at], w0[at], m0[at], np.asarray(since_1950, float)[at], m_dot[at], w_dot[at], node_dot[at], _XKE)
+            n_t[at], e_t[at], i_t[at], w[at], node_t[at], m[at] = far.secular(t[at], e0[at], i0[at], w[at], node_t[at], m[at])
+        am = (_XKE / n_t) ** (2 / 3) * temp_a**2
+        em = np.maximum(e_t - temp_e, 1e-6)
         m = m + n * temp_l
         lon = m + w + node_t
         node_t, w = np.mod(node_t, 2 * np.pi), np.mod(w, 2 * np.pi)
         m = np.mod(np.mod(lon, 2 * np.pi) - w - node_t, 2 * np.pi)
+        if far is not None:
+            em[at], i_t[at], w[at], node_t[at], m[at] = far.periodics(t[at], em[at], i_t[at], w[at], node_t[at], m[at])
+            back = i_t < 0
+            i_t, node_t, w = np.where(back, -i_t, i_t), np.where(back, node_t + np.pi, node_t), np.where(back, w - np.pi, w)
+            # what depends on the inclination, which has moved
+            cos_i, sin_i = np.cos(i_t), np.sin(i_t)
+            con41, x1mth2, x7 = 3 * cos_i**2 - 1, 1 - cos_i**2, 7 * cos_i**2 - 1
+            ay = -0.5 * (_J3 / _J2) * sin_i
+            xl = -0.25 * (_J3 / _J2) * sin_i * (3 + 5 * cos_i) / np.where(np.abs(cos_i + 1) > 1.5e-12, 1 + cos_i, 1.5e-12)
         # long-period periodics, Kepler's equation
         axn = em * np.cos(w)
         p = 1 / (am * (1 - em**2))
@@ -173,11 +190,13 @@ def sgp4(n_rev: np.ndarray, e: np.ndarray, incl: np.ndarray, node: np.ndarray, a
         mr = r * (1 - 1.5 * t2 * beta_l * con41) + 0.5 * t1 * x1mth2 * cos2
         su = su - 0.25 * t2 * x7 * sin2
         xn = node_t + 1.5 * t2 * cos_i * sin2
-        xinc = i0 + 1.5 * t2 * cos_i * sin_i * cos2
+        xinc = i_t + 1.5 * t2 * cos_i * sin_i * cos2
         x = np.cos(xn) * np.cos(su) - np.sin(xn) * np.cos(xinc) * np.sin(su)
         y = np.sin(xn) * np.cos(su) + np.cos(xn) * np.cos(xinc) * np.sin(su)
         z = np.sin(xinc) * np.sin(su)
-        bad = deep | ~(pl > 0) | ~(em < 1) | (mr < 1)
+        known = ~deep
+        known[at] = True
+        bad = ~known | ~(pl > 0) | ~(em < 1) | ~(em >= 0) | (mr < 1)
         return np.where(bad, np.nan, _RE * mr * np.stack([x, y, z]))
 
 
@@ -200,7 +219,7 @@ def geodetic(xyz: np.ndarray, unix_seconds: np.ndarray) -> tuple[np.ndarray, np.
 @F.pandas_udf(struct("lat double, lon double, alt_km double"))
 def propagate(n: pd.Series, e: pd.Series, incl: pd.Series, node: pd.Series, argp: pd.Series, mean: pd.Series, bstar: pd.Series, epoch_ms: pd.Series, at_ms: pd.Series) -> pd.DataFrame:
     """Geodetic position of each element set at a time; null where the kernel doesn't apply."""
-    xyz = sgp4(n, e, incl, node, argp, mean, bstar, (at_ms - epoch_ms) / 60000.0)
+    xyz = sgp4(n, e, incl, node, argp, mean, bstar, (at_ms - epoch_ms) / 60000.0, epoch_ms / 86_400_000.0 + 7306.0)
     lat, lon, alt = geodetic(xyz, at_ms / 1000.0)
     out = pd.DataFrame({"lat": lat, "lon": lon, "alt_km": alt})
     return out.where(out.notna(), None)

@@ -2,14 +2,13 @@
 
 from __future__ import annotations
 
-from decimal import Decimal
-
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 from geotide import codes
 
-_FNV_BASIS, _FNV_PRIME, _U64 = Decimal(14695981039346656037), 1099511628211, Decimal(2**64)
+#: Fixed value: what 64-bit FNV-1a starts from.
+_FNV_BASIS = 14695981039346656037
 
 
 def scale_degrees(deg: Column) -> Column:
@@ -85,25 +84,34 @@ def wrap(x: Column, bits: int) -> Column:
     return F.pmod(x.cast("long"), F.lit(2**bits))
 
 
+def _utf8(text: Column) -> Column:
+    """The UTF-8 bytes as array<long>; ASCII text, where characters are bytes, goes the short way."""
+    none, n = F.array().cast("array<bigint>"), F.octet_length(text)
+    plain = F.transform(F.split(text, ""), lambda c: F.ascii(c).cast("long"))
+    hexed = F.hex(F.encode(text, "utf-8"))
+    coded = F.transform(F.sequence(F.lit(0), n - 1), lambda i: F.conv(F.substr(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("long"))
+    return F.when(n == 0, none).when(n == F.length(text), plain).otherwise(coded)
+
+
 def fnv1a(text: Column) -> Column:
     """64-bit FNV-1a of the UTF-8 bytes as decimal(20,0).
 
-    Products need 104 bits: the prime is 2**40 + 435, so the product mod 2**64
-    is taken in two parts that a decimal(38,0) holds.
+    The state is two 32-bit halves in longs.  The prime is 2**40 + 435, so a
+    product mod 2**64 is both halves times 435 with a carry, and the lower
+    half shifted into the upper one.
     """
-    hexed = F.hex(F.encode(text, "utf-8"))
-    byte = lambda i: F.conv(F.substr(hexed, i * 2 + 1, F.lit(2)), 16, 10).cast("long")
-    dec = lambda c: c.cast("decimal(38,0)")
-
-    def step(h: Column, i: Column) -> Column:
-        low = F.pmod(h, F.lit(256).cast("decimal(38,0)")).cast("long")
-        mixed = dec(h - dec(low) + dec(low.bitwiseXOR(byte(i))))
-        big = F.pmod(mixed, F.lit(2**24).cast("decimal(38,0)")) * F.lit(2**40).cast("decimal(38,0)")
-        return dec(F.pmod(dec(big) + dec(mixed * F.lit(_FNV_PRIME - 2**40).cast("decimal(10,0)")), F.lit(_U64).cast("decimal(38,0)")))
-
-    n = F.octet_length(text)
-    steps = F.when(n > 0, F.sequence(F.lit(0), n - 1)).otherwise(F.array().cast("array<int>"))
-    return F.aggregate(steps, F.lit(_FNV_BASIS).cast("decimal(38,0)"), step).cast("decimal(20,0)")
+    mask = F.lit(2**32 - 1).cast("long")
+    shift = lambda name, c, n: F.call_function(name, c, F.lit(n))
+
+    def step(s: Column, byte: Column) -> Column:
+        low = s["lo"].bitwiseXOR(byte)
+        product = low * 435
+        high = s["hi"] * 435 + shift("shiftleft", low, 8) + shift("shiftright", product, 32)
+        return F.struct(high.bitwiseAND(mask).alias("hi"), product.bitwiseAND(mask).alias("lo"))
+
+    start = F.struct(F.lit(_FNV_BASIS >> 32).cast("long").alias("hi"), F.lit(_FNV_BASIS & 2**32 - 1).cast("long").alias("lo"))
+    whole = lambda s: s["hi"].cast("decimal(10,0)") * F.lit(2**32).cast("decimal(10,0)") + s["lo"].cast("decimal(10,0)")
+    return F.aggregate(_utf8(text), start, step, whole).cast("decimal(20,0)")
 
 
 def hex64(x: Column) -> Column:

@@ -40,3 +40,13 @@ def telemetry(events: DataFrame, **names: str) -> DataFrame:
 
 def bgp(events: DataFrame, **names: str) -> DataFrame:
     return fan_out(events, "bgp:", codes.BGP_RESOLUTIONS, **names)
+
+
+def envelopes(fanned: DataFrame, channel: str = "__anycable__") -> DataFrame:
+    """(channel, body): what a live-update gateway takes from the bus, from rows with ``stream`` and ``data``."""
+    return fanned.select(F.lit(channel).alias("channel"), F.to_json(F.struct("stream", "data")).alias("body"))
+
+
+def messages(events: DataFrame, subject: str) -> DataFrame:
+    """(channel, body): each event as JSON on one subject."""
+    return to_json(events).select(F.lit(subject).alias("channel"), F.col("data").alias("body"))

@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 
 def newest_version(df: DataFrame, keys: list[str], *version: str) -> DataFrame:
-    """One row a key, of the highest version.  A hash-partial aggregation: no sort of a key's rows."""
+    """One row a key, of the highest version.  Partial aggregation on the map side, so a key with many versions is no hot spot."""
     rest = [c for c in df.columns if c not in keys]
     order = F.struct(*version)
     return df.groupBy(*keys).agg(F.max_by(F.struct(*rest), order).alias("_r")).select(*keys, "_r.*").select(*df.columns)

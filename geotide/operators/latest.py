@@ -1,33 +1,36 @@
 """Latest state per asset, as a mergeable aggregate.
 
 A partial state is one row a key: the newest event's time, a tiebreak, and the
-payload as one struct.  One ``max_by`` on a struct does what an argmax for
-each column would, with one comparison and one buffer; merging partials is the
-same aggregation again.
+payload as one struct.  One ``max`` of (time, tiebreak, payload) does what an
+argmax for each column would, with one comparison and one buffer, and decides
+full ties the same way in every run; merging partials is the same aggregation
+again.  Spark plans it as a sort aggregation, since a buffer with strings
+can't be updated in place, but with a map-side partial: a task sorts its own
+rows and one row a key and task is shuffled, however hot the key.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 KEYS = ["asset_type", "asset_id"]
 
 
+def _newest(df: DataFrame, payload: Column, tiebreak: str, keys: list[str] | None) -> DataFrame:
+    keys = keys or KEYS
+    best = df.groupBy(*keys).agg(F.max(F.struct("event_time", tiebreak, payload.alias("payload"))).alias("_o"))
+    return best.select(*keys, F.col("_o.event_time").alias("event_time"), F.col(f"_o.{tiebreak}").alias(tiebreak), F.col("_o.payload").alias("payload"))
+
+
 def partial(events: DataFrame, payload: list[str], tiebreak: str, keys: list[str] | None = None) -> DataFrame:
     """(keys..., event_time, tiebreak, payload struct): the newest event of each key in this batch."""
-    keys = keys or KEYS
-    order = F.struct("event_time", tiebreak)
-    agg = events.groupBy(*keys).agg(F.max(order).alias("_o"), F.max_by(F.struct(*payload), order).alias("payload"))
-    return agg.select(*keys, F.col("_o.event_time").alias("event_time"), F.col(f"_o.{tiebreak}").alias(tiebreak), "payload")
+    return _newest(events, F.struct(*payload), tiebreak, keys)
 
 
 def merge(partials: DataFrame, tiebreak: str, keys: list[str] | None = None) -> DataFrame:
     """Partials of any number of batches as one partial."""
-    keys = keys or KEYS
-    order = F.struct("event_time", tiebreak)
-    agg = partials.groupBy(*keys).agg(F.max(order).alias("_o"), F.max_by("payload", order).alias("payload"))
-    return agg.select(*keys, F.col("_o.event_time").alias("event_time"), F.col(f"_o.{tiebreak}").alias(tiebreak), "payload")
+    return _newest(partials, F.col("payload"), tiebreak, keys)
 
 
 def flat(partials: DataFrame) -> DataFrame:

@@ -49,7 +49,7 @@ def v6_network(cidr: pd.Series) -> pd.DataFrame:
     return pd.DataFrame([one(x) for x in cidr], columns=["net", "len"]).astype({"len": "Int32"})
 
 
-def _small(df: DataFrame) -> DataFrame:
+def small(df: DataFrame) -> DataFrame:
     """Hints a broadcast only after counting: a table beyond the bound is left to the planner."""
     return F.broadcast(df) if df.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS else df
 
@@ -64,10 +64,11 @@ def longest_match(probes: DataFrame, table: DataFrame, prefix: str = "prefix", n
     nets = table.withColumn("_n", v4_network(F.col(network))).filter("_n is not null").select(F.col("_n.net").alias("_net"), F.col("_n.len").alias("_len"), F.struct(*cols).alias("_hit"))
     nets = nets.groupBy("_net", "_len").agg(F.max("_hit").alias("_hit"))
     keys = probes.select(prefix).distinct().withColumn("_a", v4_network(F.col(prefix))).filter("_a is not null")
-    keys = keys.withColumn("_len", F.explode(F.sequence(F.lit(0), F.lit(32))))
+    lens = sorted(r["_len"] for r in nets.select("_len").distinct().collect())  # at most 33 rows
+    keys = keys.withColumn("_len", F.explode(F.array(*[F.lit(x) for x in lens]) if lens else F.array().cast("array<int>")))
     size = F.call_function("shiftleft", F.lit(1).cast("long"), (32 - F.col("_len")).cast("int"))
     keys = keys.withColumn("_net", F.col("_a.net") - F.pmod(F.col("_a.net"), size)).drop("_a")
-    best = keys.join(_small(nets), ["_net", "_len"]).groupBy(prefix).agg(F.max_by("_hit", "_len").alias("_hit"))
+    best = keys.join(small(nets), ["_net", "_len"]).groupBy(prefix).agg(F.max_by("_hit", "_len").alias("_hit"))
     return probes.join(best, prefix, "left").select(*probes.columns, *[F.col(f"_hit.{c}").alias(c) for c in cols])
 
 
@@ -86,7 +87,7 @@ def longest_match_v6(probes: DataFrame, table: DataFrame, prefix: str = "prefix"
     head = F.substr(F.col("_a.net"), F.lit(1), whole)
     net = F.when(kept == 0, F.rpad(head, 32, "0")).otherwise(F.rpad(F.concat(head, F.lower(F.hex(masked))), 32, "0"))
     keys = keys.withColumn("_net", net).drop("_a")
-    best = keys.join(_small(nets), ["_net", "_len"]).groupBy(prefix).agg(F.max_by("_hit", "_len").alias("_hit"))
+    best = keys.join(small(nets), ["_net", "_len"]).groupBy(prefix).agg(F.max_by("_hit", "_len").alias("_hit"))
     return probes.join(best, prefix, "left").select(*probes.columns, *[F.col(f"_hit.{c}").alias(c) for c in cols])
 
 
@@ -114,4 +115,4 @@ def seed_positions(spark, seeds: dict[int, str] | None = None, centroids: dict[s
     seeds, centroids = seeds or codes.SEED_ASNS, centroids or codes.CENTROIDS
     known = spark.createDataFrame(list(seeds.items()), "asn long, cc string")
     places = spark.createDataFrame([(k, *v) for k, v in centroids.items()], "cc string, asn_lat double, asn_lon double")
-    return known.join(F.broadcast(places), "cc").select("asn", "cc", "asn_lat", "asn_lon")
+    return known.join(small(places), "cc").select("asn", "cc", "asn_lat", "asn_lon")

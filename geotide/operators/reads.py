@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from geotide import codes
 from geotide.functions import cells, orbit
+from geotide.operators import lookup
 
 
 def recent(df: DataFrame, now: Column, minutes: int = 15, limit: int = 1000, order: tuple[str, ...] = ("asset_type", "asset_id")) -> DataFrame:
@@ -16,8 +17,8 @@ def recent(df: DataFrame, now: Column, minutes: int = 15, limit: int = 1000, ord
 
 
 def in_viewport(df: DataFrame, cells_seen: DataFrame, res: int) -> DataFrame:
-    """Rows whose ancestor cell is among the viewport's (a few hundred cells: broadcast)."""
-    return df.withColumn("_p", cells.parent(F.col("h3_cell"), res)).join(F.broadcast(cells_seen.select(F.col("cell").alias("_p"))), "_p", "left_semi").drop("_p")
+    """Rows whose ancestor cell is among the viewport's (a few hundred cells, broadcast after a count says so)."""
+    return df.withColumn("_p", cells.parent(F.col("h3_cell"), res)).join(lookup.small(cells_seen.select(F.col("cell").alias("_p"))), "_p", "left_semi").drop("_p")
 
 
 def within_ttl(df: DataFrame, now: Column, hours: int = 24) -> DataFrame:
@@ -33,6 +34,13 @@ def maneuvers(snapshots: DataFrame) -> DataFrame:
     return out.filter((F.col("_b.fetch_no") == F.col("fetch_no") - 1) & moved).drop("_b")
 
 
+def of_regime(elements: DataFrame, regime: str) -> DataFrame:
+    """Element sets of one regime, each of which is propagated at its own pace."""
+    if regime not in codes.TICK_SECONDS:
+        raise ValueError(f"unknown regime {regime!r}: must be one of {', '.join(codes.TICK_SECONDS)}")
+    return elements.filter(F.col("orbit_regime") == regime)
+
+
 def ticks(elements: DataFrame, start: Column, end: Column) -> DataFrame:
     """Each element set once for each tick of its regime in [start, end]: adds tick_time."""
     step = F.when(F.lit(False), F.expr("interval 1 seconds"))

@@ -72,7 +72,7 @@ def classify(ops: DataFrame, order: list[str]) -> DataFrame:
 
 def path_coords(events: DataFrame, positions: DataFrame, key: str) -> DataFrame:
     """Adds path_coords: scaled lat, lon of each hop that is known, in path order."""
-    hops = events.select(key, F.posexplode("as_path").alias("_i", "asn")).join(F.broadcast(positions), "asn")
+    hops = events.select(key, F.posexplode("as_path").alias("_i", "asn")).join(lookup.small(positions), "asn")
     both = F.array(scalar.scale_degrees(F.col("asn_lat")), scalar.scale_degrees(F.col("asn_lon")))
     got = hops.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", both.alias("c")))).alias("_h"))
     out = events.join(got, key, "left")
@@ -87,7 +87,7 @@ def locate(events: DataFrame, cities: DataFrame, positions: DataFrame, key: str)
     """
     ev = lookup.city(events, cities)
     hops = F.when(F.col("op") == "W", F.array("origin_as")).otherwise(F.col("as_path"))
-    hop = events.select(key, F.posexplode(hops).alias("_i", "asn")).join(F.broadcast(positions), "asn")
+    hop = events.select(key, F.posexplode(hops).alias("_i", "asn")).join(lookup.small(positions), "asn")
     last = hop.groupBy(key).agg(F.max_by(F.struct("asn_lat", "asn_lon"), "_i").alias("_hop"))
     out = ev.join(last, key, "left")
     out = out.withColumn("lat_deg", F.coalesce("city_lat", "_hop.asn_lat")).withColumn("lon_deg", F.coalesce("city_lon", "_hop.asn_lon"))

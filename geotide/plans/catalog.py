@@ -469,6 +469,11 @@ def orbit_params(spark, sf):
     return _elements(spark, sf).select("norad_id", F.round("period_minutes", 6).alias("period_minutes"), F.round("perigee_km", 4).alias("perigee_km"), F.round("apogee_km", 4).alias("apogee_km"))
 
 
+@query(f"WITH {_ELEM} SELECT norad_id, regime AS orbit_regime FROM o WHERE regime = 'meo'")
+def regime_filter(spark, sf):
+    return reads.of_regime(_elements(spark, sf), "meo").select("norad_id", "orbit_regime")
+
+
 @query(f"WITH {_ELEM} SELECT regime AS orbit_regime, count(*) AS n FROM o GROUP BY regime")
 def orbit_regime(spark, sf):
     return _elements(spark, sf).groupBy("orbit_regime").agg(F.count("*").alias("n"))
@@ -550,7 +555,11 @@ def hour_partition(spark, sf):
 
 def _place(spark: SparkSession, name: str) -> str:
     """A new folder in the shared one, for queries that write and read back."""
-    root = spark.conf.get("spark.checkpoint.dir", None) or "file://" + tempfile.gettempdir()
+    root = spark.conf.get("spark.checkpoint.dir", None)
+    if not root:
+        if not spark.sparkContext.master.startswith("local"):
+            raise RuntimeError("set spark.checkpoint.dir to a folder that driver and executors share")
+        root = "file://" + tempfile.gettempdir()
     return f"{root.rstrip('/')}/{name}-{os.getpid()}-{os.urandom(6).hex()}"
 
 
@@ -600,13 +609,24 @@ def raw_roundtrip(spark, sf):
     return _millis(files.scan(spark, path).select("event_id", "event_time", "asset_id", "lat", "lon", "speed"), "event_time")
 
 
-@query(f"WITH {_OPS} SELECT event_id, category, prefix, h1||','||h2||','||h3 AS path FROM ev WHERE op='A'")
+@query(f"WITH {_OPS} SELECT event_id, category, prefix, CASE WHEN op='A' THEN h1||','||h2||','||h3 ELSE '' END AS path FROM ev")
 def bgp_roundtrip(spark, sf):
     path = _place(spark, "bgp")
-    files.append(_events(spark, sf).filter("op = 'A'").select("event_id", "event_time", "category", "prefix", "as_path"), path, ["category", "event_time"])
+    hops = F.when(F.col("op") == "A", F.col("as_path")).otherwise(F.array().cast("array<long>"))
+    files.append(_events(spark, sf).select("event_id", "event_time", "category", "prefix", hops.alias("as_path")), path, ["category", "event_time"])
     return files.scan(spark, path).select("event_id", "category", "prefix", F.array_join(F.col("as_path").cast("array<string>"), ",").alias("path"))
 
 
+@query("""SELECT p_partkey::BIGINT AS norad_id, p_name AS name, (p_partkey%180 + 0.5)::DOUBLE AS inclination, (p_partkey%1000)/10000.0::DOUBLE AS eccentricity,
+(1 + (p_partkey%150)/10.0)::DOUBLE AS mean_motion, 1704110400000::BIGINT AS epoch_ms FROM part""")
+def src_element_text(spark, sf):
+    k = F.col("p_partkey")
+    one = F.format_string("1 %05dU 24001A   24001.50000000  .00000000  00000-0  10000-3 0  9990", k)
+    two = F.format_string("2 %05d %8.4f %8.4f %07d %8.4f %8.4f %11.8f    00", k, k % 180 + 0.5, F.lit(10.0), (k % 1000) * 1000, F.lit(20.0), F.lit(30.0), 1 + (k % 150) / 10.0)
+    text = table(spark, sf, "part").select((k % 8).alias("file"), F.concat_ws("\n", "p_name", one, two).alias("set")).groupBy("file").agg(F.concat_ws("\n", F.collect_list("set")).alias("value"))
+    return files.element_text(text).select("norad_id", "name", "inclination", "eccentricity", "mean_motion", F.unix_millis("epoch").alias("epoch_ms"))
+
+
 @query("""SELECT p_partkey AS norad_id, p_name AS name, round(1440.0::DOUBLE/(1.0::DOUBLE+(p_partkey%150)/10.0::DOUBLE), 6) AS period_minutes FROM part""")
 def src_omm_json(spark, sf):
     p = table(spark, sf, "part")

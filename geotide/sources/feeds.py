@@ -17,14 +17,19 @@ from geotide.operators import routing, validate
 _STATE = {"icao24": 0, "callsign": 1, "origin": 2, "lon": 5, "lat": 6, "alt": 7, "on_ground": 8, "velocity": 9, "track": 10, "rate": 11, "squawk": 14, "category": 16}
 
 
-def _number(raw: Column) -> Column:
-    """A JSON number as double; strings, booleans and null are misses.  ``raw`` keeps JSON quoting."""
-    return F.when(raw.rlike(r"^-?\d"), raw.try_cast("double"))
+def _once(df: DataFrame, c: Column, name: str, *carry: str) -> DataFrame:
+    """``carry`` and one computed column that later expressions refer to instead of repeating it: the optimizer doesn't inline across a generator."""
+    return df.select(*carry, F.explode(F.array(c)).alias(name))
 
 
-def _text(raw: Column) -> Column:
+def _number(v: Column) -> Column:
+    """A JSON number as double; strings, booleans and null are misses."""
+    return F.when(F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.try_variant_get(v, "$", "double"))
+
+
+def _text(v: Column) -> Column:
     """A JSON string's content; other values are misses."""
-    return F.when(raw.startswith('"'), F.from_json(F.concat(F.lit('{"v":'), raw, F.lit("}")), "v string")["v"])
+    return F.when(F.schema_of_variant(v) == "STRING", F.try_variant_get(v, "$", "string"))
 
 
 def adsb(df: DataFrame, source: str) -> DataFrame:
@@ -33,15 +38,18 @@ def adsb(df: DataFrame, source: str) -> DataFrame:
     Drops rows that aren't arrays of at least 17, aircraft on the ground, those
     without numeric position or without icao24, and what validation rejects.
     """
-    parsed = df.select(F.from_json("body", "time bigint, states array<string>").alias("r")).filter("r is not null")
+    parsed = _once(df, F.from_json("body", "time bigint, states array<string>"), "r").filter("r is not null")
     rows = parsed.select(F.col("r.time").alias("time"), F.explode("r.states").alias("s")).filter(F.col("s").startswith("["))
-    rows = rows.withColumn("v", F.from_json(F.col("s"), "array<variant>")).filter(F.size("v") >= 17)
-    raw = {k: F.to_json(F.get("v", F.lit(i))) for k, i in _STATE.items()}
-    rows = rows.select("time", *[c.alias(k) for k, c in raw.items()])
-    num = {k: _number(F.col(k)) for k in ("lat", "lon", "alt", "velocity", "track", "rate", "category")}
-    rows = rows.filter((F.coalesce(F.col("on_ground"), F.lit("")) != "true") & num["lat"].isNotNull() & num["lon"].isNotNull())
+    rows = _once(rows, F.from_json(F.col("s"), "array<variant>"), "v", "time").filter(F.size("v") >= 17)
+    kind = lambda k: _number if k in ("lon", "lat", "alt", "velocity", "track", "rate", "category") else _text
+    ground = F.schema_of_variant(F.col("v")[_STATE["on_ground"]]) == "BOOLEAN"
+    values = {k: kind(k)(F.col("v")[i]) for k, i in _STATE.items() if k != "on_ground"}
+    values["on_ground"] = F.when(ground, F.try_variant_get(F.col("v")[_STATE["on_ground"]], "$", "boolean"))
+    rows = _once(rows, F.struct(*[c.alias(k) for k, c in values.items()]), "r", "time").select("time", "r.*")
+    num = {k: F.col(k) for k in ("lat", "lon", "alt", "velocity", "track", "rate", "category")}
+    rows = rows.filter(~F.coalesce(F.col("on_ground"), F.lit(False)) & num["lat"].isNotNull() & num["lon"].isNotNull())
     zero = lambda c: F.coalesce(c, F.lit(0.0))
-    text = lambda k: F.coalesce(_text(F.col(k)), F.lit(""))
+    text = lambda k: F.coalesce(F.col(k), F.lit(""))
     out = rows.select(
         F.timestamp_millis(F.col("time") * 1000).alias("event_time"), F.upper(text("icao24")).alias("asset_id"), F.lit("aircraft").alias("asset_type"),
         F.trim(text("callsign")).alias("callsign"), text("origin").alias("origin"), scalar.emitter_category(num["category"].cast("int")).alias("category"),
@@ -70,7 +78,7 @@ def ais(df: DataFrame, source: str) -> DataFrame:
     envelope's; (0, 0) is no position.  A missing number is 0, so a class-B
     report, which has no navigational status, shows status 0.
     """
-    m = df.select(F.from_json("body", _VESSEL).alias("m")).select("m.*").withColumn("event_time", scalar.feed_time(F.col("MetaData.time_utc")))
+    m = _once(df, F.from_json("body", _VESSEL), "m").select("m.*").withColumn("event_time", scalar.feed_time(F.col("MetaData.time_utc")))
     m = m.filter(F.col("event_time").isNotNull())
     zero, blank = (lambda c: F.coalesce(c, F.lit(0))), (lambda c: F.coalesce(c, F.lit("")))
     kind = F.col("MessageType")
@@ -114,7 +122,7 @@ def ris_operations(df: DataFrame, carry: list[str] | None = None) -> DataFrame:
     origin_as (of a withdrawal: the peer), is_leak.
     """
     carry = carry or []
-    m = df.select(*carry, F.from_json("body", _RIS).alias("m")).filter((F.col("m.type") == "ris_message") & (F.col("m.data.type") == "UPDATE"))
+    m = _once(df, F.from_json("body", _RIS), "m", *carry).filter((F.col("m.type") == "ris_message") & (F.col("m.data.type") == "UPDATE"))
     m = m.select(
         *carry, F.timestamp_millis((F.col("m.data.timestamp") * 1000).cast("long")).alias("event_time"), F.col("m.data.host").alias("collector"),
         routing.flat_path(F.coalesce("m.data.path", F.array().cast("array<string>"))).alias("as_path"), scalar.asn(F.col("m.data.peer_asn")).alias("peer_as"),

@@ -130,10 +130,21 @@ def object_listing(spark: SparkSession, path: str) -> DataFrame:
     return xml.select(F.col("Key").alias("key"), F.col("Size").alias("size"), F.try_to_timestamp("LastModified").alias("last_modified"))
 
 
+#: Events that one writing task takes.
+WRITE_ROWS = 1_000_000
+
+
 def append(df: DataFrame, path: str, order: list[str]) -> None:
-    """Appends events, partitioned by hour and sorted within files, so time filters prune folders and key filters row groups."""
+    """Appends events, partitioned by hour and sorted within files, so time filters prune folders and key filters row groups.
+
+    Tasks take ranges of (hour, order...), as many as the number of events
+    asks for: quiet hours share a task and have one file each, a busy hour is
+    split among tasks.
+    """
     hour = F.date_format(F.date_trunc("hour", "event_time"), "yyyyMMddHH")
-    df.withColumn("event_hour", hour).repartition("event_hour", *order[:1]).sortWithinPartitions(*order).write.mode("append").partitionBy("event_hour").parquet(path)
+    tasks = max(int(df.sparkSession.sparkContext.defaultParallelism), -(-df.count() // WRITE_ROWS))
+    ranged = df.withColumn("event_hour", hour).repartitionByRange(tasks, "event_hour", *order)
+    ranged.sortWithinPartitions("event_hour", *order).write.mode("append").partitionBy("event_hour").parquet(path)
 
 
 def scan(spark: SparkSession, path: str, since: Column | None = None, until: Column | None = None) -> DataFrame:

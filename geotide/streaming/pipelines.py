@@ -8,6 +8,7 @@ are idempotent by batch id, so a replay adds nothing twice.
 
 from __future__ import annotations
 
+import json
 from collections.abc import Callable, Iterator
 
 import pandas as pd
@@ -33,55 +34,109 @@ def run(stream: DataFrame, sink: Callable[[DataFrame, int], None], checkpoint: s
     return writer.start()
 
 
-def _exists(spark: SparkSession, path: str) -> bool:
+def exists(spark: SparkSession, path: str) -> bool:
     p = spark._jvm.org.apache.hadoop.fs.Path(path)
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def _versions(spark: SparkSession, root: str) -> list[int]:
+def versions(spark: SparkSession, root: str) -> list[int]:
     p = spark._jvm.org.apache.hadoop.fs.Path(root)
     fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
     if not fs.exists(p):
         return []
     names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith("version=") and _exists(spark, f"{root}/{n}/_SUCCESS"))
+    return sorted(int(n.split("=")[1]) for n in names if n.startswith("version=") and exists(spark, f"{root}/{n}/_SUCCESS"))
 
 
 def snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """The newest complete version of a merged table."""
-    found = _versions(spark, root)
-    return spark.read.parquet(f"{root}/version={found[-1]}") if found else None
+    """A merged table as of its last complete batch."""
+    state = _state(spark, root, 2**62)
+    return spark.read.option("basePath", root).parquet(*[_bucket(root, b, v) for b, v in state.items()]).drop("bucket", "version") if state else None
 
 
-def merging_sink(root: str, partial: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame]) -> Callable[[DataFrame, int], None]:
-    """Keeps a table of merged partials as versions by batch id; readers see the last complete one.
+def write_version(df: DataFrame, root: str, batch_id: int, before: list[int]) -> None:
+    """Writes a table's version ``batch_id``; of the earlier ones the newest stays, for a replay."""
+    spark = df.sparkSession
+    df.write.mode("overwrite").parquet(f"{root}/version={batch_id}")
+    for old in before[:-1]:
+        p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={old}")
+        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
 
-    A version is written from the one before it, so replaying a batch writes
-    the same version again.  Two versions are kept.
+
+def merging_sink(root: str, partial: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame], keys: list[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
+    """Keeps a table of merged partials in buckets of the key, each with versions by batch id; readers see the last complete ones.
+
+    Only buckets that a batch touches are written, so a batch costs what its
+    keys' buckets hold and not the whole table.  A version is written from the
+    one before it, so replaying a batch writes the same version again; a
+    batch's versions count once its marker is there.
     """
 
     def sink(df: DataFrame, batch_id: int) -> None:
         spark = df.sparkSession
-        before = [v for v in _versions(spark, root) if v < batch_id]
-        part = partial(df)
-        if before:
-            part = spark.read.parquet(f"{root}/version={before[-1]}").unionByName(part)
-        merge(part).write.mode("overwrite").parquet(f"{root}/version={batch_id}")
-        for old in before[:-1]:
-            p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={old}")
-            p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
+        part = partial(df).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
+        touched = sorted(r["bucket"] for r in part.select("bucket").distinct().collect())  # at most ``buckets`` numbers
+        state = _state(spark, root, batch_id)
+        paths = [_bucket(root, b, state[b]) for b in touched if b in state]
+        rows = part
+        if paths:
+            rows = spark.read.option("basePath", root).parquet(*paths).drop("version").unionByName(part)
+        out = merge(rows.drop("bucket")).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
+        out.withColumn("version", F.lit(batch_id)).repartition(F.col("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(root)
+        part.unpersist()
+        _mark(spark, root, batch_id, {**state, **dict.fromkeys(touched, batch_id)})
 
     return sink
 
 
+def _bucket(root: str, bucket: int, version: int) -> str:
+    return f"{root}/bucket={bucket}/version={version}"
+
+
+def _marker(root: str) -> str:
+    return f"{root}/_versions"
+
+
+def _state(spark: SparkSession, root: str, before: int) -> dict[int, int]:
+    """Each bucket's version as of the last complete batch before ``before``."""
+    p = spark._jvm.org.apache.hadoop.fs.Path(_marker(root))
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    found = sorted(int(s.getPath().getName()) for s in fs.listStatus(p)) if fs.exists(p) else []
+    last = [v for v in found if v < before]
+    if not last:
+        return {}
+    rows = spark.read.text(f"{_marker(root)}/{last[-1]}").collect()  # one small line
+    return {int(k): v for k, v in json.loads("".join(r["value"] for r in rows)).items()}
+
+
+def _mark(spark: SparkSession, root: str, batch_id: int, state: dict[int, int]) -> None:
+    """Makes a batch's versions the ones that count, and removes what neither this batch nor a replay of it needs."""
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    p = hadoop.Path(f"{_marker(root)}/{batch_id}")
+    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
+    out = fs.create(p, True)
+    out.write(bytearray(json.dumps(state).encode()))
+    out.close()
+    marks = sorted(int(s.getPath().getName()) for s in fs.listStatus(hadoop.Path(_marker(root))))
+    for old in [v for v in marks if v <= batch_id][:-2]:
+        fs.delete(hadoop.Path(f"{_marker(root)}/{old}"), False)
+    needed = {(b, v) for v in (batch_id, batch_id + 1) for b, v in _state(spark, root, v).items()}
+    for b in state:
+        folder = hadoop.Path(f"{root}/bucket={b}")
+        for s in fs.listStatus(folder) if fs.exists(folder) else []:
+            v = int(s.getPath().getName().split("=")[1])
+            if v < batch_id and (b, v) not in needed:
+                fs.delete(s.getPath(), True)
+
+
 def latest_sink(root: str, payload: list[str], tiebreak: str) -> Callable[[DataFrame, int], None]:
     """Late events never replace newer state: the merge compares event times."""
-    return merging_sink(root, lambda df: latest.partial(df, payload, tiebreak), lambda p: latest.merge(p, tiebreak))
+    return merging_sink(root, lambda df: latest.partial(df, payload, tiebreak), lambda p: latest.merge(p, tiebreak), latest.KEYS)
 
 
 def density_sink(root: str) -> Callable[[DataFrame, int], None]:
     """Late events always count in their bucket; there is no watermark."""
-    return merging_sink(root, density.density, density.merge)
+    return merging_sink(root, density.density, density.merge, ["h3_cell"])
 
 
 def append_sink(root: str) -> Callable[[DataFrame, int], None]:

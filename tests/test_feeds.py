@@ -11,46 +11,46 @@ def bodies(spark, *docs):
 
 
 def test_adsb(spark):
-    base = ["3c6757", "DLH4AB  ", "Germany", 1, 1, -0.1278, 51.5074, 10000.9, False, 250.0, 180.0, 0.5, None, 1, "7700", False, 3, 0]
+    base = ["a1b2c3", "ABC12X  ", "Nowhere", 1, 1, -2.3456, 48.3211, 8123.9, False, 211.0, 93.0, 0.5, None, 1, "4321", False, 3, 0]
     change = lambda **k: [k.get(f"i{n}", v) for n, v in enumerate(base)]
     states = [
-        base, change(i8=True), change(i6=None), change(i5="7.5"), change(i0=""), base[:16], "junk", change(i0="aaa", i14=None, i16=99),
-        change(i0="bbb", i5=0.0, i6=0.0), change(i0="ccc", i6=300.0), change(i0="ddd", i7=None),
+        base, change(i8=True), change(i6=None), change(i5="7.5"), change(i0=""), base[:16], "junk", change(i0="faa", i14=None, i16=99),
+        change(i0="fbb", i5=0.0, i6=0.0), change(i0="fcc", i6=300.0), change(i0="fdd", i7=None),
     ]
-    got = feeds.adsb(bodies(spark, {"time": 1700000000, "states": states}, {"time": 1, "states": []}, {"time": 1, "states": None}, "{broken"), "opensky").orderBy("asset_id").collect()
-    assert [r["asset_id"] for r in got] == ["3C6757", "AAA", "DDD"]
+    got = feeds.adsb(bodies(spark, {"time": 1706933106, "states": states}, {"time": 1, "states": []}, {"time": 1, "states": None}, "{broken"), "opensky").orderBy("asset_id").collect()
+    assert [r["asset_id"] for r in got] == ["A1B2C3", "FAA", "FDD"]
     r = got[0]
-    assert (r["event_time"], r["lat"], r["lon"], r["alt"], r["squawk"], r["callsign"], r["category"]) == (dt.datetime.fromtimestamp(1700000000), 515074000, -1278000, 10000, "7700", "DLH4AB", "small") or r["lat"] == 515074000
-    assert r["alt"] == 10000 and abs(r["speed"] - 485.96) < 0.01 and r["heading"] == 180 and r["category"] == "small" and r["callsign"] == "DLH4AB"
+    assert (r["event_time"], r["lat"], r["lon"], r["alt"], r["squawk"], r["callsign"], r["category"]) == (dt.datetime(2024, 2, 3, 4, 5, 6), 483211000, -23456000, 8123, "4321", "ABC12X", "small")
+    assert abs(r["speed"] - 211 * 1.94384) < 0.01 and r["heading"] == 93 and abs(r["vertical_rate"] - 0.5) < 1e-6
     assert got[1]["squawk"] == "" and got[1]["category"] == "" and got[2]["alt"] == 0
 
 
-def vessel(kind, report, mmsi=211234560, name="EVER GIVEN  ", lat=31.5, lon=32.3, when="2026-04-12 10:00:00.000000000 +0000 UTC"):
+def vessel(kind, report, mmsi=219000111, name="BLUE HERON  ", lat=-12.25, lon=45.75, when="2024-03-05 07:08:09.000000000 +0000 UTC"):
     return {"MessageType": kind, "MetaData": {"MMSI": mmsi, "ShipName": name, "latitude": lat, "longitude": lon, "time_utc": when}, "Message": {kind: report}}
 
 
 def test_ais(spark):
-    pos = {"Sog": 12.5, "Cog": 128.0, "TrueHeading": 127, "Latitude": 31.5, "Longitude": 32.3, "NavigationalStatus": 0, "RateOfTurn": 5.0}
-    b = {"Sog": 6.2, "Cog": 270.5, "TrueHeading": 511, "Latitude": 40.7128, "Longitude": -74.006}
-    static = {"ImoNumber": 9321483, "Type": 70, "Name": "OOCL", "Destination": " SINGAPORE ", "Dimension": {"A": 200, "B": 150, "C": 25, "D": 65561}, "Eta": {"Month": 4, "Day": 15, "Hour": 6, "Minute": 0}, "MaximumStaticDraught": 14.5}
+    pos = {"Sog": 9.5, "Cog": 201.0, "TrueHeading": 199, "Latitude": -12.25, "Longitude": 45.75, "NavigationalStatus": 0, "RateOfTurn": 3.0}
+    b = {"Sog": 4.1, "Cog": 88.5, "TrueHeading": 511, "Latitude": 10.5, "Longitude": -61.25}
+    static = {"ImoNumber": 9000001, "Type": 71, "Name": "GREY SEAL", "Destination": " HALIFAX ", "Dimension": {"A": 120, "B": 30, "C": 11, "D": 65548}, "Eta": {"Month": 9, "Day": 2, "Hour": 17, "Minute": 5}, "MaximumStaticDraught": 8.25}
     got = feeds.ais(
         bodies(
-            spark, vessel("PositionReport", pos), vessel("StandardClassBPositionReport", b, 338123456), vessel("ShipStaticData", static, 477123456, " "),
+            spark, vessel("PositionReport", pos), vessel("StandardClassBPositionReport", b, 338000222), vessel("ShipStaticData", static, 477000333, " "),
             vessel("BaseStationReport", pos), "{", vessel("PositionReport", pos | {"Latitude": 0, "Longitude": 0}), vessel("ShipStaticData", static, lat=0, lon=0), vessel("PositionReport", pos, when="yesterday"),
-            {"MessageType": "PositionReport", "MetaData": {"MMSI": 1, "time_utc": "2026-04-12T10:00:00Z"}, "Message": {}},
+            {"MessageType": "PositionReport", "MetaData": {"MMSI": 1, "time_utc": "2024-03-05T07:08:09Z"}, "Message": {}},
         ),
         "aisstream",
     ).orderBy("asset_id").collect()
-    assert [r["asset_id"] for r in got] == ["211234560", "338123456", "477123456"]
+    assert [r["asset_id"] for r in got] == ["219000111", "338000222", "477000333"]
     p, c, s = got
-    assert (p["lat"], p["lon"], p["speed"], p["heading"], p["nav_status"], p["rate_of_turn"], p["alt"], p["callsign"]) == (315000000, 323000000, 12.5, 127.0, "under_way_using_engine", 5.0, 0, "EVER GIVEN")
-    assert abs(c["heading"] - 270.5) < 1e-6 and c["lat"] == 407128000 and c["nav_status"] == "under_way_using_engine"
-    assert (s["imo_number"], s["ship_type"], s["destination"], s["draught"], s["dim_a"], s["dim_d"], s["eta"], s["callsign"], s["nav_status"], s["speed"]) == (9321483, "cargo", "SINGAPORE", 14.5, 200, 25, "04-15 06:00", "OOCL", "", 0.0)
+    assert (p["lat"], p["lon"], p["speed"], p["heading"], p["nav_status"], p["rate_of_turn"], p["alt"], p["callsign"]) == (-122500000, 457500000, 9.5, 199.0, "under_way_using_engine", 3.0, 0, "BLUE HERON")
+    assert abs(c["heading"] - 88.5) < 1e-6 and c["lat"] == 105000000 and c["nav_status"] == "under_way_using_engine"
+    assert (s["imo_number"], s["ship_type"], s["destination"], s["draught"], s["dim_a"], s["dim_d"], s["eta"], s["callsign"], s["nav_status"], s["speed"]) == (9000001, "cargo", "HALIFAX", 8.25, 120, 12, "09-02 17:05", "GREY SEAL", "", 0.0)
 
 
-ELEMENTS = """USA 245 (NOSS 3-6 C)
-1 39384U 13072A   24001.50000000 0.00000000  00000-0  12345-3 0    06
-2 39384  63.4000 100.0000 0120000  10.0000 350.0000 13.41000000    07
+ELEMENTS = """EXAMPLE 12 (B-3)
+1 41234U 16072A   24001.50000000 0.00000000  00000-0  12345-3 0    06
+2 41234  63.4000 100.0000 0120000  10.0000 350.0000 13.41000000    07
 1 00005U 58002B   00179.78495062  .00000023  00000-0  28098-4 0  4753
 2 00005  34.2682 348.7242 1859667 331.7664  19.3264 10.82419157413667\r
 BROKEN
@@ -64,7 +64,7 @@ BROKEN
 
 def test_element_text(spark):
     got = files.element_text(spark.createDataFrame([(ELEMENTS,), (None,), ("",)], "value string")).orderBy("norad_id").collect()
-    assert [(r["norad_id"], r["name"]) for r in got] == [(5, ""), (6, ""), (25544, "1 IS A NAME"), (39384, "USA 245 (NOSS 3-6 C)")]
+    assert [(r["norad_id"], r["name"]) for r in got] == [(5, ""), (6, ""), (25544, "1 IS A NAME"), (41234, "EXAMPLE 12 (B-3)")]
     assert abs(got[0]["eccentricity"] - 0.1859667) < 1e-9 and abs(got[0]["bstar"] - 0.28098e-4) < 1e-12 and abs(got[2]["bstar"] + 0.1027e-3) < 1e-12
     assert abs(got[0]["mean_motion"] - 10.82419157) < 1e-9 and got[0]["epoch"].year == 2000
 
@@ -109,5 +109,5 @@ def test_satellite_events(spark):
     for c in ("RA_OF_ASC_NODE", "ARG_OF_PERICENTER", "MEAN_ANOMALY"):
         df = df.withColumn(c, F.lit(10.0))
     got = {r["callsign"]: r for r in feeds.satellite_events(feeds.omm(df), now).collect()}
-    assert set(got) == {"ISS", "OLD"} and got["ISS"]["confidence"] == "official" and got["OLD"]["confidence"] == "stale"
+    assert set(got) == {"ISS", "OLD", "TDRS"} and abs(got["TDRS"]["alt"] - 35_786_000) < 300_000 and got["ISS"]["confidence"] == "official" and got["OLD"]["confidence"] == "stale"
     assert 300_000 < got["ISS"]["alt"] < 500_000 and got["ISS"]["source"] == "celestrak"

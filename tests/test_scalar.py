@@ -1,5 +1,6 @@
 import datetime as dt
 
+import numpy as np
 import pytest
 from pyspark.sql import functions as F
 
@@ -95,8 +96,31 @@ def test_sgp4_iss(spark):
     now = spark.createDataFrame([(15.4887769, 0.00064516, 51.6326, 10.0, 20.0, 30.0, 1e-4, 0, 600_000)], "n double, e double, i double, o double, w double, m double, b double, t0 long, t long")
     r = now.select(orbit.propagate(*[F.col(c) for c in ("n", "e", "i", "o", "w", "m", "b", "t0", "t")]).alias("p")).first()["p"]
     assert abs(r["lat"]) < 52 and 300 < r["alt_km"] < 500 and abs(r["lon"]) <= 180
-    deep = now.withColumn("n", F.lit(1.00271)).select(orbit.propagate(*[F.col(c) for c in ("n", "e", "i", "o", "w", "m", "b", "t0", "t")]).alias("p")).first()["p"]
-    assert deep is None or deep["lat"] is None
+    # a day of a geostationary orbit: the longitude stays
+    day = now.withColumns({"n": F.lit(1.00273), "e": F.lit(0.0001), "i": F.lit(0.05), "b": F.lit(0.0)}).withColumn("t", F.explode(F.sequence(*[F.lit(x).cast("long") for x in (0, 86_400_000, 7_200_000)])))
+    got = day.select(orbit.propagate(*[F.col(c) for c in ("n", "e", "i", "o", "w", "m", "b", "t0", "t")]).alias("p")).select("p.*").collect()
+    assert max(r["lon"] for r in got) - min(r["lon"] for r in got) < 0.5 and all(abs(r["lat"]) < 0.2 and abs(r["alt_km"] - 35_786) < 60 for r in got)
+
+
+#: Published verification positions (km) of deep-space sets: elements, epoch as year and day, minutes and position.
+DEEP = [
+    ((2.28537848, 0.7318036, 46.7916, 230.4354, 47.4722, 10.4117, 0.14311e-1), (1980, 230.29629788), 0.0, (7473.37066650, 428.95261765, 5828.74846783), 0.05),
+    ((2.28537848, 0.7318036, 46.7916, 230.4354, 47.4722, 10.4117, 0.14311e-1), (1980, 230.29629788), 1440.0, (9787.86975097, 33753.34667969, -15030.81176758), 0.05),
+    ((2.00491383, 0.6877146, 64.1586, 279.0717, 264.7651, 20.2257, 0.11873e-3), (2006, 176.33215444), 0.0, (2349.89483350, -14785.93811562, 0.02119378), 1e-6),
+    ((2.00491383, 0.6877146, 64.1586, 279.0717, 264.7651, 20.2257, 0.11873e-3), (2006, 176.33215444), 120.0, (15223.91713658, -17852.95881713, 25280.39558224), 1e-6),
+    ((1.00778054, 0.0026640, 3.8536, 80.0121, 311.0977, 48.3000, 0.10000e-3), (2006, 177.04061740), 0.0, (7534.10987189, 41266.39266843, -0.10801028), 1e-6),
+    ((1.00778054, 0.0026640, 3.8536, 80.0121, 311.0977, 48.3000, 0.10000e-3), (2006, 177.04061740), 120.0, (-14289.19940414, 39469.05530051, 1428.62838591), 1e-6),
+]
+
+
+@pytest.mark.parametrize(("elements", "epoch", "minutes", "want", "off"), DEEP)
+def test_sdp4_published_cases(elements, epoch, minutes, want, off):
+    """An eccentric orbit without resonance, a half-day one and a daily one; beside a near-earth set in the same call."""
+    since = (dt.datetime(epoch[0], 1, 1) - dt.datetime(1949, 12, 31)).days + epoch[1] - 1
+    near = (16.05824518, 0.0086731, 72.8435, 115.9689, 52.6988, 110.5714, 0.66816e-4)
+    got = orbit.sgp4(*zip(elements, near, strict=True), [minutes, 360.0], [since, 11236.0])
+    assert abs(got[:, 0] - want).max() < off and abs(got[:, 1] - (2456.11, -6071.94, 1222.90)).max() < 0.05
+    assert np.isnan(orbit.sgp4(*([x] for x in elements), [minutes])).all()  # without an epoch there is no Sun to place
 
 
 def test_constants():
