@@ -13,13 +13,17 @@ settled, is not looked at again:
 2. Second digit: a hash of all bytes that the windows of one anchor occurrence
    reach, with their places.  If all of a group agree in it, all its windows are
    equal and the group is settled by its smallest document.
-3. Last digit, only for groups that disagree: the single windows.
+3. Last digit, only for groups that disagree: the bytes themselves.  Their
+   windows are ordered by a hash and compared byte by byte with the first of
+   their group; a group whose members differ is ordered by all its bytes.
 
 Documents are dealt into blocks by ranges of the id, so an earlier block means
 a smaller id.  What leaves a block is packed: of every digit value one entry,
-however many copies the block holds; what comes back is one byte a value.  No
+however many copies the block holds; what comes back is a status a value.  No
 group of copies meets in a task: a digit found in all blocks has one entry a
-block.  Hashes of 80 bits and more stand for byte strings.
+block.  Within a block equal hashes are always compared byte by byte; between
+blocks only whole contexts that agree in at least 110 bits of two hashes are
+taken as equal without that.
 """
 
 from __future__ import annotations
@@ -129,49 +133,77 @@ class _Block:
         new_h[1:] = self.h[1:] != self.h[:-1]
         new_c = new_h.copy()
         new_c[1:] |= self.ctx[1:] != self.ctx[:-1]
+        while True:  # equal contexts are compared by their bytes; one that differs is a context of its own
+            rep = np.maximum.accumulate(np.where(new_c, np.arange(n), 0)) if n else np.zeros(0, np.int64)
+            other = np.flatnonzero(~new_c)
+            other = other[~self._same_context(other, rep[other])]
+            if not len(other):
+                break
+            new_c[other] = True
         self.group = np.cumsum(new_h) - 1
-        rep = np.maximum.accumulate(np.where(new_c, np.arange(n), 0)) if n else np.zeros(0, np.int64)
+        self.new_c, self.rep = new_c, rep
         doc = self.ids[self.of]
         self.covered = doc > doc[rep] if n else np.zeros(0, bool)  # equal context in a smaller document of this block
         at = np.flatnonzero(new_h)
         many = np.bincount(self.group[new_c], minlength=len(at)) > 1
         self.values = self.h[at]
-        self.second = np.where(many, np.uint64(0), (self.ctx[at] >> np.uint64(16)) | np.uint64(1))
-
-    def windows(self, status: np.ndarray) -> None:
-        """The single windows of the groups whose status is 2: hashes, places, owners."""
-        pick = np.flatnonzero((status[self.group] == 2) & ~self.covered) if len(self.group) else np.zeros(0, np.int64)
+        self.second = np.where(many, np.uint64(0), self.ctx[at] | np.uint64(1))
+
+    def _eight(self) -> np.ndarray:
+        """The eight bytes from each position on, as integers."""
+        return np.ndarray((max(len(self.buf) - 7, 0),), "<u8", np.ascontiguousarray(self.buf), strides=(1,))
+
+    def _same_context(self, x: np.ndarray, y: np.ndarray) -> np.ndarray:
+        eight, a, b = self._eight(), self.a, self.b
+        same = b[x] - a[x] == b[y] - a[y]
+        for at in range(0, WINDOW + REACH - 8, 8):  # a short context is read to its end again and again
+            off = np.minimum(at, b[x] - a[x] + WINDOW - 8)
+            same &= eight[a[x] + off] == eight[np.minimum(a[y] + off, len(eight) - 1)]
+        last = b[x] - a[x] + WINDOW - 8
+        return same & (eight[a[x] + last] == eight[np.minimum(a[y] + last, len(eight) - 1)])
+
+    def contexts(self, status: np.ndarray) -> np.ndarray:
+        """The anchors whose bytes go to the last digit: one of each context of the groups whose status is 2."""
+        return np.flatnonzero((status[self.group] == 2) & self.new_c) if len(self.group) else np.zeros(0, np.int64)
+
+    def windows(self, status: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The single windows of the groups that disagree: where they start, and which are in a smaller document of this block too."""
+        pick = np.flatnonzero((status[self.group] >= 2) & ~self.covered) if len(self.group) else np.zeros(0, np.int64)
         n = self.b[pick] - self.a[pick] + 1
-        start = np.repeat(self.a[pick], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
-        of = np.repeat(self.of[pick], n)
-        by = np.argsort(start, kind="stable")
-        start, of = start[by], of[by]
-        w1, w2 = np.zeros(len(start), np.uint64), np.zeros(len(start), np.uint64)
-        for i, j in chunks(self.offs):
-            lo, hi = np.searchsorted(start, (self.offs[i], self.offs[j]))
-            if hi > lo:
-                base = self.offs[i]
-                body = np.ascontiguousarray(self.buf[base : self.offs[j]])
-                eight = np.ndarray((len(body) - 7,), "<u8", body, strides=(1,))
-                s = start[lo:hi] - base
-                x, y = np.zeros(hi - lo, np.uint64), np.zeros(hi - lo, np.uint64)
-                for k in (0, 8, 16, 24, 32, 40, WINDOW - 8):
-                    v = eight[s + k]
-                    x = mix(x * np.uint64(0x9E3779B97F4A7C15) + v)
-                    y = (y ^ v) * np.uint64(0xC2B2AE3D27D4EB4F)
-                    y ^= y >> np.uint64(29)
-                w1[lo:hi], w2[lo:hi] = x, y
-        by = _ordered(w1, w2)
-        self.w1, self.w2, self.start, self.w_of = w1[by], w2[by], start[by], of[by]
-        n = len(by)
-        new = np.ones(n, bool)
-        new[1:] = (self.w1[1:] != self.w1[:-1]) | (self.w2[1:] != self.w2[:-1])
-        self.w_group = np.cumsum(new) - 1
-        rep = np.maximum.accumulate(np.where(new, np.arange(n), 0)) if n else np.zeros(0, np.int64)
-        doc = self.ids[self.w_of]
-        self.w_covered = doc > doc[rep] if n else np.zeros(0, bool)
-        at = np.flatnonzero(new)
-        self.w_values, self.w_second = self.w1[at], self.w2[at]
+        start = np.sort(np.repeat(self.a[pick], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
+        group = _equal_windows(self._eight(), start, start)
+        doc = self.ids[np.searchsorted(self.offs, start, "right") - 1]
+        return start, doc > doc[group]
+
+
+def _equal_windows(eight: np.ndarray, start: np.ndarray, order: np.ndarray) -> np.ndarray:
+    """For each window the index of the first one (by ``order``) of the same bytes."""
+    if not len(start):
+        return np.zeros(0, np.int64)
+    at = [*range(0, WINDOW - 8, 8), WINDOW - 8]
+    h = np.zeros(len(start), np.uint64)
+    for k in at:
+        h = mix(h * _ODD[0] + eight[start + k])
+    by = _ordered(h, order)
+    first = _first_of(by, h)
+    same = np.ones(len(start), bool)
+    for k in at:
+        same &= eight[start + k] == eight[start[first] + k]
+    if not same.all():  # different windows of one hash: order by all bytes
+        digits = [eight[start + k] for k in at]
+        by = np.lexsort((order, *reversed(digits)))
+        first = _first_of(by, *digits)
+    return first
+
+
+def _first_of(by: np.ndarray, *digits: np.ndarray) -> np.ndarray:
+    new = np.zeros(len(by), bool)
+    new[0] = True
+    for d in digits:
+        new[1:] |= d[by[1:]] != d[by[:-1]]
+    out = np.empty(len(by), np.int64)
+    out[by] = by[np.maximum.accumulate(np.where(new, np.arange(len(by)), 0))]
+    return out
 
 
 def _low_bytes(x: np.ndarray, k: int) -> np.ndarray:
@@ -204,12 +236,12 @@ def _rows(rows: list[tuple], schema: str = _PACKED) -> pa.Table:
     return pa.table({name: pa.array(col, kinds[kind]) for (name, kind), col in zip(fields, cols, strict=True)})
 
 
-def _settle(k: int, k2: int, single: bool):
+def _settle(k: int, k2: int):
     """Per bucket: a status for each block's entries.
 
-    ``single`` (last digit): 1 if an earlier block has the same value and second digit.
-    Else 0: nothing to remove beyond what the block knows; 1: all windows occur in an
-    earlier block; 2: contexts differ, look at single windows.
+    0: nothing to remove beyond what the block knows; 1: all windows occur in an
+    earlier block; contexts differ and single windows are to be looked at: 2
+    among all blocks, 3 within the only block that has this digit.
     """
 
     def run(table: pa.Table) -> pa.Table:
@@ -218,19 +250,16 @@ def _settle(k: int, k2: int, single: bool):
         size = np.array([len(x[0]) for x in got])
         v, s = np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got])
         blk = np.repeat(blocks, size)
-        by = np.lexsort((blk, s, v)) if single else np.lexsort((blk, v))
+        by = _ordered(v, blk.astype(np.uint64))
         v2, s2 = v[by], s[by]
         new = np.ones(len(v), bool)
         new[1:] = v2[1:] != v2[:-1]
+        at = np.flatnonzero(new)
+        group = np.cumsum(new) - 1
+        differ = np.logical_or.reduceat((s2 != s2[at][group]) | (s2 == 0), at)
+        alone = np.diff(np.append(at, len(v))) == 1
         status = np.zeros(len(v), np.uint8)
-        if single:
-            new[1:] |= s2[1:] != s2[:-1]
-            status[by] = ~new
-        else:
-            at = np.flatnonzero(new)
-            group = np.cumsum(new) - 1
-            differ = np.logical_or.reduceat((s2 != s2[at][group]) | (s2 == 0), at)
-            status[by] = np.where(differ[group], 2, ~new)
+        status[by] = np.where(differ[group], np.where(alone[group], 3, 2), ~new)
         ends = np.cumsum(size)
         bucket = table["bucket"][0].as_py()
         return _rows([(int(b), bucket, status[e - n : e].tobytes()) for b, n, e in zip(blocks, size, ends, strict=True)])
@@ -238,10 +267,43 @@ def _settle(k: int, k2: int, single: bool):
     return run
 
 
-def _statuses(replies: pa.Table) -> np.ndarray:
-    """A block's statuses in the order of its sorted values."""
+def _pack_contexts(x: _Block, block: int, pick: np.ndarray, bits: int) -> Iterator[tuple[int, int, bytes]]:
+    """Contexts by bucket of their anchor: their number, how many windows each has, and their bytes."""
+    n = (x.b[pick] - x.a[pick] + 1).astype(np.int64)
+    bucket = (x.h[pick] >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(pick)], strict=True):
+        size = n[i:j] + WINDOW - 1
+        at = np.repeat(x.a[pick[i:j]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+        yield block, int(bucket[i]), np.uint32(j - i).tobytes() + n[i:j].astype(np.uint8).tobytes() + x.buf[at].tobytes()
+
+
+def _settle_windows(table: pa.Table) -> pa.Table:
+    """Per bucket: for each block's contexts a bit for each window (from the lowest) that an earlier block has too."""
+    blocks, counts, texts = table["block"].to_numpy(), [], []
+    for body in table["body"]:
+        raw = np.frombuffer(body.as_buffer(), np.uint8)
+        k = int(raw[:4].view("<u4")[0])
+        counts.append(raw[4 : 4 + k].astype(np.int64))
+        texts.append(raw[4 + k :])
+    n, buf = np.concatenate(counts), np.concatenate(texts)
+    size = n + WINDOW - 1
+    first = np.cumsum(n) - n
+    nth = np.arange(n.sum()) - np.repeat(first, n)
+    start = np.repeat(np.cumsum(size) - size, n) + nth
+    per = np.array([len(c) for c in counts])
+    blk = np.repeat(np.repeat(blocks, per), n)
+    lead = _equal_windows(np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,)), start, blk.astype(np.uint64))
+    bits = np.bitwise_or.reduceat((blk > blk[lead]).astype(np.uint32) << nth.astype(np.uint32), first)
+    ends = np.cumsum(per)
+    bucket = table["bucket"][0].as_py()
+    return _rows([(int(b), bucket, bits[e - k : e].astype("<u4").tobytes()) for b, k, e in zip(blocks, per, ends, strict=True)])
+
+
+def _statuses(replies: pa.Table, kind: str = "u1") -> np.ndarray:
+    """A block's replies in the order of its sorted values."""
     replies = replies.sort_by("bucket")
-    return np.frombuffer(b"".join(x.as_py() for x in replies["body"]), np.uint8)
+    return np.frombuffer(b"".join(x.as_py() for x in replies["body"]), kind)
 
 
 def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
@@ -266,21 +328,20 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     anywhere = F.pmod(F.xxhash64("text"), F.lit(n_blocks)).cast("int")  # rows without an id take no part
     d = d.withColumn("block", F.when(F.col("doc_id").isNull(), anywhere).otherwise(block_of("doc_id")))
-    first_digit, last_digit = (5, 6), (5, 5)
+    first_digit = (5, 8)
 
     def digits(table: pa.Table) -> pa.Table:
         x = _Block(table, bits)
         return _rows(list(_pack(table["block"][0].as_py(), x.values, x.second, bits, *first_digit)))
 
-    def windows(table: pa.Table, replies: pa.Table) -> pa.Table:
+    def contexts(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table) or not len(replies):
             return _rows([])
         status = _statuses(replies)
         if not (status == 2).any():
             return _rows([])
         x = _Block(table, bits)
-        x.windows(status)
-        return _rows(list(_pack(table["block"][0].as_py(), x.w_values, x.w_second, bits, *last_digit)))
+        return _rows(list(_pack_contexts(x, table["block"][0].as_py(), x.contexts(status), bits)))
 
     out_schema = _OUT + (", kept binary" if with_text else "")
 
@@ -290,12 +351,19 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         x = _Block(table, bits)
         tag = replies["pass_no"].to_numpy()
         status = _statuses(replies.filter(pa.array(tag == 1)))
-        x.windows(status)
-        w_status = _statuses(replies.filter(pa.array(tag == 2)))
         whole = x.covered | (status[x.group] == 1) if len(x.group) else x.covered
-        gone_w = x.w_covered | (w_status[x.w_group] == 1) if len(x.w_group) else x.w_covered
-        up = np.sort(np.concatenate([x.a[whole], x.start[gone_w]]))
-        down = np.sort(np.concatenate([x.b[whole], x.start[gone_w]]) + WINDOW)
+        start, gone = x.windows(status)
+        single = [start[gone]]
+        pick = x.contexts(status)
+        if len(pick):
+            found = np.zeros(len(x.group), np.uint32)
+            found[pick] = _statuses(replies.filter(pa.array(tag == 2)), "<u4")
+            found = found[x.rep]  # equal contexts share a reply
+            for k in range(REACH):
+                single.append(x.a[(found >> np.uint32(k)) & 1 == 1] + k)
+        single = np.concatenate(single)
+        up = np.sort(np.concatenate([x.a[whole], single]))
+        down = np.sort(np.concatenate([x.b[whole], single]) + WINDOW)
         removed, spans, kept = [], [], []
         for i, j in chunks(x.offs):
             lo, hi = x.offs[i], x.offs[j]
@@ -320,8 +388,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table(cols)
 
     blocks = d.groupBy("block")
-    first = blocks.applyInArrow(digits, _PACKED).groupBy("bucket").applyInArrow(_settle(*first_digit, False), _PACKED)
-    last = blocks.cogroup(first.groupBy("block")).applyInArrow(windows, _PACKED).groupBy("bucket").applyInArrow(_settle(*last_digit, True), _PACKED)
+    first = blocks.applyInArrow(digits, _PACKED).groupBy("bucket").applyInArrow(_settle(*first_digit), _PACKED)
+    last = blocks.cogroup(first.groupBy("block")).applyInArrow(contexts, _PACKED).groupBy("bucket").applyInArrow(_settle_windows, _PACKED)
     replies = first.withColumn("pass_no", F.lit(1)).unionByName(last.withColumn("pass_no", F.lit(2)))
     return blocks.cogroup(replies.groupBy("block")).applyInArrow(result, out_schema)
 
