@@ -8,6 +8,7 @@ splitting UTF-8 bytes splits code points correctly.
 
 from __future__ import annotations
 
+import ctypes
 from collections.abc import Iterator
 
 import numpy as np
@@ -15,6 +16,18 @@ import pyarrow as pa
 
 # what a batch frees goes back to the machine: a Python worker lives as long as its executor
 pa.set_memory_pool(pa.system_memory_pool())
+try:
+    _libc = ctypes.CDLL("libc.so.6")
+    _libc.mallopt(-3, 16 << 20)  # blocks of 16 MB and more are mapped, and unmapped when freed
+    _libc.mallopt(-1, 64 << 20)  # free memory at the end of the heap goes back from 64 MB on
+except (OSError, AttributeError):  # another C library
+    _libc = None
+
+
+def trim() -> None:
+    """Gives free memory in the middle of the heap back as well."""
+    if _libc is not None:
+        _libc.malloc_trim(0)
 
 #: Bytes of text worked on at once; keeps the arrays within the processor's caches.
 CHUNK_BYTES = 1 << 20
@@ -179,3 +192,5 @@ def text_chunks(texts: pa.Array | pa.ChunkedArray, size: int = CHUNK_BYTES) -> I
     buf, offs = buffers(texts)
     for i, j in chunks(offs, size):
         yield i, j, Chunk(buf[offs[i] : offs[j]], offs[i : j + 1] - offs[i])
+    if len(buf) > 8 * size:
+        trim()

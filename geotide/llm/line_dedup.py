@@ -39,9 +39,9 @@ from geotide.llm._graph import components
 from geotide.llm._text import Chunk, mix, order_within, text_chunks
 
 #: Entries of the hashed word-count table: 2**22 counts (16 MB), whatever the corpus.
-COUNT_BITS = 22
+COUNT_BITS, SLICES = 22, 64
 #: Text that a task turns into postings before it sends them, and text for each bucket of words.
-SEND_BYTES, BUCKET_BYTES = 12 << 20, 6 << 20
+SEND_BYTES, BUCKET_BYTES = 6 << 20, 6 << 20
 BLOCK = 1024
 #: A line is hot if it makes up this share of all lines (and is on HOT_LEAST of them).
 HOT_SHARE, HOT_LEAST = 1e-4, 256
@@ -90,7 +90,7 @@ def _sets(lines: dict[str, np.ndarray], pick: np.ndarray, rank: np.ndarray | Non
 
 
 def _seen(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """One scan: every line's place and key, and the counts of its words by hash, in 64 slices so that summing them is spread."""
+    """One scan: every line's place and key, and the counts of its words by hash, in slices so that summing them is spread."""
     table = np.zeros(1 << COUNT_BITS, np.uint32)
     names = [x.split()[0] for x in _SEEN.split(", ")]
     for b in it:
@@ -101,16 +101,20 @@ def _seen(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
             table[slot[at]] += np.diff(np.append(at, len(slot))).astype(np.uint32)
             ids, n = b["doc_id"].slice(i, j - i).take(pa.array(s["of"])), len(s["key"])
             yield pa.RecordBatch.from_arrays([ids, pa.array(s["no"].astype(np.int32)), pa.array(s["key"].view(np.int64)), pa.nulls(n, pa.int32()), pa.nulls(n, pa.binary())], names)
-    if table.any():
-        part = len(table) // 64
-        bodies = [table[k * part : (k + 1) * part].tobytes() for k in range(64)]
-        yield pa.RecordBatch.from_arrays([pa.nulls(64, pa.int64()), pa.nulls(64, pa.int32()), pa.nulls(64, pa.int64()), pa.array(range(64), pa.int32()), pa.array(bodies, pa.binary())], names)
+    part = len(table) // SLICES
+    for k in range(SLICES):  # what isn't zero, as places and counts
+        own = table[k * part : (k + 1) * part]
+        at = np.flatnonzero(own)
+        if len(at):
+            body = at.astype("<u4").tobytes() + own[at].tobytes()
+            yield pa.RecordBatch.from_arrays([pa.nulls(1, pa.int64()), pa.nulls(1, pa.int32()), pa.nulls(1, pa.int64()), pa.array([k], pa.int32()), pa.array([body], pa.binary())], names)
 
 
 def _sum_counts(t: pa.Table) -> pa.Table:
-    total = np.zeros(len(t["body"][0].as_py()) // 4, np.int64)
+    total = np.zeros((1 << COUNT_BITS) // SLICES, np.int64)
     for x in t["body"]:
-        total += np.frombuffer(x.as_py(), np.uint32)
+        at, n = np.frombuffer(x.as_buffer(), "<u4").reshape(2, -1)
+        total[at] += n
     # classes of a quarter of an octave; 0: met once at most
     rank = np.where(total > 1, 1 + np.floor(4 * np.log2(np.maximum(total, 1))), 0)
     return pa.table([pa.array([t["slice"][0].as_py()], pa.int32()), pa.array([np.minimum(rank, 255).astype(np.uint8).tobytes()], pa.binary())], ["slice", "body"])
@@ -316,7 +320,7 @@ def decisions(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -
     slices = seen.filter("slice is not null").select("slice", "body").groupBy("slice").applyInArrow(_sum_counts, "slice int, body binary")
     rank = np.zeros(1 << COUNT_BITS, np.uint8)
     for r in slices.collect():  # the table of fixed size
-        part = len(rank) // 64
+        part = len(rank) // SLICES
         rank[r["slice"] * part : (r["slice"] + 1) * part] = np.frombuffer(r["body"], np.uint8)
     firsts = durable(lines.groupBy("key").agg(F.min(F.struct("doc_id", "line_no")).alias("at"), F.count("*").alias("copies")))
     total = firsts.agg(F.sum("copies").alias("n")).first()["n"] or 0
