@@ -8,7 +8,8 @@ encodings.  New distinct words are visited in sorted order, which is a
 depth-first walk of their trie: states of the shared prefix are on the stack
 already and only the rest of the path is computed.
 
-The vocabulary file is a parameter; it is read once a Python worker.
+The vocabulary file is a parameter; the driver reads it and sends its content,
+which each Python worker parses once.
 """
 
 from __future__ import annotations
@@ -21,6 +22,7 @@ import unicodedata
 from array import array
 from collections.abc import Iterator
 from functools import lru_cache
+from pathlib import Path
 
 import pyarrow as pa
 import regex
@@ -85,9 +87,8 @@ def _splitters() -> tuple[re.Pattern, re.Pattern, re.Pattern]:
 class Bpe:
     """A byte-level BPE vocabulary with its word and pair memories."""
 
-    def __init__(self, path: str):
-        with open(path, encoding="utf-8") as f:
-            spec = json.load(f)
+    def __init__(self, content: str):
+        spec = json.loads(content)
         # printable stand-ins of bytes in such files: printable Latin-1 stands for itself, the rest follow from 256 on
         plain = [b for b in range(256) if 33 <= b <= 126 or 161 <= b <= 172 or 174 <= b]
         stand_in = {chr(b): b for b in plain} | {chr(256 + i): b for i, b in enumerate(b for b in range(256) if b not in plain)}
@@ -226,8 +227,12 @@ class Bpe:
 
 
 @lru_cache(2)
+def _parsed(content: str) -> Bpe:
+    return Bpe(content)
+
+
 def vocabulary(path: str) -> Bpe:
-    return Bpe(path)
+    return _parsed(Path(path).read_text(encoding="utf-8"))
 
 
 def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: str = "text", with_ids: bool = False) -> DataFrame:
@@ -236,14 +241,17 @@ def encode(docs: DataFrame, vocab_path: str, id_col: str = "doc_id", text_col: s
     A null text is empty: no tokens, the hashes of nothing.  Repeated rows
     give repeated results, a null id stays null, other columns are ignored.
     Special tokens written out in a text become those tokens, as the
-    tokenizers library has it by default.  Rows are independent: the plan
-    has no exchange.  ``vocab_path`` must exist on every executor.
+    tokenizers library has it by default.  Texts are encoded whole; a word of
+    any length costs its bytes times the longest token's.  Extra columns may
+    have any names; an empty table gives no rows.  Rows are independent: the
+    plan has no exchange.  ``vocab_path`` is read by the driver alone.
     """
+    content = docs.sparkSession.sparkContext.broadcast(Path(vocab_path).read_text(encoding="utf-8"))
     schema = SCHEMA + (", ids array<int>" if with_ids else "")
     names = [x.split()[0] for x in schema.split(", ")]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        bpe = vocabulary(vocab_path)
+        bpe = _parsed(content.value)
         for b in it:
             _, offs = buffers(b["text"])
             for i, j in chunks(offs, STEP_BYTES):

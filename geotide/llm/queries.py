@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotide.llm import bag_minhash, bpe, exact_topk, importance, line_dedup, mixing, quality_rules, secret_scan, substring_dedup, toxicity
+from geotide.llm import bag_minhash, bpe, exact_topk, importance, line_dedup, mixing, oracles, quality_rules, secret_scan, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -25,4 +25,4 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def oracle_sql() -> dict[str, str]:
-    return {"op5_exact_topk": exact_topk.ORACLE}
+    return oracles.oracle_sql()
