@@ -70,26 +70,56 @@ def classify(ops: DataFrame, order: list[str]) -> DataFrame:
     return ops.withColumn("category", category).filter("category is not null").drop("_op", "_origin")
 
 
+#: Position tables up to this many rows go into the plan as a map; a lookup scans its keys.
+MAP_ROWS = 500
+
+
+def _position_map(positions: DataFrame) -> Column | None:
+    """asn -> struct(asn_lat, asn_lon) as a literal, if the table is small; of repeated numbers the first row by position."""
+    rows = positions.select("asn", "asn_lat", "asn_lon").limit(MAP_ROWS + 1).collect()
+    if len(rows) > MAP_ROWS:
+        return None
+    known = {r["asn"]: r for r in sorted(rows, key=str, reverse=True) if r["asn"] is not None}
+    place = lambda r: F.struct(F.lit(r["asn_lat"]).cast("double").alias("asn_lat"), F.lit(r["asn_lon"]).cast("double").alias("asn_lon"))
+    if not known:
+        return F.create_map().cast("map<bigint, struct<asn_lat: double, asn_lon: double>>")
+    return F.map_from_arrays(F.array(*[F.lit(k).cast("long") for k in known]), F.array(*map(place, known.values())))
+
+
+def _places(path: Column, table: Column) -> Column:
+    """Positions of the hops that are known, in path order."""
+    return F.filter(F.transform(path, lambda x: F.try_element_at(table, x)), lambda x: x.isNotNull())
+
+
 def path_coords(events: DataFrame, positions: DataFrame, key: str) -> DataFrame:
-    """Adds path_coords: scaled lat, lon of each hop that is known, in path order."""
+    """Adds path_coords: scaled lat, lon of each hop that is known, in path order.
+
+    ``key`` identifies an event; it matters only where the position table is
+    too large for a map in the plan and hops are joined with it.
+    """
+    both = lambda x: F.array(scalar.scale_degrees(x["asn_lat"]), scalar.scale_degrees(x["asn_lon"]))
+    none = F.array().cast("array<int>")
+    if (table := _position_map(positions)) is not None:
+        return events.withColumn("path_coords", F.coalesce(F.flatten(F.transform(_places(F.col("as_path"), table), both)), none))
     hops = events.select(key, F.posexplode("as_path").alias("_i", "asn")).join(lookup.small(positions), "asn")
-    both = F.array(scalar.scale_degrees(F.col("asn_lat")), scalar.scale_degrees(F.col("asn_lon")))
-    got = hops.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", both.alias("c")))).alias("_h"))
+    got = hops.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", both(F.struct("asn_lat", "asn_lon")).alias("c")))).alias("_h"))
     out = events.join(got, key, "left")
-    return out.withColumn("path_coords", F.coalesce(F.flatten(F.col("_h.c")), F.array().cast("array<int>"))).drop("_h")
+    return out.withColumn("path_coords", F.coalesce(F.flatten(F.col("_h.c")), none)).drop("_h")
 
 
 def locate(events: DataFrame, cities: DataFrame, positions: DataFrame, key: str) -> DataFrame:
     """Adds lat_deg, lon_deg: the prefix's city, else the last path hop (withdrawals: the peer) with a known position; drops the rest.
 
-    ``positions`` is the (bounded) ASN table of this module's seeds or a
-    refreshed one; ``key`` identifies an event.
+    ``positions`` is the ASN table of this module's seeds or a refreshed one;
+    ``key`` identifies an event (see ``path_coords``).
     """
-    ev = lookup.city(events, cities)
     hops = F.when(F.col("op") == "W", F.array("origin_as")).otherwise(F.col("as_path"))
-    hop = events.select(key, F.posexplode(hops).alias("_i", "asn")).join(lookup.small(positions), "asn")
-    last = hop.groupBy(key).agg(F.max_by(F.struct("asn_lat", "asn_lon"), "_i").alias("_hop"))
-    out = ev.join(last, key, "left")
+    if (table := _position_map(positions)) is not None:
+        out = lookup.city(events.withColumn("_hop", F.try_element_at(_places(hops, table), F.lit(-1))), cities)
+    else:
+        hop = events.select(key, F.posexplode(hops).alias("_i", "asn")).join(lookup.small(positions), "asn")
+        last = hop.groupBy(key).agg(F.max_by(F.struct("asn_lat", "asn_lon"), "_i").alias("_hop"))
+        out = lookup.city(events, cities).join(last, key, "left")
     out = out.withColumn("lat_deg", F.coalesce("city_lat", "_hop.asn_lat")).withColumn("lon_deg", F.coalesce("city_lon", "_hop.asn_lon"))
     return out.filter(F.col("lat_deg").isNotNull()).drop("city_lat", "city_lon", "_hop")
 

@@ -159,3 +159,18 @@ def test_viewport_and_recency(spark):
 def test_seed_positions_take_other_tables(spark):
     got = lookup.seed_positions(spark, {1: "AA", 2: "BB"}, {"AA": (1.0, 2.0)}).collect()
     assert [tuple(r) for r in got] == [(1, "AA", 1.0, 2.0)]
+
+
+def test_positions_as_a_map_and_joined(spark, monkeypatch):
+    rows = [(1, "A", 701, [701, 5, 13335], "8.8.8.0/24"), (2, "A", 5, [5], "9.9.9.0/24"), (3, "W", 3356, [], "7.7.7.0/24"), (4, "A", None, None, "bad"), (5, "A", 15169, [15169, 15169, 5], "8.8.8.0/25")]
+    events = spark.createDataFrame(rows, "id long, op string, origin_as long, as_path array<long>, prefix string")
+    cities = spark.createDataFrame([("8.8.8.0/25", 1.0, 2.0)], "network string, lat double, lon double")
+    got = []
+    for most in (500, 0):
+        monkeypatch.setattr(routing, "MAP_ROWS", most)
+        where = lookup.seed_positions(spark)
+        got.append([routing.path_coords(events, where, "id").orderBy("id").collect(), routing.locate(events, cities, where, "id").select("id", "lat_deg", "lon_deg").orderBy("id").collect()])
+    assert got[0] == got[1] and [len(r["path_coords"]) for r in got[0][0]] == [4, 0, 0, 0, 4]
+    assert [(r["id"], r["lat_deg"]) for r in got[0][1]] == [(1, 37.09), (3, 37.09), (5, 1.0)]
+    empty = routing.path_coords(events, spark.createDataFrame([], "asn long, asn_lat double, asn_lon double"), "id")
+    assert all(r["path_coords"] == [] for r in empty.collect())
