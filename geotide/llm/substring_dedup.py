@@ -9,21 +9,22 @@ settled, is not looked at again:
 1. First digit.  Each window is led by its anchor, the smallest hash among its
    GRAM-byte substrings, the same in every copy of the window.  About 7 % of the
    positions are anchors, and neighbouring windows share one.  A group of one
-   anchor hash found once is done: its windows occur once.
-2. Second digit: a hash of all bytes that the windows of one anchor occurrence
-   reach, with their places.  If all of a group agree in it, all its windows are
-   equal and the group is settled by its smallest document.
-3. Last digit, only for groups that disagree: the bytes themselves.  Their
-   windows are ordered by a hash and compared byte by byte with the first of
-   their group; a group whose members differ is ordered by all its bytes.
+   anchor hash found in one block is done outside that block.
+2. Second digit, for groups of several blocks: the context, all bytes that the
+   windows of one anchor occurrence reach.  Contexts are ordered by a hash and
+   compared byte by byte with the first of their group; one that an earlier
+   block has too is settled with all its windows.
+3. Last digit, for contexts that differ: their single windows, ordered by a
+   hash and compared byte by byte as well.  Where a hash has deceived, all
+   bytes are the digits.
+
+Hashes only say what to compare; what counts as equal is equal byte by byte.
 
 Documents are dealt into blocks by ranges of the id, so an earlier block means
 a smaller id.  What leaves a block is packed: of every digit value one entry,
 however many copies the block holds; what comes back is a status a value.  No
 group of copies meets in a task: a digit found in all blocks has one entry a
-block.  Within a block equal hashes are always compared byte by byte; between
-blocks only whole contexts that agree in at least 110 bits of two hashes are
-taken as equal without that.
+block.
 """
 
 from __future__ import annotations
@@ -145,9 +146,8 @@ class _Block:
         doc = self.ids[self.of]
         self.covered = doc > doc[rep] if n else np.zeros(0, bool)  # equal context in a smaller document of this block
         at = np.flatnonzero(new_h)
-        many = np.bincount(self.group[new_c], minlength=len(at)) > 1
+        self.many = np.bincount(self.group[new_c], minlength=len(at)) > 1
         self.values = self.h[at]
-        self.second = np.where(many, np.uint64(0), self.ctx[at] | np.uint64(1))
 
     def _eight(self) -> np.ndarray:
         """The eight bytes from each position on, as integers."""
@@ -163,12 +163,12 @@ class _Block:
         return same & (eight[a[x] + last] == eight[np.minimum(a[y] + last, len(eight) - 1)])
 
     def contexts(self, status: np.ndarray) -> np.ndarray:
-        """The anchors whose bytes go to the last digit: one of each context of the groups whose status is 2."""
-        return np.flatnonzero((status[self.group] == 2) & self.new_c) if len(self.group) else np.zeros(0, np.int64)
+        """The anchors whose contexts go to the next digits: one of each context of the groups that other blocks have too."""
+        return np.flatnonzero((status[self.group] > 0) & self.new_c) if len(self.group) else np.zeros(0, np.int64)
 
-    def windows(self, status: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """The single windows of the groups that disagree: where they start, and which are in a smaller document of this block too."""
-        pick = np.flatnonzero((status[self.group] >= 2) & ~self.covered) if len(self.group) else np.zeros(0, np.int64)
+    def windows(self) -> tuple[np.ndarray, np.ndarray]:
+        """The single windows of the groups whose contexts differ here: where they start, and which are in a smaller document of this block."""
+        pick = np.flatnonzero(self.many[self.group] & ~self.covered) if len(self.group) else np.zeros(0, np.int64)
         n = self.b[pick] - self.a[pick] + 1
         start = np.sort(np.repeat(self.a[pick], n) + np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n))
         group = _equal_windows(self._eight(), start, start)
@@ -210,23 +210,20 @@ def _low_bytes(x: np.ndarray, k: int) -> np.ndarray:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k])
 
 
-def _pack(block: int, values: np.ndarray, second: np.ndarray, bits: int, k: int, k2: int) -> Iterator[tuple[int, int, bytes]]:
-    """Entries by bucket (top ``bits`` of the sorted values): k bytes of the value, k2 of the second digit."""
-    edge = np.searchsorted(values, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits)) if bits else np.array([0])
+def _pack(block: int, values: np.ndarray, bits: int, k: int) -> Iterator[tuple[int, int, bytes]]:
+    """Sorted values by bucket, which is their top ``bits``; of each the next k bytes."""
+    edge = np.searchsorted(values, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
     edge = np.append(edge, len(values))
-    body = np.concatenate([_low_bytes(values >> np.uint64(64 - bits - 8 * k), k), _low_bytes(second, k2)], axis=1)
+    body = _low_bytes(values >> np.uint64(64 - bits - 8 * k), k)
     for i in np.flatnonzero(np.diff(edge)).tolist():
         yield block, i, body[edge[i] : edge[i + 1]].tobytes()
 
 
-def _unpack(body: bytes, k: int, k2: int) -> tuple[np.ndarray, np.ndarray]:
-    raw = np.frombuffer(body, np.uint8).reshape(-1, k + k2)
-    out = []
-    for lo, hi in ((0, k), (k, k + k2)):
-        full = np.zeros((len(raw), 8), np.uint8)
-        full[:, : hi - lo] = raw[:, lo:hi]
-        out.append(full.view("<u8").ravel())
-    return out[0], out[1]
+def _unpack(body: bytes, k: int) -> np.ndarray:
+    raw = np.frombuffer(body, np.uint8).reshape(-1, k)
+    full = np.zeros((len(raw), 8), np.uint8)
+    full[:, :k] = raw
+    return full.view("<u8").ravel()
 
 
 def _rows(rows: list[tuple], schema: str = _PACKED) -> pa.Table:
@@ -236,30 +233,19 @@ def _rows(rows: list[tuple], schema: str = _PACKED) -> pa.Table:
     return pa.table({name: pa.array(col, kinds[kind]) for (name, kind), col in zip(fields, cols, strict=True)})
 
 
-def _settle(k: int, k2: int):
-    """Per bucket: a status for each block's entries.
-
-    0: nothing to remove beyond what the block knows; 1: all windows occur in an
-    earlier block; contexts differ and single windows are to be looked at: 2
-    among all blocks, 3 within the only block that has this digit.
-    """
+def _settle(k: int):
+    """Per bucket: for each block's values whether another block has them too."""
 
     def run(table: pa.Table) -> pa.Table:
         blocks = table["block"].to_numpy()
-        got = [_unpack(x.as_py(), k, k2) for x in table["body"]]
-        size = np.array([len(x[0]) for x in got])
-        v, s = np.concatenate([x[0] for x in got]), np.concatenate([x[1] for x in got])
-        blk = np.repeat(blocks, size)
-        by = _ordered(v, blk.astype(np.uint64))
-        v2, s2 = v[by], s[by]
-        new = np.ones(len(v), bool)
-        new[1:] = v2[1:] != v2[:-1]
-        at = np.flatnonzero(new)
-        group = np.cumsum(new) - 1
-        differ = np.logical_or.reduceat((s2 != s2[at][group]) | (s2 == 0), at)
-        alone = np.diff(np.append(at, len(v))) == 1
+        got = [_unpack(x.as_py(), k) for x in table["body"]]
+        size = np.array([len(x) for x in got])
+        v = np.concatenate(got)
+        by = np.argsort(v)
+        again = np.zeros(len(v) + 1, bool)
+        again[1:-1] = v[by[1:]] == v[by[:-1]]
         status = np.zeros(len(v), np.uint8)
-        status[by] = np.where(differ[group], np.where(alone[group], 3, 2), ~new)
+        status[by] = again[1:] | again[:-1]
         ends = np.cumsum(size)
         bucket = table["bucket"][0].as_py()
         return _rows([(int(b), bucket, status[e - n : e].tobytes()) for b, n, e in zip(blocks, size, ends, strict=True)])
@@ -278,7 +264,7 @@ def _pack_contexts(x: _Block, block: int, pick: np.ndarray, bits: int) -> Iterat
         yield block, int(bucket[i]), np.uint32(j - i).tobytes() + n[i:j].astype(np.uint8).tobytes() + x.buf[at].tobytes()
 
 
-def _settle_windows(table: pa.Table) -> pa.Table:
+def _settle_contexts(table: pa.Table) -> pa.Table:
     """Per bucket: for each block's contexts a bit for each window (from the lowest) that an earlier block has too."""
     blocks, counts, texts = table["block"].to_numpy(), [], []
     for body in table["body"]:
@@ -287,14 +273,30 @@ def _settle_windows(table: pa.Table) -> pa.Table:
         counts.append(raw[4 : 4 + k].astype(np.int64))
         texts.append(raw[4 + k :])
     n, buf = np.concatenate(counts), np.concatenate(texts)
-    size = n + WINDOW - 1
-    first = np.cumsum(n) - n
-    nth = np.arange(n.sum()) - np.repeat(first, n)
-    start = np.repeat(np.cumsum(size) - size, n) + nth
+    eight = np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,))
     per = np.array([len(c) for c in counts])
-    blk = np.repeat(np.repeat(blocks, per), n)
-    lead = _equal_windows(np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,)), start, blk.astype(np.uint64))
-    bits = np.bitwise_or.reduceat((blk > blk[lead]).astype(np.uint32) << nth.astype(np.uint32), first)
+    blk = np.repeat(blocks, per)
+    size = n + WINDOW - 1
+    at = np.cumsum(size) - size
+    # second digit: whole contexts
+    reads = [at + np.minimum(k, size - 8) for k in range(0, WINDOW + REACH - 1, 8)]
+    h = n.astype(np.uint64)
+    for r in reads:
+        h = mix(h * _ODD[0] + eight[r])
+    lead = _first_of(_ordered(h, blk.astype(np.uint64)), h)
+    same = n == n[lead]
+    for r in reads:
+        same &= eight[r] == eight[r[lead]]
+    whole = same & (blk > blk[lead])
+    bits = np.where(whole, (np.uint32(1) << n.astype(np.uint32)) - np.uint32(1), np.uint32(0)).astype(np.uint32)
+    # last digit: windows of the contexts that are left
+    rest = np.flatnonzero(~whole)
+    m = n[rest]
+    first = np.cumsum(m) - m
+    nth = np.arange(m.sum()) - np.repeat(first, m)
+    w_blk = np.repeat(blk[rest], m)
+    w_lead = _equal_windows(eight, np.repeat(at[rest], m) + nth, w_blk.astype(np.uint64))
+    bits[rest] = np.bitwise_or.reduceat((w_blk > w_blk[w_lead]).astype(np.uint32) << nth.astype(np.uint32), first)
     ends = np.cumsum(per)
     bucket = table["bucket"][0].as_py()
     return _rows([(int(b), bucket, bits[e - k : e].astype("<u4").tobytes()) for b, k, e in zip(blocks, per, ends, strict=True)])
@@ -328,17 +330,17 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     anywhere = F.pmod(F.xxhash64("text"), F.lit(n_blocks)).cast("int")  # rows without an id take no part
     d = d.withColumn("block", F.when(F.col("doc_id").isNull(), anywhere).otherwise(block_of("doc_id")))
-    first_digit = (5, 8)
+    digit = 5
 
     def digits(table: pa.Table) -> pa.Table:
         x = _Block(table, bits)
-        return _rows(list(_pack(table["block"][0].as_py(), x.values, x.second, bits, *first_digit)))
+        return _rows(list(_pack(table["block"][0].as_py(), x.values, bits, digit)))
 
     def contexts(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table) or not len(replies):
             return _rows([])
         status = _statuses(replies)
-        if not (status == 2).any():
+        if not status.any():
             return _rows([])
         x = _Block(table, bits)
         return _rows(list(_pack_contexts(x, table["block"][0].as_py(), x.contexts(status), bits)))
@@ -351,8 +353,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         x = _Block(table, bits)
         tag = replies["pass_no"].to_numpy()
         status = _statuses(replies.filter(pa.array(tag == 1)))
-        whole = x.covered | (status[x.group] == 1) if len(x.group) else x.covered
-        start, gone = x.windows(status)
+        whole = x.covered
+        start, gone = x.windows()
         single = [start[gone]]
         pick = x.contexts(status)
         if len(pick):
@@ -388,8 +390,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table(cols)
 
     blocks = d.groupBy("block")
-    first = blocks.applyInArrow(digits, _PACKED).groupBy("bucket").applyInArrow(_settle(*first_digit), _PACKED)
-    last = blocks.cogroup(first.groupBy("block")).applyInArrow(contexts, _PACKED).groupBy("bucket").applyInArrow(_settle_windows, _PACKED)
+    first = blocks.applyInArrow(digits, _PACKED).groupBy("bucket").applyInArrow(_settle(digit), _PACKED)
+    last = blocks.cogroup(first.groupBy("block")).applyInArrow(contexts, _PACKED).groupBy("bucket").applyInArrow(_settle_contexts, _PACKED)
     replies = first.withColumn("pass_no", F.lit(1)).unionByName(last.withColumn("pass_no", F.lit(2)))
     return blocks.cogroup(replies.groupBy("block")).applyInArrow(result, out_schema)
 
