@@ -399,9 +399,10 @@ def remove_lines(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def op3(spark, sf_dir: str) -> DataFrame:
+    """(doc_id, n_lines, n_equal, n_similar, removed_lines): the last is line numbers from 0, comma-joined."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet").select("doc_id", "text")
-    found = summaries(docs).select(F.col("doc_id").alias("_id"), "n_equal", "n_similar", F.col("gone.line_no").alias("lines"))
+    numbers = F.array_join(F.col("gone.line_no").cast("array<string>"), ",")
+    found = summaries(docs).select(F.col("doc_id").alias("_id"), "n_equal", "n_similar", numbers.alias("lines"))
     ids = docs.select("doc_id", F.size(F.split(F.coalesce("text", F.lit("")), "\n")).alias("n_lines"))
     out = ids.join(found, F.col("doc_id") == F.col("_id"), "left").drop("_id")
-    none = F.array().cast("array<int>")
-    return out.select("doc_id", "n_lines", F.coalesce("n_equal", F.lit(0)).alias("n_equal"), F.coalesce("n_similar", F.lit(0)).alias("n_similar"), F.coalesce("lines", none).alias("removed_lines"))
+    return out.select("doc_id", "n_lines", F.coalesce("n_equal", F.lit(0)).alias("n_equal"), F.coalesce("n_similar", F.lit(0)).alias("n_similar"), F.coalesce("lines", F.lit("")).alias("removed_lines"))

@@ -45,8 +45,8 @@ s AS (SELECT DISTINCT m.key FROM m JOIN f a ON a.key = m.key JOIN f b ON b.key =
       WHERE b.place < a.place AND 9 * len(list_intersect(a.words, b.words)) >= 4 * (len(a.words) + len(b.words))),
 g AS (SELECT DISTINCT k.doc_id, k.line_no, CASE WHEN s.key IS NOT NULL THEN 'similar' ELSE 'equal' END AS kind
       FROM k JOIN f USING (key) LEFT JOIN s USING (key) WHERE s.key IS NOT NULL OR (k.doc_id, k.line_no) <> f.place),
-n AS (SELECT doc_id, count(*) FILTER (kind = 'equal') AS n_equal, count(*) FILTER (kind = 'similar') AS n_similar, list(DISTINCT line_no::INTEGER ORDER BY line_no::INTEGER) AS gone FROM g GROUP BY doc_id)
-SELECT d.doc_id, len(d.lines)::INTEGER AS n_lines, coalesce(n_equal, 0) AS n_equal, coalesce(n_similar, 0) AS n_similar, coalesce(gone, []::INTEGER[]) AS removed_lines
+n AS (SELECT doc_id, count(*) FILTER (kind = 'equal') AS n_equal, count(*) FILTER (kind = 'similar') AS n_similar, array_to_string(list(DISTINCT line_no::INTEGER ORDER BY line_no::INTEGER), ',') AS gone FROM g GROUP BY doc_id)
+SELECT d.doc_id, len(d.lines)::INTEGER AS n_lines, coalesce(n_equal, 0) AS n_equal, coalesce(n_similar, 0) AS n_similar, coalesce(gone, '') AS removed_lines
 FROM d LEFT JOIN n ON d.doc_id = n.doc_id
 """
 

@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from geotide.llm._frames import documents
+from geotide.llm._frames import by_position, documents
 from geotide.llm._text import IS_WORD, Chunk, grams, repeated, text_chunks
 
 #: n-gram length -> largest share of a text's word characters inside duplicated n-grams of that length.
@@ -109,9 +109,13 @@ def verdicts(measured: DataFrame) -> DataFrame:
 
 
 def keep(docs: DataFrame, text_col: str = "text") -> DataFrame:
-    """``docs``, all columns, without the rows that the rules reject; the verdict is found in the same scan."""
-    plain = docs.toDF(*[f"_{i}" for i in range(len(docs.columns))])
-    text = f"_{docs.columns.index(text_col)}"
+    """``docs``, all columns, without the rows that the rules reject; the verdict is found in the same scan.
+
+    Null and empty texts have no words and are rejected; repeated rows are
+    each judged.  Extra columns may have any names, also ones that clash; an
+    empty table gives no rows.
+    """
+    plain, (text,) = by_position(docs, text_col)
     fields = [x.split() for x in SCHEMA.split(", ")[1:]]
 
     def run(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
