@@ -286,6 +286,28 @@ def test_substring_dedup(docs, rows):
     assert substring_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_substring_dedup_with_deceiving_hashes(docs, rows, monkeypatch):
+    """Where all hashes agree, the bytes decide."""
+    want = as_rows(substring_dedup.remove_repeats(docs))
+    import pyarrow as pa
+
+    texts = sorted({(d, t) for d, t, *_ in rows if d is not None and t}, key=str)
+    eight = lambda b: np.ndarray((len(b) - 7,), "<u8", b, strides=(1,))
+    buf = np.frombuffer("".join(t for _, t in texts).encode()[:6000], np.uint8)
+    start = np.arange(0, len(buf) - 50)
+    real = substring_dedup._equal_windows(eight(buf), start, start)
+    monkeypatch.setattr(substring_dedup, "mix", lambda x: x * np.uint64(0))
+    assert (substring_dedup._equal_windows(eight(buf), start, start) == real).all()
+    seen = {}
+    assert [seen.setdefault(bytes(buf[i : i + 50]), i) for i in start.tolist()] == real.tolist()
+    # a task with blocks of contexts, all of one hash
+    body = lambda parts: np.uint32(len(parts)).tobytes() + bytes(len(p) - 49 for p in parts) + b"".join(parts)
+    a, b = bytes(buf[:60]), bytes(buf[100:165])
+    table = pa.table({"block": pa.array([0, 1, 2], pa.int32()), "bucket": pa.array([5, 5, 5], pa.int32()), "body": pa.array([body([a, b]), body([b[:55], a]), body([b"x" * 51])], pa.binary())})
+    got = {r["block"]: np.frombuffer(r["body"], "<u4").tolist() for r in substring_dedup._settle_contexts(table).to_pylist()}
+    assert got == {0: [0, 0], 1: [(1 << 6) - 1, (1 << 11) - 1], 2: [0]} and want
+
+
 def test_bpe(docs, rows):
     from tokenizers import Tokenizer
 
@@ -645,3 +667,50 @@ def test_stages_carry_all_columns(spark, docs, rows, name):
     assert got.columns == odd.columns and want.columns == plain.columns
     assert Counter((r[0], r[1]) for r in got.collect()) == Counter((r[0], r[1]) for r in want.collect())
     assert stage(plain.limit(0)).count() == 0
+
+
+def test_pipeline_brute_force(spark, tmp_path):
+    """run() against each stage's own rules, one after the other, on a small table with an extra clashing column."""
+    import corpus_pipeline
+    from tokenizers import Tokenizer
+
+    rng = random.Random(21)
+    vocab = ["".join(rng.choice("abcdefgh") for _ in range(rng.randrange(2, 9))) for _ in range(3000)]
+    line = lambda n: " ".join(rng.choice(vocab) for _ in range(n))
+    shared = [line(25) for _ in range(4)]
+    rows = []
+    for i in range(60):
+        t = "\n".join([line(30), shared[i % 4] if i % 3 == 0 else line(12), line(40)])
+        if i % 10 == 9:  # a near copy whose lines are cut differently, so that it survives the line stage
+            words = rows[-1][1].split()
+            words[5] = "edited"
+            t = "\n".join([" ".join(words[:55]), " ".join(words[55:])])
+        rows.append((i, t, "en", [None, "a", "b", "c"][i % 4], len(t)))
+    rows += [(100, None, "en", "a", 0), (101, "", "en", "a", 0), (102, "too short", "en", "b", 9), (103, "same words again " * 60, "en", "b", 1020)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string, source string, n_chars long")
+    docs.repartition(3).write.parquet(str(tmp_path / "documents.parquet"))
+    odd = docs.select("*", F.lit("x").alias("Doc_ID"), F.lit(1).alias("TEXT"))
+    names = corpus_pipeline.COLUMNS
+    out = {name: stage(spark, odd, "") for name, stage in corpus_pipeline.STAGES}
+    assert all(d.columns == names for n, d in out.items() if n != "bpe_encode") and [d.count() for d in out.values()][1] == len(rows)
+
+    text = {i: t for i, t, *_ in rows}
+    kept = [i for i in range(60)]
+    assert sorted(r["doc_id"] for r in out["quality_rules"].collect()) == kept
+    lines = [(i, n, frozenset(WORD.findall(x))) for i in kept for n, x in enumerate(text[i].split("\n"))]
+    gone = {(i, n) for i, n, w in lines if any((j, m) < (i, n) and 9 * len(v & w) >= 4 * (len(v) + len(w)) for j, m, v in lines)}
+    text = {i: "\n".join(x for n, x in enumerate(text[i].split("\n")) if (i, n) not in gone) for i in kept}
+    bags = {i: Counter(zip(*[text[i].split()[k:] for k in range(5)], strict=False)) for i in kept}
+    first = {i: min([j for j in kept if 9 * (bags[i] & bags[j]).total() >= 4 * (bags[i].total() + bags[j].total())], default=i) for i in kept}
+    left = [i for i in kept if first[i] == i]
+    assert gone and len(left) < len(kept)
+    source = {i: s for i, _, _, s, _ in rows}
+    plan = mixing.mix(spark.createDataFrame([(i, text[i], source[i]) for i in left], "doc_id long, text string, source string"))
+    copies = {r["doc_id"]: r["copies"] for r in plan.collect()}
+    lib = Tokenizer.from_file(bpe.default_vocabulary())
+    want = []
+    for i in left:
+        ids = lib.encode(text[i], add_special_tokens=False).ids
+        row = (i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest())
+        want += [row] * copies[i]
+    assert as_rows(corpus_pipeline.run(spark, str(tmp_path))) == sorted(want, key=str)
