@@ -12,6 +12,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from decimal import Decimal
 
 import numpy as np
 import pyarrow as pa
@@ -143,7 +144,7 @@ def top_share(keyed: DataFrame, k: int) -> DataFrame:
         return keyed
     sure, border, k = _narrow(keyed, F.col("key"), k)
     if border.limit(_BIN_ROWS + 1).count() > _BIN_ROWS:  # one key: a text that is repeated very often
-        by_id = -F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(2**64).cast("decimal(38,0)"))
+        by_id = -F.coalesce(F.col("doc_id").cast("decimal(38,0)"), F.lit(Decimal(2**64)).cast("decimal(38,0)"))
         more, border, k = _narrow(border, by_id, k)
         sure = sure.unionByName(more)
         if border.limit(_BIN_ROWS + 1).count() > _BIN_ROWS:

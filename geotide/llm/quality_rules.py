@@ -93,7 +93,8 @@ def measure(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     """One row of counts for each input row (see ``SCHEMA``).
 
     A null or empty text has zero for every count.  A null id stays null,
-    repeated rows are measured each for itself, other columns are ignored.
+    repeated rows are measured each for itself, long texts whole; other
+    columns, with any names, are ignored; an empty table gives no rows.
     """
     return documents(docs, id_col, text_col).mapInArrow(_batches, SCHEMA)
 

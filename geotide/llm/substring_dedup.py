@@ -314,8 +314,9 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     Null texts are empty.  Rows with the same id aren't smaller than one
     another, so repeated rows leave each other alone and meet the same fate.
     Rows with a null id take no part: nothing is removed from them or because
-    of them.  Texts under WINDOW bytes stay as they are.  Extra columns are
-    ignored; an empty table gives an empty result.
+    of them.  Texts under WINDOW bytes stay as they are; long ones count whole,
+    a block holds one at least.  Extra columns, with any names, are ignored; an
+    empty table gives an empty result.
     """
     d = documents(docs, id_col, text_col)
     total = d.agg(F.sum(F.octet_length("text")).alias("n"), F.count("doc_id").alias("ids")).first()

@@ -242,7 +242,8 @@ def score(docs: DataFrame, labels: DataFrame, id_col: str = "doc_id", text_col:
     and gets the score of none; labels that are null, or of unknown ids, are
     ignored, of several labels of an id the larger counts; repeated rows get
     the same score; a null id is not held out.  Without labels of both kinds
-    every score is low.
+    every score is low.  Long texts count whole; extra columns, with any
+    names, are ignored; an empty table gives no rows.
     """
     d = documents(docs, id_col, text_col)
     rest = F.crc32(F.col("doc_id").cast("string")) % 3
