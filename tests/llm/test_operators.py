@@ -714,3 +714,35 @@ def test_pipeline_brute_force(spark, tmp_path):
         row = (i, len(ids), hashlib.sha256(np.array(ids, "<u4").tobytes()).hexdigest(), hashlib.sha256(lib.decode(ids, skip_special_tokens=False).encode()).hexdigest())
         want += [row] * copies[i]
     assert as_rows(corpus_pipeline.run(spark, str(tmp_path))) == sorted(want, key=str)
+
+
+def _each_operator(df, labels):
+    """Every operator over one table: name -> DataFrame with a row (or fewer) for each document."""
+    return {
+        "mix": mixing.mix(df), "secrets": secret_scan.secrets(df), "lines": line_dedup.remove_lines(df), "sample": importance.resample(df, labels), "quality": quality_rules.verdicts(quality_rules.measure(df)),
+        "toxicity": toxicity.score(df, labels), "near": bag_minhash.near_duplicates(df), "bpe": bpe.encode(df, bpe.default_vocabulary()), "repeats": substring_dedup.remove_repeats(df),
+    }
+
+
+def test_empty_tables(spark, docs):
+    labels = spark.createDataFrame([(1, 1, 1, 2), (2, 0, 0, 2)], "doc_id long, quality int, toxic int, DOC_ID int")
+    for name, df in _each_operator(docs.limit(0), labels).items():
+        assert df.count() == 0, name
+
+
+def test_labels_with_clashing_columns(spark, docs, rows):
+    plain = spark.createDataFrame([(i, i % 2, int(i % 3 == 0)) for i in range(80)], "doc_id long, quality int, toxic int")
+    odd = plain.select("*", F.lit("x").alias("Quality"), F.lit("y").alias("DOC_ID"), F.lit(None).cast("int").alias("TOXIC"))
+    assert as_rows(importance.resample(docs, odd)) == as_rows(importance.resample(docs, plain))
+    assert as_rows(toxicity.score(docs, odd)) == as_rows(toxicity.score(docs, plain))
+
+
+def test_long_texts(spark):
+    long = [(1, "word " * 60_000), (2, "x" * 150_000), (3, "a b\n" * 40_000), (4, " ".join(f"w{i}" for i in range(40_000))), (5, " ".join(f"w{i}" for i in range(39_999)) + " end")]
+    df = spark.createDataFrame([(i, t, "s") for i, t in long], "doc_id long, text string, source string")
+    labels = spark.createDataFrame([(1, 1, 1), (2, 0, 0), (3, 1, 0)], "doc_id long, quality int, toxic int")
+    got = {name: {r["doc_id"]: r for r in x.collect()} for name, x in _each_operator(df, labels).items()}
+    assert all(set(x) == {1, 2, 3, 4, 5} for name, x in got.items() if name != "sample")
+    assert got["near"][5]["class_id"] == 4 and got["lines"][5]["text"] == "" and got["lines"][3]["text"] == "a b\n" + "" * 39_999
+    assert got["quality"][4]["n_words"] == 40_000 and got["mix"][1]["size"] == 60_000
+    assert got["repeats"][5]["n_removed"] == len(" ".join(f"w{i}" for i in range(39_999)) + " ")
