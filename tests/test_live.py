@@ -307,3 +307,20 @@ def test_envelopes(spark):
     df = spark.createDataFrame([("s1", '{"a":1}')], "stream string, data string")
     assert [tuple(r) for r in broadcast.envelopes(df).collect()] == [("__anycable__", '{"stream":"s1","data":"{\\"a\\":1}"}')]
     assert broadcast.messages(spark.range(1), "t").first()["body"] == '{"id":0}'
+
+
+def test_command_line(spark, tmp_path, capsys):
+    assert cli.main(["version"]) == 0 and capsys.readouterr().out.strip() == cli.VERSION
+    assert cli.main(["run", "no_such_query", str(tmp_path)]) == 2 and "no_such_query" in capsys.readouterr().err
+    spark.range(5).selectExpr("id AS c_custkey", "'n' AS c_name", "id AS c_acctbal", "'m' AS c_mktsegment").write.parquet(str(tmp_path / "customer.parquet"))
+    assert cli.main(["run", "scan_project_filter", str(tmp_path), "--out", str(tmp_path / "out")]) == 0
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 4
+    with pytest.raises(ValueError, match="vessels"):
+        cli.main(["stream", "vessels", "x", "--store", "s", "--checkpoints", "c"])
+
+
+def test_command_line_service(spark, tmp_path):
+    doc = {"MessageType": "PositionReport", "MetaData": {"MMSI": 9, "ShipName": "S", "time_utc": "2024-03-05T07:08:09Z"}, "Message": {"PositionReport": {"Sog": 1.0, "Latitude": 10.0, "Longitude": 20.0}}}
+    lines(tmp_path / "in", "0.json", [doc])
+    assert cli.main(["stream", "vessel", str(tmp_path / "in"), "--store", str(tmp_path / "s"), "--checkpoints", str(tmp_path / "c"), "--once"]) == 0
+    assert spark.read.parquet(str(tmp_path / "s/vessel")).first()["source"] == "vessel"
