@@ -162,9 +162,9 @@ def test_seed_positions_take_other_tables(spark):
 
 
 def test_positions_as_a_map_and_joined(spark, monkeypatch):
-    rows = [(1, "A", 701, [701, 5, 13335], "8.8.8.0/24"), (2, "A", 5, [5], "9.9.9.0/24"), (3, "W", 3356, [], "7.7.7.0/24"), (4, "A", None, None, "bad"), (5, "A", 15169, [15169, 15169, 5], "8.8.8.0/25")]
+    rows = [(1, "A", 701, [701, 5, 13335], "8.8.8.0/24"), (2, "A", 5, [5], "9.9.9.0/24"), (3, "W", 3356, [], "7.7.7.0/24"), (4, "A", None, None, "bad"), (5, "A", 15169, [15169, 15169, 5], "8.8.8.128/25")]
     events = spark.createDataFrame(rows, "id long, op string, origin_as long, as_path array<long>, prefix string")
-    cities = spark.createDataFrame([("8.8.8.0/25", 1.0, 2.0)], "network string, lat double, lon double")
+    cities = spark.createDataFrame([("8.8.8.128/25", 1.0, 2.0)], "network string, lat double, lon double")
     got = []
     for most in (500, 0):
         monkeypatch.setattr(routing, "MAP_ROWS", most)
