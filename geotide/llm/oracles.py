@@ -6,7 +6,7 @@ every byte, joins on every prefix word.  They are meant for small tables.
 
 from __future__ import annotations
 
-from geotide.llm import exact_topk, quality_rules
+from geotide.llm import exact_topk, merkle, quality_rules
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -102,4 +102,5 @@ def oracle_sql() -> dict[str, str]:
         "op5_exact_topk": exact_topk.ORACLE,
         "op6_quality_rules": quality_rules_sql(),
         "op10_substring_dedup": SUBSTRING_DEDUP,
+        "op12_merkle_manifest": merkle.oracle_sql(),
     }
