@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotide.llm import bag_minhash, bpe, exact_topk, importance, line_dedup, merkle, mixing, oracles, quality_rules, secret_scan, substring_dedup, toxicity
+from geotide.llm import bag_minhash, bpe, exact_topk, importance, line_dedup, merkle, mixing, oracles, quality_rules, secret_scan, spelling, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -22,6 +22,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op9_bpe": bpe.op9,
         "op10_substring_dedup": substring_dedup.op10,
         "op12_merkle_manifest": merkle.op12,
+        "op13_spelling_variants": spelling.op13,
     }
 
 
