@@ -6,7 +6,7 @@ from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 
-from geotide.llm import bag_minhash, bpe, exact_topk, importance, line_dedup, merkle, mixing, oracles, quality_rules, secret_scan, spelling, substring_dedup, toxicity
+from geotide.llm import bag_minhash, bpe, exact_topk, importance, line_dedup, merkle, mixing, oracles, pii, quality_rules, secret_scan, spelling, substring_dedup, toxicity
 
 
 def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
@@ -21,6 +21,7 @@ def queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
         "op8_bag_minhash": bag_minhash.op8,
         "op9_bpe": bpe.op9,
         "op10_substring_dedup": substring_dedup.op10,
+        "op11_pii": pii.op11,
         "op12_merkle_manifest": merkle.op12,
         "op13_spelling_variants": spelling.op13,
     }
