@@ -135,13 +135,13 @@ def vocabulary(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text")
     return counts.groupBy("word").agg(F.sum("n").alias("n")).filter(F.col("n") >= LEAST_COUNT)
 
 
-def _blocks(it: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sorted words with the number of their block."""
+def _blocks(it: Iterator[pa.RecordBatch], most: int) -> Iterator[pa.RecordBatch]:
+    """Sorted words with the number of their block, which has ``most`` words."""
     block, words, size = TaskContext.get().partitionId() << 32, 0, 0
     for b in it:
         numbers = []
         for w in pc.binary_length(b["word"]).to_pylist():
-            if words and (words >= BLOCK_WORDS or size + w > BLOCK_BYTES):
+            if words and (words >= most or size + w > BLOCK_BYTES):
                 block, words, size = block + 1, 0, 0
             words, size = words + 1, size + w
             numbers.append(block)
@@ -303,7 +303,7 @@ def _merged(_key: tuple, words: pa.Table, shared: pa.Table) -> pa.Table:
     return m.table()
 
 
-def near_words(words: DataFrame) -> DataFrame:
+def near_words(words: DataFrame, block_words: int = BLOCK_WORDS) -> DataFrame:
     """(word, n, n_near, best_n, best) of every (word, n), words distinct: how many others are one edit apart, and the most frequent of them.
 
     Of equally frequent ones the smallest counts.  Words without such have
@@ -311,8 +311,8 @@ def near_words(words: DataFrame) -> DataFrame:
     """
     spark = words.sparkSession
     words = durable(words)
-    parts = max(spark.sparkContext.defaultParallelism, -(-words.count() // BLOCK_WORDS))
-    blocks = durable(words.repartitionByRange(parts, "word").sortWithinPartitions("word").mapInArrow(_blocks, "word string, n long, block long"))
+    parts = max(spark.sparkContext.defaultParallelism, -(-words.count() // max(block_words, BLOCK_WORDS)))
+    blocks = durable(words.repartitionByRange(parts, "word").sortWithinPartitions("word").mapInArrow(lambda it: _blocks(it, block_words), "word string, n long, block long"))
     counts = durable(blocks.groupBy("block").applyInArrow(_edge_counts, "block long, node long, char string, words long"))
     # a node in one block only is that block's own affair
     chars = counts.groupBy("node", "char").agg(F.sum("words").alias("words"), F.min("block").alias("low"), F.max("block").alias("high"))
