@@ -7,6 +7,11 @@ every code point the span of the original text it came from, so what is found
 in any depth is reported as a span of the original.  A layer seen before (same
 text from the same place) is not visited again.
 
+Escapes within escapes are undone to their end in one pass with a stack, so a
+chain of them takes time in proportion to its length; the text with one level
+undone is a layer too.  Of decoded bytes that aren't text, only the runs of
+text are kept.
+
 Texts without any sign of a secret or an encoding, the great majority, are
 told by numpy and byte searches over whole batches and cost no regular
 expression.
@@ -15,7 +20,9 @@ expression.
 from __future__ import annotations
 
 import base64
+import bz2
 import hashlib
+import lzma
 import re
 import zlib
 from collections.abc import Generator, Iterator
@@ -38,15 +45,19 @@ BASE64 = re.compile(r"[A-Za-z0-9+/_-]{16,}={0,2}")
 NEXT_LINES = re.compile(r"(?:[ \t]*(?:\r\n?|\n)[ \t]*[A-Za-z0-9+/_-]+)+={0,2}")
 BASE64_PART = re.compile(r"[A-Za-z0-9+]{16,}={0,2}")
 PERCENT_ESCAPE = re.compile(r"(?:%[0-9A-Fa-f]{2})+")
-ESCAPE = re.compile(r"((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})")
+ESCAPE = re.compile(r"((?:\\u[0-9A-Fa-f]{4})+)|\\x([0-9A-Fa-f]{2})|\\U([0-9A-Fa-f]{8})|\\u\{([0-9A-Fa-f]{1,6})\}")
+#: What a chain of escapes is made of.
+CHAIN = re.compile(r"[%\\][%\\uUx{}0-9A-Fa-f]+")
+_HEX = {ord(c): int(c, 16) for c in "0123456789abcdefABCDEF"}
 #: Bytes as source code writes them: the hexadecimal, octal and short escapes.
 BYTE_ESCAPE = re.compile(r"""\\(?:x([0-9A-Fa-f]{2})|u00([0-9A-Fa-f]{2})|([0-3][0-7]{2}|[0-7]{1,2})|([abefnrtv\\'"/]))""")
 SHORT = dict(zip("abefnrtv\\'\"/", [b"\a", b"\b", b"\x1b", b"\f", b"\n", b"\r", b"\t", b"\v", b"\\", b"'", b'"', b"/"], strict=True))
-#: What gzip and zlib streams start with.
+#: What gzip, zlib, bzip2 and xz streams start with.
 _FLAGS = lambda c: b"".join(re.escape(bytes([f])) for f in range(256) if (c * 256 + f) % 31 == 0 and not f & 32)
-HEADER = re.compile(rb"\x1f\x8b\x08|" + b"|".join(re.escape(bytes([c])) + b"[" + _FLAGS(c) + b"]" for c in range(8, 128, 16)))
+_OTHERS = {b"BZh": bz2.BZ2Decompressor, b"\xfd7z": lzma.LZMADecompressor}
+HEADER = re.compile(rb"\x1f\x8b\x08|BZh[1-9]1AY&SY|\xfd7zXZ\x00|" + b"|".join(re.escape(bytes([c])) + b"[" + _FLAGS(c) + b"]" for c in range(8, 128, 16)))
 #: Text among other bytes, in ASCII and its wider forms: secrets and runs of base64 take at least 16 characters, compressed streams in escapes 10.
-TEXT_RUN = re.compile(rb"[\t\n\r -~]{10}")
+TEXT_RUN = re.compile(rb"[\t\n\r -~]{10,}+")
 WIDE_RUN = re.compile(rb"(?:[\t\n\r -~]\x00{3}){9,}[\t\n\r -~]()|(?:[\t\n\r -~]\x00){9,}[\t\n\r -~]?")
 #: Bytes of compressed input read at once, and about how many unpacked ones are looked at together.
 READ_BYTES, WINDOW_BYTES = 1 << 16, 1 << 22
@@ -71,11 +82,11 @@ def find(text: str) -> list[tuple[str, int, int]]:
 
 
 Where = "np.ndarray | int | None"  # for each code point or byte its bound in the original; an int: the same for all; None: itself
-Layer = tuple[str, Where, Where]  # text, and where each code point starts and ends
+Layer = tuple  # text, and where each code point starts and ends; True after them if its escapes have been looked at
 
 
 def _at(layer: Layer, start: int, end: int) -> tuple[int, int]:
-    _, starts, ends = layer
+    starts, ends = layer[1:3]
     if starts is None:
         return start, end
     return (starts, ends) if isinstance(starts, int) else (int(starts[start]), int(ends[end - 1]))
@@ -83,7 +94,7 @@ def _at(layer: Layer, start: int, end: int) -> tuple[int, int]:
 
 def _places(layer: Layer, first: np.ndarray, last: np.ndarray) -> tuple[Where, Where]:
     """Where the pieces from code point ``first`` to ``last`` of a layer start and end in the original."""
-    _, starts, ends = layer
+    starts, ends = layer[1:3]
     if starts is None:
         return first, last + 1
     return (starts, ends) if isinstance(starts, int) else (starts[first], ends[last])
@@ -115,16 +126,23 @@ def _clean(raw: bytes) -> bool:
 
 
 def _texts(raw: bytes, starts: Where, ends: Where) -> Iterator[Layer]:
-    """Decoded bytes as layers, if there is text in them: read as UTF-8 where each byte that isn't stands for itself, and as UTF-16 or UTF-32."""
+    """Decoded bytes as layers: read as UTF-8 if all of them are, else their runs of text (what is looked for takes ten characters in a row); and as UTF-16 or UTF-32."""
     one = isinstance(starts, int)
-    if _clean(raw) or TEXT_RUN.search(raw):
-        text = raw.decode("utf-8", "surrogateescape")
+    if _clean(raw):
+        text = raw.decode()
         if one:
             yield text, starts, ends
         else:
             size = _sizes(text)
             end = np.cumsum(size)
             yield text, starts[end - size], ends[end - 1]
+    elif runs := [m.span() for m in TEXT_RUN.finditer(raw)]:
+        text = "\ufffd".join(raw[a:b].decode() for a, b in runs)
+        if one:
+            yield text, starts, ends
+        else:
+            at = np.concatenate([np.arange(a, b + 1) for a, b in runs])[:-1]  # with the byte after each run for what lies between
+            yield text, starts[at], ends[at]
     for m in WIDE_RUN.finditer(raw) if b"\0" in raw else ():
         at = np.arange(*m.span(), m.lastindex and 4 or 2)
         yield m.group().replace(b"\0", b"").decode("ascii"), *((starts, ends) if one else (starts[at], ends[at]))
@@ -137,6 +155,11 @@ def _unpacked(raw: bytes, start: int) -> Iterator[tuple[bytes, int, bool]]:
     """
     end, ended = start, True
     while ended and HEADER.match(raw, end):
+        if other := _OTHERS.get(raw[end : end + 3]):
+            ended = False
+            for out, end, ended in _unpacked_whole(raw, end, other()):
+                yield out, end, ended
+            continue
         z, at, rest, ended = zlib.decompressobj(47), end, b"", False
         while not z.eof:
             if not rest:
@@ -161,6 +184,43 @@ def _unpacked(raw: bytes, start: int) -> Iterator[tuple[bytes, int, bool]]:
         ended = z.eof
 
 
+def _unpacked_whole(raw: bytes, at: int, z: bz2.BZ2Decompressor | lzma.LZMADecompressor) -> Iterator[tuple[bytes, int, bool]]:
+    """One bzip2 or xz stream, as ``_unpacked``."""
+    while not z.eof:
+        piece = raw[at : at + READ_BYTES] if z.needs_input else b""
+        if z.needs_input and not piece:
+            return
+        at += len(piece)
+        try:
+            out = z.decompress(piece, READ_BYTES << 4)
+        except (OSError, EOFError, lzma.LZMAError):
+            return
+        yield out, at - len(z.unused_data), z.eof
+
+
+def _raw_deflate(raw: bytes) -> Iterator[bytes]:
+    """What a deflate stream without a header unpacks to, in pieces; an error if it is none."""
+    z, rest = zlib.decompressobj(-15), raw
+    while not z.eof:
+        out = z.decompress(rest, READ_BYTES << 4)
+        rest = z.unconsumed_tail
+        if not out and not rest:
+            break
+        yield out
+    if not z.eof or z.unused_data:
+        raise zlib.error("not one whole stream")
+
+
+def _is_raw_deflate(raw: bytes) -> bool:
+    """Whether ``raw`` is a deflate stream without a header from end to end, of which the first piece is text."""
+    try:
+        pieces = _raw_deflate(raw)
+        first = next(pieces, b"")
+        return len(first) >= 10 and any(_clean(first[: len(first) - k]) for k in range(4)) and sum(map(len, pieces)) >= 0
+    except zlib.error:
+        return False
+
+
 def _extent(raw: bytes, start: int) -> tuple[int, bool, bool]:
     """End of the streams from ``start`` on, whether the last whole one ends there, and whether one is cut off by the end of the bytes."""
     end, last, ended = start, start, False
@@ -231,8 +291,8 @@ def _inner(raw: bytes, streams: list[tuple[int, int, bool]], starts: Where, ends
                 yield w, s, e, (s, e), whole
 
 
-def _layers(raw: bytes, starts: Where, ends: Where, span: tuple[int, int], own: bool = True) -> Iterator[Layer]:
-    """The texts that decoded bytes hold: their own (``own``), and those of compressed streams in them at any depth.
+def _layers(raw: bytes, starts: Where, ends: Where, span: tuple[int, int], own: bool = True, looked_at: bool = False) -> Iterator[Layer]:
+    """The texts that decoded bytes hold: their own (``own``; ``looked_at``: its escapes have been), and those of compressed streams in them at any depth.
 
     ``span``: where the whole piece lies in the original.  One window of each
     depth is held at a time; a stream met again in the same place is skipped.
@@ -253,7 +313,7 @@ def _layers(raw: bytes, starts: Where, ends: Where, span: tuple[int, int], own:
             plain = bytes(plain)
         # what only begins like a stream by chance gives no short texts
         if whole or len(stack) > 1 and (TEXT_RUN.search(plain) or WIDE_RUN.search(plain)):
-            yield from _texts(plain, starts, ends)
+            yield from ((*x, True) if looked_at and len(stack) == 1 else x for x in _texts(plain, starts, ends))
         stack.append(_inner(raw, streams, starts, ends, span, seen))
 
 
@@ -312,6 +372,11 @@ def _decoded(layer: Layer, start: int, end: int, skip: int, only_clean: bool = F
     codes = codes[: len(codes) - (len(codes) % 4 == 1)]
     raw = base64.b64decode(codes + b"=" * (-len(codes) % 4))
     text = _clean(raw)
+    if not text and not only_clean and _is_raw_deflate(raw):
+        place = _at(layer, start, end)
+        for w in _windows(_raw_deflate(raw)):
+            yield from _layers(w, *place, place)
+        return True
     if not (text and not skip or TEXT_RUN.search(raw) or WIDE_RUN.search(raw) or HEADER.search(raw)):
         return False
     clean = text or _extent(raw, 0)[1]
@@ -323,10 +388,75 @@ def _decoded(layer: Layer, start: int, end: int, skip: int, only_clean: bool = F
 
 
 def _percent(layer: Layer) -> Iterator[Layer]:
-    """The whole text with its percent escapes replaced in place."""
+    """The whole text with its percent escapes replaced in place, once."""
     n = len(layer[0])
     raw, first, last = _unescaped(layer[0], 0, n, PERCENT_ESCAPE, lambda e: (bytes.fromhex(e.group().replace("%", "")), 3))
-    yield from _layers(raw, *_places(layer, first, last), _at(layer, 0, n))
+    yield from _layers(raw, *_places(layer, first, last), _at(layer, 0, n), looked_at=True)
+
+
+def _chain(text: str, start: int, percent: bool, unicode: bool) -> tuple[list[int], list[int], list[int]]:
+    """What a run of escapes comes to when no escape is left: code points (bytes of percent escapes from 0x80 on: below 0), and the first and last code point of each.
+
+    The characters go on a stack; an escape that its last character completes
+    is replaced by what it stands for, which may complete another one.
+    """
+    value, first, last = [], [], []
+    for k, c in enumerate(map(ord, text), start):
+        value.append(c)
+        first.append(k)
+        last.append(k)
+        while True:
+            n, top = 0, value[-1]
+            if top in _HEX:
+                if percent and len(value) > 2 and value[-3] == 37 and value[-2] in _HEX:
+                    n, code = 3, 16 * _HEX[value[-2]] + _HEX[top]
+                    code = code if code < 128 else -code
+                elif unicode:
+                    for size, mark in ((4, 120), (6, 117), (10, 85)):
+                        if len(value) >= size and value[-size] == 92 and value[1 - size] == mark and all(v in _HEX for v in value[2 - size :]):
+                            n, code = size, 0
+                            for v in value[2 - size :]:
+                                code = 16 * code + _HEX[v]
+            elif unicode and top == 125:
+                d = next((d for d in range(1, 7) if len(value) >= d + 4 and value[-d - 2] == 123), 0)
+                if d and value[-d - 4 : -d - 2] == [92, 117] and all(v in _HEX for v in value[-d - 1 : -1]):
+                    n, code = d + 4, 0
+                    for v in value[-d - 1 : -1]:
+                        code = 16 * code + _HEX[v]
+            if not n:
+                break
+            code = code if code < 0x110000 else 0xFFFD
+            begin = first[-n]
+            del value[-n:], first[-n:], last[-n:]
+            if 0xDC00 <= code < 0xE000 and value and 0xD800 <= value[-1] < 0xDC00:
+                code = 0x10000 + ((value.pop() - 0xD800) << 10) + code - 0xDC00
+                begin = first.pop()
+                last.pop()
+            value.append(code)
+            first.append(begin)
+            last.append(k)
+    return value, first, last
+
+
+def _to_the_end(layer: Layer, percent: bool, unicode: bool) -> Iterator[Layer]:
+    """The whole text with escapes of some kinds replaced in place until none is left."""
+    old, n = layer[0], len(layer[0])
+    raw, first, last, k = [], [], [], 0
+    for m in CHAIN.finditer(old):
+        plain, at = _encoded(old, k, m.start())
+        raw.append(plain)
+        first.append(at)
+        last.append(at)
+        value, start, end = _chain(m.group(), m.start(), percent, unicode)
+        pieces = [bytes([-v]) if v < 0 else (chr(v) if not 0xD800 <= v < 0xE000 else "\ufffd").encode() for v in value]
+        sizes = np.fromiter(map(len, pieces), np.int64, len(pieces))
+        raw += pieces
+        first.append(np.repeat(np.array(start, np.int64), sizes))
+        last.append(np.repeat(np.array(end, np.int64), sizes))
+        k = m.end()
+    plain, at = _encoded(old, k, n)
+    first, last = np.concatenate([*first, at]), np.concatenate([*last, at])
+    yield from _layers(b"".join([*raw, plain]), *_places(layer, first, last), _at(layer, 0, n), looked_at=True)
 
 
 def _unescaped(text: str, start: int, end: int, escape: re.Pattern, value) -> tuple[bytes, np.ndarray, np.ndarray]:
@@ -354,7 +484,7 @@ def _byte_escape(e: re.Match) -> tuple[bytes, int]:
 
 
 def _escapes(layer: Layer) -> Iterator[Layer]:
-    """The whole text with its Unicode escapes replaced in place, and the streams in bytes that are written as escapes."""
+    """The whole text with its Unicode escapes replaced in place, once."""
     old, n = layer[0], len(layer[0])
     text, first, last, k = [], [], [], 0
     for e in ESCAPE.finditer(old):
@@ -365,7 +495,7 @@ def _escapes(layer: Layer) -> Iterator[Layer]:
             end = e.start() + np.cumsum(wide)
             start = end - wide
         else:
-            code = int(e.group(2) or e.group(3), 16)
+            code = int(e.group(2) or e.group(3) or e.group(4), 16)
             piece = chr(code) if code < 0x110000 and not 0xD800 <= code < 0xE000 else "\ufffd"
             start, end = np.array([e.start()]), np.array([e.end()])
         same = np.arange(k, e.start())
@@ -375,17 +505,31 @@ def _escapes(layer: Layer) -> Iterator[Layer]:
         k = e.end()
     if text:
         same = np.arange(k, n)
-        yield "".join([*text, old[k:]]), *_places(layer, np.concatenate([*first, same]), np.concatenate([*last, same]))
-    raw, first, last = _unescaped(old, 0, n, BYTE_ESCAPE, _byte_escape)
+        yield "".join([*text, old[k:]]), *_places(layer, np.concatenate([*first, same]), np.concatenate([*last, same])), True
+
+
+def _escaped_bytes(layer: Layer) -> Iterator[Layer]:
+    """The streams in bytes that are written as escapes."""
+    n = len(layer[0])
+    raw, first, last = _unescaped(layer[0], 0, n, BYTE_ESCAPE, _byte_escape)
     yield from _layers(raw, *_places(layer, first, last), _at(layer, 0, n), own=False)
 
 
 def _pieces(layer: Layer) -> Iterator[Layer]:
+    """The layers within a layer.  Those that only undo its escapes hold none that have to be undone again."""
+    text = layer[0]
     yield from _base64(layer)
-    if PERCENT_ESCAPE.search(layer[0]):
+    if "\\" in text:
+        yield from _escaped_bytes(layer)
+    if len(layer) > 3:
+        return
+    percent, unicode = bool(PERCENT_ESCAPE.search(text)), bool(ESCAPE.search(text))
+    if percent:
         yield from _percent(layer)
-    if "\\" in layer[0]:
+    if unicode:
         yield from _escapes(layer)
+    for kinds in {(percent, False), (False, unicode), (percent or unicode, percent or unicode)} - {(False, False)}:
+        yield from _to_the_end(layer, *kinds)
 
 
 def scan(text: str) -> tuple[list[tuple[str, int, int]], list[tuple[str, int, int]], int]:
@@ -418,7 +562,7 @@ def _suspects(c: Chunk) -> np.ndarray:
     raw = c.buf.tobytes()
     at: list[int] = []
     low = raw.lower()
-    for body, words in ((low, KEYWORDS), (raw, (b"\\u", b"\\x", b"\\U"))):
+    for body, words in ((low, KEYWORDS), (raw, (b"\\",))):
         for w in words:
             k = body.find(w)
             while k >= 0:
