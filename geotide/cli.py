@@ -50,9 +50,9 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> int:
     common = (bodies, args.source or args.kind, args.store, args.checkpoints)
     if args.kind == "bgp":
         cities, holders = (mmdb.read(spark, p, c)[0].persist() for p, c in ((args.city_db, mmdb.CITY), (args.asn_db, mmdb.HOLDER)))
-        start = lambda: apps.start_routing(spark, *common, cities, holders, bus=args.bus, once=args.once)[0]
+        start = lambda: apps.start_routing(spark, *common, cities, holders, bus=args.bus, once=args.once, ttl_hours=args.ttl_hours)[0]
     else:
-        start = lambda: apps.start_telemetry(spark, args.kind, *common, bus=args.bus, once=args.once)[0]
+        start = lambda: apps.start_telemetry(spark, args.kind, *common, bus=args.bus, once=args.once, ttl_hours=args.ttl_hours)[0]
     stop = threading.Event()
     signal.signal(signal.SIGTERM, lambda *_: stop.set())
     supervise.keep_running(lambda: apps.Together(start()), stop, on_error=lambda e, wait: print(f"{args.kind}: {e}; again in {wait:.0f} s", file=sys.stderr))
@@ -79,6 +79,7 @@ def main(argv: list[str] | None = None) -> int:
     for name in ("--source", "--bus", "--city-db", "--asn-db"):
         srv.add_argument(name, default=None)
     srv.add_argument("--once", action="store_true")
+    srv.add_argument("--ttl-hours", type=int, default=24)
     args = parser.parse_args(argv)
     if args.command == "version":
         print(VERSION)

@@ -14,13 +14,13 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from geotide import codes
-from geotide.operators import broadcast, lookup, routing
-from geotide.schemas import BGP, TELEMETRY
+from geotide.operators import broadcast, density, latest, lookup, routing, validate
+from geotide.schemas import BGP, LATEST, TELEMETRY
 from geotide.sources import feeds
 from geotide.streaming import pipelines
+from geotide.streaming.store import Store, Table
 
 KINDS = ("aircraft", "vessel", "satellite", "bgp")
-_STATE = "prefix string, op string, origin_as long, is_leak boolean, event_time timestamp"
 
 
 def known_kind(kind: str) -> str:
@@ -55,7 +55,8 @@ def telemetry(bodies: DataFrame, kind: str, source: str) -> DataFrame:
     else:
         raise ValueError("routing has a service of its own: routing_store")
     have = set(out.columns)
-    return out.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in TELEMETRY.fields])
+    out = out.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in TELEMETRY.fields])
+    return validate.valid_telemetry(out)
 
 
 def _publish(df: DataFrame, url: str, rows: int) -> None:
@@ -69,11 +70,31 @@ def _observed(df: DataFrame, write: Callable[[DataFrame], None]) -> int:
     return seen.get["n"]
 
 
-def store_sink(root: str, counters: Counters) -> Callable[[DataFrame, int], None]:
-    """Stores a batch of canonical events, one folder a batch, so a replay overwrites instead of adding."""
+#: What a telemetry service keeps: the events, each asset's latest state, and counts by cell and five minutes.
+TELEMETRY_TABLES = {
+    "events": Table(lambda df: df, None, ("h3_cell", "event_time", "asset_id")),
+    "latest": Table(lambda df: latest.partial(df, [c for c in LATEST if c != "source"], "source"), lambda p: latest.merge(p, "source"), tuple(latest.KEYS), by_hour=False),
+    "density": Table(density.density, density.merge, ("h3_cell", "asset_type"), time="time_bucket"),
+}
+BGP_TABLES = {"events": Table(lambda df: df, None, ("category", "event_time", "prefix"))}
+
+
+def opened(spark: SparkSession, root: str, kind: str, ttl_hours: int | None = 24) -> Store:
+    """The stored tables of a service, for its readers and its writer; ``ttl_hours``: how long events are kept."""
+    return Store(spark, f"{root}/{known_kind(kind)}", BGP_TABLES if kind == "bgp" else TELEMETRY_TABLES, ttl_hours)
+
+
+def latest_view(store: Store) -> DataFrame:
+    """Each asset's newest state as of the last commit."""
+    return latest.flat(store.read("latest"))
+
+
+def store_sink(store: Store, counters: Counters, stream: str = "") -> Callable[[DataFrame, int], None]:
+    """Stores a batch of canonical events in all tables at once."""
+    write = store.sink(stream)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        counters.flushed += _observed(df, lambda x: pipelines.append_sink(root)(x, batch_id))
+        counters.flushed += write(df, batch_id)
 
     return sink
 
@@ -95,57 +116,61 @@ def _with_json(df: DataFrame) -> DataFrame:
     return wired.select(F.to_json(F.struct(*names)).alias("data"), F.col("_cell").alias("h3_cell"))
 
 
-def routing_sink(root: str, cities: DataFrame, holders: DataFrame, positions: DataFrame, source: str, counters: Counters, live: Callable[[DataFrame, int], None] | None = None) -> Callable[[DataFrame, int], None]:
-    """Classifies, locates and stores a batch of route-collector messages (columns body, fetched_at).
+#: Order of a prefix's operations within a micro-batch: by the collector's time, then by message.
+ARRIVAL = ["event_time", "message", "op", "a_no", "p_no"]
 
-    The state, each prefix's last operation, is a small versioned table beside
-    the events (pruned to the newest prefixes); a batch's operations come after
-    it in the order that classification looks at.  A replayed batch starts from
-    the same version and writes the same events again.
-    """
+
+def operations(bodies: DataFrame) -> DataFrame:
+    """A stream's prefix operations that can be classified, each with its message's digest."""
+    ops = feeds.ris_operations(bodies.withColumn("message", F.md5("body")), ["message"])
+    return ops.filter("prefix is not null").withColumn("origin_as", F.coalesce("origin_as", F.lit(0))).withColumn("is_leak", F.coalesce("is_leak", F.lit(False)))
+
+
+def routing_events(classified: DataFrame, cities: DataFrame, holders: DataFrame, positions: DataFrame, source: str) -> DataFrame:
+    """Canonical routing events of classified operations (with ``key``): located, held against the registry, and valid."""
+    placed = lookup.holder(routing.locate(classified, cities, positions, "key"), holders)
+    placed = routing.build(routing.path_coords(placed, positions, "key"), source)
+    return validate.valid_bgp(placed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BGP.fields]))
+
+
+def routing_sink(store: Store, cities: DataFrame, holders: DataFrame, positions: DataFrame, source: str, counters: Counters, live: Callable[[DataFrame, int], None] | None = None, stream: str = "") -> Callable[[DataFrame, int], None]:
+    """Locates, stores and publishes a batch of classified operations."""
+    write = store.sink(stream)
 
     def sink(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        arrived = df.withColumn("arrival", F.monotonically_increasing_id())
-        ops = feeds.ris_operations(arrived, ["arrival"])
-        before = [v for v in pipelines.versions(spark, f"{root}/state") if v < batch_id]
-        old = spark.read.parquet(f"{root}/state/version={before[-1]}") if before else spark.createDataFrame([], _STATE)
-        old = old.select(*[c.split()[0] for c in _STATE.split(", ")]).withColumn("arrival", F.lit(-1).cast("long"))
-        both = old.unionByName(ops, allowMissingColumns=True)
-        order = ["arrival", "op", "a_no", "p_no"]
-        events = routing.classify(both, order).filter("arrival >= 0").withColumn("key", F.concat_ws(":", "arrival", "op", "a_no", "p_no"))
-        placed = lookup.holder(routing.locate(events, cities, positions, "key"), holders)
-        placed = routing.build(routing.path_coords(placed, positions, "key"), source)
-        out = placed.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in BGP.fields])
+        df = df.persist()  # the stream's state is read and written once
         counters.processed += df.count()
-        done = _observed(out, lambda x: pipelines.append_sink(f"{root}/events")(x, batch_id))
-        counters.emitted += done
-        counters.flushed += done
-        if live:
-            live(spark.read.parquet(f"{root}/events/batch={batch_id}"), batch_id)
-        last = both.groupBy("prefix").agg(F.max_by(F.struct("op", "origin_as", "is_leak", "event_time"), F.struct(*order)).alias("s")).select("prefix", "s.*")
-        kept = routing.prune(last.withColumn("last_seen", F.col("event_time"))).drop("last_seen")
-        pipelines.write_version(kept, f"{root}/state", batch_id, before)
+        events = routing_events(df.withColumn("key", F.monotonically_increasing_id()), cities, holders, positions, source).persist()
+        try:
+            done = write(events, batch_id)
+            counters.emitted += done
+            counters.flushed += done
+            if live:
+                live(events, batch_id)
+        finally:
+            events.unpersist()
+            df.unpersist()
 
     return sink
 
 
-def start_telemetry(spark: SparkSession, kind: str, bodies: DataFrame, source: str, store: str, checkpoints: str, bus: str | None = None, once: bool = False) -> tuple[list[StreamingQuery], Counters]:
+def start_telemetry(spark: SparkSession, kind: str, bodies: DataFrame, source: str, store: str, checkpoints: str, bus: str | None = None, once: bool = False, ttl_hours: int | None = 24) -> tuple[list[StreamingQuery], Counters]:
     """Starts store and live path of a telemetry feed (a stream with ``body``); ``once``: over what is there, then end."""
     known_kind(kind)
     counters, events = Counters(), telemetry(bodies, kind, source)
-    started = [pipelines.run(events, store_sink(f"{store}/{kind}", counters), f"{checkpoints}/{kind}-store", None if once else codes.STORE_SECONDS)]
+    started = [pipelines.run(events, store_sink(opened(spark, store, kind, ttl_hours), counters), f"{checkpoints}/{kind}-store", None if once else codes.STORE_SECONDS)]
     if bus:
         started.append(pipelines.run(events, live_sink(kind, bus, counters), f"{checkpoints}/{kind}-live", None if once else codes.LIVE_MILLIS / 1000))
     return started, counters
 
 
-def start_routing(spark: SparkSession, bodies: DataFrame, source: str, store: str, checkpoints: str, cities: DataFrame, holders: DataFrame, positions: DataFrame | None = None, bus: str | None = None, once: bool = False) -> tuple[list[StreamingQuery], Counters]:
+def start_routing(spark: SparkSession, bodies: DataFrame, source: str, store: str, checkpoints: str, cities: DataFrame, holders: DataFrame, positions: DataFrame | None = None, bus: str | None = None, once: bool = False, ttl_hours: int | None = 24) -> tuple[list[StreamingQuery], Counters]:
     """Starts the routing service over a stream with ``body``; its live path follows the store path's batches."""
     counters = Counters()
     live = live_sink("bgp", bus, counters) if bus else None
-    sink = routing_sink(f"{store}/bgp", cities, holders, positions if positions is not None else lookup.seed_positions(spark), source, counters, live)
-    return [pipelines.run(bodies, sink, f"{checkpoints}/bgp-store", None if once else codes.STORE_SECONDS)], counters
+    positions = positions if positions is not None else lookup.seed_positions(spark)
+    sink = routing_sink(opened(spark, store, "bgp", ttl_hours), cities, holders, positions, source, counters, live)
+    return [pipelines.run(pipelines.classify(operations(bodies), ARRIVAL), sink, f"{checkpoints}/bgp-store", None if once else codes.STORE_SECONDS)], counters
 
 
 class Together:

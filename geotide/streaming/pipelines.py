@@ -2,24 +2,21 @@
 
 One query per sink, each with its own checkpoint, stands for a consumer group.
 Backpressure replaces a bounded queue that drops: the source is rate-limited,
-nothing is lost.  A failed batch is replayed from the checkpoint; the sinks
-are idempotent by batch id, so a replay adds nothing twice.
+nothing is lost.  A failed batch is replayed from the checkpoint; the store
+knows the batches that it has, so a replay adds nothing twice.
 """
 
 from __future__ import annotations
 
-import json
 from collections.abc import Callable, Iterator
 
+import numpy as np
 import pandas as pd
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 from pyspark.sql.streaming import StreamingQuery
-from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
-
-from geotide.operators import density, latest
-from geotide.schemas import struct
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle, TimerValues
 
 
 def read_json(spark: SparkSession, path: str, schema: T.StructType, max_files: int = 100) -> DataFrame:
@@ -39,154 +36,57 @@ def exists(spark: SparkSession, path: str) -> bool:
     return p.getFileSystem(spark._jsc.hadoopConfiguration()).exists(p)
 
 
-def versions(spark: SparkSession, root: str) -> list[int]:
-    p = spark._jvm.org.apache.hadoop.fs.Path(root)
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    if not fs.exists(p):
-        return []
-    names = [s.getPath().getName() for s in fs.listStatus(p)]
-    return sorted(int(n.split("=")[1]) for n in names if n.startswith("version=") and exists(spark, f"{root}/{n}/_SUCCESS"))
-
-
-def snapshot(spark: SparkSession, root: str) -> DataFrame | None:
-    """A merged table as of its last complete batch."""
-    state = _state(spark, root, 2**62)
-    return spark.read.option("basePath", root).parquet(*[_bucket(root, b, v) for b, v in state.items()]).drop("bucket", "version") if state else None
-
-
-def write_version(df: DataFrame, root: str, batch_id: int, before: list[int]) -> None:
-    """Writes a table's version ``batch_id``; of the earlier ones the newest stays, for a replay."""
-    spark = df.sparkSession
-    df.write.mode("overwrite").parquet(f"{root}/version={batch_id}")
-    for old in before[:-1]:
-        p = spark._jvm.org.apache.hadoop.fs.Path(f"{root}/version={old}")
-        p.getFileSystem(spark._jsc.hadoopConfiguration()).delete(p, True)
-
-
-def merging_sink(root: str, partial: Callable[[DataFrame], DataFrame], merge: Callable[[DataFrame], DataFrame], keys: list[str], buckets: int = 64) -> Callable[[DataFrame, int], None]:
-    """Keeps a table of merged partials in buckets of the key, each with versions by batch id; readers see the last complete ones.
-
-    Only buckets that a batch touches are written, so a batch costs what its
-    keys' buckets hold and not the whole table.  A version is written from the
-    one before it, so replaying a batch writes the same version again; a
-    batch's versions count once its marker is there.
-    """
-
-    def sink(df: DataFrame, batch_id: int) -> None:
-        spark = df.sparkSession
-        part = partial(df).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int")).persist()
-        touched = sorted(r["bucket"] for r in part.select("bucket").distinct().collect())  # at most ``buckets`` numbers
-        state = _state(spark, root, batch_id)
-        paths = [_bucket(root, b, state[b]) for b in touched if b in state]
-        rows = part
-        if paths:
-            rows = spark.read.option("basePath", root).parquet(*paths).drop("version").unionByName(part)
-        out = merge(rows.drop("bucket")).withColumn("bucket", F.pmod(F.xxhash64(*keys), F.lit(buckets)).cast("int"))
-        out.withColumn("version", F.lit(batch_id)).repartition(F.col("bucket")).write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("bucket", "version").parquet(root)
-        part.unpersist()
-        _mark(spark, root, batch_id, {**state, **dict.fromkeys(touched, batch_id)})
-
-    return sink
-
-
-def _bucket(root: str, bucket: int, version: int) -> str:
-    return f"{root}/bucket={bucket}/version={version}"
-
-
-def _marker(root: str) -> str:
-    return f"{root}/_versions"
-
-
-def _state(spark: SparkSession, root: str, before: int) -> dict[int, int]:
-    """Each bucket's version as of the last complete batch before ``before``."""
-    p = spark._jvm.org.apache.hadoop.fs.Path(_marker(root))
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    found = sorted(int(s.getPath().getName()) for s in fs.listStatus(p)) if fs.exists(p) else []
-    last = [v for v in found if v < before]
-    if not last:
-        return {}
-    rows = spark.read.text(f"{_marker(root)}/{last[-1]}").collect()  # one small line
-    return {int(k): v for k, v in json.loads("".join(r["value"] for r in rows)).items()}
-
-
-def _mark(spark: SparkSession, root: str, batch_id: int, state: dict[int, int]) -> None:
-    """Makes a batch's versions the ones that count, and removes what neither this batch nor a replay of it needs."""
-    hadoop = spark._jvm.org.apache.hadoop.fs
-    p = hadoop.Path(f"{_marker(root)}/{batch_id}")
-    fs = p.getFileSystem(spark._jsc.hadoopConfiguration())
-    out = fs.create(p, True)
-    out.write(bytearray(json.dumps(state).encode()))
-    out.close()
-    marks = sorted(int(s.getPath().getName()) for s in fs.listStatus(hadoop.Path(_marker(root))))
-    for old in [v for v in marks if v <= batch_id][:-2]:
-        fs.delete(hadoop.Path(f"{_marker(root)}/{old}"), False)
-    needed = {(b, v) for v in (batch_id, batch_id + 1) for b, v in _state(spark, root, v).items()}
-    for b in state:
-        folder = hadoop.Path(f"{root}/bucket={b}")
-        for s in fs.listStatus(folder) if fs.exists(folder) else []:
-            v = int(s.getPath().getName().split("=")[1])
-            if v < batch_id and (b, v) not in needed:
-                fs.delete(s.getPath(), True)
-
-
-def latest_sink(root: str, payload: list[str], tiebreak: str) -> Callable[[DataFrame, int], None]:
-    """Late events never replace newer state: the merge compares event times."""
-    return merging_sink(root, lambda df: latest.partial(df, payload, tiebreak), lambda p: latest.merge(p, tiebreak), latest.KEYS)
+def dedup(stream: DataFrame, key: list[str], window: str = "60 seconds") -> DataFrame:
+    """Drops repeated events (an extension): same key within the watermark."""
+    return stream.withWatermark("event_time", window).dropDuplicatesWithinWatermark(key)
 
 
-def density_sink(root: str) -> Callable[[DataFrame, int], None]:
-    """Late events always count in their bucket; there is no watermark."""
-    return merging_sink(root, density.density, density.merge, ["h3_cell"])
+_LAST = T.StructType([T.StructField("known", T.BooleanType()), T.StructField("origin_as", T.LongType())])
 
 
-def append_sink(root: str) -> Callable[[DataFrame, int], None]:
-    """Raw append, one folder a batch, overwritten by a replay."""
-    return lambda df, batch_id: df.write.mode("overwrite").parquet(f"{root}/batch={batch_id}")
+class Classifier(StatefulProcessor):
+    """Keeps the last operation of a prefix, and names what each new one is beside the one before it."""
 
+    def __init__(self, order: list[str], ttl_millis: int):
+        self.order, self.ttl_millis = order, ttl_millis
 
-def dedup(stream: DataFrame, key: list[str], window: str = "60 seconds") -> DataFrame:
-    """Drops repeated events (an extension): same key within the watermark."""
-    return stream.withWatermark("event_time", window).dropDuplicatesWithinWatermark(key)
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.last = handle.getValueState("last", _LAST, self.ttl_millis)
 
+    def handleInputRows(self, key: tuple, rows: Iterator[pd.DataFrame], timer_values: TimerValues) -> Iterator[pd.DataFrame]:  # noqa: N802
+        ops = pd.concat(list(rows)).sort_values(self.order, kind="stable")
+        known, origin = self.last.get() if self.last.exists() else (False, 0)
+        announced = (ops["op"] == "A").to_numpy()
+        was_known, was_origin = np.roll(announced, 1), np.roll(ops["origin_as"].to_numpy(), 1)
+        was_known[0], was_origin[0] = known, origin
+        moved = was_known & (was_origin != ops["origin_as"].to_numpy())
+        category = np.select(
+            [~announced & was_known, ~announced, ops["is_leak"].to_numpy(bool), moved, ~was_known], ["withdrawal", "", "leak", "hijack", "announcement"], ""
+        )
+        self.last.update((bool(announced[-1]), int(ops["origin_as"].iloc[-1])))
+        yield ops.assign(category=category)[category != ""]
 
-_EVENT = "prefix string, seq long, category string, origin_as long"
+    def close(self) -> None:
+        pass
 
 
-def classify(ops: DataFrame, ttl: str = "1 day") -> DataFrame:
-    """Stateful per-prefix classification of a stream of operations (prefix, seq, op, origin_as, is_leak).
+def classify(ops: DataFrame, order: list[str], ttl: str = "1 day") -> DataFrame:
+    """The twin of ``routing.classify`` over a stream: operations that are events, with ``category``.
 
-    State is the last origin of a known prefix and expires after ``ttl``
-    without an operation, which bounds it as pruning the oldest does.  Rows of
-    a micro-batch are taken in order of ``seq``; later batches count as later
-    arrivals.  Time-outs keep such a query running batches: stop it, don't run
-    it with ``availableNow``.
+    State is the last operation of each prefix, in RocksDB on the executors,
+    and expires ``ttl`` after it, which bounds it as pruning the oldest does.
+    Rows of a micro-batch are taken in ``order``; later batches count as later
+    arrivals.  Needs origin_as not null.
     """
-    hours = pd.Timedelta(ttl)
-
-    def step(key: tuple, batches: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        if state.hasTimedOut:
-            state.remove()
-            return
-        known, prev = state.get if state.exists else (False, 0)
-        rows = pd.concat(list(batches)).sort_values("seq")
-        out = []
-        for r in rows.itertuples():
-            if r.op == "W":
-                category, now = ("withdrawal" if known else None), (False, 0)
-            else:
-                category = "leak" if r.is_leak else "hijack" if known and prev != r.origin_as else None if known else "announcement"
-                now = (True, int(r.origin_as))
-            if category:
-                out.append((key[0], r.seq, category, r.origin_as))
-            known, prev = now
-        state.update((known, prev))
-        state.setTimeoutDuration(int(hours.total_seconds() * 1000))
-        yield pd.DataFrame(out, columns=["prefix", "seq", "category", "origin_as"])
-
-    schema, kept = struct(_EVENT), T.StructType([T.StructField("known", T.BooleanType()), T.StructField("prev", T.LongType())])
-    return ops.groupBy("prefix").applyInPandasWithState(step, schema, kept, "append", GroupStateTimeout.ProcessingTimeTimeout)
+    spark = ops.sparkSession
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider")
+    # expired state goes with the next batch of data; without this, batches without data would never stop
+    spark.conf.set("spark.sql.streaming.noDataMicroBatches.enabled", "false")
+    schema = T.StructType([*ops.schema.fields, T.StructField("category", T.StringType())])
+    processor = Classifier(order, int(pd.Timedelta(ttl).total_seconds() * 1000))
+    return ops.groupBy("prefix").transformWithStateInPandas(processor, schema, "append", "processingTime")
 
 
 def tumbling(stream: DataFrame, width: str = "5 minutes", late: str = "1 day") -> DataFrame:
-    """The density count as a streaming aggregation with a generous watermark (later events than that are lost here; ``density_sink`` has no such bound)."""
+    """The density count as a streaming aggregation with a generous watermark (later events than that are lost here; the stored view has no such bound)."""
     return stream.withWatermark("event_time", late).groupBy(F.window("event_time", width), "h3_cell", "asset_type").agg(F.count("*").alias("cnt"))

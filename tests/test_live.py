@@ -239,11 +239,11 @@ def test_vessel_service(spark, tmp_path):
     report = lambda i: {"MessageType": "PositionReport", "MetaData": {"MMSI": i, "ShipName": f"S{i}", "time_utc": "2024-03-05T07:08:09Z"}, "Message": {"PositionReport": {"Sog": 1.0, "Latitude": 10.0 + i, "Longitude": 20.0}}}
     lines(tmp_path / "in", "0.json", [report(i) for i in (1, 2)])
     lines(tmp_path / "in", "1.json", [report(i) for i in (3,)] + [{"junk": 1}])
-    queries, counters = apps.start_telemetry(spark, "vessel", bodies(spark, tmp_path / "in"), "feed", str(tmp_path / "store"), str(tmp_path / "c"), bus.url, once=True)
+    queries, counters = apps.start_telemetry(spark, "vessel", bodies(spark, tmp_path / "in"), "feed", str(tmp_path / "store"), str(tmp_path / "c"), bus.url, once=True, ttl_hours=None)
     for q in queries:
         q.awaitTermination()
-    stored = spark.read.parquet(str(tmp_path / "store/vessel"))
-    assert sorted(r["asset_id"] for r in stored.collect()) == ["1", "2", "3"] and len(stored.columns) == 35
+    stored = apps.opened(spark, str(tmp_path / "store"), "vessel", None).read("events")
+    assert sorted(r["asset_id"] for r in stored.collect()) == ["1", "2", "3"] and len(stored.columns) == 34
     assert counters.flushed == 3 and counters.published == 18 == len(bus.got)
     channel, body = bus.got[0]
     inner = json.loads(body)
@@ -261,17 +261,19 @@ def test_routing_service(spark, tmp_path):
     lines(tmp_path / "in", "1.json", [update(3, [701, 13335], ["8.8.8.0/24"]), update(4, [], withdrawn=["9.9.9.0/24", "7.7.7.0/24"]), {"type": "other"}])
     cities = spark.createDataFrame([("8.8.8.0/24", 1.0, 2.0)], "network string, lat double, lon double")
     holders = spark.createDataFrame([("8.0.0.0/8", 15169, "Org")], "network string, asn long, org string")
-    queries, counters = apps.start_routing(spark, bodies(spark, tmp_path / "in"), "ris", str(tmp_path / "store"), str(tmp_path / "c"), cities, holders, bus=bus.url, once=True)
+    queries, counters = apps.start_routing(spark, bodies(spark, tmp_path / "in"), "ris", str(tmp_path / "store"), str(tmp_path / "c"), cities, holders, bus=bus.url, once=True, ttl_hours=None)
     queries[0].awaitTermination()
-    got = spark.read.parquet(str(tmp_path / "store/bgp/events")).collect()
+    stored = apps.opened(spark, str(tmp_path / "store"), "bgp", None)
+    got = stored.read("events").collect()
     assert sorted((r["prefix"], r["category"], r["origin_as"]) for r in got) == [("8.8.8.0/24", "announcement", 15169), ("8.8.8.0/24", "hijack", 13335), ("9.9.9.0/24", "announcement", 15169), ("9.9.9.0/24", "withdrawal", 3356)]
     by = {(r["prefix"], r["category"]): r for r in got}
     assert by["8.8.8.0/24", "hijack"]["prefix_as"] == 15169 and by["8.8.8.0/24", "hijack"]["lat"] == 10000000 and by["9.9.9.0/24", "withdrawal"]["as_path"] == []
-    assert counters.processed == 5 and counters.emitted == counters.published == 4 and all(json.loads(b)["stream"].startswith("bgp:") for _, b in bus.got)
-    # a replay of the last batch writes the same events
-    sink = apps.routing_sink(str(tmp_path / "store/bgp"), cities, holders, lookup.seed_positions(spark), "ris", apps.Counters())
-    sink(spark.read.schema("body string").json(str(tmp_path / "in/1.json")), 1)
-    assert spark.read.parquet(str(tmp_path / "store/bgp/events")).count() == 4
+    assert counters.emitted == counters.published == 4 and all(json.loads(b)["stream"].startswith("bgp:") for _, b in bus.got)
+    # after a restart the state is still there: the same origin again is no event, another one is a hijack
+    lines(tmp_path / "in", "2.json", [update(5, [701, 13335], ["8.8.8.0/24"]), update(6, [701, 15169], ["8.8.8.0/24"])])
+    queries, counters = apps.start_routing(spark, bodies(spark, tmp_path / "in"), "ris", str(tmp_path / "store"), str(tmp_path / "c"), cities, holders, once=True, ttl_hours=None)
+    queries[0].awaitTermination()
+    assert counters.emitted == 1 and stored.read("events").filter("category = 'hijack'").count() == 2
 
 
 def test_known_kinds():
@@ -322,5 +324,5 @@ def test_command_line(spark, tmp_path, capsys):
 def test_command_line_service(spark, tmp_path):
     doc = {"MessageType": "PositionReport", "MetaData": {"MMSI": 9, "ShipName": "S", "time_utc": "2024-03-05T07:08:09Z"}, "Message": {"PositionReport": {"Sog": 1.0, "Latitude": 10.0, "Longitude": 20.0}}}
     lines(tmp_path / "in", "0.json", [doc])
-    assert cli.main(["stream", "vessel", str(tmp_path / "in"), "--store", str(tmp_path / "s"), "--checkpoints", str(tmp_path / "c"), "--once"]) == 0
-    assert spark.read.parquet(str(tmp_path / "s/vessel")).first()["source"] == "vessel"
+    assert cli.main(["stream", "vessel", str(tmp_path / "in"), "--store", str(tmp_path / "s"), "--checkpoints", str(tmp_path / "c"), "--once", "--ttl-hours", "1000000"]) == 0
+    assert apps.opened(spark, str(tmp_path / "s"), "vessel", None).read("events").first()["source"] == "vessel"

@@ -1,11 +1,9 @@
 import json
 import random
-import time
 
 import pytest
 from pyspark.sql import functions as F
 
-from geotide.operators import density, latest
 from geotide.schemas import TELEMETRY, at_version, struct
 from geotide.streaming import pipelines
 from tests.test_operators import reference_classes
@@ -32,45 +30,21 @@ def stream(spark, tmp_path):
     return pipelines.read_json(spark, str(tmp_path / "in"), EVENTS, 1).withColumn("event_time", F.timestamp_seconds("t"))
 
 
-def test_sinks_equal_batch(spark, feed):
-    tmp_path, batch = feed
-    cases = {
-        "latest": (pipelines.latest_sink(str(tmp_path / "latest"), ["v"], "n"), latest.partial(batch, ["v"], "n")),
-        "density": (pipelines.density_sink(str(tmp_path / "density")), density.density(batch)),
-    }
-    for name, (sink, want) in cases.items():
-        pipelines.run(stream(spark, tmp_path), sink, str(tmp_path / f"c-{name}")).awaitTermination()
-        got = pipelines.snapshot(spark, str(tmp_path / name))
-        assert sorted(map(str, got.select(*want.columns).collect())) == sorted(map(str, want.collect()))
-
-
-def test_replay_changes_nothing(spark, feed):
-    tmp_path, batch = feed
-    sink = pipelines.density_sink(str(tmp_path / "d"))
-    one = batch.select("event_time", "h3_cell", "asset_type")
-    for batch_id in (0, 1, 1):
-        sink(one, batch_id)
-    assert pipelines.snapshot(spark, str(tmp_path / "d")).agg(F.sum("cnt")).first()[0] == 800
-    raw = pipelines.append_sink(str(tmp_path / "raw"))
-    for batch_id in (0, 1, 1):
-        raw(one, batch_id)
-    assert spark.read.parquet(str(tmp_path / "raw")).count() == 800
-
-
 def test_stateful_classify(spark, tmp_path):
+    """Over several micro-batches and a restart, the same as over everything at once."""
     rng = random.Random(4)
-    ops = [(i, f"p{rng.randrange(10)}", rng.choice("AAW"), rng.randrange(3), False) for i in range(200)]
-    fields = ["seq", "prefix", "op", "origin_as", "is_leak"]
+    ops = [(i, f"p{rng.randrange(10)}", rng.choice("AAW"), rng.randrange(3), rng.random() < 0.1) for i in range(300)]
+    fields = ["seq", "prefix", "op", "origin_as", "leak"]
     schema = struct("seq long, prefix string, op string, origin_as long, leak int")
-    write(tmp_path / "in", "0.json", [(*o[:4], int(o[4])) for o in ops], [*fields[:4], "leak"])
-    source = pipelines.read_json(spark, str(tmp_path / "in"), schema).withColumn("is_leak", F.col("leak") == 1).drop("leak")
-    q = pipelines.classify(source).writeStream.format("memory").queryName("classes").option("checkpointLocation", str(tmp_path / "c")).start()
-    for _ in range(240):  # a query with time-outs keeps running batches: it is stopped once its one batch of input is out
-        if q.exception() or spark.table("classes").count():
-            break
-        time.sleep(0.5)
-    q.stop()
-    got = sorted((r["seq"], r["prefix"], r["category"]) for r in spark.table("classes").collect())
+    start = lambda: (
+        pipelines.classify(pipelines.read_json(spark, str(tmp_path / "in"), schema, 1).withColumn("is_leak", F.col("leak") == 1).drop("leak"), ["seq"])
+        .writeStream.format("parquet").option("path", str(tmp_path / "out")).option("checkpointLocation", str(tmp_path / "c")).trigger(availableNow=True).start().awaitTermination()
+    )
+    for k in range(3):
+        write(tmp_path / "in", f"{k}.json", [(*o[:4], int(o[4])) for o in ops[k * 100 : (k + 1) * 100]], fields)
+        if k:
+            start()
+    got = sorted((r["seq"], r["prefix"], r["category"]) for r in spark.read.parquet(str(tmp_path / "out")).collect())
     assert got == sorted(reference_classes(ops))
 
 
