@@ -7,6 +7,8 @@ with origin X exactly if that was an announcement by X), so classification is
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -50,6 +52,23 @@ def operations(messages: DataFrame) -> DataFrame:
     return ann.withColumn("op", F.lit("A")).unionByName(wd.withColumn("op", F.lit("W")))
 
 
+#: Ranges of arrival, a shuffle partition, that a prefix's operations are dealt in.
+SEGMENTS = 4
+
+
+def segment(ops: DataFrame, by: str) -> Column:
+    """Which of even ranges of ``by`` (a number or a time) a row is in: a binary search in quantiles over all rows."""
+    x = F.unix_micros(by) if dict(ops.dtypes)[by] == "timestamp" else F.col(by).cast("long")
+    n = SEGMENTS * int(ops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    found = sorted(set(ops.agg(F.percentile_approx(x, [k / n for k in range(1, n)], 100 * n).alias("q")).first()["q"] or []))
+    if not found:
+        return F.lit(0)
+    depth = len(found).bit_length()
+    bounds = F.array(*[F.lit(v).cast("long") for v in found + [2**63 - 1] * (2**depth - 1 - len(found))])
+    halves = F.array(*[F.lit(1 << k) for k in reversed(range(depth))])
+    return F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.element_at(bounds, at + half) < x, at + half).otherwise(at))
+
+
 def classify(ops: DataFrame, order: list[str]) -> DataFrame:
     """Operations that are events, with ``category``; needs prefix, op ('A' or 'W'), origin_as, is_leak.
 
@@ -57,9 +76,18 @@ def classify(ops: DataFrame, order: list[str]) -> DataFrame:
     the prefix was last announced by another system, is new if it was unknown
     or withdrawn, and else isn't an event; a withdrawal is one if the prefix
     was known.  ``order`` is the arrival order; 'A' sorts before 'W' in it.
+
+    A prefix may have any share of the rows: its operations are dealt in
+    ranges of the first order column (a number or a time), and each range
+    begins with the last operation of the one before it.
     """
-    w = Window.partitionBy("prefix").orderBy(*order)
-    ops = ops.withColumn("_op", F.lag("op").over(w)).withColumn("_origin", F.lag("origin_as").over(w))
+    ops = ops.withColumn("_segment", segment(ops, order[0]))
+    last = ops.groupBy("prefix", "_segment").agg(F.max_by(F.struct("op", "origin_as"), F.struct(*order)).alias("_l"))
+    begins = Window.partitionBy("prefix").orderBy("_segment")
+    carried = last.withColumn("_l", F.lag("_l").over(begins)).filter("_l is not null").select("prefix", "_segment", "_l.*", F.lit(True).alias("_carried"))
+    w = Window.partitionBy("prefix", "_segment").orderBy(F.col("_carried").asc_nulls_last(), *order)
+    both = ops.unionByName(carried, allowMissingColumns=True)
+    both = both.withColumn("_op", F.lag("op").over(w)).withColumn("_origin", F.lag("origin_as").over(w)).filter("_carried is null")
     known = F.coalesce(F.col("_op") == "A", F.lit(False))
     category = (
         F.when(F.col("op") == "W", F.when(known, "withdrawal"))
@@ -67,39 +95,44 @@ def classify(ops: DataFrame, order: list[str]) -> DataFrame:
         .when(known & (F.col("_origin") != F.col("origin_as")), "hijack")
         .when(~known, "announcement")
     )
-    return ops.withColumn("category", category).filter("category is not null").drop("_op", "_origin")
+    return both.withColumn("category", category).filter("category is not null").drop("_op", "_origin", "_segment", "_carried")
+
+
+#: Position tables up to this many systems go into the plan; larger ones are joined.
+PLAN_ROWS = 500
 
 
-#: Position tables up to this many rows go into the plan as a map; a lookup scans its keys.
-MAP_ROWS = 500
+def _by_number(positions: DataFrame) -> DataFrame:
+    """One position a system: of several the one furthest south, then west."""
+    return positions.filter("asn is not null").groupBy("asn").agg(F.min(F.struct("asn_lat", "asn_lon")).alias("_p")).select("asn", "_p.*")
 
 
-def _position_map(positions: DataFrame) -> Column | None:
-    """asn -> struct(asn_lat, asn_lon) as a literal, if the table is small; of repeated numbers the first row by position."""
-    rows = positions.select("asn", "asn_lat", "asn_lon").limit(MAP_ROWS + 1).collect()
-    if len(rows) > MAP_ROWS:
+def _in_plan(positions: DataFrame) -> Callable[[Column], Column] | None:
+    """A function from a system's number to its position, if the table is small: arrays by remainder, so that a look-up compares a few numbers."""
+    rows = positions.limit(PLAN_ROWS + 1).collect()
+    if len(rows) > PLAN_ROWS:
         return None
-    known = {r["asn"]: r for r in sorted(rows, key=str, reverse=True) if r["asn"] is not None}
-    place = lambda r: F.struct(F.lit(r["asn_lat"]).cast("double").alias("asn_lat"), F.lit(r["asn_lon"]).cast("double").alias("asn_lon"))
-    if not known:
-        return F.create_map().cast("map<bigint, struct<asn_lat: double, asn_lon: double>>")
-    return F.map_from_arrays(F.array(*[F.lit(k).cast("long") for k in known]), F.array(*map(place, known.values())))
+    kind = "array<array<struct<asn: bigint, asn_lat: double, asn_lon: double>>>"
+    buckets = [[F.struct(*[F.lit(v) for v in r]) for r in rows if r["asn"] % len(rows) == k] for k in range(len(rows))]
+    table = F.array(*[F.array(*b) for b in buckets]).cast(kind) if rows else F.array().cast(kind)
+    return lambda x: F.try_element_at(F.filter(F.try_element_at(table, F.pmod(x, F.lit(max(1, len(rows)))).cast("int") + 1), lambda r: r["asn"] == x), F.lit(1))
 
 
-def _places(path: Column, table: Column) -> Column:
+def _places(path: Column, place: Callable[[Column], Column]) -> Column:
     """Positions of the hops that are known, in path order."""
-    return F.filter(F.transform(path, lambda x: F.try_element_at(table, x)), lambda x: x.isNotNull())
+    return F.filter(F.transform(path, place), lambda x: x.isNotNull())
 
 
 def path_coords(events: DataFrame, positions: DataFrame, key: str) -> DataFrame:
     """Adds path_coords: scaled lat, lon of each hop that is known, in path order.
 
     ``key`` identifies an event; it matters only where the position table is
-    too large for a map in the plan and hops are joined with it.
+    too large for the plan and hops are joined with it.
     """
+    positions = _by_number(positions)
     both = lambda x: F.array(scalar.scale_degrees(x["asn_lat"]), scalar.scale_degrees(x["asn_lon"]))
     none = F.array().cast("array<int>")
-    if (table := _position_map(positions)) is not None:
+    if (table := _in_plan(positions)) is not None:
         return events.withColumn("path_coords", F.coalesce(F.flatten(F.transform(_places(F.col("as_path"), table), both)), none))
     hops = events.select(key, F.posexplode("as_path").alias("_i", "asn")).join(lookup.small(positions), "asn")
     got = hops.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", both(F.struct("asn_lat", "asn_lon")).alias("c")))).alias("_h"))
@@ -113,8 +146,9 @@ def locate(events: DataFrame, cities: DataFrame, positions: DataFrame, key: str)
     ``positions`` is the ASN table of this module's seeds or a refreshed one;
     ``key`` identifies an event (see ``path_coords``).
     """
+    positions = _by_number(positions)
     hops = F.when(F.col("op") == "W", F.array("origin_as")).otherwise(F.col("as_path"))
-    if (table := _position_map(positions)) is not None:
+    if (table := _in_plan(positions)) is not None:
         out = lookup.city(events.withColumn("_hop", F.try_element_at(_places(hops, table), F.lit(-1))), cities)
     else:
         hop = events.select(key, F.posexplode(hops).alias("_i", "asn")).join(lookup.small(positions), "asn")

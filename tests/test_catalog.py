@@ -2,6 +2,7 @@
 
 import glob
 import os
+import shutil
 import subprocess
 import sys
 
@@ -34,3 +35,14 @@ def test_entry_without_corpus_part(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = "import sys\nsys.modules['geotide.llm'] = None\nimport __spark_entry__ as e\nassert set(e.oracle_sql()) <= set(e.queries()) and not any(q.startswith('op') or q == 'pipeline' for q in e.queries())"
     subprocess.run([sys.executable, "-c", code], cwd=root, check=True, timeout=120)
+
+
+@pytest.mark.parametrize("left", ["corpus_pipeline.py", ""])
+def test_entry_where_an_empty_folder_is_left(tmp_path, left):
+    """Files deleted, but not their folder and its cache."""
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    gone = [".git", "tests", "llm"] + ([] if left else ["corpus_pipeline.py"])
+    shutil.copytree(root, tmp_path / "repo", ignore=shutil.ignore_patterns(*gone))
+    (tmp_path / "repo/geotide/llm/__pycache__").mkdir(parents=True)
+    code = "import __spark_entry__ as e\nassert len(e.queries()) > 60 and not any(q.startswith('op') or q == 'pipeline' for q in e.queries())"
+    subprocess.run([sys.executable, "-c", code], cwd=tmp_path / "repo", check=True, timeout=120)

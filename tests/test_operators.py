@@ -104,6 +104,29 @@ def test_classify_against_replay(spark):
     assert got == sorted(reference_classes(ops))
 
 
+@pytest.mark.parametrize("kind", ["long", "timestamp"])
+def test_classify_a_hot_prefix(spark, kind):
+    """One prefix on half of the rows: the same as replay, and its rows are dealt over all tasks."""
+    rng = random.Random(5)
+    ops = [(i, "hot" if rng.random() < 0.5 else f"p{rng.randrange(300)}", rng.choice("AAAW"), rng.randrange(3), False) for i in range(12_000)]
+    df = spark.createDataFrame(ops, "seq long, prefix string, op string, origin_as long, is_leak boolean").repartition(4)
+    if kind == "timestamp":
+        df = df.withColumn("at", F.timestamp_seconds("seq"))
+    out = routing.classify(df, ["at" if kind == "timestamp" else "seq"])
+    assert sorted(map(tuple, out.select("seq", "prefix", "category").collect())) == sorted(reference_classes(ops))
+    dealt = df.withColumn("s", routing.segment(df, "at" if kind == "timestamp" else "seq"))
+    assert dealt.select("s").distinct().count() == routing.SEGMENTS * 4
+    sizes = sorted(r["count"] for r in dealt.repartition(4, "prefix", "s").groupBy(F.spark_partition_id()).count().collect())
+    assert len(sizes) == 4 and sizes[-1] < 2 * (sizes[1] + sizes[2]) / 2
+
+
+def test_classify_without_rows_or_order(spark):
+    schema = "seq long, prefix string, op string, origin_as long, is_leak boolean"
+    assert routing.classify(spark.createDataFrame([], schema), ["seq"]).count() == 0
+    one = [(None, "p", "A", 1, False), (3, "p", "A", 2, False), (3, "q", "A", 1, False)]
+    assert sorted((r["prefix"], r["category"]) for r in routing.classify(spark.createDataFrame(one, schema), ["seq"]).collect()) == [("p", "announcement"), ("p", "hijack"), ("q", "announcement")]
+
+
 def update(ts, host="rrc00", path=(), ann=(), wd=(), peer="3356", kind="UPDATE"):
     data = {"timestamp": ts, "peer_asn": peer, "host": host, "type": kind, "path": list(path), "announcements": [{"next_hop": "1.1.1.1", "prefixes": list(ann)}] if ann else None, "withdrawals": list(wd)}
     return json.dumps({"type": "ris_message", "data": data})
@@ -161,16 +184,24 @@ def test_seed_positions_take_other_tables(spark):
     assert [tuple(r) for r in got] == [(1, "AA", 1.0, 2.0)]
 
 
-def test_positions_as_a_map_and_joined(spark, monkeypatch):
+def test_positions_in_the_plan_and_joined(spark, monkeypatch):
     rows = [(1, "A", 701, [701, 5, 13335], "8.8.8.0/24"), (2, "A", 5, [5], "9.9.9.0/24"), (3, "W", 3356, [], "7.7.7.0/24"), (4, "A", None, None, "bad"), (5, "A", 15169, [15169, 15169, 5], "8.8.8.128/25")]
     events = spark.createDataFrame(rows, "id long, op string, origin_as long, as_path array<long>, prefix string")
     cities = spark.createDataFrame([("8.8.8.128/25", 1.0, 2.0)], "network string, lat double, lon double")
     got = []
     for most in (500, 0):
-        monkeypatch.setattr(routing, "MAP_ROWS", most)
+        monkeypatch.setattr(routing, "PLAN_ROWS", most)
         where = lookup.seed_positions(spark)
         got.append([routing.path_coords(events, where, "id").orderBy("id").collect(), routing.locate(events, cities, where, "id").select("id", "lat_deg", "lon_deg").orderBy("id").collect()])
     assert got[0] == got[1] and [len(r["path_coords"]) for r in got[0][0]] == [4, 0, 0, 0, 4]
     assert [(r["id"], r["lat_deg"]) for r in got[0][1]] == [(1, 37.09), (3, 37.09), (5, 1.0)]
     empty = routing.path_coords(events, spark.createDataFrame([], "asn long, asn_lat double, asn_lon double"), "id")
     assert all(r["path_coords"] == [] for r in empty.collect())
+
+
+def test_repeated_systems_have_one_position(spark, monkeypatch):
+    events = spark.createDataFrame([(1, "A", 3, [1, 2, 3], "bad")], "id long, op string, origin_as long, as_path array<long>, prefix string")
+    where = spark.createDataFrame([(1, 1.0, 1.0), (2, 5.0, 5.0), (2, 2.0, 9.0), (2, 2.0, 8.0), (3, 3.0, 3.0), (None, 7.0, 7.0)], "asn long, asn_lat double, asn_lon double")
+    for most in (500, 0):
+        monkeypatch.setattr(routing, "PLAN_ROWS", most)
+        assert routing.path_coords(events, where, "id").first()["path_coords"] == [10**7, 10**7, 2 * 10**7, 8 * 10**7, 3 * 10**7, 3 * 10**7]
