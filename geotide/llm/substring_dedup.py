@@ -18,6 +18,11 @@ settled, is not looked at again:
    hash and compared byte by byte as well.  Where a hash has deceived, all
    bytes are the digits.
 
+The contexts of an anchor go to one task, but for anchors with more than
+``HOT_CONTEXTS`` of them (a phrase with other text around it each time): their
+windows are dealt singly, by a hash of their own, and each block sends a window
+once.
+
 Hashes only say what to compare; what counts as equal is equal byte by byte.
 
 Documents are dealt into blocks by ranges of the id, so an earlier block means
@@ -31,6 +36,7 @@ from __future__ import annotations
 
 import hashlib
 from collections.abc import Iterator
+from itertools import pairwise
 
 import numpy as np
 import pandas as pd
@@ -45,7 +51,11 @@ WINDOW = 50
 GRAM = 24
 REACH = WINDOW - GRAM + 1
 #: Text bytes of a block, and the fewest blocks.
-BLOCK_BYTES, LEAST_BLOCKS, MOST_BLOCKS = 6 << 20, 48, 1 << 17
+BLOCK_BYTES, LEAST_BLOCKS = 6 << 20, 48
+#: Contexts of an anchor beyond which its windows are dealt singly.
+HOT_CONTEXTS = 2000
+#: Shuffled bytes of first digits that a bucket takes beyond 2**14 buckets, and text bytes of a block for each bucket, so that what a block sends to a bucket is worth a row.
+BUCKET_BYTES, BYTES_FOR_A_BUCKET = 256 << 20, 384
 
 _ODD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0xD6E8FEB86659FD93, 0xBF58476D1CE4E5B9)]
 
@@ -146,7 +156,8 @@ class _Block:
         doc = self.ids[self.of]
         self.covered = doc > doc[rep] if n else np.zeros(0, bool)  # equal context in a smaller document of this block
         at = np.flatnonzero(new_h)
-        self.many = np.bincount(self.group[new_c], minlength=len(at)) > 1
+        self.n_contexts = np.bincount(self.group[new_c], minlength=len(at))
+        self.many = self.n_contexts > 1
         self.values = self.h[at]
 
     def _eight(self) -> np.ndarray:
@@ -163,8 +174,25 @@ class _Block:
         return same & (eight[a[x] + last] == eight[np.minimum(a[y] + last, len(eight) - 1)])
 
     def contexts(self, status: np.ndarray) -> np.ndarray:
-        """The anchors whose contexts go to the next digits: one of each context of the groups that other blocks have too."""
-        return np.flatnonzero((status[self.group] > 0) & self.new_c) if len(self.group) else np.zeros(0, np.int64)
+        """The anchors whose contexts go to the next digits: one of each context of the groups that other blocks have too, but for hot ones."""
+        return np.flatnonzero((status[self.group] == 1) & self.new_c) if len(self.group) else np.zeros(0, np.int64)
+
+    def hot_windows(self, status: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """The windows of hot groups: of each distinct one its start and its hash, by hash; and for each window of their contexts the anchor, its place in the context, and which distinct one it is."""
+        pick = np.flatnonzero((status[self.group] == 2) & self.new_c) if len(self.group) else np.zeros(0, np.int64)
+        n = self.b[pick] - self.a[pick] + 1
+        nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+        start = np.repeat(self.a[pick], n) + nth
+        eight = self._eight()
+        first = _equal_windows(eight, start, start)
+        lead = np.unique(first)
+        h = np.zeros(len(lead), np.uint64)
+        for k in (*range(0, WINDOW - 8, 8), WINDOW - 8):
+            h = mix(h * _ODD[1] + eight[start[lead] + k])
+        by = np.lexsort((lead, h))
+        rank = np.empty(len(lead), np.int64)
+        rank[by] = np.arange(len(by))
+        return start[lead[by]], h[by], np.repeat(pick, n), nth, rank[np.searchsorted(lead, first)]
 
     def windows(self) -> tuple[np.ndarray, np.ndarray]:
         """The single windows of the groups whose contexts differ here: where they start, and which are in a smaller document of this block."""
@@ -210,13 +238,17 @@ def _low_bytes(x: np.ndarray, k: int) -> np.ndarray:
     return np.ascontiguousarray(x.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :k])
 
 
-def _pack(block: int, values: np.ndarray, bits: int, k: int) -> Iterator[tuple[int, int, bytes]]:
-    """Sorted values by bucket, which is their top ``bits``; of each the next k bytes."""
+def _pack(block: int, values: np.ndarray, contexts: np.ndarray, bits: int, k: int) -> Iterator[tuple[int, int, bytes]]:
+    """Sorted values by bucket, which is their top ``bits``: their number, of each the next k bytes, and which have more than one context, and how many."""
     edge = np.searchsorted(values, np.arange(1 << bits, dtype=np.uint64) << np.uint64(64 - bits))
     edge = np.append(edge, len(values))
     body = _low_bytes(values >> np.uint64(64 - bits - 8 * k), k)
+    more = np.flatnonzero(contexts > 1)
+    cut = np.searchsorted(more, edge)
     for i in np.flatnonzero(np.diff(edge)).tolist():
-        yield block, i, body[edge[i] : edge[i + 1]].tobytes()
+        some = more[cut[i] : cut[i + 1]]
+        extra = np.stack([some - edge[i], contexts[some]], axis=1).astype("<u4")
+        yield block, i, np.uint32(edge[i + 1] - edge[i]).tobytes() + body[edge[i] : edge[i + 1]].tobytes() + extra.tobytes()
 
 
 def _unpack(body: bytes, k: int) -> np.ndarray:
@@ -233,19 +265,29 @@ def _rows(rows: list[tuple], schema: str = _PACKED) -> pa.Table:
     return pa.table({name: pa.array(col, kinds[kind]) for (name, kind), col in zip(fields, cols, strict=True)})
 
 
-def _settle(k: int):
-    """Per bucket: for each block's values whether another block has them too."""
+def _settle(k: int, most: int):
+    """Per bucket: for each block's values whether another block has them too (1), and more than ``most`` contexts of them there are (2)."""
 
     def run(table: pa.Table) -> pa.Table:
-        blocks = table["block"].to_numpy()
-        got = [_unpack(x.as_py(), k) for x in table["body"]]
+        blocks, got, counts = table["block"].to_numpy(), [], []
+        for x in table["body"]:
+            raw = x.as_py()
+            n = int.from_bytes(raw[:4], "little")
+            got.append(_unpack(raw[4 : 4 + n * k], k))
+            contexts = np.ones(n, np.int64)
+            extra = np.frombuffer(raw[4 + n * k :], "<u4").reshape(-1, 2)
+            contexts[extra[:, 0]] = extra[:, 1]
+            counts.append(contexts)
         size = np.array([len(x) for x in got])
-        v = np.concatenate(got)
+        v, contexts = np.concatenate(got), np.concatenate(counts)
         by = np.argsort(v)
         again = np.zeros(len(v) + 1, bool)
         again[1:-1] = v[by[1:]] == v[by[:-1]]
+        begins = np.flatnonzero(~again[:-1])
+        total = np.add.reduceat(contexts[by], begins) if len(begins) else contexts
+        hot = np.repeat(total > most, np.diff(np.append(begins, len(by))))
         status = np.zeros(len(v), np.uint8)
-        status[by] = again[1:] | again[:-1]
+        status[by] = (again[1:] | again[:-1]) * (1 + hot.astype(np.uint8))
         ends = np.cumsum(size)
         bucket = table["bucket"][0].as_py()
         return _rows([(int(b), bucket, status[e - n : e].tobytes()) for b, n, e in zip(blocks, size, ends, strict=True)])
@@ -258,7 +300,7 @@ def _pack_contexts(x: _Block, block: int, pick: np.ndarray, bits: int) -> Iterat
     n = (x.b[pick] - x.a[pick] + 1).astype(np.int64)
     bucket = (x.h[pick] >> np.uint64(64 - bits)).astype(np.int64)
     cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
-    for i, j in zip(cuts.tolist(), [*cuts[1:].tolist(), len(pick)], strict=True):
+    for i, j in pairwise([*cuts.tolist(), len(pick)]):
         size = n[i:j] + WINDOW - 1
         at = np.repeat(x.a[pick[i:j]] - (np.cumsum(size) - size), size) + np.arange(size.sum())
         yield block, int(bucket[i]), np.uint32(j - i).tobytes() + n[i:j].astype(np.uint8).tobytes() + x.buf[at].tobytes()
@@ -302,13 +344,36 @@ def _settle_contexts(table: pa.Table) -> pa.Table:
     return _rows([(int(b), bucket, bits[e - k : e].astype("<u4").tobytes()) for b, k, e in zip(blocks, per, ends, strict=True)])
 
 
+def _pack_windows(block: int, x: _Block, status: np.ndarray, bits: int) -> Iterator[tuple[int, int, bytes]]:
+    """The distinct windows of hot groups by bucket of their hash, as bytes."""
+    start, h, *_ = x.hot_windows(status)
+    bucket = (h >> np.uint64(64 - bits)).astype(np.int64)
+    cuts = np.flatnonzero(np.diff(bucket, prepend=-1))
+    for i, j in pairwise([*cuts.tolist(), len(start)]):
+        yield block, int(bucket[i]), x.buf[(start[i:j, None] + np.arange(WINDOW)).ravel()].tobytes()
+
+
+def _settle_windows(table: pa.Table) -> pa.Table:
+    """Per bucket: for each block's windows whether an earlier block has them too."""
+    blocks, texts = table["block"].to_numpy(), [x.as_py() for x in table["body"]]
+    size = np.array([len(t) // WINDOW for t in texts])
+    buf = np.frombuffer(b"".join(texts), np.uint8)
+    eight = np.ndarray((len(buf) - 7,), "<u8", buf, strides=(1,))
+    blk = np.repeat(blocks, size)
+    lead = _equal_windows(eight, np.arange(len(blk)) * WINDOW, blk.astype(np.uint64))
+    gone = (blk > blk[lead]).astype(np.uint8)
+    ends = np.cumsum(size)
+    bucket = table["bucket"][0].as_py()
+    return _rows([(int(b), bucket, gone[e - n : e].tobytes()) for b, n, e in zip(blocks, size, ends, strict=True)])
+
+
 def _statuses(replies: pa.Table, kind: str = "u1") -> np.ndarray:
     """A block's replies in the order of its sorted values."""
     replies = replies.sort_by("bucket")
     return np.frombuffer(b"".join(x.as_py() for x in replies["body"]), kind)
 
 
-def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False) -> DataFrame:
+def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", with_text: bool = False, hot_contexts: int = HOT_CONTEXTS) -> DataFrame:
     """(doc_id, n_bytes, n_removed, n_spans, kept_sha256[, kept binary]), one row for each input row.
 
     Null texts are empty.  Rows with the same id aren't smaller than one
@@ -320,8 +385,10 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
     """
     d = documents(docs, id_col, text_col)
     total = d.agg(F.sum(F.octet_length("text")).alias("n"), F.count("doc_id").alias("ids")).first()
-    n_blocks = int(min(MOST_BLOCKS, max(LEAST_BLOCKS, -(-(total["n"] or 0) // BLOCK_BYTES))))
-    bits = min(14, max(6, (n_blocks - 1).bit_length()))
+    n_bytes = total["n"] or 0
+    most_bits = max(14, int(0.35 * n_bytes / BUCKET_BYTES).bit_length())
+    n_blocks = max(LEAST_BLOCKS, -(-n_bytes // max(BLOCK_BYTES, BYTES_FOR_A_BUCKET << most_bits)))
+    bits = min(most_bits, max(6, (n_blocks - 1).bit_length()))
     cuts = d.select(F.percentile_approx("doc_id", [i / n_blocks for i in range(1, n_blocks)], 20 * n_blocks).alias("q")).first()["q"]
     cuts = np.unique(np.array(cuts or [], np.int64))
 
@@ -335,7 +402,7 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
 
     def digits(table: pa.Table) -> pa.Table:
         x = _Block(table, bits)
-        return _rows(list(_pack(table["block"][0].as_py(), x.values, bits, digit)))
+        return _rows(list(_pack(table["block"][0].as_py(), x.values, x.n_contexts, bits, digit)))
 
     def contexts(table: pa.Table, replies: pa.Table) -> pa.Table:
         if not len(table) or not len(replies):
@@ -343,8 +410,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         status = _statuses(replies)
         if not status.any():
             return _rows([])
-        x = _Block(table, bits)
-        return _rows(list(_pack_contexts(x, table["block"][0].as_py(), x.contexts(status), bits)))
+        x, block = _Block(table, bits), table["block"][0].as_py()
+        windows = _pack_windows(block, x, status, bits) if (status == 2).any() else ()
+        whole = _pack_contexts(x, block, x.contexts(status), bits)
+        # windows have the buckets behind those of contexts
+        return _rows([*whole, *((b, k + (1 << bits), body) for b, k, body in windows)])
+
+    def settle(table: pa.Table) -> pa.Table:
+        return (_settle_windows if table["bucket"][0].as_py() >> bits else _settle_contexts)(table)
 
     out_schema = _OUT + (", kept binary" if with_text else "")
 
@@ -358,9 +431,14 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         start, gone = x.windows()
         single = [start[gone]]
         pick = x.contexts(status)
-        if len(pick):
+        if status.any():
             found = np.zeros(len(x.group), np.uint32)
-            found[pick] = _statuses(replies.filter(pa.array(tag == 2)), "<u4")
+            single_reply = replies["bucket"].to_numpy() >> bits == 1
+            found[pick] = _statuses(replies.filter(pa.array((tag == 2) & ~single_reply)), "<u4")
+            if (status == 2).any():
+                _, _, anchor, nth, which = x.hot_windows(status)
+                hit = _statuses(replies.filter(pa.array((tag == 2) & single_reply)))[which]
+                np.bitwise_or.at(found, anchor, hit.astype(np.uint32) << nth.astype(np.uint32))
             found = found[x.rep]  # equal contexts share a reply
             for k in range(REACH):
                 single.append(x.a[(found >> np.uint32(k)) & 1 == 1] + k)
@@ -391,8 +469,8 @@ def remove_repeats(docs: DataFrame, id_col: str = "doc_id", text_col: str = "tex
         return pa.table(cols)
 
     blocks = d.groupBy("block")
-    first = blocks.applyInArrow(digits, _PACKED).groupBy("bucket").applyInArrow(_settle(digit), _PACKED)
-    last = blocks.cogroup(first.groupBy("block")).applyInArrow(contexts, _PACKED).groupBy("bucket").applyInArrow(_settle_contexts, _PACKED)
+    first = blocks.applyInArrow(digits, _PACKED).groupBy("bucket").applyInArrow(_settle(digit, hot_contexts), _PACKED)
+    last = blocks.cogroup(first.groupBy("block")).applyInArrow(contexts, _PACKED).groupBy("bucket").applyInArrow(settle, _PACKED)
     replies = first.withColumn("pass_no", F.lit(1)).unionByName(last.withColumn("pass_no", F.lit(2)))
     return blocks.cogroup(replies.groupBy("block")).applyInArrow(result, out_schema)
 

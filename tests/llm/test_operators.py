@@ -266,7 +266,8 @@ def test_large_component_is_cut(spark, monkeypatch):
     assert got == dict(enumerate(root))
 
 
-def test_substring_dedup(docs, rows):
+@pytest.mark.parametrize("hot_contexts", [0, 3, 2000])
+def test_substring_dedup(docs, rows, hot_contexts):
     seen = {}
     for d, t, *_ in rows:
         b = (t or "").encode()
@@ -282,10 +283,42 @@ def test_substring_dedup(docs, rows):
                 gone[i : i + 50] = b"\1" * 50
         kept = bytes(x for x, g in zip(b, gone, strict=True) if not g)
         want.append((d, len(b), sum(gone), len(re.findall(b"\1+", bytes(gone))), hashlib.sha256(kept).hexdigest()))
-    assert as_rows(substring_dedup.remove_repeats(docs)) == sorted(want, key=str)
+    assert as_rows(substring_dedup.remove_repeats(docs, hot_contexts=hot_contexts)) == sorted(want, key=str)
     assert substring_dedup.remove_repeats(docs.limit(0)).count() == 0
 
 
+def test_a_phrase_in_other_text_each_time_is_spread():
+    """One phrase in every text: what meets in a bucket doesn't grow with the number of texts."""
+    import pyarrow as pa
+
+    def largest(n_blocks, most):
+        rng, bits, sent = random.Random(1), 8, {}
+        phrase = "this licence line stands in each and every text here"
+        tables = []
+        for b in range(n_blocks):
+            noise = lambda: "".join(rng.choice("abcdefghijklmnopqrstuvwxyz ") for _ in range(80))  # noqa: B023, E731
+            tables.append(pa.table({"doc_id": [b * 1000 + i for i in range(100)], "text": [noise() + phrase + noise() for _ in range(100)], "block": pa.array([b] * 100, pa.int32())}))
+        first = {}
+        for b, t in enumerate(tables):
+            x = substring_dedup._Block(t, bits)
+            for block, bucket, body in substring_dedup._pack(b, x.values, x.n_contexts, bits, 5):
+                first.setdefault(bucket, []).append((block, bucket, body))
+        replies = {}
+        for rows in first.values():
+            for r in substring_dedup._settle(5, most)(substring_dedup._rows(rows)).to_pylist():
+                replies.setdefault(r["block"], []).append(r)
+        for b, t in enumerate(tables):
+            x = substring_dedup._Block(t, bits)
+            status = np.frombuffer(b"".join(r["body"] for r in sorted(replies[b], key=lambda r: r["bucket"])), "u1")
+            assert (status == 2).any()
+            for _, bucket, body in [*substring_dedup._pack_windows(b, x, status, bits), *substring_dedup._pack_contexts(x, b, x.contexts(status), bits)]:
+                sent[bucket] = sent.get(bucket, 0) + len(body)
+        return max(sent.values())
+
+    one, four = largest(2, 20), largest(8, 20)
+    assert four < 8000 and four < 4 * one
+
+
 def test_substring_dedup_with_deceiving_hashes(docs, rows, monkeypatch):
     """Where all hashes agree, the bytes decide."""
     want = as_rows(substring_dedup.remove_repeats(docs))
