@@ -1,4 +1,4 @@
-"""Command line: run registered queries, refresh dimensions, show the version."""
+"""Command line: run registered queries and services, refresh dimensions, show the version."""
 
 from __future__ import annotations
 
@@ -6,17 +6,23 @@ import argparse
 import signal
 import sys
 import threading
+import time
+from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from geotide import settings
 from geotide.operators import dims
-from geotide.sources import files, mmdb
+from geotide.settings import Settings
+from geotide.sources import elements, files, mmdb
 from geotide.sources.bus import BusSink
 from geotide.streaming import apps, pipelines, supervise
 
 VERSION = "0.2.0"
 IMAGES = ["image_url", "image_attribution"]
+#: Seconds between two fetches of element sets where the settings name none.
+ELEMENT_SECONDS = 7200
 KEYS = {"aircraft": "icao24", "satellite": "sat_key"}
 
 
@@ -59,6 +65,51 @@ def stream(spark: SparkSession, args: argparse.Namespace) -> int:
     return 0
 
 
+def refresh_elements(spark: SparkSession, s: Settings, stop: threading.Event, ready: threading.Event) -> None:
+    """Fetches the element sets of all satellite integrations again and again: after a failure later and later, else after their interval."""
+    feeds = s.integrations["satellite"]
+    while not stop.is_set():
+        supervise.first_success(lambda: elements.refresh(spark, [f.api_url for f in feeds], f"{s.store}/elements", int(time.time() * 1000)), stop)
+        ready.set()
+        stop.wait(max(f.interval for f in feeds) or ELEMENT_SECONDS)
+
+
+def serve(spark: SparkSession, s: Settings, kinds: list[str], stop: threading.Event, on_error: Callable[[str, Exception, float], None] | None = None) -> None:
+    """Runs the services of some kinds over the live feeds that the settings name, restarting what fails, until ``stop`` is set."""
+    for kind in kinds:
+        if not s.integrations.get(apps.known_kind(kind)):
+            raise ValueError(f"settings: no integration for {kind}")
+    spark.dataSource.register(BusSink)
+    threads = []
+    ready = threading.Event()
+    if "satellite" in kinds:
+        threads.append(threading.Thread(target=refresh_elements, args=(spark, s, stop, ready), daemon=True))
+
+    def starter(kind: str) -> Callable[[], apps.Together]:
+        feeds = s.integrations[kind]
+        common = {"bus": s.bus, "ttl_hours": s.ttl_hours}
+        if kind == "satellite":
+            return lambda: apps.Together(apps.start_satellites(spark, f"{s.store}/elements", s.store, s.checkpoints, **common)[0])
+        bodies = lambda: {f.name: apps.feed(spark, kind, f, s.spool) for f in feeds}
+        if kind == "bgp":
+            cities, holders = (mmdb.read(spark, p, c)[0].persist() for p, c in ((s.city_db, mmdb.CITY), (s.asn_db, mmdb.HOLDER)))
+            return lambda: apps.Together(apps.start_routing(spark, bodies()[feeds[0].name], feeds[0].name, s.store, s.checkpoints, cities, holders, **common)[0])
+        return lambda: apps.Together(apps.start_telemetry(spark, kind, bodies(), kind, s.store, s.checkpoints, **common)[0])
+
+    def run(kind: str) -> None:
+        while kind == "satellite" and not ready.wait(1):
+            if stop.is_set():
+                return
+        supervise.keep_running(starter(kind), stop, on_error=lambda e, wait: on_error and on_error(kind, e, wait))
+
+    threads += [threading.Thread(target=run, args=(kind,), daemon=True) for kind in kinds]
+    for t in threads:
+        t.start()
+    stop.wait()
+    for t in threads:
+        t.join(60)
+
+
 def main(argv: list[str] | None = None) -> int:
     parser = argparse.ArgumentParser(prog="geotide")
     sub = parser.add_subparsers(dest="command", required=True)
@@ -80,6 +131,9 @@ def main(argv: list[str] | None = None) -> int:
         srv.add_argument(name, default=None)
     srv.add_argument("--once", action="store_true")
     srv.add_argument("--ttl-hours", type=int, default=24)
+    live = sub.add_parser("serve", help="run the services over the live feeds of a settings file")
+    live.add_argument("--settings", required=True)
+    live.add_argument("kinds", nargs="+")
     args = parser.parse_args(argv)
     if args.command == "version":
         print(VERSION)
@@ -90,6 +144,11 @@ def main(argv: list[str] | None = None) -> int:
         return 0
     if args.command == "stream":
         return stream(spark, args)
+    if args.command == "serve":
+        stop = threading.Event()
+        signal.signal(signal.SIGTERM, lambda *_: stop.set())
+        serve(spark, settings.load(args.settings), args.kinds, stop, lambda kind, e, wait: print(f"{kind}: {e}; again in {wait:.0f} s", file=sys.stderr))
+        return 0
     from geotide.plans import catalog
 
     if args.name not in catalog.QUERIES:

@@ -18,6 +18,7 @@ class Integration:
     client_id: str = ""
     client_secret: str = ""
     token_url: str = ""
+    stream: str = ""  # of a bus that keeps messages: the stream that holds the subject
 
 
 @dataclasses.dataclass
@@ -28,6 +29,7 @@ class Settings:
     bus: str = ""
     city_db: str = ""
     asn_db: str = ""
+    ttl_hours: int = 24
     integrations: dict[str, list[Integration]] = dataclasses.field(default_factory=dict)
 
     def check(self) -> Settings:

@@ -7,6 +7,7 @@ and different triggers, so a slow store never holds up the map.
 from __future__ import annotations
 
 import dataclasses
+import functools
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, Observation, SparkSession
@@ -16,7 +17,13 @@ from pyspark.sql.streaming import StreamingQuery
 from geotide import codes
 from geotide.operators import broadcast, density, latest, lookup, routing, validate
 from geotide.schemas import BGP, LATEST, TELEMETRY
+from geotide.settings import Integration
+from geotide.sources import elements as element_sets
 from geotide.sources import feeds
+from geotide.sources.polling import PollingSource
+from geotide.sources.sockets import SocketSource, routing_subscription, vessel_subscription
+from geotide.sources.subscribe import BusSource
+from geotide.sources.ticks import TickSource
 from geotide.streaming import pipelines
 from geotide.streaming.store import Store, Table
 
@@ -54,9 +61,13 @@ def telemetry(bodies: DataFrame, kind: str, source: str) -> DataFrame:
         out = bodies.select(F.from_json("body", TELEMETRY).alias("e")).select("e.*").filter("asset_id is not null")
     else:
         raise ValueError("routing has a service of its own: routing_store")
-    have = set(out.columns)
-    out = out.select(*[F.col(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in TELEMETRY.fields])
-    return validate.valid_telemetry(out)
+    return validate.valid_telemetry(canonical(out))
+
+
+def canonical(events: DataFrame) -> DataFrame:
+    """All columns of the schema, those that a feed doesn't have as null."""
+    have = set(events.columns)
+    return events.select(*[F.col(f.name).cast(f.dataType).alias(f.name) if f.name in have else F.lit(None).cast(f.dataType).alias(f.name) for f in TELEMETRY.fields])
 
 
 def _publish(df: DataFrame, url: str, rows: int) -> None:
@@ -154,10 +165,11 @@ def routing_sink(store: Store, cities: DataFrame, holders: DataFrame, positions:
     return sink
 
 
-def start_telemetry(spark: SparkSession, kind: str, bodies: DataFrame, source: str, store: str, checkpoints: str, bus: str | None = None, once: bool = False, ttl_hours: int | None = 24) -> tuple[list[StreamingQuery], Counters]:
-    """Starts store and live path of a telemetry feed (a stream with ``body``); ``once``: over what is there, then end."""
-    known_kind(kind)
-    counters, events = Counters(), telemetry(bodies, kind, source)
+def start_telemetry(spark: SparkSession, kind: str, bodies: DataFrame | dict[str, DataFrame], source: str, store: str, checkpoints: str, bus: str | None = None, once: bool = False, ttl_hours: int | None = 24) -> tuple[list[StreamingQuery], Counters]:
+    """Starts store and live path of a telemetry feed (a stream with ``body``, or several by their source's name); ``once``: over what is there, then end."""
+    streams = bodies if isinstance(bodies, dict) else {source: bodies}
+    counters = Counters()
+    events = functools.reduce(DataFrame.unionByName, [telemetry(b, kind, name) for name, b in streams.items()])
     started = [pipelines.run(events, store_sink(opened(spark, store, kind, ttl_hours), counters), f"{checkpoints}/{kind}-store", None if once else codes.STORE_SECONDS)]
     if bus:
         started.append(pipelines.run(events, live_sink(kind, bus, counters), f"{checkpoints}/{kind}-live", None if once else codes.LIVE_MILLIS / 1000))
@@ -173,6 +185,59 @@ def start_routing(spark: SparkSession, bodies: DataFrame, source: str, store: st
     return [pipelines.run(pipelines.classify(operations(bodies), ARRIVAL), sink, f"{checkpoints}/bgp-store", None if once else codes.STORE_SECONDS)], counters
 
 
+def satellite_sink(store: Store, elements: str, counters: Counters, live: Callable[[DataFrame, int], None] | None = None, stream: str = "") -> Callable[[DataFrame, int], None]:
+    """Propagates the newest element sets to a batch of ticks (a few rows), stores and publishes the events."""
+    write = store.sink(stream)
+
+    def sink(df: DataFrame, batch_id: int) -> None:
+        sets = element_sets.newest(df.sparkSession, elements)
+        events = canonical(feeds.satellite_events(sets.join(F.broadcast(df), "orbit_regime"), F.col("tick_time"))).persist()
+        try:
+            counters.emitted += events.count()
+            counters.flushed += write(events, batch_id)
+            if live:
+                live(events, batch_id)
+        finally:
+            events.unpersist()
+
+    return sink
+
+
+def start_satellites(spark: SparkSession, elements: str, store: str, checkpoints: str, bus: str | None = None, once: bool = False, ttl_hours: int | None = 24, **pace: int) -> tuple[list[StreamingQuery], Counters]:
+    """Starts the satellite service over a table of element sets: each regime at its own pace, or at that of ``pace``."""
+    spark.dataSource.register(TickSource)
+    counters = Counters()
+    live = live_sink("satellite", bus, counters) if bus else None
+    ticks = spark.readStream.format("ticks").options(**pace).load()
+    sink = satellite_sink(opened(spark, store, "satellite", ttl_hours), elements, counters, live)
+    return [pipelines.run(ticks, sink, f"{checkpoints}/satellite-store", None if once else min([*codes.TICK_SECONDS.values(), *pace.values()]) / 2)], counters
+
+
+def feed(spark: SparkSession, kind: str, where: Integration, spool: str) -> DataFrame:
+    """The stream of bodies of a live feed: asked again and again (http), heard (ws), or taken from a bus as a member of a group."""
+    scheme = where.api_url.split(":", 1)[0]
+    folder = f"{spool}/{known_kind(kind)}-{where.name}"
+    if scheme in ("http", "https"):
+        spark.dataSource.register(PollingSource)
+        out = spark.readStream.format("polling").option("url", where.api_url).option("interval", where.interval or 10)
+        if where.token_url:
+            out = out.option("token_url", where.token_url).option("client_id", where.client_id).option("client_secret", where.client_secret)
+        elif where.api_key:
+            out = out.option("token", where.api_key)
+    elif scheme in ("ws", "wss"):
+        spark.dataSource.register(SocketSource)
+        out = spark.readStream.format("socket_feed").option("url", where.api_url)
+        out = out.option("subscribe", routing_subscription() if kind == "bgp" else vessel_subscription(where.api_key))
+    elif scheme in ("resp", "nats"):
+        spark.dataSource.register(BusSource)
+        out = spark.readStream.format("bus_feed").option("url", where.api_url).option("subject", subject(kind)).option("group", f"batcher-{kind}")
+        if where.stream:
+            out = out.option("stream", where.stream)
+    else:
+        raise ValueError(f"{where.name}: no feed at {where.api_url!r}")
+    return out.option("spool", folder).load()
+
+
 class Together:
     """Several queries as one for a supervisor: ends when all have, fails when one does."""
 
