@@ -14,6 +14,8 @@ this grid must not be mixed with ids of that system.
 
 from __future__ import annotations
 
+import math
+
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
@@ -24,21 +26,35 @@ def _cuts(res: int) -> list[tuple[int, int]]:
     return [(2, 3) if r % 2 else (3, 2) for r in range(1, res + 1)]
 
 
+def _bits(places: range, per_base: int, cuts: list[int], weights: list[int], base_weight: int, step: int = 1) -> list[int]:
+    """What each place along one axis (``step`` apart) adds to the id: its part of the base cell and of every digit."""
+    out = []
+    for i in places:
+        at, left = i * step, per_base
+        bits = (at // left) * base_weight << 45
+        for r, (cut, weight) in enumerate(zip(cuts, weights, strict=True), 1):
+            left //= cut
+            bits += (at // left % cut) * weight << 3 * (RESOLUTIONS - r)
+        out.append(bits)
+    return out
+
+
 def cell(lat: Column, lon: Column, res: int = 7) -> Column:
-    """Cell id of a position in degrees; null outside the globe."""
-    rows = cols = 1
-    for a, b in _cuts(res):
-        rows, cols = rows * a, cols * b
-    y = F.least(F.floor((lat + 90.0) / 180.0 * (BASE_ROWS * rows)), F.lit(BASE_ROWS * rows - 1))
-    x = F.least(F.floor((lon + 180.0) / 360.0 * (BASE_COLS * cols)), F.lit(BASE_COLS * cols - 1))
-    base = F.floor(y / rows) * BASE_COLS + F.floor(x / cols)
-    out = F.lit((1 << 59) | (res << 52)) + F.shiftleft(base.cast("long"), 45)
-    for r, (a, b) in enumerate(_cuts(res), 1):
-        rows, cols = rows // a, cols // b
-        digit = F.pmod(F.floor(y / rows), F.lit(a)) * b + F.pmod(F.floor(x / cols), F.lit(b))
-        out = out + F.shiftleft(digit.cast("long"), 3 * (RESOLUTIONS - r))
-    out = out + F.lit((1 << 3 * (RESOLUTIONS - res)) - 1)
-    return F.when(lat.between(-90, 90) & lon.between(-180, 180), out)
+    """Cell id of a position in degrees; null outside the globe.
+
+    Every digit is a sum of one part from the latitude's place and one from the
+    longitude's, so an id is a sum of table entries: for each axis one of the
+    place's upper digits and one of its lower ones.
+    """
+    cuts = _cuts(res)
+    ids = F.lit((1 << 59) | (res << 52) | (1 << 3 * (RESOLUTIONS - res)) - 1)
+    for value, span, n_base, axis, base_weight in ((lat + 90.0, 180.0, BASE_ROWS, 0, BASE_COLS), (lon + 180.0, 360.0, BASE_COLS, 1, 1)):
+        own, weights = [c[axis] for c in cuts], [c[1] if axis == 0 else 1 for c in cuts]
+        per_base, low = math.prod(own), math.prod(own[(res + 1) // 2 :])
+        place = F.least(F.floor(value / span * (n_base * per_base)), F.lit(n_base * per_base - 1)).cast("int")
+        table = lambda places, step: F.array(*[F.lit(x).cast("long") for x in _bits(places, per_base, own, weights, base_weight, step)])  # noqa: B023, E731
+        ids = ids + F.get(table(range(n_base * per_base // low), low), (place / low).cast("int")) + F.get(table(range(low), 1), F.pmod(place, F.lit(low)))
+    return F.when(lat.between(-90, 90) & lon.between(-180, 180), ids)
 
 
 def parent(cell_id: Column, res: Column | int) -> Column:

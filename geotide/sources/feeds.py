@@ -22,6 +22,11 @@ def _once(df: DataFrame, c: Column, name: str, *carry: str) -> DataFrame:
     return df.select(*carry, F.explode(F.array(c)).alias(name))
 
 
+def _rows_of(df: DataFrame, *columns: Column) -> DataFrame:
+    """Computed columns that filters after them read instead of computing them again."""
+    return _once(df, F.struct(*columns), "e").select("e.*")
+
+
 def _number(v: Column) -> Column:
     """A JSON number as double; strings, booleans and null are misses."""
     return F.when(F.schema_of_variant(v).rlike("^(BIGINT|DOUBLE|FLOAT|DECIMAL)"), F.try_variant_get(v, "$", "double"))
@@ -38,9 +43,9 @@ def adsb(df: DataFrame, source: str) -> DataFrame:
     Drops rows that aren't arrays of at least 17, aircraft on the ground, those
     without numeric position or without icao24, and what validation rejects.
     """
-    parsed = _once(df, F.from_json("body", "time bigint, states array<string>"), "r").filter("r is not null")
-    rows = parsed.select(F.col("r.time").alias("time"), F.explode("r.states").alias("s")).filter(F.col("s").startswith("["))
-    rows = _once(rows, F.from_json(F.col("s"), "array<variant>"), "v", "time").filter(F.size("v") >= 17)
+    parsed = _once(df, F.from_json("body", "time bigint, states array<variant>"), "r").filter("r is not null")
+    rows = parsed.select(F.col("r.time").alias("time"), F.explode("r.states").alias("s"))
+    rows = _once(rows, F.try_variant_get("s", "$", "array<variant>"), "v", "time").filter(F.size("v") >= 17)
     kind = lambda k: _number if k in ("lon", "lat", "alt", "velocity", "track", "rate", "category") else _text
     ground = F.schema_of_variant(F.col("v")[_STATE["on_ground"]]) == "BOOLEAN"
     values = {k: kind(k)(F.col("v")[i]) for k, i in _STATE.items() if k != "on_ground"}
@@ -50,7 +55,8 @@ def adsb(df: DataFrame, source: str) -> DataFrame:
     rows = rows.filter(~F.coalesce(F.col("on_ground"), F.lit(False)) & num["lat"].isNotNull() & num["lon"].isNotNull())
     zero = lambda c: F.coalesce(c, F.lit(0.0))
     text = lambda k: F.coalesce(F.col(k), F.lit(""))
-    out = rows.select(
+    out = _rows_of(
+        rows,
         F.timestamp_millis(F.col("time") * 1000).alias("event_time"), F.upper(text("icao24")).alias("asset_id"), F.lit("aircraft").alias("asset_type"),
         F.trim(text("callsign")).alias("callsign"), text("origin").alias("origin"), scalar.emitter_category(num["category"].cast("int")).alias("category"),
         scalar.scale_degrees(num["lat"]).alias("lat"), scalar.scale_degrees(num["lon"]).alias("lon"), F.coalesce(scalar.truncate(num["alt"]), F.lit(0)).alias("alt"),
@@ -78,34 +84,40 @@ def ais(df: DataFrame, source: str) -> DataFrame:
     envelope's; (0, 0) is no position.  A missing number is 0, so a class-B
     report, which has no navigational status, shows status 0.
     """
-    m = _once(df, F.from_json("body", _VESSEL), "m").select("m.*").withColumn("event_time", scalar.feed_time(F.col("MetaData.time_utc")))
-    m = m.filter(F.col("event_time").isNotNull())
     zero, blank = (lambda c: F.coalesce(c, F.lit(0))), (lambda c: F.coalesce(c, F.lit("")))
+    m = _once(df, F.from_json("body", _VESSEL), "m").select("m.*")
     kind = F.col("MessageType")
     report = F.when(kind == "PositionReport", F.col("Message.PositionReport")).when(kind == "StandardClassBPositionReport", F.col("Message.StandardClassBPositionReport"))
-    m = m.withColumn("p", report).withColumn("s", F.when(kind == "ShipStaticData", F.col("Message.ShipStaticData"))).filter("p is not null or s is not null")
-    moving = F.col("p").isNotNull()
-    lat = zero(F.when(moving, F.col("p.Latitude")).otherwise(F.col("MetaData.latitude")))
-    lon = zero(F.when(moving, F.col("p.Longitude")).otherwise(F.col("MetaData.longitude")))
-    ship, heading = F.trim(blank(F.col("MetaData.ShipName"))), zero(F.col("p.TrueHeading"))
+    # in three steps, so that no generated method is too long for the JVM to compile
+    m = _rows_of(
+        m,
+        scalar.feed_time(F.col("MetaData.time_utc")).alias("event_time"), zero(F.col("MetaData.MMSI")).cast("string").alias("asset_id"), F.trim(blank(F.col("MetaData.ShipName"))).alias("ship"),
+        report.alias("p"), F.when(kind == "ShipStaticData", F.col("Message.ShipStaticData")).alias("s"), F.col("MetaData.latitude").alias("y"), F.col("MetaData.longitude").alias("x"),
+    ).filter("event_time is not null and (p is not null or s is not null)")
+    moving, e = F.col("p").isNotNull(), F.col("s.Eta")
     static = lambda c, other: F.when(moving, other).otherwise(c)
     dim = lambda k: static(scalar.wrap(zero(F.col(f"s.Dimension.{k}")), 16), F.lit(0)).cast("int").alias(f"dim_{k.lower()}")
-    e = F.col("s.Eta")
-    out = m.select(
-        "event_time", zero(F.col("MetaData.MMSI")).cast("string").alias("asset_id"), F.lit("vessel").alias("asset_type"),
-        F.when(~moving & (ship == ""), F.trim(blank(F.col("s.Name")))).otherwise(ship).alias("callsign"),
+    m = _rows_of(
+        m,
+        F.col("event_time"), F.col("asset_id"), F.when(~moving & (F.col("ship") == ""), F.trim(blank(F.col("s.Name")))).otherwise(F.col("ship")).alias("callsign"), F.col("p"),
+        zero(F.when(moving, F.col("p.Latitude")).otherwise(F.col("y"))).alias("y"), zero(F.when(moving, F.col("p.Longitude")).otherwise(F.col("x"))).alias("x"),
+        static(scalar.wrap(zero(F.col("s.ImoNumber")), 32), F.lit(0)).alias("imo_number"),
+        static(scalar.ship_type(zero(F.col("s.Type"))), F.lit("")).alias("ship_type"), static(F.trim(blank(F.col("s.Destination"))), F.lit("")).alias("destination"),
+        static(zero(F.col("s.MaximumStaticDraught")), F.lit(0.0)).cast("float").alias("draught"), *map(dim, "ABCD"),
+        F.coalesce(static(scalar.eta(e["Month"], e["Day"], e["Hour"], e["Minute"]), F.lit("")), F.lit("")).alias("eta"),
+    )
+    lat, lon, heading = F.col("y"), F.col("x"), zero(F.col("p.TrueHeading"))
+    out = _rows_of(
+        m,
+        F.col("event_time"), F.col("asset_id"), F.lit("vessel").alias("asset_type"), F.col("callsign"),
         scalar.scale_degrees(lat).alias("lat"), scalar.scale_degrees(lon).alias("lon"), F.lit(0).alias("alt"),
         F.when(moving, zero(F.col("p.Sog"))).otherwise(0).cast("float").alias("speed"),
         F.when(~moving, 0).when((heading >= 0) & (heading < 360), heading).otherwise(zero(F.col("p.Cog"))).cast("float").alias("heading"),
         cells.cell(lat, lon).alias("h3_cell"), F.lit(source).alias("source"),
         F.when(moving, scalar.nav_status(zero(F.col("p.NavigationalStatus")))).otherwise("").alias("nav_status"),
-        static(scalar.wrap(zero(F.col("s.ImoNumber")), 32), F.lit(0)).alias("imo_number"),
-        static(scalar.ship_type(zero(F.col("s.Type"))), F.lit("")).alias("ship_type"), static(F.trim(blank(F.col("s.Destination"))), F.lit("")).alias("destination"),
-        static(zero(F.col("s.MaximumStaticDraught")), F.lit(0.0)).cast("float").alias("draught"), *map(dim, "ABCD"),
-        static(scalar.eta(e["Month"], e["Day"], e["Hour"], e["Minute"]), F.lit("")).alias("eta"),
+        *[F.col(c) for c in ("imo_number", "ship_type", "destination", "draught", "dim_a", "dim_b", "dim_c", "dim_d", "eta")],
         F.when(moving, zero(F.col("p.RateOfTurn"))).otherwise(0).cast("float").alias("rate_of_turn"),
     )
-    out = out.withColumn("eta", F.coalesce("eta", F.lit("")))
     return validate.valid_telemetry(out.filter("h3_cell is not null"))
 
 
