@@ -6,7 +6,7 @@ every byte, joins on every prefix word.  They are meant for small tables.
 
 from __future__ import annotations
 
-from geotide.llm import exact_topk, merkle, quality_rules
+from geotide.llm import exact_topk, merkle, quality_rules, spelling
 
 _WORDS = r"regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+')"
 
@@ -103,4 +103,5 @@ def oracle_sql() -> dict[str, str]:
         "op6_quality_rules": quality_rules_sql(),
         "op10_substring_dedup": SUBSTRING_DEDUP,
         "op12_merkle_manifest": merkle.oracle_sql(),
+        "op13_spelling_variants": spelling.ORACLE,
     }

@@ -366,3 +366,22 @@ def variants(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
 
 def op13(spark, sf_dir: str) -> DataFrame:
     return variants(spark.read.parquet(f"{sf_dir}/documents.parquet"))
+
+
+#: CRC-32 bit by bit, deletion neighbourhoods for pairs, and forms followed row by row.
+ORACLE = f"""
+WITH RECURSIVE d AS (SELECT coalesce(doc_id::VARCHAR, '') AS id, unnest(regexp_extract_all(coalesce(text, ''), '[A-Za-zÀ-ÿ]+')) AS run FROM documents),
+r AS (SELECT id, translate(run, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') AS run FROM d WHERE length(run) >= {LEAST_LENGTH}),
+g AS (SELECT id, run, count(*) AS n, hex(encode(id || ':' || run)) AS h FROM r GROUP BY id, run),
+c AS (SELECT *, xor(4294967295, list_reduce(list_prepend(4294967295::BIGINT, list_transform(range(length(h) // 2), lambda k: ('0x' || substr(h, (2 * k + 1)::BIGINT, 2))::BIGINT)),
+      lambda c, b: list_reduce([xor(c, b), 0, 0, 0, 0, 0, 0, 0, 0], lambda x, z: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END))) AS crc FROM g),
+s AS (SELECT CASE WHEN crc % {SPOILT} = 0 THEN substr(run, 1, (crc % length(run))::BIGINT) || substr(run, (crc % length(run) + 2)::BIGINT) ELSE run END AS word, n FROM c),
+w AS (SELECT word, sum(n)::BIGINT AS n FROM s WHERE length(word) >= {LEAST_LENGTH} GROUP BY word HAVING sum(n) >= {LEAST_COUNT}),
+x AS (SELECT word, n, i, substr(word, 1, i) || substr(word, i + 2) AS hole FROM (SELECT word, n, unnest(range(length(word))) AS i FROM w)),
+p AS (SELECT a.word, b.word AS near, b.n AS near_n FROM x a JOIN x b ON a.i = b.i AND a.hole = b.hole AND a.word <> b.word
+      UNION SELECT x.word, w.word, w.n FROM x JOIN w ON x.hole = w.word UNION SELECT w.word, x.word, x.n FROM x JOIN w ON x.hole = w.word),
+b AS (SELECT word, count(*) AS n_near, min((-near_n, near)) AS best FROM p GROUP BY word),
+f AS (SELECT w.word, w.n, coalesce(n_near, 0) AS n_near, CASE WHEN -best[1] >= {FORM_FACTOR} * w.n THEN best[2] END AS form, CASE WHEN -best[1] >= {FORM_FACTOR} * w.n THEN -best[1] END AS form_n FROM w LEFT JOIN b USING (word)),
+t AS (SELECT word, word AS root, 0 AS k FROM f UNION ALL SELECT t.word, f.form, k + 1 FROM t JOIN f ON f.word = t.root WHERE f.form IS NOT NULL)
+SELECT word, form, arg_max(root, k) AS root, n, n_near, form_n FROM f JOIN t USING (word) GROUP BY ALL
+"""
