@@ -293,7 +293,9 @@ def _classes(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") ->
     whole = roots.join(classes, roots["id"] == classes["bag"]).groupBy("root").agg(F.min("first").alias("class_id"))
     linked = roots.join(whole, "root").select(F.col("id").alias("bag"), "class_id", "root")
     of_bag = classes.filter("copies > 1").select("bag", "first").join(linked, "bag", "full_outer").select("bag", F.coalesce("class_id", "first").alias("class_id"), "root")
-    out = base.select("doc_id", F.when(F.col("n") > 0, F.col("bag")).alias("bag"), "n").join(of_bag, "bag", "left")
+    keyed = base.select("doc_id", F.when(F.col("n") > 0, F.col("bag")).alias("bag"), "n")
+    # texts without words have no bag, and all of them would meet in one task
+    out = keyed.filter("bag is not null").join(of_bag, "bag", "left").unionByName(keyed.filter("bag is null"), allowMissingColumns=True)
     alone = F.col("doc_id").isNull() | F.col("class_id").isNull()
     class_id = F.when(alone, F.col("doc_id")).otherwise(F.col("class_id")).alias("class_id")
     return out.select("doc_id", class_id, F.col("n").alias("n_shingles"), "bag", F.coalesce("root", "bag").alias("root"))

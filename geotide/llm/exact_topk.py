@@ -5,7 +5,7 @@ dimension's term is how far a value lies above the block's smallest, so all
 impacts are non-negative.  A term's values are written in digits to the base
 of 8; a posting segment holds the rows that have a certain digit at a certain
 place, and its quantised impact is what that digit stands for.  The segments
-are built once a block.
+of a block are built for each batch that meets it.
 
 Queries come in batches.  A batch reads segments by descending weight (the
 largest of its queries') times impact.  The postings of a run of segments are
