@@ -15,6 +15,7 @@ from pyspark.sql import functions as F
 from geotide import codes
 from geotide.functions import cells, scalar
 from geotide.operators import lookup
+from geotide.operators.segments import segment
 
 _U32 = 2**32 - 1
 
@@ -52,23 +53,6 @@ def operations(messages: DataFrame) -> DataFrame:
     return ann.withColumn("op", F.lit("A")).unionByName(wd.withColumn("op", F.lit("W")))
 
 
-#: Ranges of arrival, a shuffle partition, that a prefix's operations are dealt in.
-SEGMENTS = 4
-
-
-def segment(ops: DataFrame, by: str) -> Column:
-    """Which of even ranges of ``by`` (a number or a time) a row is in: a binary search in quantiles over all rows."""
-    x = F.unix_micros(by) if dict(ops.dtypes)[by] == "timestamp" else F.col(by).cast("long")
-    n = SEGMENTS * int(ops.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    found = sorted(set(ops.agg(F.percentile_approx(x, [k / n for k in range(1, n)], 100 * n).alias("q")).first()["q"] or []))
-    if not found:
-        return F.lit(0)
-    depth = len(found).bit_length()
-    bounds = F.array(*[F.lit(v).cast("long") for v in found + [2**63 - 1] * (2**depth - 1 - len(found))])
-    halves = F.array(*[F.lit(1 << k) for k in reversed(range(depth))])
-    return F.aggregate(halves, F.lit(0), lambda at, half: F.when(F.element_at(bounds, at + half) < x, at + half).otherwise(at))
-
-
 def classify(ops: DataFrame, order: list[str]) -> DataFrame:
     """Operations that are events, with ``category``; needs prefix, op ('A' or 'W'), origin_as, is_leak.
 
@@ -109,9 +93,11 @@ def _by_number(positions: DataFrame) -> DataFrame:
 
 def _in_plan(positions: DataFrame) -> Callable[[Column], Column] | None:
     """A function from a system's number to its position, if the table is small: arrays by remainder, so that a look-up compares a few numbers."""
-    rows = positions.limit(PLAN_ROWS + 1).collect()
+    rows = positions.select("asn", "asn_lat", "asn_lon").limit(PLAN_ROWS + 1).collect()
     if len(rows) > PLAN_ROWS:
         return None
+    null_first = lambda r: [(v is not None, v or 0) for v in r]
+    rows = list({r["asn"]: r for r in sorted(rows, key=null_first, reverse=True) if r["asn"] is not None}.values())  # as _by_number
     kind = "array<array<struct<asn: bigint, asn_lat: double, asn_lon: double>>>"
     buckets = [[F.struct(*[F.lit(v) for v in r]) for r in rows if r["asn"] % len(rows) == k] for k in range(len(rows))]
     table = F.array(*[F.array(*b) for b in buckets]).cast(kind) if rows else F.array().cast(kind)
@@ -129,31 +115,30 @@ def path_coords(events: DataFrame, positions: DataFrame, key: str) -> DataFrame:
     ``key`` identifies an event; it matters only where the position table is
     too large for the plan and hops are joined with it.
     """
-    positions = _by_number(positions)
     both = lambda x: F.array(scalar.scale_degrees(x["asn_lat"]), scalar.scale_degrees(x["asn_lon"]))
     none = F.array().cast("array<int>")
     if (table := _in_plan(positions)) is not None:
         return events.withColumn("path_coords", F.coalesce(F.flatten(F.transform(_places(F.col("as_path"), table), both)), none))
-    hops = events.select(key, F.posexplode("as_path").alias("_i", "asn")).join(lookup.small(positions), "asn")
+    hops = events.select(key, F.posexplode("as_path").alias("_i", "asn")).join(lookup.small(_by_number(positions)), "asn")
     got = hops.groupBy(key).agg(F.sort_array(F.collect_list(F.struct("_i", both(F.struct("asn_lat", "asn_lon")).alias("c")))).alias("_h"))
     out = events.join(got, key, "left")
     return out.withColumn("path_coords", F.coalesce(F.flatten(F.col("_h.c")), none)).drop("_h")
 
 
-def locate(events: DataFrame, cities: DataFrame, positions: DataFrame, key: str) -> DataFrame:
+def locate(events: DataFrame, cities: DataFrame, positions: DataFrame, key: str, known: DataFrame | None = None) -> DataFrame:
     """Adds lat_deg, lon_deg: the prefix's city, else the last path hop (withdrawals: the peer) with a known position; drops the rest.
 
     ``positions`` is the ASN table of this module's seeds or a refreshed one;
-    ``key`` identifies an event (see ``path_coords``).
+    ``key`` identifies an event (see ``path_coords``), ``known`` is as in
+    ``lookup.longest_match``.
     """
-    positions = _by_number(positions)
     hops = F.when(F.col("op") == "W", F.array("origin_as")).otherwise(F.col("as_path"))
     if (table := _in_plan(positions)) is not None:
-        out = lookup.city(events.withColumn("_hop", F.try_element_at(_places(hops, table), F.lit(-1))), cities)
+        out = lookup.city(events.withColumn("_hop", F.try_element_at(_places(hops, table), F.lit(-1))), cities, known)
     else:
-        hop = events.select(key, F.posexplode(hops).alias("_i", "asn")).join(lookup.small(positions), "asn")
+        hop = events.select(key, F.posexplode(hops).alias("_i", "asn")).join(lookup.small(_by_number(positions)), "asn")
         last = hop.groupBy(key).agg(F.max_by(F.struct("asn_lat", "asn_lon"), "_i").alias("_hop"))
-        out = lookup.city(events, cities).join(last, key, "left")
+        out = lookup.city(events, cities, known).join(last, key, "left")
     out = out.withColumn("lat_deg", F.coalesce("city_lat", "_hop.asn_lat")).withColumn("lon_deg", F.coalesce("city_lon", "_hop.asn_lon"))
     return out.filter(F.col("lat_deg").isNotNull()).drop("city_lat", "city_lon", "_hop")
 

@@ -408,18 +408,18 @@ _HOLD = "hold AS (SELECT o2, o3, CASE WHEN o2<200 AND o2%5=0 AND o3=2 THEN 0 WHE
 y AS (SELECT event_id, category, CASE WHEN op='W' THEN coalesce(c_lat,law) ELSE coalesce(c_lat,la3,la2,la1) END AS lat_deg, CASE WHEN op='W' THEN coalesce(c_lon,low) ELSE coalesce(c_lon,lo3,lo2,lo1) END AS lon_deg FROM x)
 SELECT * FROM y WHERE lat_deg IS NOT NULL""")
 def bgp_geo(spark, sf):
-    out = routing.locate(_events(spark, sf), _cities(spark), lookup.seed_positions(spark), "event_id")
+    out = routing.locate(_events(spark, sf), _cities(spark), lookup.seed_positions(spark), "event_id", known=_ops(spark, sf))
     return out.select("event_id", "category", "lat_deg", "lon_deg")
 
 
 @query(f"WITH {_OPS}, {_HOLD} SELECT event_id, prefix, prefix_as::BIGINT AS prefix_as, prefix_org FROM ev JOIN hold USING (o2,o3)")
 def holder_left_join(spark, sf):
-    return lookup.holder(_events(spark, sf).select("event_id", "prefix"), _holders(spark))
+    return lookup.holder(_events(spark, sf).select("event_id", "prefix"), _holders(spark), known=_ops(spark, sf))
 
 
 @query(f"WITH {_OPS}, {_HOLD} SELECT event_id, prefix, origin_as, prefix_as::BIGINT AS prefix_as FROM ev JOIN hold USING (o2,o3) WHERE category='hijack' AND prefix_as<>0 AND prefix_as<>origin_as")
 def hijack_divergence(spark, sf):
-    return lookup.hijack_divergence(lookup.holder(_events(spark, sf), _holders(spark))).select("event_id", "prefix", "origin_as", "prefix_as")
+    return lookup.hijack_divergence(lookup.holder(_events(spark, sf), _holders(spark), known=_ops(spark, sf))).select("event_id", "prefix", "origin_as", "prefix_as")
 
 
 @query("""WITH a AS (SELECT event_id, (10::BIGINT*16777216+(event_id%256)*65536+(event_id%4)*256) AS addr FROM events)
@@ -430,9 +430,17 @@ def lpm_join(spark, sf):
     return lookup.longest_match(probes, _holders(spark).select("network", "org")).select("event_id", "org")
 
 
-@query(f"WITH pos(asn,la,lo) AS (VALUES {_values(_POS)}) SELECT asn::BIGINT AS asn, la AS asn_lat, lo AS asn_lon FROM pos")
+#: Countries that stand for the nations of the tables; the last one has no centroid.
+_COUNTRIES = [*sorted(codes.CENTROIDS)[:24], "--"]
+
+
+@query(f"""WITH c(k,la,lo) AS (VALUES {_values({k: codes.CENTROIDS[c] for k, c in enumerate(_COUNTRIES[:24])})})
+SELECT 64512 + c_custkey AS asn, la AS asn_lat, lo AS asn_lon FROM customer JOIN c ON c_nationkey = k""")
 def asn_centroid_join(spark, sf):
-    return lookup.seed_positions(spark).select("asn", "asn_lat", "asn_lon")
+    """A registry of systems and their countries, placed where the countries' centroids are."""
+    country = F.get(F.array(*[F.lit(c) for c in _COUNTRIES]), F.col("c_nationkey"))
+    systems = table(spark, sf, "customer").select((F.col("c_custkey") + 64512).alias("asn"), country.alias("cc"))
+    return lookup.positions(systems).select("asn", "asn_lat", "asn_lon")
 
 
 @query(f"WITH {_PATH}, pos(asn,la,lo) AS (VALUES {_values(_POS)}) SELECT event_id, h3 AS asn, la AS asn_lat, lo AS asn_lon, la IS NOT NULL AS ok FROM p LEFT JOIN pos ON pos.asn=h3")

@@ -13,7 +13,7 @@ from geotide.plans import catalog
 
 TABLES = "/root/testdata/sf0.001"
 #: A cross-section; the driver runs all of them.
-NAMES = ["latest_merge", "density_merge", "cell_parent", "event_id_fnv", "bgp_geo", "lpm_join", "maneuver_detect", "src_csv_quoted", "sorted_layout"]
+NAMES = ["latest_merge", "density_merge", "cell_parent", "event_id_fnv", "bgp_geo", "asn_centroid_join", "lpm_join", "maneuver_detect", "src_csv_quoted", "sorted_layout"]
 
 
 @pytest.mark.skipif(not os.path.isdir(TABLES), reason="no driver tables here")

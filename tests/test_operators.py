@@ -5,7 +5,7 @@ import random
 import pytest
 from pyspark.sql import functions as F
 
-from geotide.operators import broadcast, density, dims, latest, lookup, reads, routing, validate
+from geotide.operators import broadcast, density, dims, latest, lookup, reads, routing, segments, validate
 from geotide.sources import feeds
 
 
@@ -73,6 +73,37 @@ def test_longest_match_v6(spark):
     assert got == {probes[0]: nets[2], probes[1]: nets[1], probes[2]: nets[0], probes[3]: None, probes[4]: None, probes[5]: None, probes[6]: None, None: None}
 
 
+@pytest.mark.parametrize("wide", [False, True])
+def test_longest_match_in_nested_networks(spark, wide):
+    """Random networks within one another and side by side, and no Python in the plan."""
+    rng = random.Random(8)
+    kind, bits = (ipaddress.IPv6Network, 128) if wide else (ipaddress.IPv4Network, 32)
+    space = lambda: rng.choice([0, 2 ** (bits - 1), 2**bits - 2**20]) + rng.randrange(2**20)
+    nets = sorted({str(kind((space(), bits - rng.randrange(0, 21)), strict=False)) for _ in range(300)} | {str(kind((0, 1)))})
+    probes = sorted({str(kind((space(), bits))) for _ in range(500)} | set(nets[:50]))
+    table = spark.createDataFrame([(n, n) for n in nets], "network string, hit string").repartition(3)
+    match = lookup.longest_match_v6 if wide else lookup.longest_match
+    out = match(spark.createDataFrame([(p,) for p in [*probes, *probes[:20]]], "prefix string"), table)
+    known = [kind(n) for n in nets]
+    want = {p: max((n for n in known if kind(p).network_address in n), key=lambda n: n.prefixlen, default=None) for p in probes}
+    got = out.collect()
+    assert len(got) == len(probes) + 20 and all(r["hit"] == (str(want[r["prefix"]]) if want[r["prefix"]] else None) for r in got)
+    assert "Python" not in out._jdf.queryExecution().executedPlan().toString()
+    assert match(spark.createDataFrame([(probes[0],)], "prefix string"), table.limit(0)).first()["hit"] is None
+
+
+def test_v6_text(spark):
+    good = ["::/0", "::1/128", "1::/16", "1:2:3:4:5:6:7:8/64", "2001:DB8::F/33", "::ffff:1.2.3.4/120", "1:2:3:4:5:6:7::/112", "::2:3:4:5:6:7:8/128", "fe80::1:2/127", "1:2:3:4:5:6:9.8.7.6/125"]
+    bad = ["1:2:3:4:5:6:7:8:9/64", "1:2:3:4:5:6:7/64", "::1::/64", ":::1/64", "12345::/16", "g::/16", "::/129", "::", "1.2.3.4/8", "::ffff:1.2.3.400/120", "", None, "::1/1/2", "1:2:3:4:5:6:7:8::/64"]
+    df = spark.createDataFrame([(t,) for t in good + bad], "t string").withColumn("n", lookup.v6_network(F.col("t")))
+    for r in df.collect():
+        if r["t"] in good:
+            net = ipaddress.IPv6Network(r["t"], strict=False)
+            assert tuple(r["n"]) == (f"{int(net.network_address):032x}", f"{int(net.broadcast_address):032x}", net.prefixlen), r
+        else:
+            assert r["n"] is None, r
+
+
 def test_paths(spark):
     rows = [(["14061", "174", "[15169,13335]"],), (["174", "x", "64500"],), ([],), (["64500", "4294967296", "-1"],), (None,)]
     df = spark.createDataFrame(rows, "p array<string>").select(routing.flat_path(F.col("p")).alias("f"))
@@ -114,8 +145,8 @@ def test_classify_a_hot_prefix(spark, kind):
         df = df.withColumn("at", F.timestamp_seconds("seq"))
     out = routing.classify(df, ["at" if kind == "timestamp" else "seq"])
     assert sorted(map(tuple, out.select("seq", "prefix", "category").collect())) == sorted(reference_classes(ops))
-    dealt = df.withColumn("s", routing.segment(df, "at" if kind == "timestamp" else "seq"))
-    assert dealt.select("s").distinct().count() == routing.SEGMENTS * 4
+    dealt = df.withColumn("s", segments.segment(df, "at" if kind == "timestamp" else "seq"))
+    assert dealt.select("s").distinct().count() == segments.SEGMENTS * 4
     sizes = sorted(r["count"] for r in dealt.repartition(4, "prefix", "s").groupBy(F.spark_partition_id()).count().collect())
     assert len(sizes) == 4 and sizes[-1] < 2 * (sizes[1] + sizes[2]) / 2
 
