@@ -629,9 +629,10 @@ def bgp_roundtrip(spark, sf):
 (1 + (p_partkey%150)/10.0)::DOUBLE AS mean_motion, 1704110400000::BIGINT AS epoch_ms FROM part""")
 def src_element_text(spark, sf):
     k = F.col("p_partkey")
-    one = F.format_string("1 %05dU 24001A   24001.50000000  .00000000  00000-0  10000-3 0  9990", k)
-    two = F.format_string("2 %05d %8.4f %8.4f %07d %8.4f %8.4f %11.8f    00", k, k % 180 + 0.5, F.lit(10.0), (k % 1000) * 1000, F.lit(20.0), F.lit(30.0), 1 + (k % 150) / 10.0)
-    text = table(spark, sf, "part").select((k % 8).alias("file"), F.concat_ws("\n", "p_name", one, two).alias("set")).groupBy("file").agg(F.concat_ws("\n", F.collect_list("set")).alias("value"))
+    number = files.element_number(k)
+    one = F.format_string("1 %sU 24001A   24001.50000000  .00000000  00000-0  10000-3 0  9990", number)
+    two = F.format_string("2 %s %8.4f %8.4f %07d %8.4f %8.4f %11.8f    00", number, k % 180 + 0.5, F.lit(10.0), (k % 1000) * 1000, F.lit(20.0), F.lit(30.0), 1 + (k % 150) / 10.0)
+    text = table(spark, sf, "part").select(F.floor(k / 1000).alias("file"), F.concat_ws("\n", "p_name", one, two).alias("set")).groupBy("file").agg(F.concat_ws("\n", F.collect_list("set")).alias("value"))
     return files.element_text(text).select("norad_id", "name", "inclination", "eccentricity", "mean_motion", F.unix_millis("epoch").alias("epoch_ms"))
 
 

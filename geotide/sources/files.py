@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import re
 
 import pandas as pd
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -81,23 +82,50 @@ def read_satellites(spark: SparkSession, path: str) -> DataFrame:
 _ELEMENTS = "name string, norad_id long, epoch_ms long, inclination double, raan double, eccentricity double, arg_perigee double, mean_anomaly double, mean_motion double, bstar double"
 
 
+#: Alpha-5: a letter for the first two digits of a six-digit catalogue number, from 10 on.
+ALPHA_5 = "ABCDEFGHJKLMNPQRSTUVWXYZ"
+_WIDE = re.compile(r"1 ([0-9]{6,})[ A-Z].*\n2 \1 ")
+
+
+def element_number(n: Column) -> Column:
+    """A catalogue number as element text has it: five digits, from 100,000 Alpha-5, from 340,000 all digits."""
+    alpha = F.concat(F.substr(F.lit(ALPHA_5), F.floor(n / 10_000).cast("int") - 9, F.lit(1)), F.format_string("%04d", n % 10_000))
+    return F.when((n >= 100_000) & (n < 340_000), alpha).otherwise(F.format_string("%05d", n))
+
+
+def _parse_number(text: str) -> int:
+    lead = ALPHA_5.find(text[0])
+    n = int(text) if lead < 0 else (lead + 10) * 10_000 + int(text[1:])
+    if n >= 2**63 or (lead >= 0 and not text[1:].isdigit()):
+        raise ValueError(f"catalogue number {text}")
+    return n
+
+
+def _widening(one: str, two: str) -> int:
+    """Columns by which a catalogue number of more than five digits moves those behind it; both lines must have it."""
+    wide = _WIDE.match(f"{one}\n{two}")
+    return len(wide[1]) - 5 if wide else 0
+
+
 def parse_elements(text: str) -> list[tuple]:
     """Two- and three-line element sets of a whole text, in any mixture; a bad set costs only its own lines.
 
     A line 1 is one that starts with '1 ' and is followed by one that starts
     with '2 ', so a name may begin with any character and a last two-line set
-    counts.
+    counts.  Catalogue numbers are digits, of which more than five move the
+    columns behind them in both lines, or Alpha-5.
     """
     lines = [x.rstrip() for x in text.replace("\r", "").split("\n") if x.strip()]
     out, i = [], 0
-    is_pair = lambda k: k + 1 < len(lines) and lines[k].startswith("1 ") and lines[k + 1].startswith("2 ") and len(lines[k + 1]) >= 63
+    is_pair = lambda k: k + 1 < len(lines) and lines[k].startswith("1 ") and lines[k + 1].startswith("2 ") and len(lines[k + 1]) >= 63 + _widening(*lines[k : k + 2])
     while i < len(lines):
         named = not is_pair(i)
         k = i + named
         if not is_pair(k):
             i += 1
             continue
-        one, two = lines[k].ljust(69), lines[k + 1]
+        wide = _widening(*lines[k : k + 2])
+        number, one, two = lines[k + 1][2 : 7 + wide], lines[k][wide:].ljust(69), lines[k + 1][wide:]
         try:
             year, day = int(one[18:20]), float(one[20:32])
             epoch = dt.datetime(2000 + year if year < 57 else 1900 + year, 1, 1, tzinfo=dt.timezone.utc) + dt.timedelta(days=day - 1)
@@ -106,7 +134,7 @@ def parse_elements(text: str) -> list[tuple]:
             drag = drag.lstrip("+-").replace(" ", "")
             bstar = sign * float(f"0.{drag[:-2]}") * 10.0 ** int(drag[-2:])
             values = [float(two[8:16]), float(two[17:25]), float("0." + two[26:33].strip()), float(two[34:42]), float(two[43:51]), float(two[52:63])]
-            out.append((lines[i].removeprefix("0 ").strip() if named else "", int(two[2:7]), round(epoch.timestamp() * 1000), *values, bstar))
+            out.append((lines[i].removeprefix("0 ").strip() if named else "", _parse_number(number), round(epoch.timestamp() * 1000), *values, bstar))
         except ValueError:
             pass
         i = k + 2

@@ -31,6 +31,17 @@ def test_query(spark, name):
     assert got == sorted(str(tuple(r[at.index(c)] for c in cols)) for r in rel.fetchall())
 
 
+def test_src_element_text_on_large_keys(spark, tmp_path):
+    """Keys as larger tables have them: more than five digits, to the end of Alpha-5 and beyond."""
+    keys = [0, 7, 99_999, 100_000, 119_999, 339_999, 340_000, 1_199_999, 5_000_000_007]
+    spark.createDataFrame([(k, f"part {k}") for k in keys], "p_partkey long, p_name string").write.parquet(str(tmp_path / "part.parquet"))
+    con = duckdb.connect()
+    con.execute(f"create view part as select * from '{tmp_path}/part.parquet/*.parquet'")
+    rel = con.execute(catalog.ORACLES["src_element_text"])
+    got = catalog.QUERIES["src_element_text"](spark, str(tmp_path)).select(*[d[0] for d in rel.description]).collect()
+    assert sorted(tuple(r) for r in got) == sorted(rel.fetchall()) and len(got) == len(keys)
+
+
 def test_entry_without_corpus_part(tmp_path):
     root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
     code = "import sys\nsys.modules['geotide.llm'] = None\nimport __spark_entry__ as e\nassert set(e.oracle_sql()) <= set(e.queries()) and not any(q.startswith('op') or q == 'pipeline' for q in e.queries())"

@@ -69,6 +69,21 @@ def test_element_text(spark):
     assert abs(got[0]["mean_motion"] - 10.82419157) < 1e-9 and got[0]["epoch"].year == 2000
 
 
+def test_element_numbers_of_more_than_five_digits(spark):
+    """Alpha-5 up to 339,999, all digits beyond; the columns behind a wide number move in both lines."""
+    one, two = "1 %sU 16072A   24001.50000000 0.00000000  00000-0  12345-3 0    06", "2 %s  63.4000 100.0000 0120000  10.0000 350.0000 13.41000000"
+    numbers = [0, 99_999, 100_000, 179_999, 180_000, 229_999, 230_000, 339_999, 340_000, 1_199_999, 5_000_000_000, 2**63 - 1]
+    written = [r[0] for r in spark.createDataFrame([(n,) for n in numbers], "n long").select(files.element_number(F.col("n"))).collect()]
+    assert written[:9] == ["00000", "99999", "A0000", "H9999", "J0000", "N9999", "P0000", "Z9999", "340000"]
+    bad = ["I0000", "O0000", "a0000", "A-001", "A 001", str(2**63)]
+    text = "\n".join(f"N{w}\n{one % w}\n{two % w}" for w in written + bad) + "\nshort\n" + one % 340_001 + "\n" + two[:-1] % 340_001
+    damaged = files.parse_elements(one % "00009" + "\n" + (two % "00009").replace("9  ", "97 "))  # a digit in line 2 alone is none of the number
+    assert [(r[1], r[4]) for r in damaged] == [(9, 100.0)]
+    got = files.element_text(spark.createDataFrame([(text,)], "value string")).orderBy("norad_id").collect()
+    assert [(r["norad_id"], r["name"]) for r in got] == [(n, f"N{w}") for n, w in zip(numbers, written, strict=True)]
+    assert {(r["inclination"], r["eccentricity"], r["mean_motion"], round(r["bstar"], 9), r["epoch"].isoformat()) for r in got} == {(63.4, 0.012, 13.41, 0.00012345, "2024-01-01T12:00:00")}
+
+
 def test_aircraft_csv(spark, tmp_path):
     (tmp_path / "a.csv").write_text("'Model','unknown','OPERATOR','icao24'\n'A320','x','O''Brien, Inc',' abc123 '\n'B737','x','','def456'\n'too','few'\n'a','b','c','d','e'\n'A','x','y',''\n\n")
     got = files.read_aircraft(spark, str(tmp_path / "a.csv")).orderBy("icao24").collect()
